@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SALTS = 16
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 2**20
 CELL_ROWS = 20_000
 
 
@@ -37,6 +39,22 @@ def salted_join(
     return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+def _payload(df: DataFrame) -> Column:
+    """Bytes of the columns whose width varies."""
+    widths = [
+        F.octet_length(f.name) if f.dataType in (T.StringType(), T.BinaryType()) else F.size(f.name) * 16
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType))
+    ]
+    return reduce(lambda a, b: a + b, [F.coalesce(w, F.lit(0)) for w in widths], F.lit(0).cast("bigint"))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table stays within a number of rows and of bytes; counting stops at the limit."""
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(_payload(df))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -44,11 +62,11 @@ def lookup_join(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Joins to a lookup table: broadcast while it has at most ``max_rows``, salted beyond.
+    """Joins to a lookup table: broadcast while its size is within bounds, salted beyond.
 
-    The count stops at the limit; it suits stored tables, which are cheap to count.
+    The size is counted first; that suits stored tables, which are cheap to count.
     """
-    if len(lookup.select(F.lit(1)).take(max_rows + 1)) <= max_rows:
+    if fits_broadcast(lookup, max_rows):
         return rows.join(F.broadcast(lookup), _keys(on), how)
     return salted_join(rows, lookup, on, how)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
 from quern.operators.joins import salted_join
 from quern.session import stable
@@ -70,12 +70,11 @@ def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 100_00
     Keys with at most ``chunk_rows`` values have one row, chunk 0. A more frequent key is
     cut into lists of that length, all values kept, so that no task holds a whole key.
     """
-    pairs = df.groupBy(key, value).agg(F.count("*").alias("_n"))
-    sizes = pairs.groupBy(key).agg(F.sum("_n").alias("_total"))
-    large = sizes.filter(F.col("_total") > chunk_rows)
-    if large.isEmpty():
+    sizes = df.groupBy(key).agg(F.count(value).alias("_n"))
+    if sizes.filter(F.col("_n") > chunk_rows).isEmpty():
         lists = df.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("values"))
         return lists.select(key, F.lit(0).cast("bigint").alias("chunk"), "values")
+    pairs = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
     counted = running_totals(pairs, [key, value], {"_upto": "_n"})
     first = counted.groupBy(key).agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"))
     placed = salted_join(counted, first, key, spread=[value]).withColumns(
@@ -95,35 +94,36 @@ def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 100_00
     )
 
 
-def exact_quantile_bounds(df: DataFrame, value: str, rank: int, bins: int = 1024, small: int = 50_000):
+def value_at_rank(df: DataFrame, value: str, rank: int, bins: int = 1024, small: int = 50_000) -> float:
     """The value at a 0-based rank, found by counting bins and going on inside one bin.
 
     Each round is one scan that returns at most ``bins`` counts; rows are never sorted or
     shuffled. It ends when the bin has one value, or few enough rows to count by value.
     """
-    v = F.col(value).cast("double")
-    rows = df.select(v.alias("v")).filter("v is not null")
+    rows = df.select(F.col(value).cast("double").alias("v")).filter("v is not null")
     low, high = rows.agg(F.min("v"), F.max("v")).first()
-    left, inside = rank, None
+    left = rank
     while low < high:
         width = (high - low) / bins
-        bin_of = F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1)).alias("bin")
+        inside = rows.filter(F.col("v").between(low, high))
         counts = (
-            rows.filter(F.col("v").between(low, high))
-            .groupBy(bin_of)
-            .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            inside.groupBy(F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1)).alias("bin"))
+            .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
             .orderBy("bin")
             .collect()
         )
-        for row in counts:
-            if left < row.n:
-                low, high, inside = row.lo, row.hi, row.n
-                break
-            left -= row.n
-        if low < high and inside <= small:
-            values = rows.filter(F.col("v").between(low, high)).groupBy("v").count().orderBy("v").collect()
-            for row in values:
-                if left < row["count"]:
-                    return row.v
-                left -= row["count"]
+        found, left = _reach(counts, left)
+        low, high = found.low, found.high
+        if low < high and found.n <= small:
+            values = rows.filter(F.col("v").between(low, high)).groupBy("v").agg(F.count("*").alias("n"))
+            return _reach(values.orderBy("v").collect(), left)[0].v
     return low
+
+
+def _reach(counts: Sequence[Row], rank: int) -> tuple[Row, int]:
+    """The group that holds a rank, and the rank within it."""
+    for row in counts:
+        if rank < row.n:
+            return row, rank
+        rank -= row.n
+    raise ValueError("rank beyond the last row")

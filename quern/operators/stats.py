@@ -11,21 +11,26 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from quern.operators.ordering import exact_quantile_bounds, running_totals
+from quern.operators.ordering import running_totals, value_at_rank
 
 
 def mean_median(df: DataFrame, value: str) -> DataFrame:
     """Mean and exact median; nulls are left out.
 
-    The median is found by counting bins (``exact_quantile_bounds``) instead of gathering
-    all values in one aggregation buffer.
+    The median is found by counting bins (``value_at_rank``) instead of gathering all
+    values in one aggregation buffer.
     """
     spark = df.sparkSession
+    schema = "mean double, median double"
     n, mean = df.agg(F.count(value), F.avg(value)).first()
     if not n:
-        return spark.createDataFrame([(None, None)], "mean double, median double")
-    middle = [exact_quantile_bounds(df, value, rank) for rank in sorted({(n - 1) // 2, n // 2})]
-    return spark.createDataFrame([(float(mean), float(sum(middle) / len(middle)))], "mean double, median double")
+        return spark.createDataFrame([(None, None)], schema)
+    v = F.col(value).cast("double")
+    median = value_at_rank(df, value, (n - 1) // 2)
+    if n % 2 == 0:
+        reached, above = df.agg(F.count_if(v <= median), F.min(F.when(v > median, v))).first()
+        median = median if reached > n // 2 else (median + above) / 2
+    return spark.createDataFrame([(float(mean), float(median))], schema)
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:

@@ -1,3 +1,3 @@
 """Registered queries, each next to the SQL that must give the same rows."""
 
-from quern.plans import sources  # noqa: F401
+from quern.plans import aggregates, features, models, relational, scalars, sources, text  # noqa: F401
