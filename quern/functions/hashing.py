@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from quern.functions.vectors import bind
+
 
 def md5_bucket(c: Column, buckets: int) -> Column:
     """MD5 of the text, read as one 128-bit integer, modulo ``buckets``.
@@ -15,9 +17,12 @@ def md5_bucket(c: Column, buckets: int) -> Column:
     """
     if not 0 < buckets <= 2**30:
         raise ValueError("buckets must be in 1..2**30")
-    digest = F.md5(c)
-    digits = [F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("bigint") for k in range(4)]
-    return reduce(lambda acc, d: (acc * F.lit(2**32) + d) % buckets, digits, F.lit(0).cast("bigint"))
+
+    def fold(digest: Column) -> Column:
+        digits = [F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("bigint") for k in range(4)]
+        return reduce(lambda acc, d: (acc * F.lit(2**32) + d) % buckets, digits, F.lit(0).cast("bigint"))
+
+    return bind(F.md5(c), fold)
 
 
 def hash_text(key: Column, seed: int) -> Column:

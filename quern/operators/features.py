@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.functions.hashing import md5_bucket
 from quern.functions.maths import sigmoid_clipped
+from quern.functions.vectors import bind
 from quern.operators.joins import salted_join
 from quern.operators.ordering import zip_with_index
 
@@ -41,10 +42,13 @@ def hash_features(features: Column, buckets: int) -> Column:
     names = F.array_distinct(
         F.transform(features, lambda f: F.concat(f["value"], f["feature"].cast("string")))
     )
-    hashed = F.transform(names, lambda s: md5_bucket(s, buckets))
-    distinct = F.array_sort(F.array_distinct(hashed))
-    counts = F.transform(distinct, lambda b: F.size(F.filter(hashed, lambda h: h == b)).cast("double"))
-    return F.map_from_arrays(distinct, counts)
+
+    def counts(hashed: Column) -> Column:
+        distinct = F.array_distinct(hashed)
+        each = F.transform(distinct, lambda b: F.size(F.filter(hashed, lambda h: h == b)).cast("double"))
+        return F.map_from_arrays(distinct, each)
+
+    return bind(F.array_sort(F.transform(names, lambda s: md5_bucket(s, buckets))), counts)
 
 
 def sparsity(df: DataFrame, non_zeros: Column, dimensions: Column | int) -> DataFrame:

@@ -61,6 +61,7 @@ def lookup_join(
     on: str | Sequence[str],
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
+    spread: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """Joins to a lookup table: broadcast while its size is within bounds, salted beyond.
 
@@ -68,7 +69,7 @@ def lookup_join(
     """
     if fits_broadcast(lookup, max_rows):
         return rows.join(F.broadcast(lookup), _keys(on), how)
-    return salted_join(rows, lookup, on, how)
+    return salted_join(rows, lookup, on, how, spread=spread)
 
 
 def grid_join(

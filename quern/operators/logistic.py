@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quern.functions.maths import log_loss
+from quern.session import balanced
 
 
 @dataclass
@@ -23,29 +24,49 @@ class LogisticModel:
         return spark.createDataFrame(rows, "idx bigint, w double")
 
 
-def _gradient(rows: DataFrame, weights: np.ndarray, intercept: float) -> DataFrame:
+BLOCK = "n int, labels binary, lengths binary, idx binary, val binary"
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows ``label, idx, val`` packed per Arrow batch, so that iterations read plain buffers."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            buffers = (
+                batch.column(0).to_numpy(zero_copy_only=False).astype("float64"),
+                lists.value_lengths().to_numpy(zero_copy_only=False).astype("int32"),
+                lists.flatten().to_numpy(zero_copy_only=False).astype("int64"),
+                batch.column(2).flatten().to_numpy(zero_copy_only=False).astype("float64"),
+            )
+            cells = [pa.array([b.tobytes()], pa.binary()) for b in buffers]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch.num_rows], pa.int32()), *cells], ["n", "labels", "lengths", "idx", "val"]
+            )
+
+    return rows.mapInArrow(pack, BLOCK)
+
+
+def _gradient(blocks: DataFrame, weights: np.ndarray, intercept: float) -> DataFrame:
     """Gradient cells ``idx, g`` of all rows; index d is the intercept, d + 1 the row count."""
     d = len(weights)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(d + 2)
         for batch in batches:
-            label = batch.column(0).to_numpy(zero_copy_only=False).astype("float64")
-            lists = batch.column(1)
-            idx = lists.flatten().to_numpy(zero_copy_only=False)
-            val = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            raw = np.bincount(row, weights=weights[idx] * val, minlength=len(lists)) + intercept
-            # exp of -|raw| cannot overflow
-            e = np.exp(-np.abs(raw))
-            residual = np.where(raw >= 0, 1.0, e) / (1.0 + e) - label
-            total[:d] += np.bincount(idx, weights=residual[row] * val, minlength=d)[:d]
-            total[d] += residual.sum()
-            total[d + 1] += len(label)
+            for block in batch.to_pylist():
+                label = np.frombuffer(block["labels"])
+                row = np.repeat(np.arange(block["n"]), np.frombuffer(block["lengths"], "int32"))
+                idx, val = np.frombuffer(block["idx"], "int64"), np.frombuffer(block["val"])
+                raw = np.bincount(row, weights=weights[idx] * val, minlength=block["n"]) + intercept
+                e = np.exp(-np.abs(raw))  # cannot overflow
+                residual = np.where(raw >= 0, 1.0, e) / (1.0 + e) - label
+                total[:d] += np.bincount(idx, weights=residual[row] * val, minlength=d)
+                total[d:] += residual.sum(), len(label)
         cells = np.flatnonzero(total)
-        yield pa.record_batch({"idx": pa.array(cells.astype("int64")), "g": pa.array(total[cells])})
+        yield pa.record_batch({"idx": pa.array(cells), "g": pa.array(total[cells])})
 
-    return rows.mapInArrow(fold, "idx bigint, g double").groupBy("idx").agg(F.sum("g").alias("g"))
+    return blocks.mapInArrow(fold, "idx bigint, g double").groupBy("idx").agg(F.sum("g").alias("g"))
 
 
 def logreg_sgd(
@@ -54,26 +75,27 @@ def logreg_sgd(
     """Full-batch gradient descent with L2 shrinkage and an intercept.
 
     Follows the update rule of Spark's ``LogisticRegressionWithSGD``. ``train`` has
-    ``label`` and sorted indices ``idx``, with ``val`` if entries are not all 1. Rows are
-    kept for the iterations; each one is a single aggregation whose d + 2 sums, as many
-    as the model has parameters, come back to the driver.
+    ``label`` and indices ``idx``, with ``val`` if entries are not all 1. Rows are kept
+    for the iterations; each one is a single aggregation whose d + 2 sums, as many as the
+    model has parameters, come back to the driver.
     """
     val = F.col("val") if "val" in train.columns else F.transform("idx", lambda _: F.lit(1.0))
     rows = train.select(
         F.col("label").cast("double"), F.col("idx").cast("array<bigint>"), val.cast("array<double>").alias("val")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    blocks = _blocks(balanced(rows)).persist(StorageLevel.MEMORY_AND_DISK)
     w = np.append(np.zeros(dimensions), 1.0)
     try:
         for i in range(1, iterations + 1):
             total = np.zeros(dimensions + 2)
-            for batch in _gradient(rows, w[:-1], w[-1]).toArrow().to_batches():
+            for batch in _gradient(blocks, w[:-1], w[-1]).toArrow().to_batches():
                 total[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
             if not total[-1]:
                 raise ValueError("no training rows")
             rate = step / np.sqrt(i)
             w = w * (1 - rate * reg) - rate * total[:-1] / total[-1]
     finally:
-        rows.unpersist()
+        blocks.unpersist()
     return LogisticModel(w[:-1], float(w[-1]))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from quern.operators.joins import grid_join, grid_join_sized, salted_join, CELL_ROWS
-from quern.operators.text import term_frequency, unit_weights
+from quern.operators.joins import CELL_ROWS, grid_join, grid_join_sized, lookup_join, salted_join
+from quern.operators.text import record_tokens, term_frequency, unit_weights
+from quern.session import stable
 
 
 def pair_weights(
@@ -15,26 +16,30 @@ def pair_weights(
 
     Rows also carry the record count of their token (``_n``) and its join grid
     (``_across``, ``_down``), which fall out of the same aggregation as its IDF; a grid of
-    0 marks a token only one source has.
+    0 marks a token only one source has. The token table is written first, as in
+    ``operators.text.tfidf``.
     """
-    tf_a, tf_b = term_frequency(a, id_a, tokens_a), term_frequency(b, id_b, tokens_b)
-    postings = tf_a.select("token", F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionAll(
-        tf_b.select("token", F.lit(0).alias("_a"), F.lit(1).alias("_b"))
+    has = record_tokens(a, tokens_a).select("token", F.lit(1).alias("_a")).unionAll(
+        record_tokens(b, tokens_b).select("token", F.lit(0).alias("_a"))
     )
     n = a.agg(F.count_distinct(id_a)).scalar() + b.agg(F.count_distinct(id_b)).scalar()
-    n_a, n_b = F.sum("_a"), F.sum("_b")
-    tokens = postings.groupBy("token").agg(
-        F.count("*").alias("_n"),
-        (n / F.count("*")).alias("idf"),
-        F.when(n_b > 0, F.ceil(n_a / CELL_ROWS)).otherwise(0).cast("int").alias("_across"),
-        F.when(n_a > 0, F.ceil(n_b / CELL_ROWS)).otherwise(0).cast("int").alias("_down"),
+    counts = has.groupBy("token").agg(F.count("*").alias("_n"), F.sum("_a").alias("_n_a"))
+    n_a, n_b = F.col("_n_a"), F.col("_n") - F.col("_n_a")
+    tokens = stable(
+        counts.select(
+            "token",
+            "_n",
+            (n / F.col("_n")).alias("idf"),
+            F.when(n_b > 0, F.ceil(n_a / CELL_ROWS)).otherwise(0).cast("int").alias("_across"),
+            F.when(n_a > 0, F.ceil(n_b / CELL_ROWS)).otherwise(0).cast("int").alias("_down"),
+        )
     )
 
-    def weighted(tf: DataFrame) -> DataFrame:
-        joined = salted_join(tf, tokens, "token", spread=["id"])
+    def weighted(df: DataFrame, id_col: str, listed: Column) -> DataFrame:
+        joined = lookup_join(term_frequency(df, id_col, listed), tokens, "token", spread=["id"])
         return unit_weights(joined.withColumn("weight", F.col("tf") * F.col("idf")).drop("tf", "idf"))
 
-    return weighted(tf_a), weighted(tf_b)
+    return weighted(a, id_a, tokens_a), weighted(b, id_b, tokens_b)
 
 
 def _shared(df: DataFrame, id_name: str, weight: str) -> DataFrame:
@@ -63,25 +68,35 @@ def cosine_pairs_blocked(weights_a: DataFrame, weights_b: DataFrame, min_score:
         length = F.sqrt(F.sum(F.col(weight) * F.col(weight)).over(rest))
         return df.withColumn("_rest", length).filter(F.col("_rest") >= slack).drop("_rest", "_n", weight)
 
-    candidates = (
-        grid_join_sized(prefix(a, "id_a", "w_a"), prefix(b, "id_b", "w_b"), ["token"], "id_a", "id_b")
-        .select("id_a", "id_b")
-        .distinct()
-    )
+    met = grid_join_sized(prefix(a, "id_a", "w_a"), prefix(b, "id_b", "w_b"), ["token"], "id_a", "id_b")
+    candidates = stable(met.select("id_a", "id_b").distinct())
     return score_pairs(weights_a, weights_b, candidates).filter(F.col("score") >= min_score)
 
 
 def score_pairs(weights_a: DataFrame, weights_b: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Cosine of given pairs ``id_a, id_b``; pairs without a shared token are left out."""
-    a = weights_a.select(F.col("id").alias("id_a"), "token", F.col("weight").alias("w_a"))
-    b = weights_b.select(F.col("id").alias("id_b"), "token", F.col("weight").alias("w_b"))
-    spread = grid_join(pairs, a, "id_a", "id_b", "token")
-    keyed = b.withColumnRenamed("w_b", "_w")
-    return (
-        salted_join(spread, keyed, ["id_b", "token"], spread=["id_a"])
-        .groupBy("id_a", "id_b")
-        .agg(F.sum(F.col("w_a") * F.col("_w")).alias("score"))
-    )
+    """Sum of weight products of given pairs ``id_a, id_b``; pairs without a shared token are left out.
+
+    A record in many pairs has its vector copied to as many cells as its pairs need; a
+    record in none is dropped before any join. ``pairs`` and the weights are read several
+    times: pass stored tables.
+    """
+
+    def cells(own: str) -> DataFrame:
+        return pairs.groupBy(own).agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("_cells"))
+
+    def place(rows: DataFrame, own: str, other: str) -> DataFrame:
+        cell = F.pmod(F.xxhash64(other), F.col("_cells")).cast("int")
+        return salted_join(rows, cells(own), own, spread=[other]).withColumn(f"_cell_{own}", cell).drop("_cells")
+
+    def copied(weights: DataFrame, own: str, weight: str) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias(f"_cell_{own}")
+        named = weights.select(F.col("id").alias(own), "token", F.col("weight").alias(weight))
+        return named.join(cells(own), own).select(own, "token", weight, each)
+
+    placed = place(place(pairs.select("id_a", "id_b"), "id_a", "id_b"), "id_b", "id_a")
+    half = placed.join(copied(weights_a, "id_a", "w_a"), ["id_a", "_cell_id_a"])
+    both = half.join(copied(weights_b, "id_b", "w_b"), ["id_b", "token", "_cell_id_b"])
+    return both.groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("score"))
 
 
 def token_block_join(index_a: DataFrame, index_b: DataFrame) -> DataFrame:
@@ -120,18 +135,53 @@ def gold_evaluation(sims: DataFrame, gold: DataFrame, all_pairs: Column | None =
     )
 
 
-def gold_scores(sims: DataFrame, gold: DataFrame) -> DataFrame:
-    """Score of every true pair, 0 where the pair was not scored."""
-    pairs = gold.select("id_a", "id_b").distinct()
-    return pairs.join(sims, ["id_a", "id_b"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+def _binned(sims: DataFrame, gold: DataFrame, n: int) -> DataFrame:
+    """Per bin 0..n: ``pairs`` and ``true_cut`` by truncated score, ``true`` by exact score.
+
+    One pass over the scored pairs. True pairs that were never scored count in bin 0. The
+    exact bin is the last threshold k/n that the score reaches; truncating ``score * n``
+    can miss it by one.
+    """
+    x = F.col("score")
+    cut = F.least(F.floor(x * n), F.lit(n))
+    exact = F.when(x < cut / F.lit(n), cut - 1).when(x >= (cut + 1) / F.lit(n), cut + 1).otherwise(cut)
+    wanted = gold.select("id_a", "id_b").distinct()
+    marked = sims.join(wanted.withColumn("_gold", F.lit(1)), ["id_a", "id_b"], "left")
+    counted = marked.groupBy(cut.alias("_cut"), exact.alias("_exact")).agg(
+        F.count("*").alias("_n"), F.count("_gold").alias("_g")
+    )
+    zero = F.lit(0).cast("bigint")
+
+    def entry(b: Column, pairs: Column, true_cut: Column, true: Column) -> Column:
+        return F.struct(b.alias("bin"), pairs.alias("pairs"), true_cut.alias("true_cut"), true.alias("true"))
+
+    per_bin = (
+        counted.select(
+            F.explode(
+                F.array(
+                    entry(F.col("_cut"), F.col("_n"), F.col("_g"), zero),
+                    entry(F.col("_exact"), zero, zero, F.col("_g")),
+                )
+            ).alias("e")
+        )
+        .groupBy("e.bin")
+        .agg(*[F.sum(f"e.{c}").alias(c) for c in ("pairs", "true_cut", "true")])
+    )
+    all_true = wanted.agg(F.count("*")).scalar()
+    bins = sims.sparkSession.range(n + 1).select(F.col("id").alias("bin"))
+    filled = bins.join(per_bin, "bin", "left").na.fill(0)
+    missing = F.when(F.col("bin") == 0, all_true - F.sum("true").over(W.partitionBy())).otherwise(0)  # n + 1 rows
+    return filled.withColumn("_missing", missing).select(
+        "bin",
+        "pairs",
+        (F.col("true_cut") + F.col("_missing")).alias("true_cut"),
+        (F.col("true") + F.col("_missing")).alias("true"),
+    )
 
 
 def bin_counts(sims: DataFrame, gold: DataFrame, n: int = 100) -> DataFrame:
     """Pairs per truncated score bin 0..n with the bins of true pairs taken off."""
-    scores = sims.select("score", F.lit(1).alias("_w")).unionAll(
-        gold_scores(sims, gold).select("score", F.lit(-1).alias("_w"))
-    )
-    return scores.groupBy(F.floor(F.col("score") * n).alias("bin")).agg(F.sum("_w").alias("n"))
+    return _binned(sims, gold, n).select("bin", (F.col("pairs") - F.col("true_cut")).alias("n"))
 
 
 def threshold_sweep(sims: DataFrame, gold: DataFrame, n: int = 100) -> DataFrame:
@@ -141,23 +191,12 @@ def threshold_sweep(sims: DataFrame, gold: DataFrame, n: int = 100) -> DataFrame
     positives come from truncated bins; false negatives compare scores to the threshold
     itself, with true pairs that were never scored at 0.
     """
-    x = F.col("score")
-    guess = F.floor(x * n)
-    step = (
-        F.when(x < guess / F.lit(n), guess - 1).when(x >= (guess + 1) / F.lit(n), guess + 1).otherwise(guess)
-    )
-    reached = (
-        gold_scores(sims, gold).groupBy(step.cast("bigint").alias("bin")).agg(F.count("*").alias("_true"))
-    )
-    bins = sims.sparkSession.range(n + 1).select(F.col("id").alias("bin"))
     upward = W.orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0)  # n + 1 rows
-    false_pos = bin_counts(sims, gold, n)
-    table = bins.join(false_pos, "bin", "left").join(reached, "bin", "left")
-    swept = table.select(
+    swept = _binned(sims, gold, n).select(
         "bin",
-        F.sum(F.coalesce("n", F.lit(0))).over(upward).alias("fp"),
-        F.sum(F.coalesce("_true", F.lit(0))).over(upward).alias("tp"),
-        F.sum(F.coalesce("_true", F.lit(0))).over(W.partitionBy()).alias("_all"),
+        F.sum(F.col("pairs") - F.col("true_cut")).over(upward).alias("fp"),
+        F.sum("true").over(upward).alias("tp"),
+        F.sum("true").over(W.partitionBy()).alias("_all"),
     ).filter(F.col("bin") < n)
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     rates = swept.withColumn("fn", F.col("_all") - tp).withColumns(

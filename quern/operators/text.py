@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quern.functions.text import remove_punctuation, split_words
-from quern.operators.joins import lookup_join, salted_join
+from quern.operators.joins import lookup_join
+from quern.session import stable
 
 
 def lines_of(df: DataFrame, col: str) -> DataFrame:
@@ -37,33 +38,37 @@ def token_total(df: DataFrame, tokens: Column) -> DataFrame:
 
 
 def term_frequency(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
-    """Share of each token among the tokens of its record: ``id, token, tf``."""
-    listed = df.select(F.col(id_col).alias("id"), tokens.alias("_t"))
+    """Share of each token among the tokens of its record: ``id, token, tf``.
+
+    The texts are dealt out by id before they are split: they are smaller than their
+    tokens, and neither the count nor a later step per id has to shuffle again.
+    """
+    listed = df.repartition(F.col(id_col)).select(F.col(id_col).alias("id"), tokens.alias("_t"))
     each = listed.select("id", F.size("_t").alias("_size"), F.explode("_t").alias("token"))
     counted = each.groupBy("id", "token", "_size").agg(F.count("*").alias("_n"))
     return counted.select("id", "token", (F.col("_n") / F.col("_size")).alias("tf"))
 
 
-def idf_from_postings(postings: DataFrame, n_docs: Column) -> DataFrame:
-    """``N / n(token)``, without logarithm, from distinct ``(id, token)`` rows."""
-    return postings.groupBy("token").agg((n_docs / F.count("*")).alias("idf"))
+def record_tokens(df: DataFrame, tokens: Column) -> DataFrame:
+    """Each token once per record that has it, as column ``token``."""
+    return df.select(F.explode(F.array_distinct(tokens)).alias("token"))
 
 
 def idf(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
-    """Inverse document frequency of every token of a corpus with distinct ids as N."""
-    listed = df.select(F.col(id_col).alias("id"), tokens.alias("_t"))
-    postings = listed.select("id", F.explode("_t").alias("token")).distinct()
-    return idf_from_postings(postings, df.agg(F.count_distinct(id_col)).scalar())
+    """``N / n(token)`` without logarithm: distinct ids over records with the token."""
+    n = df.agg(F.count_distinct(id_col)).scalar()
+    return record_tokens(df, tokens).groupBy("token").agg((n / F.count("*")).alias("idf"))
 
 
 def tfidf(df: DataFrame, id_col: str, tokens: Column, idfs: DataFrame | None = None) -> DataFrame:
     """Weights ``id, token, weight``; tokens missing from ``idfs`` have no weight.
 
-    A frequent token has a row per record, so the join deals its rows to several tasks.
+    The IDF table is written first: its size decides whether it is broadcast, so that the
+    postings stay where they are, or whether the rows of each token are dealt to several
+    tasks. Pass a stored table as ``idfs``.
     """
-    tf = term_frequency(df, id_col, tokens)
-    idfs = idfs if idfs is not None else idf(df, id_col, tokens)
-    joined = salted_join(tf, idfs, "token", spread=["id"])
+    idfs = idfs if idfs is not None else stable(idf(df, id_col, tokens))
+    joined = lookup_join(term_frequency(df, id_col, tokens), idfs, "token", spread=["id"])
     return joined.select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.operators.joins import lookup_join
 from quern.plans.catalog import Tables
+from quern.session import balanced
 
 
 def r(c: Column | str, digits: int = 4) -> Column:
@@ -31,7 +32,7 @@ def event_points(t: Tables) -> DataFrame:
     features = F.array(
         *[F.struct(F.lit(i).alias("feature"), v.alias("value")) for i, v in enumerate(values)]
     )
-    return t.events.select(
+    return balanced(t.events).select(
         "event_id", (F.col("event_type") == "error").cast("double").alias("label"), features.alias("features")
     )
 
@@ -63,7 +64,7 @@ def titles(t: Tables) -> DataFrame:
 def points(t: Tables) -> DataFrame:
     """Regression rows: price against four line item columns scaled to about 0..1."""
     q, d, x = F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10
-    return t.lineitem.select(
+    return balanced(t.lineitem).select(
         "l_orderkey",
         (F.col("l_extendedprice") / 1000).alias("label"),
         F.array(q, d, x, (F.col("l_linenumber") / 7).cast("double")).alias("features"),

@@ -8,7 +8,7 @@ from quern.functions.text import STOP_WORDS, simple_tokenize
 from quern.operators.aggregates import union_all
 from quern.operators.text import drop_stop_words
 from quern.plans.catalog import Tables, query
-from quern.session import scratch_path
+from quern.session import balanced, scratch_path
 from quern.sources import parsers as P, readers as R
 
 
@@ -28,7 +28,7 @@ def clf_lines(t: Tables, broken: Column | None = None) -> DataFrame:
     )
     if broken is not None:
         line = F.when(broken, F.translate(line, '"', "")).otherwise(line)
-    return t.events.select(line.alias("value"))
+    return balanced(t.events).select(line.alias("value"))
 
 
 @query("SELECT unnest(string_split(text, chr(10))) AS line FROM documents")
@@ -179,7 +179,7 @@ FROM lineitem GROUP BY ALL
 """)
 def parse_ratings(t):
     line = F.concat_ws("::", "l_suppkey", "l_partkey", (1 + F.col("l_quantity") % 5).cast("string"), F.lit("0"))
-    parsed = P.parse_ratings(t.lineitem.select(line.alias("value")))
+    parsed = P.parse_ratings(balanced(t.lineitem).select(line.alias("value")))
     return parsed.groupBy("user", "item").agg(F.count("*").alias("n"), F.sum("rating").alias("total"))
 
 
@@ -194,7 +194,7 @@ SELECT l_extendedprice AS label, l_quantity AS f0, l_discount AS f1, l_tax AS f2
 """)
 def parse_labeled_csv(t):
     line = F.concat_ws(",", *[F.col(c).cast("string") for c in ("l_extendedprice", "l_quantity", "l_discount", "l_tax")])
-    parsed = P.parse_labeled_csv(t.lineitem.select(line.alias("value")))
+    parsed = P.parse_labeled_csv(balanced(t.lineitem).select(line.alias("value")))
     return parsed.select("label", *[F.col("features")[i].alias(f"f{i}") for i in range(3)])
 
 
@@ -208,7 +208,7 @@ SELECT feature, value, count(*) AS n, sum(label) AS positives FROM (
 def parse_ctr(t):
     flag = F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_returnflag"))
     line = F.concat_ws("\t", (F.col("l_linestatus") == "F").cast("int"), flag, "l_linenumber", "l_suppkey")
-    parsed = P.parse_ctr(t.lineitem.select(line.alias("value")))
+    parsed = P.parse_ctr(balanced(t.lineitem).select(line.alias("value")))
     each = parsed.select("label", F.explode("features").alias("f")).select("label", "f.feature", "f.value")
     return each.groupBy("feature", "value").agg(F.count("*").alias("n"), F.sum("label").alias("positives"))
 

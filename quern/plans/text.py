@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.functions.text import simple_tokenize, tokenize
+from quern.functions.text import STOP_WORDS, simple_tokenize, tokenize
 from quern.operators import matching as E, text as X
 from quern.operators.joins import salted_join
 from quern.plans.catalog import query
 from quern.plans.data import contained_items, r
 from quern.plans.sources import KEPT_TOKENS_SQL, TOKENS_SQL, sql_list
-from quern.functions.text import STOP_WORDS
+from quern.session import stable
 
 WORDS_SQL = """
 SELECT word FROM (
@@ -107,16 +107,19 @@ WITH a_tok AS (SELECT * FROM (SELECT item_id AS id, unnest(regexp_split_to_array
 """
 
 
-def _sims(t):
+def _pair_weights(t):
     tokens = tokenize(F.col("text"))
-    a, b = E.pair_weights(t.benchmark, t.documents, "item_id", "doc_id", tokens, tokens)
+    return E.pair_weights(t.benchmark, t.documents, "item_id", "doc_id", tokens, tokens)
+
+
+def _sims(t):
+    a, b = _pair_weights(t)
     return E.cosine_pairs_blocked(a, b).withColumn("score", r("score", 9))
 
 
 def _gold(t):
-    return contained_items(t.documents, t.benchmark).select(
-        F.col("item_id").alias("id_a"), F.col("doc_id").alias("id_b")
-    )
+    found = contained_items(t.documents, t.benchmark)
+    return stable(found.select(F.col("item_id").alias("id_a"), F.col("doc_id").alias("id_b")))
 
 
 @query(PAIRS_SQL + "SELECT id_a, id_b, score FROM sims")
@@ -126,8 +129,7 @@ def cosine_pairs_blocked(t):
 
 @query(PAIRS_SQL + "SELECT id_a, id_b, score FROM sims WHERE score >= 0.2")
 def cosine_pairs_min_score(t):
-    tokens = tokenize(F.col("text"))
-    a, b = E.pair_weights(t.benchmark, t.documents, "item_id", "doc_id", tokens, tokens)
+    a, b = map(stable, _pair_weights(t))
     return E.cosine_pairs_blocked(a, b, min_score=0.2).withColumn("score", r("score", 9))
 
 
@@ -135,9 +137,8 @@ def cosine_pairs_min_score(t):
 SELECT id_a, id_b, score FROM sims JOIN (SELECT * FROM gold ORDER BY id_a, id_b LIMIT 1) USING (id_a, id_b)
 """)
 def lookup_by_key(t):
-    key = _gold(t).orderBy("id_a", "id_b").limit(1)
-    tokens = tokenize(F.col("text"))
-    a, b = E.pair_weights(t.benchmark, t.documents, "item_id", "doc_id", tokens, tokens)
+    key = stable(_gold(t).orderBy("id_a", "id_b").limit(1))
+    a, b = _pair_weights(t)
     return E.score_pairs(a, b, key).withColumn("score", r("score", 9))
 
 
@@ -151,8 +152,8 @@ FROM g JOIN n na ON na.side = 'a' AND na.id = id_a JOIN n nb ON nb.side = 'b' AN
 """)
 def cossim(t):
     tokens = tokenize(F.col("text"))
-    a = X.term_frequency(t.benchmark, "item_id", tokens).withColumnRenamed("tf", "weight")
-    b = X.term_frequency(t.documents, "doc_id", tokens).withColumnRenamed("tf", "weight")
+    a = stable(X.term_frequency(t.benchmark, "item_id", tokens).withColumnRenamed("tf", "weight"))
+    b = stable(X.term_frequency(t.documents, "doc_id", tokens).withColumnRenamed("tf", "weight"))
     dots = E.score_pairs(a, b, _gold(t)).withColumnRenamed("score", "dot")
     norm_a = X.doc_norms(a).select(F.col("id").alias("id_a"), F.col("norm").alias("norm_a"))
     norm_b = X.doc_norms(b).select(F.col("id").alias("id_b"), F.col("norm").alias("norm_b"))
@@ -189,7 +190,8 @@ def gold_evaluation(t):
 @query(PAIRS_SQL + """
 SELECT bin, sum(w)::BIGINT AS n FROM (
  SELECT floor(score * 100)::BIGINT AS bin, 1 AS w FROM sims UNION ALL
- SELECT floor(coalesce(score, 0) * 100)::BIGINT, -1 FROM gold LEFT JOIN sims USING (id_a, id_b)) GROUP BY bin
+ SELECT floor(coalesce(score, 0) * 100)::BIGINT, -1 FROM gold LEFT JOIN sims USING (id_a, id_b) UNION ALL
+ SELECT i, 0 FROM range(101) r(i)) GROUP BY bin
 """)
 def bin_counts(t):
     return E.bin_counts(_sims(t), _gold(t))

@@ -56,3 +56,12 @@ def stable(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path not used before in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals rows out to all cores where a small input has fewer splits than that.
+
+    Large inputs have more splits than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
