@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from quern.operators.rows import exploded
+
 
 def count_by_key(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
@@ -123,7 +125,7 @@ def reduce_product(df: DataFrame, value: str) -> DataFrame:
 
 def category_counts(points: DataFrame) -> DataFrame:
     """Distinct values of each feature of ``features: array<(feature, value)>``."""
-    pairs = points.select(F.explode("features").alias("f")).select("f.feature", "f.value")
+    pairs = exploded(points, f=F.col("features")).select("f.feature", "f.value")
     return pairs.distinct().groupBy("feature").agg(F.count("*").alias("categories"))
 
 

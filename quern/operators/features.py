@@ -12,11 +12,12 @@ from quern.functions.maths import sigmoid_clipped
 from quern.functions.vectors import bind
 from quern.operators.joins import salted_join
 from quern.operators.ordering import zip_with_index
+from quern.operators.rows import exploded
 
 
 def one_hot_dict(points: DataFrame) -> DataFrame:
     """Each distinct (feature, value) with an ``idx`` from 0, ordered by feature then value."""
-    pairs = points.select(F.explode("features").alias("f")).select("f.feature", "f.value").distinct()
+    pairs = exploded(points, f=F.col("features")).select("f.feature", "f.value").distinct()
     return zip_with_index(pairs, ["feature", "value"], "idx")
 
 
@@ -26,7 +27,7 @@ def one_hot_encode(points: DataFrame, dictionary: DataFrame, id_col: str) -> Dat
     Frequent categories would gather on one task in a plain join, so their rows are dealt
     out; a point's own list is bounded by its number of features.
     """
-    each = points.select(id_col, F.explode("features").alias("f")).select(id_col, "f.feature", "f.value")
+    each = exploded(points, id_col, f=F.col("features")).select(id_col, "f.feature", "f.value")
     found = salted_join(each, dictionary, ["feature", "value"], spread=[id_col])
     encoded = found.groupBy(id_col).agg(F.array_sort(F.collect_set("idx")).alias("idx"))
     empty = F.array().cast("array<bigint>")
@@ -58,7 +59,7 @@ def sparsity(df: DataFrame, non_zeros: Column, dimensions: Column | int) -> Data
 
 def predict_proba(points: DataFrame, weights: DataFrame, intercept: float, id_col: str) -> DataFrame:
     """Probability per point from ``idx`` lists and a weight table ``idx, w``."""
-    each = points.select(id_col, F.explode("idx").alias("idx"))
+    each = exploded(points.withColumnRenamed("idx", "_i"), id_col, idx=F.col("_i"))
     scores = (
         salted_join(each, weights, "idx", spread=[id_col])
         .groupBy(id_col)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SALTS = 16
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 2**20
 CELL_ROWS = 20_000
 
@@ -30,13 +30,15 @@ def salted_join(
     Rows of a key are dealt to ``salts`` groups by a hash of their ``spread`` columns (all
     columns by default), and the lookup is copied once per group, so the most frequent
     key is shared by ``salts`` tasks. ``how`` keeps or drops rows of the left side only.
+    The join is a merge join by hint: the size Spark assumes for exploded rows is that of
+    the file they come from, and it could broadcast them.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     keys = _keys(on)
     salt = F.pmod(F.xxhash64(*(spread or rows.columns)), F.lit(salts)).cast("int")
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
+    return rows.withColumn("_salt", salt).join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def _payload(df: DataFrame) -> Column:
@@ -50,9 +52,10 @@ def _payload(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a table stays within a number of rows and of bytes; counting stops at the limit."""
-    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(_payload(df))).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    """Whether a table stays within a number of rows, and of bytes in columns of varying width."""
+    if df.count() > max_rows:
+        return False
+    return (df.agg(F.sum(_payload(df))).first()[0] or 0) <= max_bytes
 
 
 def lookup_join(
@@ -65,7 +68,7 @@ def lookup_join(
 ) -> DataFrame:
     """Joins to a lookup table: broadcast while its size is within bounds, salted beyond.
 
-    The size is counted first; that suits stored tables, which are cheap to count.
+    The size is counted first, which is cheap for a stored table.
     """
     if fits_broadcast(lookup, max_rows):
         return rows.join(F.broadcast(lookup), _keys(on), how)

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quern.functions.text import remove_punctuation, split_words
 from quern.operators.joins import lookup_join
+from quern.operators.rows import exploded
 from quern.session import stable
 
 
 def lines_of(df: DataFrame, col: str) -> DataFrame:
     """One row ``value`` per line of a text column."""
-    return df.select(F.explode(F.split(F.col(col), "\n", -1)).alias("value"))
+    return exploded(df, value=F.split(F.col(col), "\n", -1))
 
 
 def drop_empty(df: DataFrame, col: str) -> DataFrame:
@@ -20,8 +21,7 @@ def drop_empty(df: DataFrame, col: str) -> DataFrame:
 
 def words(lines: DataFrame, col: str = "value") -> DataFrame:
     """Cleaned, non-empty words, one per row."""
-    split = split_words(remove_punctuation(F.col(col)))
-    return drop_empty(lines.select(F.explode(split).alias("word")), "word")
+    return drop_empty(exploded(lines, word=split_words(remove_punctuation(F.col(col)))), "word")
 
 
 def word_count(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -44,14 +44,14 @@ def term_frequency(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
     tokens, and neither the count nor a later step per id has to shuffle again.
     """
     listed = df.repartition(F.col(id_col)).select(F.col(id_col).alias("id"), tokens.alias("_t"))
-    each = listed.select("id", F.size("_t").alias("_size"), F.explode("_t").alias("token"))
+    each = exploded(listed, "id", F.size("_t").alias("_size"), token=F.col("_t"))
     counted = each.groupBy("id", "token", "_size").agg(F.count("*").alias("_n"))
     return counted.select("id", "token", (F.col("_n") / F.col("_size")).alias("tf"))
 
 
 def record_tokens(df: DataFrame, tokens: Column) -> DataFrame:
     """Each token once per record that has it, as column ``token``."""
-    return df.select(F.explode(F.array_distinct(tokens)).alias("token"))
+    return exploded(df, token=F.array_distinct(tokens))
 
 
 def idf(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.times import hhmm_to_minute, is_weekday, iso_weekday, month_floor, yyyymmdd_to_date
 from quern.operators import aggregates as A, ordering as O, stats as S
+from quern.operators.rows import exploded
 from quern.plans.catalog import query
 from quern.plans.data import EVENT_POINTS_SQL, day_text, event_points, r, vectors
 
@@ -109,7 +110,7 @@ SELECT sum(n)::BIGINT AS total, count(*) AS uniques, round(sum(n) / count(*), 2)
 def mean_count_per_unique(t):
     from quern.functions.text import simple_tokenize
 
-    words = t.documents.select(F.explode(simple_tokenize(F.col("text"))).alias("w"))
+    words = exploded(t.documents, w=simple_tokenize(F.col("text")))
     return A.mean_count_per_unique(words, "w")
 
 

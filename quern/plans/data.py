@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.operators.joins import lookup_join
+from quern.operators.rows import exploded
 from quern.plans.catalog import Tables
 from quern.session import balanced
 
@@ -96,17 +97,13 @@ def contained_items(documents: DataFrame, items: DataFrame) -> DataFrame:
         "item_id", F.col("text").alias("item"), F.xxhash64(F.concat_ws(" ", F.slice(words, 2, GRAM))).alias("run")
     )
     listed = documents.select("doc_id", words.alias("_w")).filter(F.size("_w") >= GRAM)
-    runs = listed.select(
-        "doc_id",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.size("_w") - GRAM + 1),
-                    lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_w", i, GRAM))),
-                )
-            )
-        ).alias("run"),
+    run = F.array_distinct(
+        F.transform(
+            F.sequence(F.lit(1), F.size("_w") - GRAM + 1),
+            lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_w", i, GRAM))),
+        )
     )
+    runs = exploded(listed, "doc_id", run=run)
     candidates = lookup_join(runs, keys, "run").select("item_id", "item", "doc_id")
     found = candidates.join(documents.select("doc_id", "text"), "doc_id").filter(F.contains("text", "item"))
     return found.select("item_id", "doc_id")

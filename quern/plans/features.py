@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from quern.operators import features as C, logistic as L, recommend as R, regression as G, sampling as S, udfs as U
+from quern.operators.rows import exploded
 from quern.plans.catalog import query
 from quern.plans.data import (
     EVENT_POINTS_SQL, POINTS_SQL, RATINGS_SQL, event_points, points, r, ratings, titles,
@@ -50,7 +51,8 @@ def _hashed(t):
 
 @query(HASHED_SQL)
 def hash_features(t):
-    return _hashed(t).select("event_id", F.explode("hashed").alias("bucket", "n"))
+    each = exploded(_hashed(t), "event_id", e=F.map_entries("hashed"))
+    return each.select("event_id", F.col("e.key").alias("bucket"), F.col("e.value").alias("n"))
 
 
 @query(f"""
@@ -58,7 +60,7 @@ SELECT 'one-hot' AS encoding, round(3.0 / (SELECT count(*) FROM ({DICT_SQL})), 9
 SELECT 'hashed', round(avg(n) / {BUCKETS}, 9) FROM (SELECT event_id, count(*) AS n FROM ({HASHED_SQL}) GROUP BY 1)
 """)
 def sparsity(t):
-    pairs = event_points(t).select(F.explode("features").alias("f"))
+    pairs = exploded(event_points(t), f=F.col("features"))
     width = pairs.agg(F.count_distinct("f.feature", "f.value")).scalar()
     one_hot = C.sparsity(_encoded(t), F.size("idx"), width)
     hashed = C.sparsity(_hashed(t), F.size("hashed"), BUCKETS)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quern.operators import aggregates as A, joins as J, ordering as O, udfs as U
 from quern.operators.recommend import sort_deterministic as _sort_deterministic
 from quern.operators.regression import constant_prediction as _constant, shift_label as _shift_label
+from quern.operators.rows import exploded
 from quern.operators.text import drop_empty as _drop_empty
 from quern.functions.vectors import series_std
 from quern.plans.catalog import query
@@ -56,7 +57,7 @@ SELECT doc_id, count(*) AS words
 FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) WHERE word <> '' GROUP BY doc_id
 """)
 def drop_empty(t):
-    each = t.documents.select("doc_id", F.explode(F.split("text", " ", -1)).alias("word"))
+    each = exploded(t.documents, "doc_id", word=F.split("text", " ", -1))
     return _drop_empty(each, "word").groupBy("doc_id").agg(F.count("*").alias("words"))
 
 
@@ -78,7 +79,7 @@ SELECT l_orderkey, x::INT AS x FROM (SELECT l_orderkey, unnest(range(1, l_linenu
 """)
 def flat_map(t):
     upto = F.when(F.col("l_linenumber") > 1, F.sequence(F.lit(1), F.col("l_linenumber") - 1))
-    return t.lineitem.select("l_orderkey", F.explode(upto).alias("x"))
+    return exploded(t.lineitem, "l_orderkey", x=upto)
 
 
 @query("""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quern.functions import maths as M, text as X, times as D, vectors as V
 from quern.functions.hashing import md5_bucket as _md5_bucket
 from quern.operators.matrices import matrix_multiply as multiply
+from quern.operators.rows import exploded
 from quern.plans.catalog import query
 from quern.plans.data import day_text, r, vectors
 from quern.plans.sources import KEPT_TOKENS_SQL, TOKENS_SQL, clf_lines, time_text
@@ -29,13 +30,13 @@ def split_words(t):
 
 @query(f"SELECT doc_id, token, count(*) AS n FROM ({TOKENS_SQL}) GROUP BY 1, 2")
 def simple_tokenize(t):
-    each = t.documents.select("doc_id", F.explode(X.simple_tokenize(F.col("text"))).alias("token"))
+    each = exploded(t.documents, "doc_id", token=X.simple_tokenize(F.col("text")))
     return each.groupBy("doc_id", "token").agg(F.count("*").alias("n"))
 
 
 @query(f"SELECT doc_id, token, count(*) AS n FROM ({KEPT_TOKENS_SQL}) GROUP BY 1, 2")
 def tokenize(t):
-    each = t.documents.select("doc_id", F.explode(X.tokenize(F.col("text"))).alias("token"))
+    each = exploded(t.documents, "doc_id", token=X.tokenize(F.col("text")))
     return each.groupBy("doc_id", "token").agg(F.count("*").alias("n"))
 
 

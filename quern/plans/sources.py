@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.functions.text import STOP_WORDS, simple_tokenize
 from quern.operators.aggregates import union_all
+from quern.operators.rows import exploded
 from quern.operators.text import drop_stop_words
 from quern.plans.catalog import Tables, query
 from quern.session import balanced, scratch_path
@@ -209,7 +210,7 @@ def parse_ctr(t):
     flag = F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_returnflag"))
     line = F.concat_ws("\t", (F.col("l_linestatus") == "F").cast("int"), flag, "l_linenumber", "l_suppkey")
     parsed = P.parse_ctr(balanced(t.lineitem).select(line.alias("value")))
-    each = parsed.select("label", F.explode("features").alias("f")).select("label", "f.feature", "f.value")
+    each = exploded(parsed, "label", f=F.col("features")).select("label", "f.feature", "f.value")
     return each.groupBy("feature", "value").agg(F.count("*").alias("n"), F.sum("label").alias("positives"))
 
 
@@ -244,7 +245,7 @@ KEPT_TOKENS_SQL = f"{TOKENS_SQL} AND token NOT IN ({sql_list(STOP_WORDS)})"
 def read_stopwords(t):
     path = scratch_path(t.spark, "stopwords")
     R.from_collection(t.spark, [(w,) for w in STOP_WORDS], "value string").coalesce(1).write.text(path)
-    tokens = t.documents.select(F.explode(simple_tokenize(F.col("text"))).alias("token"))
+    tokens = exploded(t.documents, token=simple_tokenize(F.col("text")))
     kept = drop_stop_words(tokens, R.read_stopwords(t.spark, path))
     return kept.groupBy("token").agg(F.count("*").alias("n"))
 

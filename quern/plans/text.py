@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import STOP_WORDS, simple_tokenize, tokenize
 from quern.operators import matching as E, text as X
 from quern.operators.joins import salted_join
+from quern.operators.rows import exploded
 from quern.plans.catalog import query
 from quern.plans.data import contained_items, r
 from quern.plans.sources import KEPT_TOKENS_SQL, TOKENS_SQL, sql_list
@@ -170,8 +171,8 @@ FROM tf a JOIN tf b ON a.side = 'a' AND b.side = 'b' AND a.token = b.token GROUP
 """)
 def token_block_join(t):
     tokens = F.array_distinct(tokenize(F.col("text")))
-    a = t.benchmark.select(F.explode(tokens).alias("token"), F.col("item_id").alias("id"))
-    b = t.documents.select(F.explode(tokens).alias("token"), F.col("doc_id").alias("id"))
+    a = exploded(t.benchmark, F.col("item_id").alias("id"), token=tokens)
+    b = exploded(t.documents, F.col("doc_id").alias("id"), token=tokens)
     return E.token_block_join(a, b).withColumn("tokens", F.array_join("tokens", " "))
 
 

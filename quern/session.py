@@ -40,24 +40,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the written copy.
-
-    Needed where a later step reads the same rows twice and relies on both reads
-    seeing the same partitions; unlike cached blocks it survives lost executors.
-    """
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path not used before in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stable(df: DataFrame) -> DataFrame:
+    """Writes ``df`` to the shared folder and goes on from the written table.
+
+    For rows that are read several times, where computing them again would be slow or
+    could give other partitions. Unlike cached blocks the table survives lost executors,
+    and Spark knows its size.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Deals rows out to all cores where a small input has fewer splits than that.
 

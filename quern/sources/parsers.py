@@ -133,7 +133,7 @@ def parse_gold_mapping(lines: DataFrame, header_key: str, col: str = "value") ->
 
 
 def _fields(lines: DataFrame, col: str, separator: str) -> DataFrame:
-    return lines.select(F.split(F.col(col), separator, -1).alias("_f"))
+    return lines.select(_once(F.split(F.col(col), separator, -1)).alias("_f"))
 
 
 def parse_ratings(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -156,7 +156,7 @@ def parse_movies(lines: DataFrame, col: str = "value") -> DataFrame:
 def parse_labeled_csv(lines: DataFrame, col: str = "value") -> DataFrame:
     """Comma separated numbers: the first is the ``label``, the rest ``features``."""
     numbers = F.transform(F.split(F.col(col), ",", -1), lambda x: x.try_cast("double"))
-    return lines.select(numbers.alias("_n")).select(
+    return lines.select(_once(numbers).alias("_n")).select(
         F.get("_n", F.lit(0)).alias("label"), F.slice("_n", 2, F.greatest(F.size("_n") - 1, F.lit(0))).alias("features")
     )
 
@@ -167,7 +167,7 @@ def parse_ctr(lines: DataFrame, col: str = "value", separator: str = "[\t,]") ->
     An empty value is a category of its own. Other columns of ``lines`` are kept.
     """
     keep = [c for c in lines.columns if c != col]
-    parts = lines.select(*keep, F.split(F.col(col), separator, -1).alias("_f"))
+    parts = lines.select(*keep, _once(F.split(F.col(col), separator, -1)).alias("_f"))
     categories = F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0)))
     return parts.select(
         *keep,
@@ -178,7 +178,7 @@ def parse_ctr(lines: DataFrame, col: str = "value", separator: str = "[\t,]") ->
 
 def parse_series(lines: DataFrame, col: str = "value") -> DataFrame:
     """Blank separated numbers: ``x``, ``y``, then the series ``ts``."""
-    parts = lines.select(F.split(F.trim(F.col(col)), r"\s+", -1).alias("_f"))
+    parts = lines.select(_once(F.split(F.trim(F.col(col)), r"\s+", -1)).alias("_f"))
     rest = F.slice("_f", 3, F.greatest(F.size("_f") - 2, F.lit(0)))
     return parts.select(
         F.get("_f", F.lit(0)).try_cast("int").alias("x"),
