@@ -8,6 +8,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
 from quern.functions.maths import squared_error
+from quern.functions.vectors import literal_vector, vec_dot
 from quern.operators.aggregates import count_mean_by_key
 
 
@@ -69,6 +70,20 @@ def als_select_rank(
     return best[1], table
 
 
+def predict_for_user(model: ALSModel, user: int) -> DataFrame:
+    """Predicted rating of every item for one user: ``item, prediction``.
+
+    The user's factors are ``rank`` numbers, so they go into the expression; joining
+    pairs that all have the same user would give one key all rows. A user without
+    ratings in training has no predictions.
+    """
+    known = model.userFactors.filter(F.col("id") == user).first()
+    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").cast("array<double>").alias("_f"))
+    if known is None:
+        return items.limit(0).select("item", F.lit(0.0).alias("prediction"))
+    return items.select("item", vec_dot(F.col("_f"), literal_vector(known["features"])).alias("prediction"))
+
+
 def recommend_unrated(
     ratings: DataFrame,
     items: DataFrame,
@@ -82,12 +97,11 @@ def recommend_unrated(
     """The ``k`` items with the best predicted rating that ``user`` has not rated.
 
     ``ratings`` includes the user's own. Only items with more than ``min_ratings`` ratings
-    count. One user's items are few against the table, so they are removed by key.
+    count.
     """
     model = model or als_fit(ratings, rank, **settings)
     seen = ratings.filter(F.col("user") == user).select("item").distinct()
-    open_pairs = items.select("item").join(seen, "item", "left_anti").select(F.lit(user).alias("user"), "item")
-    predicted = model.transform(open_pairs).select("item", "prediction")
+    predicted = predict_for_user(model, user).join(seen, "item", "left_anti")
     counts = ratings.groupBy("item").agg(F.count("*").alias("n")).filter(F.col("n") > min_ratings)
     return (
         predicted.join(counts, "item")

