@@ -42,7 +42,7 @@ def count_mean_by_key(t):
 
 
 @query("""
-SELECT o_custkey, 0 AS chunk, array_to_string(list_sort(list(o_orderkey)), ',') AS orders FROM orders GROUP BY 1
+SELECT o_custkey, 0::BIGINT AS chunk, array_to_string(list_sort(list(o_orderkey)), ',') AS orders FROM orders GROUP BY 1
 """)
 def collect_by_key(t):
     lists = O.collect_by_key(t.orders, "o_custkey", "o_orderkey")
@@ -270,7 +270,7 @@ def roc_curve(t):
 WITH g AS (SELECT CASE WHEN isodow(l_shipdate) < 6 THEN 'weekday' ELSE 'weekend' END AS daytype, p_name,
                   round(sum(l_extendedprice), 2) AS total
            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
-SELECT daytype, p_name, total, rank FROM (
+SELECT daytype, p_name, total, rank::INT AS rank FROM (
  SELECT *, row_number() OVER (PARTITION BY daytype ORDER BY total DESC, p_name) AS rank FROM g) WHERE rank <= 10
 """)
 def top_k_per_group(t):

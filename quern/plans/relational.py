@@ -105,7 +105,7 @@ def zip_with_index(t):
     return O.zip_with_index(lines, ["doc_id", "line_no"], "line_index").drop("line_no")
 
 
-@query("SELECT l_orderkey, year(l_shipdate) - (SELECT min(year(l_shipdate)) FROM lineitem) AS label FROM lineitem")
+@query("SELECT l_orderkey, (year(l_shipdate) - (SELECT min(year(l_shipdate)) FROM lineitem))::INT AS label FROM lineitem")
 def shift_label(t):
     return _shift_label(t.lineitem.select("l_orderkey", F.year("l_shipdate").alias("label")), "label")
 
@@ -141,7 +141,7 @@ def _rows_of_partition(index, batches):
     yield pd.DataFrame({"part": [index], "n": [n], "keys": [keys]})
 
 
-@query("SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys, 8 AS parts FROM orders")
+@query("SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys, 8::BIGINT AS parts FROM orders")
 def map_partitions_with_index(t):
     spread = t.orders.select("o_orderkey").repartition(8)
     per_part = U.map_partitions_with_index(spread, _rows_of_partition, "part int, n bigint, keys bigint")
@@ -318,7 +318,7 @@ def pick_distinct(t):
 
 
 @query(r"""
-SELECT doc_id, len(list_filter(regexp_split_to_array(lower(text), '\W+'), lambda x: x <> '')) AS measure
+SELECT doc_id, len(list_filter(regexp_split_to_array(lower(text), '\W+'), lambda x: x <> ''))::INT AS measure
 FROM documents ORDER BY measure DESC, doc_id LIMIT 1
 """)
 def argmax_row(t):

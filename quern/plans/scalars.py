@@ -19,7 +19,7 @@ def remove_punctuation(t):
 
 
 @query("""
-SELECT doc_id, len(w) AS parts, len(list_filter(w, lambda x: x = '')) AS empty
+SELECT doc_id, len(w)::INT AS parts, len(list_filter(w, lambda x: x = ''))::INT AS empty
 FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
 """)
 def split_words(t):
@@ -254,7 +254,7 @@ def md5_bucket(t):
 
 @query("""
 WITH a AS (SELECT l_suppkey AS i, l_linenumber AS k, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2),
-     b AS (SELECT l_linenumber AS k, year(l_shipdate) AS j, count(*) AS v FROM lineitem GROUP BY 1, 2)
+     b AS (SELECT l_linenumber AS k, year(l_shipdate)::INT AS j, count(*) AS v FROM lineitem GROUP BY 1, 2)
 SELECT a.i, b.j, sum(a.v * b.v) AS v FROM a JOIN b USING (k) GROUP BY 1, 2
 """)
 def matrix_multiply(t):

@@ -215,7 +215,7 @@ def parse_ctr(t):
 
 
 @query("""
-SELECT vec_id::INT AS x, label AS y, len(embedding) AS n, round(embedding[1]::DOUBLE, 6) AS head,
+SELECT vec_id::INT AS x, label AS y, len(embedding)::INT AS n, round(embedding[1]::DOUBLE, 6) AS head,
        round(list_sum(embedding::DOUBLE[]), 6) AS total
 FROM embeddings
 """)
