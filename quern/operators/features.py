@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quern.functions.hashing import md5_bucket
 from quern.functions.maths import sigmoid_clipped
 from quern.functions.vectors import bind
-from quern.operators.joins import salted_join
+from quern.operators.joins import lookup_join
 from quern.operators.ordering import zip_with_index
 from quern.operators.rows import exploded
 
@@ -24,11 +24,11 @@ def one_hot_dict(points: DataFrame) -> DataFrame:
 def one_hot_encode(points: DataFrame, dictionary: DataFrame, id_col: str) -> DataFrame:
     """Sorted indices of each point's features, all with value 1; unseen ones are ignored.
 
-    Frequent categories would gather on one task in a plain join, so their rows are dealt
-    out; a point's own list is bounded by its number of features.
+    A small dictionary is broadcast; rows of a large one are dealt out, as frequent
+    categories would gather on one task. A point's own list is bounded by its features.
     """
     each = exploded(points, id_col, f=F.col("features")).select(id_col, "f.feature", "f.value")
-    found = salted_join(each, dictionary, ["feature", "value"], spread=[id_col])
+    found = lookup_join(each, dictionary, ["feature", "value"], spread=[id_col])
     encoded = found.groupBy(id_col).agg(F.array_sort(F.collect_set("idx")).alias("idx"))
     empty = F.array().cast("array<bigint>")
     rest = [c for c in points.columns if c != "features"]
@@ -61,7 +61,7 @@ def predict_proba(points: DataFrame, weights: DataFrame, intercept: float, id_co
     """Probability per point from ``idx`` lists and a weight table ``idx, w``."""
     each = exploded(points.withColumnRenamed("idx", "_i"), id_col, idx=F.col("_i"))
     scores = (
-        salted_join(each, weights, "idx", spread=[id_col])
+        lookup_join(each, weights, "idx", spread=[id_col])
         .groupBy(id_col)
         .agg(F.sum("w").alias("_raw"))
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -43,19 +42,19 @@ def salted_join(
 
 def _payload(df: DataFrame) -> Column:
     """Bytes of the columns whose width varies."""
-    widths = [
-        F.octet_length(f.name) if f.dataType in (T.StringType(), T.BinaryType()) else F.size(f.name) * 16
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType))
-    ]
-    return reduce(lambda a, b: a + b, [F.coalesce(w, F.lit(0)) for w in widths], F.lit(0).cast("bigint"))
+    total = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total += F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            total += F.coalesce(F.size(f.name) * 16, F.lit(0))
+    return total
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether a table stays within a number of rows, and of bytes in columns of varying width."""
-    if df.count() > max_rows:
-        return False
-    return (df.agg(F.sum(_payload(df))).first()[0] or 0) <= max_bytes
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(_payload(df)), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def lookup_join(
