@@ -1 +1,8 @@
 """Weblog, text, matching and modelling operators on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,5 +1,7 @@
 """Where written tables go."""
 
+import os
+import pathlib
 import subprocess
 import sys
 import tempfile
@@ -59,3 +61,24 @@ def test_small_input_is_dealt_out_and_large_input_left_alone(spark):
     assert session.balanced(small).rdd.getNumPartitions() == 8
     large = spark.range(0, 100, 1, 32)
     assert session.balanced(large) is large
+
+
+def test_task_functions_need_no_package_on_the_executors(data):
+    code = """
+        import sys
+        sys.path.insert(0, sys.argv[1])
+        from quern.plans.catalog import QUERIES
+        import quern.plans
+        from quern.session import local_session
+        spark = local_session(2)
+        for name in ("covariance_matrix", "map_partitions_with_index", "custom_aggregate", "logreg_sgd"):
+            assert QUERIES[name](spark, sys.argv[2]).count() > 0
+    """
+    here = str(pathlib.Path(__file__).resolve().parent.parent)
+    elsewhere = tempfile.mkdtemp(prefix="quern-cwd-")
+    done = subprocess.run(
+        [sys.executable, "-c", textwrap.dedent(code), here, data],
+        capture_output=True, text=True, timeout=300, cwd=elsewhere,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
