@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from quern.llm import secrets, simhash
+from quern.llm import quality, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op3_simhash": simhash.op3_simhash,
+    "op9_quality_rules": quality.op9_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_quality_rules": quality.OP9_SQL,
+}
