@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quern.llm import quality, secrets, simhash
+from quern.llm import pii, quality, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_pii": pii.op2_pii,
     "op3_simhash": simhash.op3_simhash,
     "op9_quality_rules": quality.op9_quality_rules,
 }
