@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from quern.llm import pii, quality, secrets, simhash
+from quern.llm import language, pii, quality, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_pii": pii.op2_pii,
     "op3_simhash": simhash.op3_simhash,
+    "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.OP9_SQL,
 }
