@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import language, pii, quality, secrets, simhash
+from quern.llm import language, packing, pii, quality, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_packing": packing.op10_packing,
 }
 
 ORACLES: dict[str, str] = {
