@@ -239,7 +239,9 @@ def column_generation(
         inverse -= np.outer(change, row)
         inverse[out] = row
         if turn % 100 == 99:
-            inverse = np.linalg.inv(base)
+            # one Newton step against drift; einsum, as threads of a linear algebra library may block beside a JVM
+            product = np.einsum("ij,jk->ik", base, inverse)
+            inverse = 2 * inverse - np.einsum("ij,jk->ik", inverse, product)
         x = np.maximum(inverse @ b, 0)
     return [(base[:, j], x[j]) for j in range(len(x))]
 
@@ -313,7 +315,11 @@ def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_ids
     return assigned(pieces(docs, doc_id, text, with_ids=with_ids), **settings)
 
 
-def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(documents(spark, sf_dir), with_ids=False).select(
+def op10_digest(docs: DataFrame) -> DataFrame:
+    return packed(docs, with_ids=False).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_digest(documents(spark, sf_dir))
