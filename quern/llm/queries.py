@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from quern.llm import language, packing, pii, quality, secrets, simhash
+from quern.llm import language, packing, pii, quality, secrets, simhash, topk
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_pii": pii.op2_pii,
     "op3_simhash": simhash.op3_simhash,
+    "op5_top_k": topk.op5_top_k,
     "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_packing": packing.op10_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_top_k": topk.op5_top_k,
     "op8_language_id": language.op8_language_id,
+    "op5_top_k": topk.OP5_SQL,
     "op9_quality_rules": quality.OP9_SQL,
 }
