@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quern.llm import language, packing, pii, quality, secrets, simhash, topk
+from quern.llm import bytebpe, language, packing, pii, quality, secrets, simhash, topk
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_pii": pii.op2_pii,
     "op3_simhash": simhash.op3_simhash,
+    "op4_byte_bpe": bytebpe.op4_byte_bpe,
     "op5_top_k": topk.op5_top_k,
     "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_byte_bpe": bytebpe.op4_byte_bpe,
     "op5_top_k": topk.op5_top_k,
     "op8_language_id": language.op8_language_id,
     "op5_top_k": topk.OP5_SQL,
