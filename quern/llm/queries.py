@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import bytebpe, language, packing, pii, quality, secrets, simhash, topk
+from quern.llm import bytebpe, language, packing, pii, quality, secrets, simhash, tokencount, topk, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op4_byte_bpe": bytebpe.op4_byte_bpe,
     "op5_top_k": topk.op5_top_k,
+    "op6_token_counts": tokencount.op6_token_counts,
+    "op7_warc_revisits": warc.op7_warc_revisits,
     "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_packing": packing.op10_packing,
@@ -18,7 +20,10 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op4_byte_bpe": bytebpe.op4_byte_bpe,
     "op5_top_k": topk.op5_top_k,
+    "op6_token_counts": tokencount.op6_token_counts,
+    "op7_warc_revisits": warc.op7_warc_revisits,
     "op8_language_id": language.op8_language_id,
     "op5_top_k": topk.OP5_SQL,
+    "op7_warc_revisits": warc.OP7_SQL,
     "op9_quality_rules": quality.OP9_SQL,
 }
