@@ -18,11 +18,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
-    "op4_byte_bpe": bytebpe.op4_byte_bpe,
-    "op5_top_k": topk.op5_top_k,
-    "op6_token_counts": tokencount.op6_token_counts,
-    "op7_warc_revisits": warc.op7_warc_revisits,
-    "op8_language_id": language.op8_language_id,
     "op5_top_k": topk.OP5_SQL,
     "op7_warc_revisits": warc.OP7_SQL,
     "op9_quality_rules": quality.OP9_SQL,
