@@ -191,6 +191,17 @@ def labelers(c: Column) -> dict[str, Column]:
     }
 
 
+#: Kinds that a labeler judges; for others it has neither a vote nor an abstention.
+JUDGES = {
+    "strict": (*BASE, "account"),
+    "grouped": ("card", "phone", "account", "local"),
+    "shape": ("card", "phone", "account", "local"),
+    "issuer": ("card", "account"),
+    "domain": ("email",),
+    "network": ("ip",),
+}
+
+
 def features(c: Column) -> dict[str, Column]:
     """What the span classifier sees, each 0 or 1; their patterns are few, whatever the data."""
     number, left = digits(c["value"]), F.lower(c["left"])
@@ -224,10 +235,11 @@ def _counted(found: DataFrame, columns: dict[str, Column]) -> list[Row]:
     return named.groupBy(*columns).agg(F.count("*").alias("n")).collect()
 
 
-def estimate(votes: np.ndarray, kinds: Sequence[str], counts: np.ndarray, rounds: int = 100):
+def estimate(votes: np.ndarray, judged: np.ndarray, kinds: Sequence[str], counts: np.ndarray, rounds: int = 100):
     """Probability of each vote pattern, and P(vote | class) of each labeler, by EM.
 
     Votes are taken as independent given the class; the class has a prior for each kind.
+    ``judged`` says which labelers judge a pattern's kind.
     """
     n, m = votes.shape
     known = np.array([k in BASE for k in kinds])
@@ -236,7 +248,7 @@ def estimate(votes: np.ndarray, kinds: Sequence[str], counts: np.ndarray, rounds
         rate = np.ones((2, m, 3))  # add one: a vote not seen is not impossible
         for side, weight in ((0, (1 - p) * counts), (1, p * counts)):
             for v in (-1, 0, 1):
-                rate[side, :, v + 1] += ((votes == v) * weight[:, None]).sum(0)
+                rate[side, :, v + 1] += ((votes == v) * judged * weight[:, None]).sum(0)
         rate /= rate.sum(2, keepdims=True)
         odds = np.zeros(n)
         for kind in set(kinds):
@@ -244,7 +256,8 @@ def estimate(votes: np.ndarray, kinds: Sequence[str], counts: np.ndarray, rounds
             share = ((p * counts)[own].sum() + (9 if kind in BASE else 1)) / (counts[own].sum() + 10)
             odds[own] = math.log(share) - math.log(1 - share)
         for j in range(m):
-            odds += np.log(rate[1, j, votes[:, j] + 1]) - np.log(rate[0, j, votes[:, j] + 1])
+            told = np.log(rate[1, j, votes[:, j] + 1]) - np.log(rate[0, j, votes[:, j] + 1])
+            odds += np.where(judged[:, j], told, 0)
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - p).max() < 1e-6:
             break
@@ -278,10 +291,11 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         return Model({}, -30.0)
     votes = np.array([[r[v] for v in vote_columns] for r in rows])
     counts = np.array([r.n for r in rows], float)
-    p, rate = estimate(votes, [r.kind for r in rows], counts)
+    names = [v.removeprefix("v_") for v in vote_columns]
+    judged = np.array([[r.kind in JUDGES.get(n, KINDS) for n in names] for r in rows])
+    p, rate = estimate(votes, judged, [r.kind for r in rows], counts)
     x = np.array([[r[f] for f in feature_columns] for r in rows])
     weights, bias = fit_logistic(x, p, counts)
-    names = [v.removeprefix("v_") for v in vote_columns]
     return Model(
         dict(zip(feature_columns, map(float, weights))),
         float(bias),
