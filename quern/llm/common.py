@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quern.session import stable
 
-__all__ = ["documents", "fresh", "let", "span_digest", "span_text", "stable", "with_arrow_column"]
+__all__ = ["documents", "fresh", "kept_in_worker", "let", "once", "span_digest", "span_text", "stable", "with_arrow_column"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def once(value: Column) -> Column:
+    """``value`` as a generated column, so that a filter on it is not pushed down as a second copy."""
+    return F.explode(F.array(value))
+
+
+def kept_in_worker(key: tuple, make: Callable):
+    """``make()``, or what it gave an earlier task of the same worker process.
+
+    Functions travel to workers by value, so the module of this one is no place to keep things.
+    """
+    state = sys.modules.setdefault("_quern_worker", ModuleType("_quern_worker")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
+
 def with_arrow_column(
     df: DataFrame, source: str, name: str, kind: T.DataType, make: Callable[[], Callable[[list], pa.Array]]
 ) -> DataFrame:

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
-from quern.llm.common import documents, let, span_digest, span_text
+from quern.llm.common import documents, let, once, span_digest, span_text
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("account", "local", "name")
@@ -314,7 +314,8 @@ def with_spans(docs: DataFrame, model: Model, text: str = "text", out: str = "pi
         F.filter(listed, stays),
         lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
     )
-    return docs.withColumn(out, spans)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
+    return docs.select(*kept, once(spans).alias(out))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quern.llm.common import documents, let
+from quern.llm.common import documents, let, once
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -34,12 +34,12 @@ MAX_LOST = 0.5
 
 
 def _count(text: Column, characters: str) -> Column:
-    """How many of some characters a text has."""
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+    """How many of some characters a text has; meant for characters that are few."""
+    return F.regexp_count(text, F.lit(f"[{characters}]"))
 
 
 def _word_chars(text: Column) -> Column:
-    return F.length(F.translate(text, BLANKS, ""))
+    return F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""))
 
 
 def words(text: Column) -> Column:
@@ -101,14 +101,14 @@ def good_line(line: Column) -> Column:
     """Whether a line with a word passes the rules on punctuation, navigation and boilerplate."""
     size = F.length(line)
     letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
-    upper = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
+    upper = F.regexp_count(line, F.lit(r"\p{Lu}"))
     trimmed = F.btrim(line, F.lit(BLANKS))
     ended = F.lit(END_MARKS).contains(F.right(trimmed, F.lit(1)))
-    few = _count(trimmed, " \t") < 4  # under five words
+    few = ~trimmed.rlike(r"(?:[ \t][^ \t]*+){4}")  # under five words
     return ~(
         (_count(line, SYMBOLS) > size * MAX_SYMBOLS)
         | (_count(line, "!?") > size * MAX_MARKS)
-        | ((letters >= 20) & (upper > letters * MAX_UPPER))
+        | ((upper > 20 * MAX_UPPER) & (letters >= 20) & (upper > letters * MAX_UPPER))  # cheap test first
         | (_count(line, MENU) >= 3)
         | (few & ~ended)
         | ((size < 200) & F.lower(line).rlike(BOILERPLATE))
@@ -122,7 +122,7 @@ def with_quality(
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
     def judged(t: Column) -> Column:
-        lines = F.filter(F.split(t, "\n", -1), lambda line: _word_chars(line) > 0)
+        lines = F.filter(F.split(t, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
         def of_lines(ls: Column) -> Column:
             distinct = F.array_distinct(ls)
@@ -132,32 +132,36 @@ def with_quality(
             )
 
         def of_words(w: Column) -> Column:
-            return F.struct(F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words"))
+            return F.struct(
+                F.size(w).cast("bigint").alias("n_words"),
+                F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
+                repeated_words(w).alias("n_repeat_words"),
+            )
 
         return F.struct(
             let(words(t), of_words).alias("w"),
             let(lines, of_lines).alias("l"),
-            _word_chars(t).cast("bigint").alias("word_chars"),
             _count(t, SYMBOLS).cast("bigint").alias("n_symbols"),
         )
 
     def verdict(q: Column) -> Column:
-        n, repeated = q["w"]["n_words"], q["w"]["n_repeat_words"]
+        n, chars, repeated = q["w"]["n_words"], q["w"]["word_chars"], q["w"]["n_repeat_words"]
         failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
         left = _word_chars(q["l"]["clean"])
         return F.struct(
             n.alias("n_words"),
-            q["word_chars"].alias("word_chars"),
+            chars.alias("word_chars"),
             q["n_symbols"].alias("n_symbols"),
             q["l"]["n_dup_lines"].alias("n_dup_lines"),
             repeated.alias("n_repeat_words"),
             failed.alias("base_failed"),
-            (~failed & (left >= q["word_chars"] * (1 - max_lost))).alias("kept"),
+            (~failed & (left >= chars * (1 - max_lost))).alias("kept"),
             left.cast("bigint").alias("clean_chars"),
             q["l"]["clean"].alias("clean"),
         )
 
-    return docs.withColumn(out, let(judged(content), verdict))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
+    return docs.select(*kept, once(let(judged(content), verdict)).alias(out))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
