@@ -103,20 +103,12 @@ def histogram_fixed(df: DataFrame, value: str, bins: int) -> DataFrame:
     )
 
 
-# Fixed value: the largest count that still has a bucket.
-LARGEST_POW2 = 1024
-
-
 def histogram_pow2(counts: DataFrame, count_col: str) -> DataFrame:
-    """Keys per bucket, the least power of two not below their count; larger counts are left out."""
-    n = F.col(count_col)
-    size, ladder = 1, None
-    while size <= LARGEST_POW2:
-        ladder = F.when(n <= size, size) if ladder is None else ladder.when(n <= size, size)
-        size *= 2
-    return counts.select(ladder.alias("bucket")).filter("bucket is not null").groupBy("bucket").agg(
-        F.count("*").alias("keys")
-    )
+    """Keys per bucket, the least power of two not below their count, whatever that is."""
+    n = F.col(count_col).cast("bigint")
+    bits = F.when(n > 1, F.length(F.bin(n - 1))).otherwise(0)  # of n - 1
+    power = F.pow(F.lit(2.0), bits).cast("bigint")  # exact for a double
+    return counts.filter(n.isNotNull()).groupBy(power.alias("bucket")).agg(F.count("*").alias("keys"))
 
 
 def reduce_product(df: DataFrame, value: str) -> DataFrame:

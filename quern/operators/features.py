@@ -15,20 +15,25 @@ from quern.operators.ordering import zip_with_index
 from quern.operators.rows import exploded
 
 
+def _pairs(points: DataFrame, *keep: str) -> DataFrame:
+    value = F.coalesce("f.value", F.lit("")).alias("value")
+    return exploded(points, *keep, f=F.col("features")).select(*keep, "f.feature", value)
+
+
 def one_hot_dict(points: DataFrame) -> DataFrame:
     """Each distinct (feature, value) with an ``idx`` from 0, ordered by feature then value."""
-    pairs = exploded(points, f=F.col("features")).select("f.feature", "f.value").distinct()
+    pairs = _pairs(points).distinct()
     return zip_with_index(pairs, ["feature", "value"], "idx")
 
 
 def one_hot_encode(points: DataFrame, dictionary: DataFrame, id_col: str) -> DataFrame:
     """Sorted indices of each point's features, all with value 1; unseen ones are ignored.
 
-    A small dictionary is broadcast; rows of a large one are dealt out, as frequent
-    categories would gather on one task. A point's own list is bounded by its features.
+    A null category is the empty one. Frequent categories are cut into several tasks by
+    adaptive execution. A point's own list is bounded by its features.
     """
-    each = exploded(points, id_col, f=F.col("features")).select(id_col, "f.feature", "f.value")
-    found = lookup_join(each, dictionary, ["feature", "value"], spread=[id_col])
+    each = _pairs(points, id_col)
+    found = lookup_join(each, dictionary, ["feature", "value"])
     encoded = found.groupBy(id_col).agg(F.array_sort(F.collect_set("idx")).alias("idx"))
     empty = F.array().cast("array<bigint>")
     rest = [c for c in points.columns if c != "features"]
@@ -38,10 +43,11 @@ def one_hot_encode(points: DataFrame, dictionary: DataFrame, id_col: str) -> Dat
 def hash_features(features: Column, buckets: int) -> Column:
     """Map from bucket to count for one point, without leaving the row.
 
-    Features are told apart by the text ``value`` + ``feature`` alone; equal texts count once.
+    Features are told apart by the text ``value`` + ``feature`` alone; equal texts count once,
+    a null category is the empty one.
     """
     names = F.array_distinct(
-        F.transform(features, lambda f: F.concat(f["value"], f["feature"].cast("string")))
+        F.transform(features, lambda f: F.concat(F.coalesce(f["value"], F.lit("")), f["feature"].cast("string")))
     )
 
     def counts(hashed: Column) -> Column:
@@ -61,7 +67,7 @@ def predict_proba(points: DataFrame, weights: DataFrame, intercept: float, id_co
     """Probability per point from ``idx`` lists and a weight table ``idx, w``."""
     each = exploded(points.withColumnRenamed("idx", "_i"), id_col, idx=F.col("_i"))
     scores = (
-        lookup_join(each, weights, "idx", spread=[id_col])
+        lookup_join(each, weights, "idx")
         .groupBy(id_col)
         .agg(F.sum("w").alias("_raw"))
     )

@@ -1,14 +1,13 @@
-"""Joins that hold when one key has a third of the rows."""
+"""Joins that hold when one key has a third of the rows; adaptive execution is assumed on."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
+
+from quern.session import stable
 
-SALTS = 16
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 2**20
 CELL_ROWS = 20_000
 
 
@@ -16,62 +15,15 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def salted_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    salts: int = SALTS,
-    spread: Sequence[Column | str] | None = None,
-) -> DataFrame:
-    """Joins many rows to a table with about one row per key.
-
-    Rows of a key are dealt to ``salts`` groups by a hash of their ``spread`` columns (all
-    columns by default), and the lookup is copied once per group, so the most frequent
-    key is shared by ``salts`` tasks. ``how`` keeps or drops rows of the left side only.
-    The join is a merge join by hint: the size Spark assumes for exploded rows is that of
-    the file they come from, and it could broadcast them.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot salt a {how} join")
-    keys = _keys(on)
-    salt = F.pmod(F.xxhash64(*(spread or rows.columns)), F.lit(salts)).cast("int")
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
-
-
-def _payload(df: DataFrame) -> Column:
-    """Bytes of the columns whose width varies."""
-    total = F.lit(0).cast("bigint")
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            total += F.coalesce(F.octet_length(f.name), F.lit(0))
-        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
-            total += F.coalesce(F.size(f.name) * 16, F.lit(0))
-    return total
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a table stays within a number of rows, and of bytes in columns of varying width."""
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(_payload(df)), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
-
-
-def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    spread: Sequence[Column | str] | None = None,
-) -> DataFrame:
-    """Joins to a lookup table: broadcast while its size is within bounds, salted beyond.
+def lookup_join(rows: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Joins rows to a table with about one row per key, whatever the size of either.
 
-    The size is counted first, which is cheap for a stored table.
+    Adaptive execution measures both sides: it broadcasts a lookup within the session's
+    threshold and else cuts the partitions of frequent keys into several tasks, by position,
+    so also where rows have nothing but the key. It can cut only what it shuffles itself:
+    pass a stored lookup (``session.stable``), not an aggregation by the same key.
     """
-    if fits_broadcast(lookup, max_rows):
-        return rows.join(F.broadcast(lookup), _keys(on), how)
-    return salted_join(rows, lookup, on, how, spread=spread)
+    return rows.join(lookup, _keys(on), how)
 
 
 def grid_join(
@@ -92,15 +44,15 @@ def grid_join(
     keys = _keys(on)
     n_left = left.groupBy(*keys).agg(F.count("*").alias("_n"))
     n_right = right.groupBy(*keys).agg(F.count("*").alias("_m"))
-    sizes = n_left.join(n_right, keys).select(
-        *keys,
-        F.ceil(F.col("_n") / cell_rows).cast("int").alias("_across"),
-        F.ceil(F.col("_m") / cell_rows).cast("int").alias("_down"),
+    sizes = stable(
+        n_left.join(n_right, keys).select(
+            *keys,
+            F.ceil(F.col("_n") / cell_rows).cast("int").alias("_across"),
+            F.ceil(F.col("_m") / cell_rows).cast("int").alias("_down"),
+        )
     )
     return grid_join_sized(
-        salted_join(left, sizes, keys, spread=[left_spread]),
-        salted_join(right, sizes, keys, spread=[right_spread]),
-        keys, left_spread, right_spread,
+        lookup_join(left, sizes, keys), lookup_join(right, sizes, keys), keys, left_spread, right_spread
     )
 
 

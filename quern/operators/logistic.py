@@ -11,7 +11,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quern.functions.maths import log_loss
-from quern.session import balanced
 
 
 @dataclass
@@ -83,7 +82,7 @@ def logreg_sgd(
     rows = train.select(
         F.col("label").cast("double"), F.col("idx").cast("array<bigint>"), val.cast("array<double>").alias("val")
     )
-    blocks = _blocks(balanced(rows)).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _blocks(rows).persist(StorageLevel.MEMORY_AND_DISK)
     w = np.append(np.zeros(dimensions), 1.0)
     try:
         for i in range(1, iterations + 1):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from quern.operators.joins import CELL_ROWS, grid_join, grid_join_sized, lookup_join, salted_join
+from quern.operators.joins import CELL_ROWS, grid_join, grid_join_sized, lookup_join
 from quern.operators.text import record_tokens, term_frequency, unit_weights
 from quern.session import stable
 
@@ -36,7 +36,7 @@ def pair_weights(
     )
 
     def weighted(df: DataFrame, id_col: str, listed: Column) -> DataFrame:
-        joined = lookup_join(term_frequency(df, id_col, listed), tokens, "token", spread=["id"])
+        joined = lookup_join(term_frequency(df, id_col, listed), tokens, "token")
         return unit_weights(joined.withColumn("weight", F.col("tf") * F.col("idf")).drop("tf", "idf"))
 
     return weighted(a, id_a, tokens_a), weighted(b, id_b, tokens_b)
@@ -82,16 +82,18 @@ def score_pairs(weights_a: DataFrame, weights_b: DataFrame, pairs: DataFrame) ->
     """
 
     def cells(own: str) -> DataFrame:
-        return pairs.groupBy(own).agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("_cells"))
+        return stable(pairs.groupBy(own).agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("_cells")))
+
+    sizes = {own: cells(own) for own in ("id_a", "id_b")}
 
     def place(rows: DataFrame, own: str, other: str) -> DataFrame:
         cell = F.pmod(F.xxhash64(other), F.col("_cells")).cast("int")
-        return salted_join(rows, cells(own), own, spread=[other]).withColumn(f"_cell_{own}", cell).drop("_cells")
+        return lookup_join(rows, sizes[own], own).withColumn(f"_cell_{own}", cell).drop("_cells")
 
     def copied(weights: DataFrame, own: str, weight: str) -> DataFrame:
         each = F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)).alias(f"_cell_{own}")
         named = weights.select(F.col("id").alias(own), "token", F.col("weight").alias(weight))
-        return named.join(cells(own), own).select(own, "token", weight, each)
+        return named.join(sizes[own], own).select(own, "token", weight, each)
 
     placed = place(place(pairs.select("id_a", "id_b"), "id_a", "id_b"), "id_b", "id_a")
     half = placed.join(copied(weights_a, "id_a", "w_a"), ["id_a", "_cell_id_a"])

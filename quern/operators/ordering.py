@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
-from quern.operators.joins import salted_join
 from quern.session import stable
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
@@ -65,19 +65,16 @@ def running_totals(df: DataFrame, order: Sequence[Column | str], totals: dict[st
 
 
 def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 100_000) -> DataFrame:
-    """Sorted values of each key as rows ``key, chunk, values``.
+    """Sorted values of each key as rows ``key, chunk, values``, cut into lists of ``chunk_rows``.
 
-    Keys with at most ``chunk_rows`` values have one row, chunk 0. A more frequent key is
-    cut into lists of that length, all values kept, so that no task holds a whole key.
+    Chunks count from 0; all values are kept and no task holds more of a key than a chunk
+    and its repeats. Null values are left out: a key that has no others, and null is a key
+    like any other, has one empty list.
     """
-    sizes = df.groupBy(key).agg(F.count(value).alias("_n"))
-    if sizes.filter(F.col("_n") > chunk_rows).isEmpty():
-        lists = df.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("values"))
-        return lists.select(key, F.lit(0).cast("bigint").alias("chunk"), "values")
     pairs = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
     counted = running_totals(pairs, [key, value], {"_upto": "_n"})
-    first = counted.groupBy(key).agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"))
-    placed = salted_join(counted, first, key, spread=[value]).withColumns(
+    starts = counted.groupBy(F.col(key).alias("_key")).agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"))
+    placed = counted.join(stable(starts), F.col(key).eqNullSafe(F.col("_key"))).withColumns(
         {"_from": F.col("_upto") - F.col("_n") - F.col("_start"), "_to": F.col("_upto") - 1 - F.col("_start")}
     )
     # A repeated value may fill several chunks: one row for each chunk it reaches.
@@ -87,36 +84,51 @@ def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 100_00
     low = F.greatest(F.col("_from"), F.col("chunk") * chunk_rows)
     high = F.least(F.col("_to"), F.col("chunk") * chunk_rows + chunk_rows - 1)
     copies = F.array_repeat(F.col(value), (high - low + 1).cast("int"))
-    return (
+    lists = (
         pieces.select(key, "chunk", copies.alias("_v"))
         .groupBy(key, "chunk")
         .agg(F.sort_array(F.flatten(F.collect_list("_v"))).alias("values"))
     )
+    empty = df.groupBy(key).agg(F.count(value).alias("_n")).filter("_n = 0")
+    none = F.array().cast(lists.schema["values"].dataType)
+    return lists.unionByName(empty.select(key, F.lit(0).cast("bigint").alias("chunk"), none.alias("values")))
 
 
-def value_at_rank(df: DataFrame, value: str, rank: int, bins: int = 1024, small: int = 50_000) -> float:
+def value_at_rank(df: DataFrame, value: str, rank: int, bins: int = 1024) -> float | None:
     """The value at a 0-based rank, found by counting bins and going on inside one bin.
 
     Each round is one scan that returns at most ``bins`` counts; rows are never sorted or
-    shuffled. It ends when the bin has one value, or few enough rows to count by value.
+    shuffled. It ends when the bin has one value; a round always leaves out the other end of
+    its range. Nulls are left out, NaN is the largest value, as in Spark's order, and a rank
+    beyond the last value gives None. Integers beyond 2**53 are rounded to doubles.
     """
+    v = F.col("v")
     rows = df.select(F.col(value).cast("double").alias("v")).filter("v is not null")
-    low, high = rows.agg(F.min("v"), F.max("v")).first()
-    left = rank
+    inf = F.lit(float("inf"))
+    finite = ~F.isnan(v) & (F.abs(v) < inf)
+    seen = rows.agg(
+        F.count_if(v == -inf).alias("below"), F.count_if(finite).alias("n"), F.count_if(v == inf).alias("above"),
+        F.count_if(F.isnan(v)).alias("nan"), F.min(F.when(finite, v)).alias("low"), F.max(F.when(finite, v)).alias("high"),
+    ).first()
+    left = rank - seen.below
+    if left < 0:
+        return float("-inf")
+    if left >= seen.n:
+        beyond = left - seen.n
+        return float("inf") if beyond < seen.above else float("nan") if beyond < seen.above + seen.nan else None
+    low, high = seen.low, seen.high
     while low < high:
-        width = (high - low) / bins
-        inside = rows.filter(F.col("v").between(low, high))
+        part = 1 if math.isfinite(high - low) else 0.5  # a range may be wider than a double
+        share = (v * part - low * part) / (high * part - low * part)
         counts = (
-            inside.groupBy(F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1)).alias("bin"))
+            rows.filter(v.between(low, high))
+            .groupBy(F.least(F.floor(share * bins), F.lit(bins - 1)).alias("bin"))
             .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
             .orderBy("bin")
             .collect()
         )
         found, left = _reach(counts, left)
         low, high = found.low, found.high
-        if low < high and found.n <= small:
-            values = rows.filter(F.col("v").between(low, high)).groupBy("v").agg(F.count("*").alias("n"))
-            return _reach(values.orderBy("v").collect(), left)[0].v
     return low
 
 

@@ -65,7 +65,7 @@ def als_select_rank(
     finally:
         train.unpersist()
         validation.unpersist()
-    best = min(tried, key=lambda t: t[2])
+    best = min(tried, key=lambda t: float("inf") if t[2] is None else t[2])  # None: no common pair
     table = train.sparkSession.createDataFrame([(r, e) for r, _, e in tried], "rank int, rmse double")
     return best[1], table
 

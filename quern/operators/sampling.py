@@ -8,11 +8,8 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, functions as F
 
 from quern.functions.hashing import hash_text, unit_hash
-from quern.operators.joins import BROADCAST_ROWS
 from quern.operators.ordering import value_at_rank, zip_with_index
 
-TOP_K_ROWS = 100_000
-
 
 def with_split(df: DataFrame, key: str, weights: Sequence[float], seed: int) -> DataFrame:
     """Adds ``split``, the number of the part a row belongs to, from a hash of its key."""
@@ -33,18 +30,16 @@ def random_split(df: DataFrame, key: str, weights: Sequence[float], seed: int) -
 def take_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Exactly ``n`` rows without replacement (all rows if there are fewer).
 
-    Small samples are a top-k. For large ones the draw of the n-th row is found by
-    counting, and the sample is a filter; only rows that tie with it are ordered.
+    The draw of the n-th row is found by counting, and the sample is a filter; only rows
+    that tie with it, about one in four billion, are ordered.
     """
-    order = [hash_text(F.col(key), seed), F.col(key)]
-    if n <= TOP_K_ROWS:
-        return df.orderBy(*order).limit(n)
-    if df.count() <= n:
-        return df
     draw = unit_hash(F.col(key), seed)
-    cut = value_at_rank(df.select(draw.alias("u")), "u", n - 1)
-    below = df.filter(draw < cut)
-    return below.unionAll(df.filter(draw == cut).orderBy(*order).limit(n - below.count()))
+    cut = value_at_rank(df.select(draw.alias("u")), "u", n - 1) if n > 0 else 0.0
+    if cut is None:
+        return df
+    below = df.filter(draw < F.lit(cut))
+    ties = df.filter(draw == F.lit(cut)).orderBy(hash_text(F.col(key), seed), key)
+    return below.unionAll(ties.limit(n - below.count()))
 
 
 def take_sample_replace(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -55,5 +50,5 @@ def take_sample_replace(df: DataFrame, key: str, n: int, seed: int) -> DataFrame
         F.col("id").alias("draw"),
         F.least(F.floor(unit_hash(F.col("id"), seed) * total), total - 1).alias("_at"),
     )
-    # draws are spread evenly over the rows, so a plain join has no frequent key
-    return indexed.join(F.broadcast(draws) if n <= BROADCAST_ROWS else draws, "_at").drop("_at")
+    # draws are spread evenly over the rows, so the join has no frequent key
+    return indexed.join(draws, "_at").drop("_at")

@@ -15,7 +15,7 @@ from quern.operators.ordering import running_totals, value_at_rank
 
 
 def mean_median(df: DataFrame, value: str) -> DataFrame:
-    """Mean and exact median; nulls are left out.
+    """Mean and exact median; nulls are left out, NaN is the largest value and makes the mean NaN.
 
     The median is found by counting bins (``value_at_rank``) instead of gathering all
     values in one aggregation buffer.
@@ -28,7 +28,8 @@ def mean_median(df: DataFrame, value: str) -> DataFrame:
     v = F.col(value).cast("double")
     median = value_at_rank(df, value, (n - 1) // 2)
     if n % 2 == 0:
-        reached, above = df.agg(F.count_if(v <= median), F.min(F.when(v > median, v))).first()
+        # in Spark's order NaN equals itself and is above all others
+        reached, above = df.agg(F.count_if(v <= F.lit(median)), F.min(F.when(v > F.lit(median), v))).first()
         median = median if reached > n // 2 else (median + above) / 2
     return spark.createDataFrame([(float(mean), float(median))], schema)
 
@@ -88,17 +89,18 @@ def welch_t_test(df: DataFrame, group: str, value: str) -> DataFrame:
 def roc_curve(df: DataFrame, score: str, truth: str) -> DataFrame:
     """One point per distinct score, best first: running counts and both rates.
 
-    Rows are counted per score first, and the running sums go over range partitions.
+    Rows are counted per score first, and the running sums go over range partitions. A rate
+    is null if no row is of its class.
     """
     per_score = df.groupBy(F.col(score).alias("score")).agg(
         F.sum(F.col(truth).cast("bigint")).alias("_pos"), F.count("*").alias("_n")
     )
     per_score = per_score.withColumn("_neg", F.col("_n") - F.col("_pos")).drop("_n").withColumnRenamed("_pos", "_hit")
     curve = running_totals(per_score, [F.desc("score")], {"tp": "_hit", "fp": "_neg"})
-    positives = df.agg(F.sum(F.col(truth).cast("bigint"))).scalar()
-    negatives = df.agg(F.sum(1 - F.col(truth).cast("bigint"))).scalar()
+    positives, negatives = curve.agg(F.max("tp")).scalar(), curve.agg(F.max("fp")).scalar()
     return curve.select(
-        "score", "tp", "fp", (F.col("tp") / positives).alias("tpr"), (F.col("fp") / negatives).alias("fpr")
+        "score", "tp", "fp",
+        F.try_divide(F.col("tp"), positives).alias("tpr"), F.try_divide(F.col("fp"), negatives).alias("fpr"),
     )
 
 
@@ -120,7 +122,10 @@ def array_min_max(df: DataFrame, col: str) -> DataFrame:
 
 
 def dense_rows(column) -> np.ndarray:
-    """An Arrow list column of equal lengths as a 2-D array."""
+    """An Arrow list column as a 2-D array; null lists, null elements and unequal lengths are refused."""
+    lengths = np.unique(column.value_lengths().to_numpy(zero_copy_only=False)) if len(column) else np.zeros(1)
+    if column.null_count or column.flatten().null_count or len(lengths) > 1:
+        raise ValueError("vectors must be of one length, without nulls")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64", copy=False)
     return flat.reshape(len(column), -1)
 

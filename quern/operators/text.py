@@ -63,12 +63,11 @@ def idf(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
 def tfidf(df: DataFrame, id_col: str, tokens: Column, idfs: DataFrame | None = None) -> DataFrame:
     """Weights ``id, token, weight``; tokens missing from ``idfs`` have no weight.
 
-    The IDF table is written first: its size decides whether it is broadcast, so that the
-    postings stay where they are, or whether the rows of each token are dealt to several
-    tasks. Pass a stored table as ``idfs``.
+    The IDF table is written first, so that Spark knows its size and can cut the rows of a
+    frequent token into several tasks. Pass a stored table as ``idfs``.
     """
     idfs = idfs if idfs is not None else stable(idf(df, id_col, tokens))
-    joined = lookup_join(term_frequency(df, id_col, tokens), idfs, "token", spread=["id"])
+    joined = lookup_join(term_frequency(df, id_col, tokens), idfs, "token")
     return joined.select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"))
 
 

@@ -42,11 +42,19 @@ def count_mean_by_key(t):
 
 
 @query("""
-SELECT o_custkey, 0::BIGINT AS chunk, array_to_string(list_sort(list(o_orderkey)), ',') AS orders FROM orders GROUP BY 1
+WITH o AS (SELECT nullif(o_custkey % 50, 7) AS k, CASE WHEN o_custkey % 50 <> 3 THEN o_orderkey % 100 END AS v FROM orders),
+n AS (SELECT *, (row_number() OVER (PARTITION BY k ORDER BY v) - 1) // 5 AS chunk FROM o WHERE v IS NOT NULL)
+SELECT k, chunk, array_to_string(list_sort(list(v)), ',') AS orders FROM n GROUP BY ALL UNION ALL
+SELECT k, 0, '' FROM o GROUP BY k HAVING count(v) = 0
 """)
 def collect_by_key(t):
-    lists = O.collect_by_key(t.orders, "o_custkey", "o_orderkey")
-    return lists.select("o_custkey", "chunk", F.array_join(F.col("values").cast("array<string>"), ",").alias("orders"))
+    """Repeated values, a null key and a key with null values alone, in chunks of five."""
+    group = F.col("o_custkey") % 50
+    rows = t.orders.select(
+        F.nullif(group, F.lit(7)).alias("k"), F.when(group != 3, F.col("o_orderkey") % 100).alias("v")
+    )
+    lists = O.collect_by_key(rows, "k", "v", chunk_rows=5)
+    return lists.select("k", "chunk", F.array_join(F.col("values").cast("array<string>"), ",").alias("orders"))
 
 
 @query("SELECT sum(l_orderkey)::BIGINT AS total FROM lineitem")
@@ -181,12 +189,13 @@ def histogram_fixed(t):
 
 
 @query("""
-SELECT bucket::INT AS bucket, count(*) AS keys FROM (
- SELECT (SELECT min(b) FROM (VALUES (1),(2),(4),(8),(16),(32),(64),(128),(256),(512),(1024)) v(b) WHERE b >= n) AS bucket
- FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1)) WHERE bucket IS NOT NULL GROUP BY 1
+SELECT (SELECT min(1::BIGINT << b) FROM range(40) g(b) WHERE (1::BIGINT << b) >= n) AS bucket, count(*) AS keys
+FROM (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL
+      SELECT l_linenumber, count(*) FROM lineitem GROUP BY 1) GROUP BY 1
 """)
 def histogram_pow2(t):
-    return A.histogram_pow2(A.count_by_key(t.lineitem, "l_partkey"), "n")
+    parts, numbers = (A.count_by_key(t.lineitem, k).select("n") for k in ("l_partkey", "l_linenumber"))
+    return A.histogram_pow2(parts.unionAll(numbers), "n")
 
 
 @query("""

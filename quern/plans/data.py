@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quern.operators.joins import lookup_join
 from quern.operators.rows import exploded
 from quern.plans.catalog import Tables
-from quern.session import balanced
 
 
 def r(c: Column | str, digits: int = 4) -> Column:
@@ -24,16 +23,12 @@ def vectors(t: Tables) -> DataFrame:
 
 
 def event_points(t: Tables) -> DataFrame:
-    """Categorical points with the unique ``event_id``: type, k, user; errors are positive."""
-    values = [F.lit("day") if c is None else c for c in (
-        F.weekday("ts").cast("string"),
-        F.get_json_object("props", "$.k"),
-        F.col("user_id").cast("string"),
-    )]
+    """Categorical points with the unique ``event_id``: weekday, k, user; errors are positive."""
+    values = [F.weekday("ts").cast("string"), F.get_json_object("props", "$.k"), F.col("user_id").cast("string")]
     features = F.array(
         *[F.struct(F.lit(i).alias("feature"), v.alias("value")) for i, v in enumerate(values)]
     )
-    return balanced(t.events).select(
+    return t.events.select(
         "event_id", (F.col("event_type") == "error").cast("double").alias("label"), features.alias("features")
     )
 
@@ -65,7 +60,7 @@ def titles(t: Tables) -> DataFrame:
 def points(t: Tables) -> DataFrame:
     """Regression rows: price against four line item columns scaled to about 0..1."""
     q, d, x = F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10
-    return balanced(t.lineitem).select(
+    return t.lineitem.select(
         "l_orderkey",
         (F.col("l_extendedprice") / 1000).alias("label"),
         F.array(q, d, x, (F.col("l_linenumber") / 7).cast("double")).alias("features"),

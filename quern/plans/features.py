@@ -38,7 +38,7 @@ def one_hot_encode(t):
     return _encoded(t).withColumn("idx", F.array_join(F.col("idx").cast("array<string>"), ","))
 
 
-BUCKETS = 64
+BUCKETS = 2**15
 HASHED_SQL = f"""
 SELECT event_id, {md5_bucket_sql("(value || feature)", BUCKETS)} AS bucket, count(*)::DOUBLE AS n
 FROM (SELECT DISTINCT event_id, value || feature AS s, value, feature FROM ({EVENT_POINTS_SQL})) GROUP BY 1, 2
@@ -109,9 +109,7 @@ WEIGHTS = [8.0, 1.0, 1.0]
 
 @query(f"SELECT o_orderkey, split FROM ({split_sql('o_orderkey', 'orders')})")
 def random_split(t):
-    parts = S.random_split(t.orders.select("o_orderkey"), "o_orderkey", WEIGHTS, 42)
-    tagged = [p.withColumn("split", F.lit(i)) for i, p in enumerate(parts)]
-    return tagged[0].unionAll(tagged[1]).unionAll(tagged[2])
+    return S.with_split(t.orders.select("o_orderkey"), "o_orderkey", WEIGHTS, 42)
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(o_orderkey || ':7'), o_orderkey LIMIT 100")

@@ -73,7 +73,7 @@ def logreg_log_loss(t):
     dictionary = C.one_hot_dict(p)
     encoded = C.one_hot_encode(p, dictionary, "event_id")
     train, validation, _ = S.random_split(encoded, "event_id", WEIGHTS, 42)
-    model = L.logreg_sgd(train, dictionary.count(), iterations=10, step=10.0, reg=1e-6)
+    model = L.logreg_sgd(train, dictionary.count(), iterations=50, step=10.0, reg=1e-6)
     weights = model.weight_table(t.spark)
     scored = [
         L.evaluate_log_loss(C.predict_proba(part, weights, model.intercept, "event_id")).withColumn("part", F.lit(name))

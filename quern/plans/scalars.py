@@ -138,18 +138,26 @@ def log_amount(t):
 E = "embedding::DOUBLE[]"
 
 
-@query(f"SELECT vec_id, round(list_sum(list_transform({E}, lambda x: x * 3)), 9) + 0.0 AS total FROM embeddings")
+def positions(t, vector, digits: int = 9):
+    """Rows ``vec_id, pos, x`` of a vector computed from ``v``."""
+    return vectors(t).select("vec_id", F.posexplode(vector).alias("pos", "x")).withColumn("x", r("x", digits))
+
+
+def positions_sql(vector: str, digits: int = 9, source: str = "embeddings") -> str:
+    return f"""
+SELECT vec_id, (generate_subscripts(x, 1) - 1)::INT AS pos, round(unnest(x), {digits}) + 0.0 AS x
+FROM (SELECT vec_id, {vector} AS x FROM {source})
+"""
+
+
+@query(positions_sql(f"list_transform({E}, lambda x: x * 3)"))
 def vec_scale(t):
-    return vectors(t).select("vec_id", r(V.array_sum(V.vec_scale(F.col("v"), 3.0)), 9).alias("total"))
+    return positions(t, V.vec_scale(F.col("v"), 3.0))
 
 
-@query("""
-SELECT vec_id, round(embedding[1]::DOUBLE * embedding[64]::DOUBLE, 9) + 0.0 AS first,
-       round(embedding[64]::DOUBLE * embedding[1]::DOUBLE, 9) + 0.0 AS last FROM embeddings
-""")
+@query(positions_sql(f"list_transform(list_zip({E}, list_reverse({E})), lambda p: p[1] * p[2])"))
 def vec_mul(t):
-    product = vectors(t).select("vec_id", V.vec_mul(F.col("v"), F.reverse("v")).alias("m"))
-    return product.select("vec_id", r(F.col("m")[0], 9).alias("first"), r(F.col("m")[63], 9).alias("last"))
+    return positions(t, V.vec_mul(F.col("v"), F.reverse("v")))
 
 
 @query(f"""
@@ -169,25 +177,21 @@ def vec_slice(t):
     return last.select("vec_id", r(V.array_sum(F.col("s")), 9).alias("total"), F.size("s").alias("n"))
 
 
-@query(f"SELECT vec_id, 67 AS n, round((({E}) || [1, 2, 3]::DOUBLE[])[66], 9) AS second_last FROM embeddings")
+@query(positions_sql(f"({E}) || [1, 2, 3]::DOUBLE[]"))
 def vec_concat(t):
-    longer = vectors(t).select("vec_id", V.vec_concat(F.col("v"), V.literal_vector([1, 2, 3])).alias("c"))
-    return longer.select("vec_id", F.size("c").alias("n"), r(F.col("c")[65], 9).alias("second_last"))
+    return positions(t, V.vec_concat(F.col("v"), V.literal_vector([1, 2, 3])))
 
 
 # Series are shifted by 1, so that no mean is close to 0.
 SHIFTED = "list_transform(embedding::DOUBLE[], lambda x: x + 1)"
 
 
-@query(f"""
-SELECT vec_id, round((s[1] - m) / m, 8) + 0.0 AS first, round((s[64] - m) / m, 8) + 0.0 AS last
-FROM (SELECT vec_id, {SHIFTED} AS s, list_avg({SHIFTED}) AS m FROM embeddings)
-""")
+@query(positions_sql(
+    "list_transform(s, lambda x: (x - m) / m)", 8,
+    f"(SELECT vec_id, {SHIFTED} AS s, list_avg({SHIFTED}) AS m FROM embeddings)",
+))
 def rescale_series(t):
-    scaled = vectors(t).select(
-        "vec_id", V.rescale_series(F.transform("v", lambda x: x + 1)).alias("s")
-    )
-    return scaled.select("vec_id", r(F.col("s")[0], 8).alias("first"), r(F.col("s")[63], 8).alias("last"))
+    return positions(t, V.rescale_series(F.transform("v", lambda x: x + 1)), 8)
 
 
 @query("""
@@ -208,25 +212,22 @@ def fold_by_block(t):
     return folded.withColumn("total", r("total", 8))
 
 
-@query(f"""
-SELECT vec_id, pos, round(x, 9) + 0.0 AS x FROM (
- SELECT vec_id, unnest([0, 1]) AS pos, unnest([({E})[1] + 2 * ({E})[2] - ({E})[4], 0.5 * ({E})[3]]) AS x FROM embeddings)
-""")
+# A matrix over the whole vectors: cell (i, j) is ((7 i + 3 j) mod 5 - 2) / 2.
+@query(positions_sql(
+    "list_transform(range(4), lambda i: list_sum(list_transform(range(64), lambda j: v[j + 1] * ((7 * i + 3 * j) % 5 - 2) / 2.0::DOUBLE)))",
+    8, f"(SELECT vec_id, {E} AS v FROM embeddings)",
+))
 def apply_matrix(t):
-    matrix = [[1, 2, 0, -1], [0, 0, 0.5, 0]]
-    product = V.apply_matrix(F.slice("v", 1, 4), matrix)
-    return vectors(t).select("vec_id", F.posexplode(product).alias("pos", "x")).withColumn("x", r("x", 9))
+    matrix = [[((7 * i + 3 * j) % 5 - 2) / 2 for j in range(64)] for i in range(4)]
+    return positions(t, V.apply_matrix(F.col("v"), matrix), 8)
 
 
-@query(f"""
-SELECT vec_id, pos::INT AS pos, round(x, 9) + 0.0 AS x FROM (
- SELECT vec_id, unnest(range(20)) AS pos,
-   unnest(v || flatten(list_transform(v, lambda a: list_transform(v, lambda b: a * b)))) AS x
- FROM (SELECT vec_id, ({E})[1:4] AS v FROM embeddings))
-""")
+@query(positions_sql(
+    "v || flatten(list_transform(v, lambda a: list_transform(v, lambda b: a * b)))", 9,
+    f"(SELECT vec_id, {E} AS v FROM embeddings)",
+))
 def two_way_interactions(t):
-    features = V.two_way_interactions(F.slice("v", 1, 4))
-    return vectors(t).select("vec_id", F.posexplode(features).alias("pos", "x")).withColumn("x", r("x", 9))
+    return positions(t, V.two_way_interactions(F.col("v")))
 
 
 @query("""

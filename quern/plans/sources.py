@@ -9,7 +9,7 @@ from quern.operators.aggregates import union_all
 from quern.operators.rows import exploded
 from quern.operators.text import drop_stop_words
 from quern.plans.catalog import Tables, query
-from quern.session import balanced, scratch_path
+from quern.session import scratch_path
 from quern.sources import parsers as P, readers as R
 
 
@@ -29,7 +29,7 @@ def clf_lines(t: Tables, broken: Column | None = None) -> DataFrame:
     )
     if broken is not None:
         line = F.when(broken, F.translate(line, '"', "")).otherwise(line)
-    return balanced(t.events).select(line.alias("value"))
+    return t.events.select(line.alias("value"))
 
 
 @query("SELECT unnest(string_split(text, chr(10))) AS line FROM documents")
@@ -175,57 +175,77 @@ def parse_gold_mapping(t):
 
 
 @query("""
-SELECT l_suppkey::INT AS "user", l_partkey::INT AS item, count(*) AS n, sum(1 + l_quantity % 5) AS total
-FROM lineitem GROUP BY ALL
+SELECT status, "user", item, count(*) AS n, sum(rating) AS total FROM (
+  SELECT CASE WHEN l_linenumber = 7 THEN -1 ELSE 1 END AS status,
+         CASE WHEN l_linenumber <> 7 THEN l_suppkey + 3000000000 END AS "user",
+         CASE WHEN l_linenumber <> 7 THEN l_partkey END AS item, CASE WHEN l_linenumber <> 7 THEN 1 + l_quantity % 5 END AS rating
+  FROM lineitem) GROUP BY ALL
 """)
 def parse_ratings(t):
-    line = F.concat_ws("::", "l_suppkey", "l_partkey", (1 + F.col("l_quantity") % 5).cast("string"), F.lit("0"))
-    parsed = P.parse_ratings(balanced(t.lineitem).select(line.alias("value")))
-    return parsed.groupBy("user", "item").agg(F.count("*").alias("n"), F.sum("rating").alias("total"))
+    """Some lines have no number for a rating; users are beyond 32 bits."""
+    rating = F.when(F.col("l_linenumber") == 7, "good").otherwise((1 + F.col("l_quantity") % 5).cast("string"))
+    line = F.concat_ws("::", F.col("l_suppkey") + F.lit(3_000_000_000), "l_partkey", rating, F.lit("0"))
+    parsed = P.parse_ratings(t.lineitem.select(line.alias("value")))
+    return parsed.groupBy("status", "user", "item").agg(F.count("*").alias("n"), F.sum("rating").alias("total"))
 
 
-@query("SELECT p_partkey::INT AS item, p_name AS title FROM part")
+@query("""
+SELECT CASE WHEN p_partkey % 10 = 0 THEN -1 ELSE 1 END AS status, CASE WHEN p_partkey % 10 <> 0 THEN p_partkey END AS item,
+       CASE WHEN p_partkey % 10 <> 0 THEN p_name END AS title FROM part
+""")
 def parse_movies(t):
-    line = F.concat_ws("::", "p_partkey", "p_name", "p_type")
-    return P.parse_movies(t.part.select(line.alias("value")))
+    key = F.when(F.col("p_partkey") % 10 == 0, "x").otherwise(F.col("p_partkey").cast("string"))
+    line = F.concat_ws("::", key, "p_name", "p_type")
+    return P.parse_movies(t.part.select(line.alias("value"))).drop("raw")
 
 
 @query("""
-SELECT l_extendedprice AS label, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem
+SELECT CASE WHEN ok THEN 1 ELSE -1 END AS status, CASE WHEN ok THEN l_extendedprice END AS label,
+       CASE WHEN ok THEN l_quantity END AS f0, CASE WHEN ok THEN l_discount END AS f1, CASE WHEN ok THEN l_tax END AS f2
+FROM (SELECT *, l_linenumber <> 7 AS ok FROM lineitem)
 """)
 def parse_labeled_csv(t):
-    line = F.concat_ws(",", *[F.col(c).cast("string") for c in ("l_extendedprice", "l_quantity", "l_discount", "l_tax")])
-    parsed = P.parse_labeled_csv(balanced(t.lineitem).select(line.alias("value")))
-    return parsed.select("label", *[F.col("features")[i].alias(f"f{i}") for i in range(3)])
+    names = ("l_extendedprice", "l_quantity", "l_discount")
+    tax = F.when(F.col("l_linenumber") == 7, "?").otherwise(F.col("l_tax").cast("string"))
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in names], tax)
+    parsed = P.parse_labeled_csv(t.lineitem.select(line.alias("value")))
+    return parsed.select("status", "label", *[F.get("features", F.lit(i)).alias(f"f{i}") for i in range(3)])
 
 
 @query("""
-SELECT feature, value, count(*) AS n, sum(label) AS positives FROM (
+SELECT feature, value, count(*) AS n, sum(label) AS positives, (SELECT count(*) FROM lineitem WHERE l_linenumber = 7) AS bad
+FROM (
   SELECT (l_linestatus = 'F')::DOUBLE AS label, unnest([0, 1, 2]) AS feature,
          unnest([CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END,
                  l_linenumber::VARCHAR, l_suppkey::VARCHAR]) AS value
-  FROM lineitem) GROUP BY feature, value
+  FROM lineitem WHERE l_linenumber <> 7) GROUP BY feature, value
 """)
 def parse_ctr(t):
     flag = F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_returnflag"))
-    line = F.concat_ws("\t", (F.col("l_linestatus") == "F").cast("int"), flag, "l_linenumber", "l_suppkey")
-    parsed = P.parse_ctr(balanced(t.lineitem).select(line.alias("value")))
+    label = F.when(F.col("l_linenumber") == 7, "none").otherwise((F.col("l_linestatus") == "F").cast("int").cast("string"))
+    line = F.concat_ws("\t", label, flag, "l_linenumber", "l_suppkey")
+    parsed = P.parse_ctr(t.lineitem.select(line.alias("value")))
+    bad = parsed.agg(F.count_if(F.col("status") == -1)).scalar()
     each = exploded(parsed, "label", f=F.col("features")).select("label", "f.feature", "f.value")
-    return each.groupBy("feature", "value").agg(F.count("*").alias("n"), F.sum("label").alias("positives"))
+    counted = each.groupBy("feature", "value").agg(F.count("*").alias("n"), F.sum("label").alias("positives"))
+    return counted.withColumn("bad", bad)
 
 
 @query("""
-SELECT vec_id::INT AS x, label AS y, len(embedding)::INT AS n, round(embedding[1]::DOUBLE, 6) AS head,
-       round(list_sum(embedding::DOUBLE[]), 6) AS total
-FROM embeddings
+SELECT status, CASE WHEN ok THEN vec_id END AS x, CASE WHEN ok THEN label::BIGINT END AS y,
+       CASE WHEN ok THEN len(embedding)::INT END AS n, CASE WHEN ok THEN round(embedding[1]::DOUBLE, 6) END AS head,
+       CASE WHEN ok THEN round(list_sum(embedding::DOUBLE[]), 6) END AS total
+FROM (SELECT *, vec_id % 10 <> 0 AS ok, CASE WHEN vec_id % 10 = 0 THEN -1 ELSE 1 END AS status FROM embeddings)
 """)
 def parse_series(t):
     values = F.transform(F.col("embedding").cast("array<double>"), lambda v: v.cast("string"))
-    line = F.concat_ws(" ", F.col("vec_id").cast("string"), F.col("label").cast("string"), values)
+    head = F.when(F.col("vec_id") % 10 == 0, "row").otherwise(F.col("vec_id").cast("string"))
+    line = F.concat_ws(" ", head, F.col("label").cast("string"), values)
     parsed = P.parse_series(t.embeddings.select(line.alias("value")))
     total = F.aggregate("ts", F.lit(0.0), lambda acc, v: acc + v)
     return parsed.select(
-        "x", "y", F.size("ts").alias("n"), F.round(F.col("ts")[0], 6).alias("head"), F.round(total, 6).alias("total")
+        "status", "x", "y", F.when(F.col("ts").isNotNull(), F.size("ts")).alias("n"),
+        F.round(F.col("ts")[0], 6).alias("head"), F.round(total, 6).alias("total"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import STOP_WORDS, simple_tokenize, tokenize
 from quern.operators import matching as E, text as X
-from quern.operators.joins import salted_join
+from quern.operators.joins import lookup_join
 from quern.operators.rows import exploded
 from quern.plans.catalog import query
 from quern.plans.data import contained_items, r
@@ -158,7 +158,7 @@ def cossim(t):
     dots = E.score_pairs(a, b, _gold(t)).withColumnRenamed("score", "dot")
     norm_a = X.doc_norms(a).select(F.col("id").alias("id_a"), F.col("norm").alias("norm_a"))
     norm_b = X.doc_norms(b).select(F.col("id").alias("id_b"), F.col("norm").alias("norm_b"))
-    both = salted_join(salted_join(dots, norm_a, "id_a"), norm_b, "id_b")
+    both = lookup_join(lookup_join(dots, norm_a, "id_a"), norm_b, "id_b")
     cosine = F.col("dot") / F.col("norm_a") / F.col("norm_b")
     return both.select(
         "id_a", "id_b", *[r(c, 9).alias(c) for c in ("dot", "norm_a", "norm_b")], r(cosine, 9).alias("cossim")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -22,27 +25,43 @@ def local_session(cores: int = 8, app: str = "quern") -> SparkSession:
     )
 
 
+@functools.cache
+def _local_folder() -> str:
+    """One temporary folder of this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="quern-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a temporary folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    current = spark._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="quern-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return _local_folder()
+
+
+_written: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path not used before in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path not used before in the shared folder; ``remove_scratch`` removes what is there."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes the scratch tables of this process; call it when their results were consumed."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stable(df: DataFrame) -> DataFrame:
@@ -50,17 +69,8 @@ def stable(df: DataFrame) -> DataFrame:
 
     For rows that are read several times, where computing them again would be slow or
     could give other partitions. Unlike cached blocks the table survives lost executors,
-    and Spark knows its size.
+    and Spark knows its size. ``remove_scratch`` removes it.
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def balanced(df: DataFrame, *keys: str) -> DataFrame:
-    """Deals rows out to all cores where a small input has fewer splits than that.
-
-    Large inputs have more splits than cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

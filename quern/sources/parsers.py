@@ -1,7 +1,8 @@
 """Line formats: each parser adds typed columns and a ``status`` and keeps the raw line.
 
 ``status`` is 1 for a parsed line, 0 for a line set aside (a header, or an unreadable
-line where the format has no header) and -1 for a bad line of a format with a header.
+line where the format has no header) and -1 for a bad line of a format with a header or
+of numbers.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.functions.text import pair_key, remove_quotes
 from quern.functions.times import dash_to_zero, parse_apache_time
+from quern.functions.vectors import bind
 
 # Line patterns. ``(?d)`` makes the dot stop at line feeds only.
 CLF_PATTERN = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)" (\d{3}) (\S+)'
@@ -28,6 +30,9 @@ USER_AGENT_FIELDS = (
 ).split()
 
 
+_MARK = "\ue000"
+
+
 def _once(value: Column) -> Column:
     """``value`` as a generated column.
 
@@ -81,14 +86,22 @@ def split_valid_invalid(parsed: DataFrame) -> tuple[DataFrame, DataFrame, DataFr
     return valid, invalid, counts
 
 
+def _groups(line: Column, pattern: str, n: int) -> Column:
+    """The groups of a pattern that matches once in a line, by one rewrite; null where it does not match.
+
+    The marks around the groups are private characters, taken out of the line first.
+    """
+    clean = F.translate(line, _MARK, "")
+    found = "".join(f"{_MARK}${i}" for i in range(1, n + 1)) + _MARK
+    parts = F.split(F.regexp_replace(clean, pattern, found), _MARK, -1)
+    return bind(parts, lambda p: F.when(F.size(p) == n + 2, F.slice(p, 2, n)))
+
+
 def parse_user_agent(df: DataFrame, col: str) -> DataFrame:
     """Adds the six parts of a user agent and ``parse_ok``; parts are null where it fails."""
-    ok = F.coalesce(F.col(col).rlike(USER_AGENT_PATTERN), F.lit(False))
-    groups = [
-        F.regexp_extract(col, USER_AGENT_PATTERN, i).alias(name) for i, name in enumerate(USER_AGENT_FIELDS, 1)
-    ]
-    parsed = df.select("*", _once(F.when(ok, F.struct(*groups))).alias("_u"))
-    return parsed.select(*df.columns, "_u.*", F.col("_u").isNotNull().alias("parse_ok"))
+    parsed = df.select("*", _once(_groups(F.col(col), USER_AGENT_PATTERN, len(USER_AGENT_FIELDS))).alias("_u"))
+    parts = [F.get("_u", F.lit(i)).alias(name) for i, name in enumerate(USER_AGENT_FIELDS)]
+    return parsed.select(*df.columns, *parts, F.col("_u").isNotNull().alias("parse_ok"))
 
 
 def _status_with_header(groups: Column, header_key: str) -> Column:
@@ -98,10 +111,7 @@ def _status_with_header(groups: Column, header_key: str) -> Column:
 def parse_quoted_product(lines: DataFrame, col: str = "value", header_key: str = '"id"') -> DataFrame:
     """Catalogue lines to ``id`` and ``product`` (name, description and maker joined)."""
     line = F.col(col)
-    groups = F.when(
-        line.rlike(PRODUCT_PATTERN), F.array(*[F.regexp_extract(line, PRODUCT_PATTERN, i) for i in range(1, 5)])
-    )
-    parts = lines.select(line.alias("raw"), _once(groups).alias("_g"))
+    parts = lines.select(line.alias("raw"), _once(_groups(line, PRODUCT_PATTERN, 4)).alias("_g"))
     g = F.col("_g")
     status = _status_with_header(g, header_key)
     return parts.select(
@@ -116,10 +126,7 @@ def parse_quoted_product(lines: DataFrame, col: str = "value", header_key: str =
 def parse_gold_mapping(lines: DataFrame, header_key: str, col: str = "value") -> DataFrame:
     """Lines ``a,b`` to ``id_a``, ``id_b`` and the joint key ``"a b"``."""
     line = F.col(col)
-    groups = F.when(
-        line.rlike(PAIR_PATTERN), F.array(*[F.regexp_extract(line, PAIR_PATTERN, i) for i in (1, 2)])
-    )
-    parts = lines.select(line.alias("raw"), _once(groups).alias("_g"))
+    parts = lines.select(line.alias("raw"), _once(_groups(line, PAIR_PATTERN, 2)).alias("_g"))
     status = _status_with_header(F.col("_g"), header_key)
     first, second = remove_quotes(F.col("_g")[0]), remove_quotes(F.col("_g")[1])
     return parts.select(
@@ -132,56 +139,85 @@ def parse_gold_mapping(lines: DataFrame, header_key: str, col: str = "value") ->
     )
 
 
-def _fields(lines: DataFrame, col: str, separator: str) -> DataFrame:
-    return lines.select(_once(F.split(F.col(col), separator, -1)).alias("_f"))
+def _checked(lines: DataFrame, col: str, parts: Column, ok, fields, keep: list[str] | None = None) -> DataFrame:
+    """``raw``, ``status`` (1, or -1 for a line that does not fit) and typed fields, null unless status is 1.
+
+    ``ok`` and ``fields`` are functions of the parts, which are computed once.
+    """
+    kept = keep or []
+    split = lines.select(*kept, F.col(col).alias("raw"), _once(parts).alias("_f"))
+    fits = F.coalesce(ok(F.col("_f")), F.lit(False))
+    status = F.when(fits, 1).otherwise(-1)
+    typed = fields(F.col("_f"))
+    return split.select(
+        *kept, "raw", status.alias("status"), *[F.when(status == 1, c).alias(name) for name, c in typed.items()]
+    )
+
+
+def _part(parts: Column, i: int, kind: str) -> Column:
+    return F.get(parts, F.lit(i)).try_cast(kind)
 
 
 def parse_ratings(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``user::item::rating::time`` to typed ``user, item, rating``."""
-    f = F.get
-    return _fields(lines, col, "::").select(
-        f("_f", F.lit(0)).try_cast("int").alias("user"),
-        f("_f", F.lit(1)).try_cast("int").alias("item"),
-        f("_f", F.lit(2)).try_cast("double").alias("rating"),
-    )
+    """``user::item::rating::time`` to ``raw, status`` and typed ``user, item, rating``."""
+    def fields(f: Column) -> dict[str, Column]:
+        return {"user": _part(f, 0, "bigint"), "item": _part(f, 1, "bigint"), "rating": _part(f, 2, "double")}
+
+    def ok(f: Column) -> Column:
+        return F.forall(F.array(*[c.isNotNull() for c in fields(f).values()]), lambda x: x)
+
+    return _checked(lines, col, F.split(F.col(col), "::", -1), ok, fields)
 
 
 def parse_movies(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``item::title::genres`` to ``item, title``."""
-    return _fields(lines, col, "::").select(
-        F.get("_f", F.lit(0)).try_cast("int").alias("item"), F.get("_f", F.lit(1)).alias("title")
+    """``item::title::genres`` to ``raw, status`` and ``item, title``."""
+    return _checked(
+        lines, col, F.split(F.col(col), "::", -1),
+        lambda f: _part(f, 0, "bigint").isNotNull() & F.get(f, F.lit(1)).isNotNull(),
+        lambda f: {"item": _part(f, 0, "bigint"), "title": F.get(f, F.lit(1))},
     )
 
 
+def _numbers(parts: Column) -> Column:
+    return F.transform(parts, lambda x: x.try_cast("double"))
+
+
+def _all_numbers(numbers: Column) -> Column:
+    return F.forall(numbers, lambda x: x.isNotNull())
+
+
 def parse_labeled_csv(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Comma separated numbers: the first is the ``label``, the rest ``features``."""
-    numbers = F.transform(F.split(F.col(col), ",", -1), lambda x: x.try_cast("double"))
-    return lines.select(_once(numbers).alias("_n")).select(
-        F.get("_n", F.lit(0)).alias("label"), F.slice("_n", 2, F.greatest(F.size("_n") - 1, F.lit(0))).alias("features")
+    """Comma separated numbers: ``raw, status``, the first is the ``label``, the rest ``features``."""
+    return _checked(
+        lines, col, _numbers(F.split(F.col(col), ",", -1)), _all_numbers,
+        lambda n: {"label": F.get(n, F.lit(0)), "features": F.slice(n, 2, F.greatest(F.size(n) - 1, F.lit(0)))},
     )
 
 
 def parse_ctr(lines: DataFrame, col: str = "value", separator: str = "[\t,]") -> DataFrame:
-    """Label, then categories; ``features`` holds (feature, value) with features from 0.
+    """``raw, status``, label, then categories; ``features`` holds (feature, value) with features from 0.
 
     An empty value is a category of its own. Other columns of ``lines`` are kept.
     """
-    keep = [c for c in lines.columns if c != col]
-    parts = lines.select(*keep, _once(F.split(F.col(col), separator, -1)).alias("_f"))
-    categories = F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0)))
-    return parts.select(
-        *keep,
-        F.get("_f", F.lit(0)).try_cast("double").alias("label"),
-        F.transform(categories, lambda v, i: F.struct(i.alias("feature"), v.alias("value"))).alias("features"),
+    def fields(f: Column) -> dict[str, Column]:
+        categories = F.slice(f, 2, F.greatest(F.size(f) - 1, F.lit(0)))
+        listed = F.transform(categories, lambda v, i: F.struct(i.alias("feature"), v.alias("value")))
+        return {"label": _part(f, 0, "double"), "features": listed}
+
+    keep = [c for c in lines.columns if c not in (col, "raw", "status", "label", "features")]
+    return _checked(
+        lines, col, F.split(F.col(col), separator, -1), lambda f: _part(f, 0, "double").isNotNull(), fields, keep
     )
 
 
 def parse_series(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Blank separated numbers: ``x``, ``y``, then the series ``ts``."""
-    parts = lines.select(_once(F.split(F.trim(F.col(col)), r"\s+", -1)).alias("_f"))
-    rest = F.slice("_f", 3, F.greatest(F.size("_f") - 2, F.lit(0)))
-    return parts.select(
-        F.get("_f", F.lit(0)).try_cast("int").alias("x"),
-        F.get("_f", F.lit(1)).try_cast("int").alias("y"),
-        F.transform(rest, lambda v: v.try_cast("double")).alias("ts"),
-    )
+    """Blank separated numbers: ``raw, status``, then ``x``, ``y`` and the series ``ts``."""
+    def fields(f: Column) -> dict[str, Column]:
+        rest = F.slice(f, 3, F.greatest(F.size(f) - 2, F.lit(0)))
+        return {"x": _part(f, 0, "bigint"), "y": _part(f, 1, "bigint"), "ts": _numbers(rest)}
+
+    def ok(f: Column) -> Column:
+        typed = fields(f)
+        return typed["x"].isNotNull() & typed["y"].isNotNull() & _all_numbers(typed["ts"])
+
+    return _checked(lines, col, F.split(F.trim(F.col(col)), r"\s+", -1), ok, fields)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import joins as J
 from quern.operators.matrices import matrix_multiply, transpose
+from quern.session import stable
 
 
 @pytest.fixture(scope="module")
@@ -22,35 +23,35 @@ def bag(df):
     return sorted(tuple(r) for r in df.select(*sorted(df.columns)).collect())
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join(skewed, lookup, how):
-    assert bag(J.salted_join(skewed, lookup, "k", how).na.fill(-1)) == bag(skewed.join(lookup, "k", how).na.fill(-1))
-
-
-def test_salted_join_spreads_the_frequent_key(skewed, lookup):
-    salts = J.salted_join(skewed, lookup, "k", salts=8)
-    plan = salts._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan and "BroadcastHashJoin" not in plan
-
-
-def test_salted_join_refuses_outer_joins(skewed, lookup):
-    with pytest.raises(ValueError):
-        J.salted_join(skewed, lookup, "k", "full")
-
-
-@pytest.mark.parametrize("max_rows", [10, 1000])
-def test_lookup_join_is_the_same_on_both_ways(skewed, lookup, max_rows):
-    joined = J.lookup_join(skewed, lookup, "k", max_rows=max_rows)
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) == (max_rows == 1000)
-    assert bag(joined) == bag(skewed.join(lookup, "k"))
-
-
-def test_broadcast_is_bounded_in_bytes(spark):
-    wide = spark.range(10).select(F.col("id").alias("k"), F.expr("repeat('x', 1000)").alias("text"))
-    assert J.fits_broadcast(wide, 100, 20_000)
-    assert not J.fits_broadcast(wide, 100, 5_000)
-    assert not J.fits_broadcast(wide, 9, 20_000)
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_lookup_join(skewed, lookup, how):
+    assert bag(J.lookup_join(skewed, lookup, "k", how).na.fill(-1)) == bag(skewed.join(lookup, "k", how).na.fill(-1))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_a_key_with_a_third_of_the_rows_is_cut(spark, how):
+    """Adaptive execution reads the partition of the frequent key in several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 120_000, 1, 12).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("x")
+        )
+        lookup = stable(spark.range(50_000).select(F.col("id").alias("k"), F.lit(1).alias("y")))
+        joined = J.lookup_join(rows, lookup, "k", how)
+        assert joined.count() == {"inner": 73_333, "left": 120_000, "left_anti": 46_667}[how]
+        joined.collect()
+        assert "skewed" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
 
 
 @pytest.mark.parametrize("cell_rows", [7, 100, 100_000])

@@ -25,15 +25,19 @@ def test_running_totals(spark):
         assert got[i] == total
 
 
-@pytest.mark.parametrize("chunk", [4, 1000])
-def test_collect_by_key_keeps_every_value(spark, chunk):
-    rows = spark.createDataFrame([("a", i % 5) for i in range(23)] + [("b", 1), ("c", 2), ("c", 1)], "k string, v int")
+@pytest.mark.parametrize("chunk", [1, 2, 4, 1000])
+def test_collect_by_key_keeps_every_value_and_key(spark, chunk):
+    rows = spark.createDataFrame(
+        [("a", i % 5) for i in range(23)] + [("b", None), ("c", 2), ("c", 1), ("c", None), (None, 7), (None, 6), (None, None)],
+        "k string, v int",
+    )
     lists = O.collect_by_key(rows, "k", "v", chunk).orderBy("k", "chunk").collect()
     assert all(len(r["values"]) <= chunk for r in lists)
     joined = {}
     for r in lists:
         joined.setdefault(r.k, []).extend(r["values"])
-    assert joined == {"a": sorted(i % 5 for i in range(23)), "b": [1], "c": [1, 2]}
+    assert joined == {"a": sorted(i % 5 for i in range(23)), "b": [], "c": [1, 2], None: [6, 7]}
+    assert [r.chunk for r in lists if r.k == "a"] == list(range(-(-23 // chunk)))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -50,7 +54,30 @@ def test_value_at_rank_narrows_in_rounds(spark):
     heavy = rows.unionAll(spark.range(5000).select(F.lit(9.0).alias("v")))
     values = sorted(r.v for r in heavy.collect())
     for rank in (0, 3, 4, 5002, 5003, 7000, 9999):
-        assert O.value_at_rank(heavy, "v", rank, bins=4, small=10) == values[rank]
+        assert O.value_at_rank(heavy, "v", rank, bins=4) == values[rank]
+
+
+@pytest.mark.parametrize(
+    "values, median",
+    [
+        ([1.0, 2.0, 3.0, float("nan"), 9.0], 3.0),
+        ([float("inf"), 1.0, 2.0], 2.0),
+        ([float("-inf"), float("-inf"), 1.0], float("-inf")),
+        ([float("inf"), float("inf"), 1.0], float("inf")),
+        ([1e308, -1e308, 5e307], 5e307),
+        ([5e-324, 0.0, 1e-323], 5e-324),
+    ],
+)
+def test_median_of_odd_values(spark, values, median):
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    assert S.mean_median(rows, "v").first()["median"] == median
+    assert rows.agg(F.percentile("v", 0.5)).first()[0] == median
+
+
+def test_rank_beyond_the_values(spark):
+    rows = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
+    assert O.value_at_rank(rows, "v", 0) == 1.0 and O.value_at_rank(rows, "v", 2) is None
+    assert O.value_at_rank(rows, "v", 1) != O.value_at_rank(rows, "v", 1)  # NaN
 
 
 def test_median_of_nothing(spark):
@@ -78,7 +105,7 @@ def test_count_mean_by_key(spark):
 def test_power_of_two_buckets(spark):
     rows = spark.createDataFrame([(n,) for n in (1, 2, 3, 4, 5, 8, 9, 1024, 1025)], "n int")
     got = {r.bucket: r["keys"] for r in A.histogram_pow2(rows, "n").collect()}
-    assert got == {1: 1, 2: 1, 4: 2, 8: 2, 16: 1, 1024: 1}
+    assert got == {1: 1, 2: 1, 4: 2, 8: 2, 16: 1, 1024: 1, 2048: 1}
 
 
 def test_fixed_histogram(spark):
@@ -115,3 +142,24 @@ def test_roc_curve(spark):
     rows = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.8, 1), (0.1, 0)], "s double, y int")
     got = [tuple(r) for r in S.roc_curve(rows, "s", "y").orderBy(F.desc("score")).collect()]
     assert got == [(0.9, 1, 0, 0.5, 0.0), (0.8, 2, 1, 1.0, 0.5), (0.1, 2, 2, 1.0, 1.0)]
+
+
+def test_roc_curve_of_one_class(spark):
+    rows = spark.createDataFrame([(0.9, 1), (0.1, 1)], "s double, y int")
+    assert [tuple(r) for r in S.roc_curve(rows, "s", "y").orderBy(F.desc("score")).collect()] == [
+        (0.9, 1, 0, 0.5, None), (0.1, 2, 0, 1.0, None)
+    ]
+
+
+@pytest.mark.parametrize("rows", [[([1.0, 2.0, 3.0],), ([4.0],)], [([1.0, 2.0, 3.0, 4.0],), (None,)], [([1.0, None],)]])
+def test_ragged_vectors_are_refused(spark, rows):
+    with pytest.raises(Exception, match="one length|null|imension|size"):
+        S.covariance_matrix(spark.createDataFrame(rows, "v array<double>").coalesce(1), "v").collect()
+
+
+def test_sort_by_key_is_in_order(spark, data):
+    from quern.plans.catalog import QUERIES
+
+    df = QUERIES["sort_by_key"](spark, data)
+    rows = [tuple(r) for r in df.collect()]
+    assert [r[0] for r in rows] == sorted(r[0] for r in rows)

@@ -70,26 +70,32 @@ def test_gold_mapping_lines(spark):
 
 
 def test_ratings_and_movies(spark):
-    assert tuple(P.parse_ratings(lines(spark, "1::1193::5::978300760")).first()) == (1, 1193, 5.0)
-    assert tuple(P.parse_movies(lines(spark, "1::Toy Story (1995)::Animation|Comedy")).first()) == (1, "Toy Story (1995)")
-    assert tuple(P.parse_ratings(lines(spark, "x")).first()) == (None, None, None)
+    good = "3000000000::1193::5::978300760"
+    assert tuple(P.parse_ratings(lines(spark, good)).first()) == (good, 1, 3_000_000_000, 1193, 5.0)
+    assert tuple(P.parse_movies(lines(spark, "1::Toy Story (1995)::Animation|Comedy")).first())[1:] == (1, 1, "Toy Story (1995)")
+    for bad in ("x", "", "1::2::good::3", "1::2"):
+        assert tuple(P.parse_ratings(lines(spark, bad)).first()) == (bad, -1, None, None, None)
+    assert [r.status for r in P.parse_movies(lines(spark, "x::a::b", "7")).collect()] == [-1, -1]
 
 
 def test_labelled_rows(spark):
     row = P.parse_labeled_csv(lines(spark, "2001.0,0.88,0.61")).first()
-    assert row.label == 2001.0 and row.features == [0.88, 0.61]
+    assert row.status == 1 and row.label == 2001.0 and row.features == [0.88, 0.61]
+    assert tuple(P.parse_labeled_csv(lines(spark, "2001,?")).first()) == ("2001,?", -1, None, None)
 
 
 @pytest.mark.parametrize("separator", [",", "\t"])
 def test_clicks(spark, separator):
     row = P.parse_ctr(lines(spark, separator.join(["0", "1", "", "68fd1e64"]))).first()
-    assert row.label == 0.0
+    assert row.status == 1 and row.label == 0.0
+    assert tuple(P.parse_ctr(lines(spark, separator.join(["a", "1"]))).first())[1:] == (-1, None, None)
     assert [(f.feature, f.value) for f in row.features] == [(0, "1"), (1, ""), (2, "68fd1e64")]
 
 
 def test_series(spark):
     row = P.parse_series(lines(spark, "3 4 103.0 107.5 99")).first()
-    assert (row.x, row.y, row.ts) == (3, 4, [103.0, 107.5, 99.0])
+    assert (row.status, row.x, row.y, row.ts) == (1, 3, 4, [103.0, 107.5, 99.0])
+    assert [r.status for r in P.parse_series(lines(spark, "3 4 a", "3", "")).collect()] == [-1, -1, -1]
 
 
 def test_json_lines(spark):

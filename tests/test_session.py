@@ -32,35 +32,29 @@ def test_the_named_folder_is_used():
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
-    class Option:
-        def isDefined(self):
-            return False
-
-    class Context:
-        master = "spark://host:7077"
-
     class Cluster:
         class conf:
             @staticmethod
             def get(key, default):
                 return default
 
-        class _jsc:
-            @staticmethod
-            def sc():
-                return type("Sc", (), {"getCheckpointDir": lambda self: Option()})()
+        class sparkContext:
+            master = "spark://host:7077"
 
-        sparkContext = Context()
+            @staticmethod
+            def getCheckpointDir():
+                return None
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Cluster())
 
 
-def test_small_input_is_dealt_out_and_large_input_left_alone(spark):
-    small = spark.range(100).coalesce(1)
-    assert session.balanced(small).rdd.getNumPartitions() == 8
-    large = spark.range(0, 100, 1, 32)
-    assert session.balanced(large) is large
+def test_scratch_tables_can_be_removed(spark):
+    kept = session.stable(spark.range(3))
+    folder = pathlib.Path("/" + kept.inputFiles()[0].removeprefix("file:").lstrip("/")).parent
+    assert kept.count() == 3 and folder.is_dir()
+    session.remove_scratch(spark)
+    assert not folder.exists()
 
 
 def test_task_functions_need_no_package_on_the_executors(data):
