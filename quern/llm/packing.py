@@ -23,13 +23,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from quern.llm.common import documents, stable
+from quern.llm.common import documents, kept_in_worker, stable
 
 LENGTH = 2048
 UNIT = 8
 END = 1
 _CHARS_AT_ONCE = 1 << 22
-_CACHED = 200_000
+_CACHED = 400_000  # words, and parts, that a worker remembers
 
 
 def public_vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -39,12 +39,13 @@ def public_vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 class WordEncoder:
-    """Ids of whole texts, each distinct word between blanks encoded once per batch of texts.
+    """Ids of whole texts, each distinct word between blanks encoded once and remembered.
 
     The vocabulary's rules drop blanks and never look across them, so the ids of a text are
-    those of its words. Words of Latin letters, digits and signs are joined into long
-    strings to encode; their ids are told apart by the tokens that end a word, counted by
-    the pattern the vocabulary splits with. Other words are encoded one by one.
+    those of its words. Words of Latin letters, digits and signs are lowered and cut by the
+    vocabulary's pattern first, and their parts are remembered too; new parts are encoded as
+    long strings with blanks between them and told apart by the tokens that end a part.
+    Other words are encoded one by one. Ids are kept as bytes of unsigned 32-bit integers.
     """
 
     def __init__(self, path: str):
@@ -59,39 +60,56 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.latin = regex.compile(r"[\x21-\x7eÀ-įı-ſ]+")
-        self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.cache: dict[str, np.ndarray] = {"": np.empty(0, np.uint32)}
-
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        # letters that one lower-case letter replaces and that compose with nothing
+        self.plain = regex.compile(r"[\x21-\x7e\u00c0-\u012f\u0131-\u024f]+")
+        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+
+    def _encode(self, strings: list[str]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in encoded]
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.latin.fullmatch(w)]
-        for w, ids in zip(other := [w for w in words if not self.latin.fullmatch(w)], self._encode(other)):
-            self.cache[w] = ids
-        groups = [plain[i : i + 1000] for i in range(0, len(plain), 1000)]
+    def _learn_parts(self, parts: list[str]) -> None:
+        groups = [parts[i : i + 1000] for i in range(0, len(parts), 1000)]
         for group, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
-            n = np.array([len(self.parts.findall(w.lower())) for w in group])
-            ends = np.flatnonzero(self.ends[ids])
-            if len(ends) != n.sum():
-                self.cache.update(zip(group, self._encode(group)))
-                continue
-            stops = ends[np.cumsum(n) - 1] + 1
-            self.cache.update(zip(group, np.split(ids, stops[:-1])))
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(group):
+                raw = ids.tobytes()
+                self.parts.update(zip(group, (raw[a:b] for a, b in zip([0, *stops], stops))))
+            else:
+                self.parts.update((p, i.tobytes()) for p, i in zip(group, self._encode(group)))
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.words) > _CACHED:
+            self.words = {"": b""}
+        if len(self.parts) > _CACHED:
+            self.parts = {}
+        other, cut = [], {}
+        for w in words:
+            if self.plain.fullmatch(w):
+                cut[w] = self.cut.findall(w.lower())
+            else:
+                other.append(w)
+        self._learn_parts(list({p for ps in cut.values() for p in ps if p not in self.parts}))
+        known = self.parts
+        self.words.update((w, b"".join([known[p] for p in ps])) for w, ps in cut.items())
+        self.words.update((w, ids.tobytes()) for w, ids in zip(other, self._encode(other)))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end mark, and where each text ends."""
         split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         coded = split.values.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if len(self.cache) > _CACHED:
-            self.cache = {"": np.empty(0, np.uint32)}
-        self._learn([w for w in words if w not in self.cache])
-        ids = [*[self.cache[w] for w in words], np.array([END], np.uint32)]
-        sizes = np.array([len(i) for i in ids], np.int64)
-        flat, begins = np.concatenate(ids), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        ids = [self.words.get(w) for w in words]
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            self._learn([words[i] for i in new])
+            for i in new:
+                ids[i] = self.words[words[i]]
+        ids.append(np.uint32(END).tobytes())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, begins = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes) - sizes
         stops = split.offsets.to_numpy()[1:]
         code = np.insert(coded.indices.to_numpy().astype(np.int64), stops, len(words))
         size = sizes[code]
@@ -124,7 +142,7 @@ def pieces(
     schema = docs.select(F.col(f"`{doc_id}`").alias("doc_id")).schema.simpleString()[7:-1].replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(path)
+        encode = kept_in_worker(("WordEncoder", path), lambda: WordEncoder(path))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for part in _slices(texts):
@@ -278,11 +296,12 @@ def plan(demand: dict[int, int], capacity: int) -> Plan:
     return result
 
 
-def assigned(cut: DataFrame, length: int = LENGTH, unit: int = UNIT, group_rows: int = 50_000) -> DataFrame:
+def assigned(cut: DataFrame, length: int = LENGTH, unit: int = UNIT, group_rows: int = 500) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces that have a ``length``.
 
     Pieces are written with a number of their own and ranked within their size by counting
-    groups of such numbers first, so a frequent size is never sorted in one task.
+    groups of about ``group_rows`` such numbers first, so a frequent size is never sorted in
+    one task.
     """
     spark = cut.sparkSession
     rows = stable(
@@ -291,8 +310,9 @@ def assigned(cut: DataFrame, length: int = LENGTH, unit: int = UNIT, group_rows:
     histogram = {r._units: r.n for r in rows.groupBy("_units").agg(F.count("*").alias("n")).collect()}
     places = plan(histogram, length // unit).places()
     places = spark.createDataFrame(places, "_units int, _from bigint, _to bigint, _each int, _first bigint")
-    parts = max(1, -(-sum(histogram.values()) // group_rows))
-    rows = rows.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(parts)))
+    # a row for each size, so at most length / unit rows
+    parts = spark.createDataFrame([(u, -(-n // group_rows)) for u, n in histogram.items()], "_units int, _parts bigint")
+    rows = rows.join(F.broadcast(parts), "_units").withColumn("_group", F.pmod(F.xxhash64("_row"), "_parts"))
     sizes = rows.groupBy("_units", "_group").agg(F.count("*").alias("_n"))
     before = W.partitionBy("_units").orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_units", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
