@@ -32,12 +32,12 @@ def one_hot_encode(points: DataFrame, dictionary: DataFrame, id_col: str) -> Dat
     A null category is the empty one. Frequent categories are cut into several tasks by
     adaptive execution. A point's own list is bounded by its features.
     """
-    each = _pairs(points, id_col)
-    found = lookup_join(each, dictionary, ["feature", "value"])
-    encoded = found.groupBy(id_col).agg(F.array_sort(F.collect_set("idx")).alias("idx"))
-    empty = F.array().cast("array<bigint>")
     rest = [c for c in points.columns if c != "features"]
-    return points.select(*rest).join(encoded, id_col, "left").withColumn("idx", F.coalesce("idx", empty))
+    value = F.coalesce("f.value", F.lit("")).alias("value")
+    each = points.select(*rest, F.explode_outer("features").alias("f")).select(*rest, "f.feature", value)
+    found = lookup_join(each, dictionary, ["feature", "value"], "left")
+    indices = F.array_sort(F.collect_set("idx")).alias("idx")
+    return found.groupBy(id_col).agg(*[F.any_value(c).alias(c) for c in rest if c != id_col], indices).select(*rest, "idx")
 
 
 def hash_features(features: Column, buckets: int) -> Column:

@@ -74,31 +74,32 @@ FROM lineitem
 """
 
 
-GRAM = 4  # words in a key
+GRAM = 4  # words in a key at most
 
 
 def contained_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Pairs ``item_id, doc_id`` where the document has the item's text, found by word runs.
 
-    Words inside the item are whole words of any document that has it, so a run of them
-    is an equality key; only documents that share it are searched for the text. Items of
-    fewer than ``GRAM + 2`` words have no such run and raise an error.
+    Words inside the item are whole words of any document that has it, so a run of up to
+    ``GRAM`` of them is an equality key; only documents that share it are searched for the
+    text. Items of one or two words have no inside: all their words must be whole.
     """
     words = F.split("text", " ", -1)
-    short = items.filter(F.size(words) < GRAM + 2)
-    if not short.isEmpty():
-        raise ValueError(f"items need at least {GRAM + 2} words")
-    keys = items.select(
-        "item_id", F.col("text").alias("item"), F.xxhash64(F.concat_ws(" ", F.slice(words, 2, GRAM))).alias("run")
+    inner = F.size(words) - 2
+    length = F.when(inner > 0, F.least(inner, F.lit(GRAM))).otherwise(F.size(words))
+    key = F.slice(words, F.when(inner > 0, 2).otherwise(1), length)
+    keys = items.filter(F.col("text").isNotNull()).select(
+        "item_id", F.col("text").alias("item"), F.xxhash64(F.concat_ws(" ", key)).alias("run")
     )
-    listed = documents.select("doc_id", words.alias("_w")).filter(F.size("_w") >= GRAM)
-    run = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), F.size("_w") - GRAM + 1),
-            lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_w", i, GRAM))),
-        )
-    )
-    runs = exploded(listed, "doc_id", run=run)
+    listed = documents.select("doc_id", words.alias("_w"))
+    used = [r[0] for r in items.select(length).distinct().collect() if r[0]]  # at most GRAM numbers
+
+    def runs_of(n: int) -> Column:
+        places = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_w", i, n))))
+
+    none = F.array().cast("array<bigint>")
+    runs = exploded(listed, "doc_id", run=F.array_distinct(F.concat(none, *[runs_of(n) for n in used])))
     candidates = lookup_join(runs, keys, "run").select("item_id", "item", "doc_id")
     found = candidates.join(documents.select("doc_id", "text"), "doc_id").filter(F.contains("text", "item"))
     return found.select("item_id", "doc_id")
