@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from quern.functions.vectors import fold_by_block, fold_by_period, rescale_series
 from quern.operators import features as C, logistic as L, pca as P, recommend as R, regression as G, sampling as S
 from quern.plans.catalog import query
-from quern.plans.data import event_points, points, r, ratings, titles, vectors
-from quern.plans.features import BUCKETS, WEIGHTS
+from quern.plans.data import POINTS_SQL, event_points, points, r, ratings, titles, vectors
+from quern.plans.features import BUCKETS, WEIGHTS, split_sql
 
 
 def _split_points(t):
@@ -25,31 +25,95 @@ def _model_rows(t, model):
     return t.spark.createDataFrame(rows, "pos int, weight double")
 
 
-@query()
+# Squared error needs only sums of products, so a recursive query can repeat the steps of a fit.
+
+PLAIN = ["f0", "f1", "f2", "f3"]
+INTERACTIONS = PLAIN + [f"{a} * {b}" for a in PLAIN for b in PLAIN]
+
+
+def moments_sql(name: str, part: int, features: list[str]) -> str:
+    """A common table of one row: ``n``, products ``s`` and ``y`` of the features with each other and the label, ``yy``."""
+    products = ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in features) + "]" for a in features)
+    labels = ", ".join(f"sum({a} * label)" for a in features)
+    source = split_sql("l_orderkey", f"({POINTS_SQL})")
+    return f"""{name} AS (SELECT count(*) AS n, [{products}] AS s, [{labels}] AS y, sum(label * label) AS yy
+        FROM ({source}) WHERE split = {part})"""
+
+
+RMSE_SQL = """sqrt(greatest((list_dot_product(w, list_transform(s, lambda r: list_dot_product(r, w)))
+    - 2 * list_dot_product(w, y) + yy) / n, 0))"""
+
+
+def sgd_sql(features: list[str], settings: list[tuple[str, int, float, float]]) -> str:
+    """Common tables ``m`` (moments of the training part) and ``fit``: ``setting, w`` after all steps."""
+    d = len(features)
+    rows = ", ".join(f"('{name}', {n}, {step!r}::DOUBLE, {reg!r}::DOUBLE)" for name, n, step, reg in settings)
+    start = "[" + ", ".join(["0"] * (d - 1) + ["1"]) + "]::DOUBLE[]"
+    step = """list_transform(range(1, %d), lambda k: w[k] * (1 - step / sqrt(i + 1) * reg)
+        - step / sqrt(i + 1) * (list_dot_product(s[k], w) - y[k]) / n)""" % (d + 1)
+    return f"""{moments_sql("m", 0, features)},
+    it AS (SELECT *, 0 AS i, {start} AS w FROM (VALUES {rows}) v(setting, iterations, step, reg)
+           UNION ALL SELECT setting, iterations, step, reg, i + 1, {step} FROM it, m WHERE i < iterations),
+    fit AS (SELECT setting, w FROM it WHERE i = iterations)"""
+
+
+ONE = "1.0::DOUBLE"
+
+
+@query(f"""
+WITH RECURSIVE {moments_sql("m", 0, PLAIN)},
+it AS (SELECT 0 AS i, [0, 0, 0, 0]::DOUBLE[] AS w UNION ALL
+       SELECT i + 1, list_transform(range(1, 5), lambda k: w[k] - (list_dot_product(s[k], w) - y[k]) / (n * sqrt(i + 1)))
+       FROM it, m WHERE i < 49)
+SELECT i AS iteration, round({RMSE_SQL}, 6) AS rmse FROM it, m
+""")
 def linreg_gd(t):
     model = G.linreg_gd(_split_points(t)[0], 50)
     rows = [(i, float(e)) for i, e in enumerate(model.errors)]
-    return t.spark.createDataFrame(rows, "iteration int, rmse double")
+    return t.spark.createDataFrame(rows, "iteration int, rmse double").withColumn("rmse", r("rmse", 6))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {sgd_sql([*PLAIN, ONE], [("a", 500, 1.0, 0.1)])}
+SELECT (generate_subscripts(w, 1) - 1)::INT AS pos, round(unnest(w), 6) + 0.0 AS weight FROM fit
+""")
 def linreg_sgd(t):
-    return _model_rows(t, G.linreg_sgd(_split_points(t)[0], iterations=500, step=1.0, reg=0.1))
+    rows = _model_rows(t, G.linreg_sgd(_split_points(t)[0], iterations=500, step=1.0, reg=0.1))
+    return rows.withColumn("weight", r("weight", 6))
 
 
-@query()
+REGS = [{"iterations": 500, "step": 1.0, "reg": g} for g in (1e-10, 1e-5, 1.0)]
+STEPS = [{"iterations": n, "step": a, "reg": 1e-10} for a in (1e-5, 10.0) for n in (500, 5)]
+
+
+def _setting(s: dict) -> str:
+    return ", ".join(f"{k}={v:g}" for k, v in s.items())
+
+
+@query(f"""
+WITH RECURSIVE {sgd_sql([*PLAIN, ONE], [(_setting(s), s["iterations"], s["step"], s["reg"]) for s in REGS + STEPS])},
+{moments_sql("v", 1, [*PLAIN, ONE])},
+e AS (SELECT setting, {RMSE_SQL} AS rmse FROM fit, v)
+SELECT setting, CASE WHEN rmse < 1e6 THEN round(rmse, 5) END AS rmse FROM e
+""")
 def grid_search(t):
+    """Settings whose steps run away have no error."""
     train, validation, _ = _split_points(t)
-    regs = [{"iterations": 500, "step": 1.0, "reg": g} for g in (1e-10, 1e-5, 1.0)]
-    steps = [{"iterations": n, "step": a, "reg": 1e-10} for a in (1e-5, 10.0) for n in (500, 5)]
-    return G.grid_search(train, validation, regs + steps)[1]
+    tried = G.grid_search(train, validation, REGS + STEPS)[1]
+    return tried.withColumn("rmse", F.when(F.col("rmse") < 1e6, r("rmse", 5)))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {sgd_sql([*INTERACTIONS, ONE], [("a", 500, 1.0, 1e-10)])},
+{moments_sql("v", 1, [*INTERACTIONS, ONE])}, {moments_sql("t", 2, [*INTERACTIONS, ONE])}
+SELECT 'validation' AS part, round({RMSE_SQL}, 5) AS rmse FROM fit, v UNION ALL
+SELECT 'test', round({RMSE_SQL}, 5) FROM fit, t
+""")
 def linreg_interactions(t):
     train, validation, test = _split_points(t)
     parts = {"validation": validation, "test": test}
-    return G.linreg_interactions(train, parts, iterations=500, step=1.0, reg=1e-10)[1]
+    found = G.linreg_interactions(train, parts, iterations=500, step=1.0, reg=1e-10)[1]
+    return found.withColumn("rmse", r("rmse", 5))
 
 
 def _hashed_points(t):
@@ -108,6 +172,25 @@ def pca_fit(t):
     return P.eigen_table(t.embeddings, model)
 
 
+COVARIANCE_SQL = """
+SELECT i, j, covar_pop(embedding[i]::DOUBLE, embedding[j]::DOUBLE) AS c
+FROM embeddings, range(1, 65) a(i), range(1, 65) b(j) GROUP BY i, j
+"""
+
+
+@query(f"""
+WITH c AS ({COVARIANCE_SQL})
+SELECT 1 AS power, round(sum(c), 6) AS total FROM c WHERE i = j UNION ALL
+SELECT 2, round(sum(c * c), 6) FROM c UNION ALL
+SELECT 3, round(sum(x.c * y.c * z.c), 6) FROM c x JOIN c y ON x.j = y.i JOIN c z ON y.j = z.i AND z.j = x.i
+""")
+def pca_eigenvalue_moments(t):
+    """Sums of powers of the eigenvalues, which are the traces of powers of the covariance."""
+    model = P.pca_fit(vectors(t), "v", 1)
+    rows = [(k, round(float((model.eigenvalues**k).sum()), 6)) for k in (1, 2, 3)]
+    return t.spark.createDataFrame(rows, "power int, total double")
+
+
 @query()
 def pca_scores(t):
     return P.pca_scores(vectors(t), "v", 3).select("vec_id", F.posexplode("scores").alias("pos", "score"))
