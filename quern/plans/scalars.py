@@ -222,12 +222,16 @@ def apply_matrix(t):
     return positions(t, V.apply_matrix(F.col("v"), matrix), 8)
 
 
+# Features that interact: their products grow with the square of this.
+INTERACTION_WIDTH = 16
+
+
 @query(positions_sql(
     "v || flatten(list_transform(v, lambda a: list_transform(v, lambda b: a * b)))", 9,
-    f"(SELECT vec_id, {E} AS v FROM embeddings)",
+    f"(SELECT vec_id, ({E})[1:{INTERACTION_WIDTH}] AS v FROM embeddings)",
 ))
 def two_way_interactions(t):
-    return positions(t, V.two_way_interactions(F.col("v")))
+    return positions(t, V.two_way_interactions(F.slice("v", 1, INTERACTION_WIDTH)))
 
 
 @query("""
