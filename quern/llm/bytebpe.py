@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from quern.llm.common import documents, stable
+from quern.llm.common import documents, sliced, stable
 
 CHUNK = 1 << 16
 OVERLAP = 512
@@ -55,7 +55,7 @@ def _encoder(ranks: str, pattern: str, names: list[str]) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(ranks, pattern).encode_ordinary
-        for batch in batches:
+        for batch in sliced(batches):
             texts, start, size, ids = batch.column(len(names) - 1).to_pylist(), 0, 0, []
             for i, text in enumerate(texts, 1):
                 ids.append(np.array(encode(text or ""), np.int32))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from quern.session import stable
 
-__all__ = ["documents", "fresh", "kept_in_worker", "let", "once", "span_digest", "span_text", "stable", "with_arrow_column"]
+__all__ = ["documents", "fresh", "kept_in_worker", "let", "once", "sliced", "span_digest", "span_text", "stable", "with_arrow_column"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,14 @@ def kept_in_worker(key: tuple, make: Callable):
     return state[key]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a task holds the Python objects of few rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def with_arrow_column(
     df: DataFrame, source: str, name: str, kind: T.DataType, make: Callable[[], Callable[[list], pa.Array]]
 ) -> DataFrame:
@@ -61,7 +69,7 @@ def with_arrow_column(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
+        for batch in sliced(batches):
             values = fn(batch.column(len(kept)).to_pylist())
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], values], [*kept, name])
 

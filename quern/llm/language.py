@@ -20,13 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from quern.llm.common import documents, with_arrow_column
+from quern.llm.common import documents, sliced, with_arrow_column
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
 _LETTERS_TO = 0x32400  # the end of the last block with letters
 _LANGUAGES_AT_ONCE = 64
-_CHARS_AT_ONCE = 1 << 21
+_CHARS_AT_ONCE = 1 << 19
 
 
 def letter_table() -> np.ndarray:
@@ -78,7 +78,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["lang", "bucket", "n"],
             )
 
-    for batch in batches:
+    for batch in sliced(batches):
         by_lang: dict[str, list[str]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             by_lang.setdefault(lang, []).append(text)

@@ -23,13 +23,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from quern.llm.common import documents, kept_in_worker, stable
+from quern.llm.common import documents, kept_in_worker, sliced, stable
 
 LENGTH = 2048
 UNIT = 8
 END = 1
-_CHARS_AT_ONCE = 1 << 22
-_CACHED = 400_000  # words, and parts, that a worker remembers
+_CHARS_AT_ONCE = 1 << 21
+_WORDS, _PARTS = 200_000, 300_000  # that a worker remembers
+_BREAK = b"\xff" * 4
 
 
 def public_vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -62,9 +63,9 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         # letters that one lower-case letter replaces and that compose with nothing
         self.plain = regex.compile(r"[\x21-\x7e\u00c0-\u012f\u0131-\u024f]+")
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
         self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"\n": _BREAK}
 
     def _encode(self, strings: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
@@ -81,19 +82,18 @@ class WordEncoder:
                 self.parts.update((p, i.tobytes()) for p, i in zip(group, self._encode(group)))
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.words) > _CACHED:
+        if len(self.words) > _WORDS:
             self.words = {"": b""}
-        if len(self.parts) > _CACHED:
-            self.parts = {}
-        other, cut = [], {}
-        for w in words:
-            if self.plain.fullmatch(w):
-                cut[w] = self.cut.findall(w.lower())
-            else:
-                other.append(w)
-        self._learn_parts(list({p for ps in cut.values() for p in ps if p not in self.parts}))
-        known = self.parts
-        self.words.update((w, b"".join([known[p] for p in ps])) for w, ps in cut.items())
+        if len(self.parts) > _PARTS:
+            self.parts = {"\n": _BREAK}
+        other = []
+        if not self.plain.fullmatch("".join(words)):
+            other = [w for w in words if not self.plain.fullmatch(w)]
+            words = [w for w in words if self.plain.fullmatch(w)]
+        parts = self.cut.findall("\n".join(words).lower())
+        self._learn_parts(list({p for p in parts if p not in self.parts}))
+        # no id has four bytes of 255 in it or across its end, so a break is found where it was put
+        self.words.update(zip(words, b"".join(map(self.parts.__getitem__, parts)).split(_BREAK)))
         self.words.update((w, ids.tobytes()) for w, ids in zip(other, self._encode(other)))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +143,7 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = kept_in_worker(("WordEncoder", path), lambda: WordEncoder(path))
-        for batch in batches:
+        for batch in sliced(batches, 4096):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for part in _slices(texts):
                 ids, ends = encode([texts[i] for i in part])

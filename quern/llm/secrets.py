@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from quern.llm.common import SPANS, documents, span_digest, span_text, with_arrow_column
+from quern.llm.common import SPANS, documents, sliced, span_digest, span_text, with_arrow_column
 
 KINDS = ("assign", "access", "hex", "markov")
 
@@ -90,7 +90,7 @@ def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of symbol pairs of one task, for both labels: at most 2 * SYMBOLS**2 rows."""
     table, size = _symbol_table(), SYMBOLS * SYMBOLS
     counts = np.zeros(2 * size, np.int64)
-    for batch in batches:
+    for batch in sliced(batches):
         for text in batch.column(0).to_pylist():
             if not text:
                 continue

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quern.llm.bytebpe import encoding, public_ranks
-from quern.llm.common import documents, fresh
+from quern.llm.common import documents, fresh, sliced
 
 BLOCK = 64
 _CACHED = 200_000
@@ -163,7 +163,7 @@ def counted(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = Counter(ranks, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for t, es in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()):
                 tree = TokenTree(t or "", count)
