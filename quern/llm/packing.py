@@ -29,7 +29,7 @@ LENGTH = 2048
 UNIT = 8
 END = 1
 _CHARS_AT_ONCE = 1 << 21
-_WORDS, _PARTS = 200_000, 300_000  # that a worker remembers
+_WORDS, _PARTS = 400_000, 500_000  # that a worker remembers
 _BREAK = b"\xff" * 4
 
 
