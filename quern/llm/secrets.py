@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns, and runs of characters that look random rather than named.
 
 Two character Markov chains are trained: one of random strings, one of ordinary
-identifiers. A run of secret characters is reported when its log-likelihood ratio between
-the two outweighs the prior odds. Labelled samples come from the corpus itself: values that
-the fixed patterns find are random, every other run of the texts is ordinary.
+identifiers. Every run of secret characters is scored, whatever its length and characters;
+what a fixed pattern finds in it is cut out and the pieces left are runs of their own. A run
+is reported when its log-likelihood ratio between the two chains outweighs the prior odds.
+Labelled samples come from the corpus itself: values that the fixed patterns find are
+random, every other run of the texts is ordinary.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned each on their
 own; an empty table gives no rows, and a model without samples falls back to its uniform
@@ -33,6 +35,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 #: Characters of the chains; every other character ends a run and has symbol 0.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SYMBOLS = len(ALPHABET) + 1
+_UPPER, _LOWER = slice(1, 27), slice(27, 53)  # symbols of capitals and of small letters
 HEXADECIMAL = "0123456789abcdef"
 
 
@@ -63,26 +66,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 class Model:
     """``ratio[a, b]``: log-likelihood ratio, random against ordinary, of symbol b after a.
 
-    ``prior``: log odds that an ordinary run must be outweighed by. ``shortest``: length
-    from which a run is scored.
+    ``prior``: log odds that an ordinary run must be outweighed by. Short runs are mostly
+    words, so each character that a run has less than ``full`` adds ``short`` to them.
     """
 
     ratio: np.ndarray
     prior: float = 14.0
-    shortest: int = 16
-
-    def spans(self, text: str, table: np.ndarray, runs: re.Pattern) -> list[tuple[int, int, int]]:
-        base = base_spans(text)
-        found = list(base)
-        for m in runs.finditer(text):
-            if any(s < m.end() and m.start() < e for s, _, e in base):
-                continue
-            run = m.group()
-            if run.isalpha() or run.isdigit() or not any(c.isdigit() for c in run):
-                continue  # a word or a number
-            s = symbols(" " + run, table)
-            if self.ratio[s[:-1], s[1:]].sum() > self.prior:
-                found.append((m.start(), 3, m.end()))
+    full: int = 16
+    short: float = 0.5
+
+    def spans(self, text: str, table: np.ndarray) -> list[tuple[int, int, int]]:
+        found = base_spans(text)
+        s = symbols(f" {text} ", table).astype(np.int32)
+        for start, _, end in found:
+            s[start + 1 : end + 1] = 0  # the rest of the run is scored as pieces
+        edges = np.flatnonzero(np.diff(s > 0))
+        starts, ends = edges[::2], edges[1::2]
+        if len(starts):
+            score = np.add.reduceat(self.ratio.ravel().take(s[:-1] * SYMBOLS + s[1:]), starts)
+            odds = self.prior + self.short * np.maximum(0, self.full - (ends - starts))
+            found += [(int(starts[i]), 3, int(ends[i])) for i in np.flatnonzero(score > odds)]
         return sorted(found)
 
 
@@ -105,12 +108,26 @@ def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], ["cell", "n"])
 
 
-def train(docs: DataFrame, text: str = "text", prior: float = 14.0, weight: float = 2000.0) -> Model:
+def _compounds(ordinary: np.ndarray) -> np.ndarray:
+    """Chances of the next symbol in names put together from ordinary words, like camelCase.
+
+    After a small letter a word begins with a capital; capitals go on as small letters do.
+    """
+    begin = ordinary[0, _UPPER] + ordinary[0, _LOWER] + 0.5
+    folded = ordinary[_UPPER, _UPPER] + ordinary[_UPPER, _LOWER] + ordinary[_LOWER, _LOWER] + 0.5
+    chances = np.zeros((SYMBOLS, SYMBOLS))
+    chances[_LOWER, _UPPER] = begin / begin.sum()
+    chances[_UPPER, _UPPER] = folded / folded.sum(1, keepdims=True)
+    return chances
+
+
+def train(docs: DataFrame, text: str = "text", prior: float = 14.0, weight: float = 2000.0, compound: float = 0.01) -> Model:
     """Fits both chains on all texts; the driver gets one count per pair of symbols and label.
 
     ``weight`` is the size of the prior of the random chain, half uniform over the whole
     alphabet and half over hexadecimal digits, so that kinds of secrets the corpus does not
-    show are not taken for impossible.
+    show are not taken for impossible. ``compound`` is the chance that an ordinary letter is
+    followed as in names made of several words, which a corpus of prose does not show.
     """
     rows = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(_transitions, "cell int, n bigint")
     counts = np.zeros(2 * SYMBOLS * SYMBOLS)
@@ -125,9 +142,13 @@ def train(docs: DataFrame, text: str = "text", prior: float = 14.0, weight: floa
     random, ordinary = random.copy(), ordinary.copy()
     random[:, 0] = ordinary[:, 0] = 0
     random = random + weight * uniform
+    compounds = _compounds(ordinary)
     ordinary = ordinary + 0.5
     ordinary[:, 0] = random[:, 0] = 1e-9
-    ratio = np.log(random / random.sum(1, keepdims=True)) - np.log(ordinary / ordinary.sum(1, keepdims=True))
+    ordinary /= ordinary.sum(1, keepdims=True)
+    letters = slice(_UPPER.start, _LOWER.stop)
+    ordinary[letters] = (1 - compound) * ordinary[letters] + compound * compounds[letters]
+    ratio = np.log(random / random.sum(1, keepdims=True)) - np.log(ordinary)
     ratio[:, 0] = 0
     return Model(ratio, prior)
 
@@ -138,12 +159,11 @@ def find(docs: DataFrame, model: Model, text: str = "text", out: str = "secrets"
 
     def make():
         table, names = _symbol_table(), list(KINDS)
-        runs = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % model.shortest)
 
         def scan(texts: list) -> pa.Array:
             return pa.array(
                 [
-                    [{"kind": names[k], "start": s, "end": e} for s, k, e in model.spans(t or "", table, runs)]
+                    [{"kind": names[k], "start": s, "end": e} for s, k, e in model.spans(t or "", table)]
                     for t in texts
                 ],
                 pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])),
