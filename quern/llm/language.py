@@ -115,28 +115,40 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: fl
     return Model(tuple(map(str, names)), np.log(p).astype(np.float32))
 
 
-def _shares(likely: np.ndarray, doc: np.ndarray, first: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple:
-    """EM: shares of the allowed languages in each text, and the log of the mixture by word."""
+def _shares(
+    likely: np.ndarray, doc: np.ndarray, first: np.ndarray, allowed: np.ndarray, rounds: int, moved: float
+) -> tuple:
+    """EM: shares of the allowed languages in each text, and the log of the mixture by word.
+
+    A text is done when none of its own shares moves by ``moved``, whatever texts stand beside it.
+    """
     n = np.diff(np.append(first, len(doc)))[:, None]
-    share = allowed / allowed.sum(1, keepdims=True)
+    share = allowed / allowed.sum(1, keepdims=True, dtype=np.float64)
+    live, own, size = np.arange(len(first)), likely, n  # texts that still move, and their words
     for _ in range(rounds):
-        part = likely * share[doc]
+        start = np.cumsum(size) - size[:, 0]
+        old = share[live]
+        part = own * np.repeat(old, size[:, 0], 0)
         part /= part.sum(1, keepdims=True)
-        new = np.add.reduceat(part, first) / n
-        moved = np.abs(new - share).max()
-        share = new
-        if moved < 1e-3:
+        share[live] = new = np.add.reduceat(part, start) / size
+        moving = np.abs(new - old).max(1) >= moved
+        if not moving.all():
+            own = own[np.repeat(moving, size[:, 0])]
+            live, size = live[moving], size[moving]
+        if not len(live):
             break
     return share, np.log((likely * share[doc]).sum(1))
 
 
 def mixtures(
-    texts: list[str], model: Model, letters: np.ndarray, penalty: float = 5.0, most: int = 3, rounds: int = 30
+    texts: list[str], model: Model, letters: np.ndarray, penalty: float = 5.0, rounds: int = 200, moved: float = 1e-4
 ) -> np.ndarray:
     """Shares of the languages in each text, zero outside the set chosen; all zero without a letter.
 
     Sets are nested in order of the shares among all languages; a language must raise the
-    log-likelihood by ``penalty`` times the log of one more than the number of words.
+    log-likelihood by ``penalty`` times the log of one more than the number of words. Sets
+    of any size count; a text is left when no larger set can be better. The shares of a
+    text do not depend on the other texts.
     """
     result = np.zeros((len(texts), len(model.languages)), np.float32)
     bucket, word, doc = grams(texts, letters)
@@ -147,18 +159,28 @@ def mixtures(
     likely = np.maximum(np.exp(log_word - top), 1e-30)
     present, doc = np.unique(doc, return_inverse=True)
     first = np.flatnonzero(np.diff(doc, prepend=-1))
-    cost = penalty * np.log1p(np.diff(np.append(first, len(doc))))
-    share, _ = _shares(likely, doc, first, np.ones((len(present), likely.shape[1]), np.float32), rounds)
+    size = np.diff(np.append(first, len(doc)))
+    cost = penalty * np.log1p(size)
+    share, log_mix = _shares(likely, doc, first, np.ones((len(present), likely.shape[1]), np.float32), rounds, moved)
     order = np.argsort(-share, 1, kind="stable")
+    # the log-likelihood is concave in the shares: no mixture is above this limit
+    slope = np.add.reduceat(likely / np.exp(log_mix)[:, None], first).max(1) / size
+    limit = np.add.reduceat(log_mix.astype(np.float64), first) + size * np.log(np.maximum(slope, 1))
     best = np.full(len(present), -np.inf)
-    chosen = np.zeros_like(share)
-    for k in range(1, min(most, likely.shape[1]) + 1):
-        allowed = np.zeros_like(share)
-        np.put_along_axis(allowed, order[:, :k], 1, 1)
-        own, log_mix = _shares(likely, doc, first, allowed, rounds)
-        value = np.add.reduceat(log_mix.astype(np.float64), first) - (k - 1) * cost
-        better = value > best
-        best[better], chosen[better] = value[better], own[better]
+    chosen = np.zeros(share.shape, np.float32)
+    left = np.arange(len(present))  # texts that a larger set may fit better
+    for k in range(1, likely.shape[1] + 1):
+        allowed = np.zeros((len(left), likely.shape[1]), np.float32)
+        np.put_along_axis(allowed, order[left, :k], 1, 1)
+        own, log_mix = _shares(likely, doc, first, allowed, rounds, moved)
+        value = np.add.reduceat(log_mix.astype(np.float64), first) - (k - 1) * cost[left]
+        better = value > best[left]
+        best[left[better]], chosen[left[better]] = value[better], own[better]
+        more = limit[left] - k * cost[left] > best[left]
+        if not more.any():
+            break
+        likely, left, size = likely[more[doc]], left[more], size[more]
+        doc, first = np.repeat(np.arange(len(left)), size), np.cumsum(size) - size
     result[present] = chosen
     return result
 

@@ -201,6 +201,31 @@ def test_mixtures(spark, docs):
     assert got[2].lang_pred == "fr" and 0.5 < got[2].score < 0.85
 
 
+def four_languages():
+    """Languages of letters of their own, and a text that has a quarter of each."""
+    words = {"a": "abec ceba bace", "b": "fogi gofi figo", "c": "lumo molu ulom", "d": "ptsy stpy yspt"}
+    return words, " ".join(f"{w} " * 40 for w in words.values())
+
+
+def test_mixtures_of_all_languages(spark):
+    words, mixed = four_languages()
+    df = spark.createDataFrame([(f"{w} " * 50, x) for x, w in words.items()], "text string, lang string")
+    model = language.train(df)
+    pair = f"{words['a']} " * 60 + f"{words['b']} " * 20
+    shares = language.mixtures([mixed, pair, words["c"]], model, language.letter_table())
+    assert abs(shares[0] - 0.25).max() < 0.01
+    assert abs(shares[1] - [0.75, 0.25, 0, 0]).max() < 0.01 and list(shares[2]) == [0, 0, 1, 0]
+
+
+def test_mixtures_do_not_depend_on_the_batch(spark, docs):
+    model, letters = language.train(docs), language.letter_table()
+    texts = {x: docs.filter(f"lang = '{x}' and n_chars > 300").orderBy("doc_id").first().text for x in model.languages}
+    mixed = [a[:300] + " " + b[:200] for a in texts.values() for b in texts.values()]
+    mixed += [" ".join(w for pair in zip(a.split(), b.split()) for w in pair)[:200] for a in mixed for b in mixed[::5]]
+    together = language.mixtures(mixed, model, letters)
+    assert all((language.mixtures([t], model, letters)[0] == s).all() for t, s in zip(mixed, together))
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_odd_inputs(spark, empty):
     df = table(spark, [] if empty else ODD)
