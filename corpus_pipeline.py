@@ -22,9 +22,6 @@ from quern.llm.common import documents, fresh, stable  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Least share of a document that its main language must have.
-MAIN_LANGUAGE = 0.5
-
 
 def _names(docs: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in docs.columns]
@@ -37,11 +34,10 @@ def _replaced(docs: DataFrame, text: Column, *drop: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language, or without one that holds half of their words, go."""
+    """Documents without a language go; mixtures stay."""
     name = fresh(docs, "_language")
     found = language.predict(docs, language.train(language.learnable(docs)), out=name)
-    main = (F.col(f"{name}.lang_pred") != language.UNKNOWN) & (F.col(f"{name}.score") >= MAIN_LANGUAGE)
-    return found.filter(main).select(*_names(docs))
+    return found.filter(F.col(f"{name}.lang_pred") != language.UNKNOWN).select(*_names(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,6 +188,16 @@ def test_pipeline_against_stages_by_hand(spark, data, docs, word_bpe):
     check_packing(corpus_pipeline.run(spark, data).collect(), {i: word_bpe(t) for i, t in texts.items()})
 
 
+def test_pipeline_keeps_mixtures_of_languages(spark, data, docs):
+    words = {x: " ".join(r.text for r in docs.filter(f"lang = '{x}' and n_chars > 500").orderBy("doc_id").limit(5).collect()).split() for x in ("en", "fr", "de")}
+    assert all(len(w) >= 450 for w in words.values())
+    mixed = " ".join(words["en"][:450] + words["fr"][:300] + words["de"][:250])
+    even = " ".join(words["en"][:250] + words["fr"][:250])
+    rows = [(10**9 + i, t, None, "test", len(t)) for i, t in enumerate([mixed, even, "12 34 !?"])]
+    kept = corpus_pipeline.language_id(spark, docs.union(spark.createDataFrame(rows, docs.schema)), data)
+    assert {r.doc_id for r in kept.filter("doc_id >= 1000000000").collect()} == {10**9, 10**9 + 1}
+
+
 def test_pipeline_of_odd_tables(spark, docs):
     extra = docs.limit(0).selectExpr("*", "1 AS _fp", "'x' AS _quality")
     for _, stage in corpus_pipeline.STAGES[:-1]:
