@@ -113,7 +113,8 @@ def resolved(records: DataFrame) -> DataFrame:
     ``no_validator``. An entity tag decides where both sides have one, else the date of
     last modification. ``headers`` are those of the response, updated by the revisit.
     """
-    full = (F.col("type") == "response") & (F.col("status") == 200)
+    placed = F.col("url").isNotNull() & F.col("date").isNotNull()
+    full = (F.col("type") == "response") & (F.col("status") == 200) & placed
     again = (F.col("type") == "revisit") & (F.col("status") == 304)
     slim = records.select("record_id", "type", canonical_url(F.col("url")).alias("url"), "date", "http", "status")
     found = _latest_before(slim.filter(full | again).drop("status"))

@@ -152,6 +152,17 @@ def test_revisits_by_hand(spark):
     assert warc.resolved(warc.parsed(df.limit(0))).count() == 0
 
 
+def test_undated_responses_are_never_found(spark):
+    rows = [("response", "r0", "http://u/", None), ("revisit", "v0", "http://u/", 5), ("response", "r1", "http://u/", 7), ("revisit", "v1", "http://u/", 9)]
+    df = spark.createDataFrame(rows, "type string, record_id string, url string, t int").select(
+        "type", "record_id", "url", F.timestamp_seconds("t").alias("date"),
+        F.when(F.col("type") == "response", 200).otherwise(304).alias("status"),
+        F.create_map(F.lit("etag"), F.lit("1")).alias("http"),
+    )
+    got = {r.record_id: (r.outcome, r.response_id) for r in warc.resolved(df).collect()}
+    assert got == {"v0": ("no_response", None), "v1": ("resolved", "r1")}
+
+
 def test_one_hot_url_over_many_partitions(spark):
     rows = [("response" if i % 10 == 0 else "revisit", f"{i:05d}", "http://h/", i) for i in range(5, 3000)]
     df = spark.createDataFrame(rows, "type string, record_id string, url string, t int").select(
