@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import bytebpe, language, packing, pii, quality, secrets, simhash, tokencount, topk, warc
+from quern.llm import bytebpe, gridorder, language, packing, pii, quality, secrets, simhash, tokencount, topk, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_packing": packing.op10_packing,
+    "op13_embedding_near_dedup": gridorder.op13_embedding_near_dedup,
 }
 
 ORACLES: dict[str, str] = {

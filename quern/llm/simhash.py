@@ -66,7 +66,7 @@ def _steps(radius: int) -> list[int]:
     return sorted(s for s in steps if s >= 0)
 
 
-def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spanning_forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (node, smallest node reachable) of a graph, without the roots themselves."""
     nodes, index = np.unique(np.concatenate([u, v]), return_inverse=True)
     a, b = index[: len(u)], index[len(u) :]
@@ -99,7 +99,7 @@ def _compare(radius: int):
                     near = np.triu(near, 1)
                 x, y = np.nonzero(near)
                 if len(x):
-                    u, v = _forest(a[x], b[y])
+                    u, v = spanning_forest(a[x], b[y])
                     us.append(u)
                     vs.append(v)
             none = [np.empty(0, np.int64)]
