@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import bytebpe, gridorder, language, packing, pii, quality, secrets, simhash, tokencount, topk, warc
+from quern.llm import bytebpe, gridorder, language, packing, periods, pii, quality, repair, secrets, simhash, tokencount, topk, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_packing": packing.op10_packing,
+    "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_periodic_runs": periods.op12_periodic_runs,
     "op13_embedding_near_dedup": gridorder.op13_embedding_near_dedup,
 }
 
