@@ -4,8 +4,10 @@ An as-of join by canonical URL finds the latest earlier full response; it counts
 validators of both agree, and then its headers are updated by those that a not-modified
 answer may change. Column expressions only.
 
-Defined results: records without a URL, a date or a type are answered for as ``no_response``
-(revisits) or never found (responses); of responses with one URL and date the larger id
+Defined results: records without a URL or a date are answered for as ``no_response`` (revisits)
+or never found (responses), records without a type are neither; a revisit without an HTTP
+head counts as not modified, without validators, one with another status than 304 is not
+answered for; of responses with one URL and date the larger id
 counts; repeated header names are joined by commas; repeated revisits are resolved each on
 their own; an empty table gives no rows; columns other than the raw record and those named
 are ignored.
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from quern.llm.common import stable
+from quern.llm.common import let, once, stable
 
 #: Parameters that name a visit, not a page.
 TRACKING = "utm_[a-z]+|fbclid|gclid|ref|sessionid"
@@ -39,38 +41,51 @@ def canonical_url(url: Column) -> Column:
 
 def headers(block: Column) -> Column:
     """Map of a header block by lower-case name; repeated names are joined by commas."""
-    entries = F.filter(
-        F.transform(
-            F.split(block, "\r?\n", -1),
-            lambda x: F.struct(
-                F.lower(F.btrim(F.regexp_extract(x, "^([^:]+):", 1))).alias("name"),
-                F.btrim(F.regexp_extract(x, "^[^:]+:(.*)$", 1)).alias("value"),
-            ),
-        ),
-        lambda e: e["name"] != "",
-    )
-    names = F.array_distinct(F.transform(entries, lambda e: e["name"]))
+    lines = F.filter(F.split(block, "\n", -1), lambda x: F.instr(x, ":") > 1)
+
+    def entry(x: Column) -> Column:
+        colon = F.instr(x, ":")
+        return F.struct(
+            F.lower(F.btrim(F.substring(x, F.lit(1), colon - 1))).alias("name"),
+            F.btrim(F.substring(x, colon + 1, F.length(x))).alias("value"),
+        )
+
+    def as_map(entries: Column) -> Column:
+        names = F.array_distinct(F.transform(entries, lambda e: e["name"]))
 
-    def joined(n: Column) -> Column:
-        return F.array_join(F.transform(F.filter(entries, lambda e: e["name"] == n), lambda e: e["value"]), ", ")
+        def joined(n: Column) -> Column:
+            return F.array_join(F.transform(F.filter(entries, lambda e: e["name"] == n), lambda e: e["value"]), ", ")
 
-    return F.map_from_arrays(names, F.transform(names, joined))
+        repeats = F.map_from_arrays(names, F.transform(names, joined))
+        return F.when(F.size(names) == F.size(entries), F.map_from_entries(entries)).otherwise(repeats)
+
+    return let(F.filter(F.transform(lines, entry), lambda e: e["name"] != ""), as_map)
 
 
 def parsed(raw: DataFrame, record: str = "record") -> DataFrame:
-    """``record_id, type, url, date, status, http`` of raw records; the body is not read."""
-    text = F.regexp_replace(F.col(f"`{record}`"), "\r\n", "\n")
-    parts = raw.select(
-        headers(F.substring_index(text, "\n\n", 1)).alias("warc"),
-        F.substring_index(F.regexp_replace(text, r"(?s)^.*?\n\n", ""), "\n\n", 1).alias("answer"),
-    )
+    """``record_id, type, url, date, status, http`` of raw records; nothing behind the two heads is looked at."""
+    cut = F.substring_index(F.substring_index(F.col(f"`{record}`"), "\r\n\r\n", 2), "\n\n", 2)
+    heads = F.split(F.replace(cut, F.lit("\r\n"), F.lit("\n")), "\n\n", 3)
+
+    def fields(h: Column) -> Column:
+        answer = F.get(h, F.lit(1))
+        first = F.substring_index(answer, "\n", 1)
+        return F.struct(
+            headers(F.get(h, F.lit(0))).alias("warc"),
+            F.regexp_extract(first, r"^HTTP/\S+ ([0-9]{3})", 1).try_cast("int").alias("status"),
+            headers(F.substring(answer, F.length(first) + 1, F.length(answer))).alias("http"),
+        )
+
+    # generated columns: filters on what was parsed do not parse again
+    parts = raw.select(once(let(heads, fields)).alias("r")).select("r.warc", "r.status", "r.http")
+    warc = F.col("warc")
     return parts.select(
-        F.col("warc")["warc-record-id"].alias("record_id"),
-        F.col("warc")["warc-type"].alias("type"),
-        F.col("warc")["warc-target-uri"].alias("url"),
-        F.try_to_timestamp(F.col("warc")["warc-date"]).alias("date"),
-        F.regexp_extract("answer", r"^HTTP/\S+ ([0-9]{3})", 1).try_cast("int").alias("status"),
-        headers(F.regexp_replace("answer", r"^[^\n]*", "")).alias("http"),
+        warc["warc-record-id"].alias("record_id"),
+        warc["warc-type"].alias("type"),
+        warc["warc-target-uri"].alias("url"),
+        F.try_to_timestamp(warc["warc-date"]).alias("date"),
+        "status",
+        "http",
     )
 
 
@@ -107,7 +122,7 @@ def _validator(name: str) -> Column:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """One row per revisit: ``record_id, outcome, response_id, headers``.
+    """One row per not-modified revisit: ``record_id, outcome, response_id, headers``.
 
     ``outcome`` is ``resolved``, ``no_response``, ``changed`` (validators differ) or
     ``no_validator``. An entity tag decides where both sides have one, else the date of
@@ -115,9 +130,10 @@ def resolved(records: DataFrame) -> DataFrame:
     """
     placed = F.col("url").isNotNull() & F.col("date").isNotNull()
     full = (F.col("type") == "response") & (F.col("status") == 200) & placed
-    again = (F.col("type") == "revisit") & (F.col("status") == 304)
-    slim = records.select("record_id", "type", canonical_url(F.col("url")).alias("url"), "date", "http", "status")
-    found = _latest_before(slim.filter(full | again).drop("status"))
+    again = (F.col("type") == "revisit") & F.coalesce(F.col("status") == 304, F.lit(True))
+    slim = records.filter(full | again).select("record_id", "type", canonical_url(F.col("url")).alias("url"), "date", "http")
+    # written, as range partitions read their rows twice
+    found = _latest_before(stable(slim))
     stored = F.col("found.http")
     tag, old_tag = _validator("etag"), F.regexp_replace(stored["etag"], "^W/", "")
     when, old_when = F.col("http")["last-modified"], stored["last-modified"]
@@ -140,43 +156,77 @@ def resolved(records: DataFrame) -> DataFrame:
     )
 
 
+HOT_URL = "http://hot.example/robots.txt"
+
+
 def crawl(pages: DataFrame) -> DataFrame:
-    """Raw records of a crawl of ``pages``: a response for each, and a revisit under another spelling.
+    """Raw records of a crawl of ``pages``, a stand-in for a crawl's files.
 
-    Of the revisits some come before their response, some carry a new entity tag, some only
-    a date of last modification and some no validator.
+    Every page has a response and a revisit under another spelling, every fourth three
+    versions and a revisit after them; a third of the pages also ask for one and the same
+    URL. Revisits may come before any response, carry the entity tag of another version, only
+    a date of last modification, or no validator.
     """
     page = F.col("page_id")
-    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit("")).cast("binary")), F.lit('"'))
+    start = F.lit(1_700_000_000)
+    line = "\r\n"
 
     def stamp(seconds: Column) -> Column:
-        return F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-    modified = F.concat(F.lit("day "), (page % 28).cast("string"))
-    response = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:response:"), page.cast("string"),
-        F.lit(">\r\nWARC-Target-URI: "), F.col("url"), F.lit("\r\nWARC-Date: "), stamp(page * 60),
-        F.lit("\r\n\r\nHTTP/1.1 200 OK\r\nContent-Type: text/html\r\nETag: "), tag,
-        F.lit("\r\nLast-Modified: "), modified, F.lit("\r\nServer: a\r\n\r\n"), F.coalesce("html", F.lit("")),
-    )
-    validators = (
-        F.when(page % 7 == 0, F.lit('ETag: "new"\r\n'))
-        .when(page % 7 == 1, F.concat(F.lit("Last-Modified: "), modified, F.lit("\r\n")))
-        .when(page % 7 == 2, F.lit(""))
-        .otherwise(F.concat(F.lit("ETag: W/"), tag, F.lit("\r\n")))
-    )
-    spelling = F.concat(
-        F.lit("https://www."), F.regexp_replace(F.regexp_replace("url", r"^[a-z]+://(www\.)?", ""), "#.*$", ""),
-        F.when(F.contains("url", F.lit("?")), F.lit("&")).otherwise(F.lit("?")), F.lit("utm_medium=again#part"),
-    )
-    revisit = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:revisit:"), page.cast("string"),
-        F.lit(">\r\nWARC-Target-URI: "), spelling, F.lit("\r\nWARC-Date: "),
-        stamp(page * 60 + F.when(page % 5 == 0, F.lit(-30)).otherwise(F.lit(3630))),
-        F.lit("\r\n\r\nHTTP/1.1 304 Not Modified\r\nContent-Type: text/plain\r\nServer: b\r\nServer: c\r\n"),
-        validators, F.lit("\r\n"),
+        return F.date_format(F.timestamp_seconds(start + seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    def head(kind: str, name: Column, url: Column, seconds: Column) -> list[Column]:
+        return [F.lit(f"WARC/1.1{line}WARC-Type: {kind}{line}WARC-Record-ID: <urn:{kind}:"), name,
+                F.lit(f">{line}WARC-Target-URI: "), url, F.lit(f"{line}WARC-Date: "), stamp(seconds), F.lit(line + line)]
+
+    def response(name: Column, url: Column, seconds: Column, tag: Column, modified: Column, body: Column) -> Column:
+        return F.concat(*head("response", name, url, seconds), F.lit(f"HTTP/1.1 200 OK{line}Content-Type: text/html{line}ETag: "), tag,
+                        F.lit(f"{line}Last-Modified: "), modified, F.lit(f"{line}Server: a{line}{line}"), body)
+
+    def revisit(name: Column, url: Column, seconds: Column, validators: Column) -> Column:
+        status = f"HTTP/1.1 304 Not Modified{line}Content-Type: text/plain{line}Server: b{line}Server: c{line}"
+        return F.concat(*head("revisit", name, url, seconds), F.lit(status), validators, F.lit(line))
+
+    def tagged(tag: Column) -> Column:
+        return F.concat(F.lit("ETag: W/"), tag, F.lit(line))
+
+    def records(p: Column) -> Column:
+        def tag(version: int) -> Column:
+            return F.concat(F.lit('"'), p["md5"], F.lit(f'-{version}"'))
+
+        def named(suffix: str) -> Column:
+            return F.concat(page.cast("string"), F.lit(suffix))
+
+        modified = F.concat(F.lit("day "), (page % 28).cast("string"))
+        body = F.coalesce("html", F.lit(""))
+        hot_tag = F.concat(F.lit('"'), F.floor(page / 120).cast("string"), F.lit('"'))
+        spelling = F.concat(
+            F.lit("https://www."), F.regexp_replace(F.regexp_replace("url", r"^[a-z]+://(www\.)?", ""), "#.*$", ""),
+            F.when(F.contains("url", F.lit("?")), F.lit("&")).otherwise(F.lit("?")), F.lit("utm_medium=again#part"),
+        )
+        validators = (
+            F.when(page % 7 == 0, F.lit(f'ETag: "new"{line}'))
+            .when(page % 7 == 1, F.concat(F.lit("Last-Modified: "), modified, F.lit(line)))
+            .when(page % 7 == 2, F.lit(""))
+            .otherwise(tagged(tag(0)))
+        )
+        soon = page * 60 + F.when(page % 5 == 0, F.lit(-30)).otherwise(F.lit(3630))
+        once_seen = [response(named("-0"), F.col("url"), page * 60, tag(0), modified, body), revisit(named("-0"), spelling, soon, validators)]
+        often = [
+            *[response(named(f"-{k}"), F.col("url"), page * 60 + 86_407 * k, tag(k), modified, body) for k in (1, 2)],
+            revisit(named("-1"), spelling, page * 60 + 2 * 86_407 + 500, tagged(F.when(page % 8 == 0, tag(2)).otherwise(tag(1)))),
+        ]
+        hot = F.when(
+            page % 6 == 0, response(named("-hot"), F.lit(HOT_URL), page * 60 + 7, hot_tag, F.lit("never"), F.lit("Allow: /"))
+        ).otherwise(revisit(named("-hot"), F.lit(HOT_URL), page * 60 + 11, tagged(hot_tag)))
+        none = F.array().cast("array<string>")
+        return F.concat(
+            F.array(*once_seen), F.when(page % 4 == 0, F.array(*often)).otherwise(none), F.when(page % 3 == 0, F.array(hot)).otherwise(none)
+        )
+
+    digest = F.md5(F.coalesce("html", F.lit("")).cast("binary"))
+    return pages.select("page_id", "url", "html", once(digest).alias("md5")).select(
+        F.explode(records(F.struct("md5"))).alias("record")
     )
-    return pages.select(F.explode(F.array(response, revisit)).alias("record"))
 
 
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,20 +245,21 @@ _URL_SQL = rf"""
        '([?&])(({TRACKING})=[^&]*(&|$))+', '\1', 'g'), '[?&/]+$', '')"""
 
 OP7_SQL = rf"""
-WITH c AS (SELECT page_id, md5(coalesce(html, '')) AS tag, 'day ' || (page_id % 28) AS modified,
+WITH c AS (SELECT page_id AS p, md5(coalesce(html, '')) AS tag, 'day ' || (page_id % 28) AS day,
                   regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages),
 u AS (SELECT *, {_URL_SQL} AS url FROM c),
-s AS (SELECT *, page_id * 60 AS t FROM u),
-r AS (SELECT *, page_id * 60 + CASE WHEN page_id % 5 = 0 THEN -30 ELSE 3630 END AS t, page_id % 7 AS k FROM u),
-j AS (SELECT r.page_id, r.tag, r.modified, r.k, s.page_id AS old, s.tag AS old_tag, s.modified AS old_modified
-      FROM r ASOF LEFT JOIN s ON r.url = s.url AND r.t > s.t),
-o AS (SELECT *, CASE WHEN old IS NULL THEN 'no_response' WHEN k = 0 THEN 'changed' WHEN k = 2 THEN 'no_validator'
-                WHEN k = 1 THEN CASE WHEN modified = old_modified THEN 'resolved' ELSE 'changed' END
-                WHEN tag = old_tag THEN 'resolved' ELSE 'changed' END AS outcome FROM j)
-SELECT '<urn:revisit:' || page_id || '>' AS record_id, outcome,
-       CASE WHEN old IS NOT NULL THEN '<urn:response:' || old || '>' END AS response_id,
-       CASE WHEN outcome = 'resolved' THEN 'content-type: text/html' || chr(10) || 'etag: '
-            || CASE WHEN k = 1 THEN '' ELSE 'W/' END || '"' || old_tag || '"' || chr(10)
-            || 'last-modified: ' || old_modified || chr(10) || 'server: b, c' END AS headers
-FROM o
+s AS (SELECT url, p * 60 + 86407 * k AS t, '<urn:response:' || p || '-' || k || '>' AS old, '"' || tag || '-' || k || '"' AS old_tag, day AS old_day
+      FROM u, range(3) v(k) WHERE k = 0 OR p % 4 = 0 UNION ALL
+      SELECT 'hot.example/robots.txt', p * 60 + 7, '<urn:response:' || p || '-hot>', '"' || (p // 120) || '"', 'never' FROM u WHERE p % 6 = 0),
+r AS (SELECT url, p * 60 + CASE WHEN p % 5 = 0 THEN -30 ELSE 3630 END AS t, '<urn:revisit:' || p || '-0>' AS id,
+             CASE p % 7 WHEN 0 THEN '"new"' WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE 'W/"' || tag || '-0"' END AS sent, CASE WHEN p % 7 = 1 THEN day END AS day FROM u UNION ALL
+      SELECT url, p * 60 + 173314, '<urn:revisit:' || p || '-1>', 'W/"' || tag || CASE WHEN p % 8 = 0 THEN '-2"' ELSE '-1"' END, NULL FROM u WHERE p % 4 = 0 UNION ALL
+      SELECT 'hot.example/robots.txt', p * 60 + 11, '<urn:revisit:' || p || '-hot>', 'W/"' || (p // 120) || '"', NULL FROM u WHERE p % 6 = 3),
+j AS (SELECT r.id, r.sent, r.day, s.old, s.old_tag, s.old_day FROM r ASOF LEFT JOIN s ON r.url = s.url AND r.t > s.t),
+o AS (SELECT *, coalesce(regexp_replace(sent, '^W/', '') = old_tag, day = old_day) AS same FROM j),
+n AS (SELECT *, CASE WHEN old IS NULL THEN 'no_response' WHEN same IS NULL THEN 'no_validator' WHEN same THEN 'resolved' ELSE 'changed' END AS outcome FROM o)
+SELECT id AS record_id, outcome, old AS response_id,
+       CASE WHEN outcome = 'resolved' THEN 'content-type: text/html' || chr(10) || 'etag: ' || coalesce(sent, old_tag) || chr(10)
+            || 'last-modified: ' || old_day || chr(10) || 'server: b, c' END AS headers
+FROM n
 """
