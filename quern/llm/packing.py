@@ -21,13 +21,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from quern.llm.common import documents, kept_in_worker, sliced, stable
 
 LENGTH = 2048
 UNIT = 8
 END = 1
+BUNDLE_BITS = 12  # groups of ranks in a bundle: 2**12
 _CHARS_AT_ONCE = 1 << 21
 _WORDS, _PARTS = 400_000, 500_000  # that a worker remembers
 _BREAK = b"\xff" * 4
@@ -46,7 +47,8 @@ class WordEncoder:
     those of its words. Words of Latin letters, digits and signs are lowered and cut by the
     vocabulary's pattern first, and their parts are remembered too; new parts are encoded as
     long strings with blanks between them and told apart by the tokens that end a part.
-    Other words are encoded one by one. Ids are kept as bytes of unsigned 32-bit integers.
+    Other words, and words with a special token's own characters, go to the library as they
+    are, one by one. Ids are kept as bytes of unsigned 32-bit integers.
     """
 
     def __init__(self, path: str):
@@ -57,7 +59,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -67,6 +69,9 @@ class WordEncoder:
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {"\n": _BREAK}
 
+    def _is_plain(self, text: str) -> bool:
+        return self.plain.fullmatch(text) is not None and not any(mark in text for mark in self.special)
+
     def _encode(self, strings: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in encoded]
@@ -87,9 +92,9 @@ class WordEncoder:
         if len(self.parts) > _PARTS:
             self.parts = {"\n": _BREAK}
         other = []
-        if not self.plain.fullmatch("".join(words)):
-            other = [w for w in words if not self.plain.fullmatch(w)]
-            words = [w for w in words if self.plain.fullmatch(w)]
+        if not self._is_plain("".join(words)):
+            other = [w for w in words if not self._is_plain(w)]
+            words = [w for w in words if self._is_plain(w)]
         parts = self.cut.findall("\n".join(words).lower())
         self._learn_parts(list({p for p in parts if p not in self.parts}))
         # no id has four bytes of 255 in it or across its end, so a break is found where it was put
@@ -300,8 +305,8 @@ def assigned(cut: DataFrame, length: int = LENGTH, unit: int = UNIT, group_rows:
     """Adds ``sequence_id`` and ``offset`` to pieces that have a ``length``.
 
     Pieces are written with a number of their own and ranked within their size by counting
-    groups of about ``group_rows`` such numbers first, so a frequent size is never sorted in
-    one task.
+    groups of about ``group_rows`` such numbers first, and bundles of groups before those, so
+    a frequent size is never sorted in one task, nor are its groups.
     """
     spark = cut.sparkSession
     rows = stable(
@@ -313,9 +318,16 @@ def assigned(cut: DataFrame, length: int = LENGTH, unit: int = UNIT, group_rows:
     # a row for each size, so at most length / unit rows
     parts = spark.createDataFrame([(u, -(-n // group_rows)) for u, n in histogram.items()], "_units int, _parts bigint")
     rows = rows.join(F.broadcast(parts), "_units").withColumn("_group", F.pmod(F.xxhash64("_row"), "_parts"))
-    sizes = rows.groupBy("_units", "_group").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("_units").orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_units", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    bundle = F.shiftright("_group", BUNDLE_BITS).alias("_bundle")
+    sizes = rows.groupBy("_units", "_group").agg(F.count("*").alias("_n")).withColumn("_bundle", bundle)
+
+    def upto(order: str, *by: str) -> Column:
+        return F.coalesce(F.sum("_n").over(W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    bundles = sizes.groupBy("_units", "_bundle").agg(F.sum("_n").alias("_n"))
+    bundles = bundles.select("_units", "_bundle", upto("_bundle", "_units").alias("_begin"))
+    offsets = sizes.withColumn("_before", upto("_group", "_units", "_bundle")).join(bundles, ["_units", "_bundle"])
+    offsets = offsets.select("_units", "_group", (F.col("_before") + F.col("_begin")).alias("_before"))
     within = W.partitionBy("_units", "_group").orderBy("_row")
     ranked = rows.withColumn("_rank", F.row_number().over(within) - 1).join(offsets, ["_units", "_group"])
     ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_before"))

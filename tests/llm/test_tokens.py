@@ -99,7 +99,6 @@ def test_edits_of_odd_rows(spark):
 @pytest.fixture(scope="module")
 def word_bpe():
     tokenizer = Tokenizer.from_file(packing.public_vocabulary())
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -142,6 +141,23 @@ def test_words_encode_as_the_whole_text(word_bpe):
         assert [g.tolist() for g in got] == [word_bpe(t) for t in texts]
 
 
+def test_special_tokens_are_what_the_library_makes_of_them(spark, word_bpe):
+    encode = packing.WordEncoder(packing.public_vocabulary())
+    mark, start = encode.special
+    assert {mark, start} == {"<|startoftext|>", "<|endoftext|>"}
+    texts = [f"hello {mark} world", f"a{mark}b É{start}é", f"{mark}{start}!", mark.upper() + " x", mark[:-1], f"<|{mark}|>", f"{start[:4]} {start[4:]}", mark * 700]
+    ids, ends = encode(texts)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [word_bpe(t) for t in texts]
+    assert word_bpe("hello <|endoftext|> world") == [3306, 49407, 1002, 1]
+    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in enumerate(texts)], "doc_id int, text string, length string, ids int, _row int")
+    check_packing(packing.packed(df).collect(), {i: word_bpe(t) for i, t in enumerate(texts)})
+
+
+def test_pack_a_very_long_text(spark, word_bpe):
+    text = " ".join(f"word{i % 977} café" for i in range(150_000))
+    check_packing(packing.packed(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect(), {1: word_bpe(text)})
+
+
 def test_pack_odd_rows(spark, word_bpe):
     df = spark.createDataFrame([(1, "b"), (1, "b"), (None, None), (None, ""), (2, "x 1 " * 3000)], "doc_id int, text string")
     rows = packing.packed(df).collect()
@@ -165,7 +181,9 @@ def test_plan_takes_every_piece_in_few_sequences():
     assert packing.plan({}, 256).patterns == []
 
 
-def test_ranks_in_many_groups(spark, docs, word_bpe):
+@pytest.mark.parametrize("bits", [1, 12])
+def test_ranks_in_many_groups(spark, docs, word_bpe, monkeypatch, bits):
+    monkeypatch.setattr(packing, "BUNDLE_BITS", bits)
     cut = packing.pieces(docs, with_ids=False)
     rows = packing.assigned(cut, group_rows=20).collect()
     check_packing(rows, {r.doc_id: word_bpe(r.text) for r in docs.collect()})
