@@ -19,13 +19,14 @@ BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 #: Separators of menus and breadcrumbs.
 MENU = "|»›•·"
-#: Notices, looked for in short lines only.
+#: Notices; a line fails with one for every ``NOTICE_CHARS`` of its characters, or more.
 BOILERPLATE = (
     "all rights reserved|licensed under|released under the|is licensed|terms of use|terms of service|"
     "privacy policy|cookie|javascript|lorem ipsum|copyright ©|©|click here|sign up|log in|subscribe"
 )
 END_MARKS = ".!?…。！？:;\"'”»)"
 
+NOTICE_CHARS = 200
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Largest share of a line's characters.
@@ -111,7 +112,7 @@ def good_line(line: Column) -> Column:
         | ((upper > 20 * MAX_UPPER) & (letters >= 20) & (upper > letters * MAX_UPPER))  # cheap test first
         | (_count(line, MENU) >= 3)
         | (few & ~ended)
-        | ((size < 200) & F.lower(line).rlike(BOILERPLATE))
+        | (F.regexp_count(F.lower(line), F.lit(BOILERPLATE)) * NOTICE_CHARS > size)
     )
 
 
@@ -200,7 +201,7 @@ k AS (SELECT doc_id, sum(n - 1) AS dups, sum({_SQL_CHARS % 'line'}) FILTER (NOT
         OR {_sql_count('line', MENU)} >= 3
         OR (length(trim(line, {_SQL_BLANKS})) - length(translate(trim(line, {_SQL_BLANKS}), chr(32) || chr(9), '')) < 4
             AND NOT contains('{END_MARKS.replace("'", "''")}', right(trim(line, {_SQL_BLANKS}), 1)))
-        OR (length(line) < 200 AND regexp_matches(lower(line), '{BOILERPLATE}')))) AS clean
+        OR len(regexp_extract_all(lower(line), '{BOILERPLATE}')) * {NOTICE_CHARS} > length(line))) AS clean
       FROM l GROUP BY doc_id),
 s AS (SELECT d.doc_id, coalesce(r.n_words, 0) AS n_words, {_SQL_CHARS % 'text'} AS word_chars,
              {_sql_count('text', SYMBOLS)} AS n_symbols, coalesce(k.dups, 0)::BIGINT AS n_dup_lines,

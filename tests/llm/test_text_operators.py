@@ -165,6 +165,14 @@ def test_repeated_words(spark):
     assert [got[i] for i in range(len(lists))] == [repeated(ws) for ws in lists]
 
 
+def test_notices_in_lines_of_any_length(spark):
+    plain = "This sentence has nothing to do with a notice of that kind at all. "
+    notice = "All rights reserved, see our privacy policy and the terms of use. "
+    lines = {plain * 20 + notice: True, (plain + notice) * 20: False, notice: False, plain * 2 + "Accept the cookie.": False, plain * 12 + "Accept the cookie.": True}
+    df = spark.createDataFrame([(line,) for line in lines], "line string").select("line", quality.good_line(F.col("line")).alias("good"))
+    assert {r.line: r.good for r in df.collect()} == lines
+
+
 def test_quality_lines(spark):
     good = "This is a line of ordinary words that ends as it should."
     bad = [
