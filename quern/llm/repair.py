@@ -415,7 +415,8 @@ def repaired(rows: DataFrame) -> DataFrame:
     )
     cut = stable(blocks(filled))
     ways = solved(cut)
-    sha = hashes(filled, edited(cut, ways)).select(F.col("conv_id").alias("c"), "sha256")
+    # written, as range partitions read their rows twice
+    sha = hashes(filled, stable(edited(cut, ways))).select(F.col("conv_id").alias("c"), "sha256")
     met = ways.join(sha, _same(F.col("conv_id"), F.col("c")), "left")
     digest = F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256))
     return met.select("conv_id", "blank", "duplicate", "truncated", "illegal", "cost", "audit", digest.alias("repaired_sha256"))
