@@ -7,65 +7,89 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quern.functions.maths import log_loss
+from quern.session import stable
+
+INTERCEPT = -1  # its index among the weights
 
 
 @dataclass
 class LogisticModel:
-    weights: np.ndarray
-    intercept: float
+    """Weights of a fit: a stored table ``idx, w`` of the features that training rows have; others weigh nothing."""
+
+    table: DataFrame
+    dimensions: int
+
+    @property
+    def intercept(self) -> float:
+        return self.table.filter(F.col("idx") == INTERCEPT).select("w").first()[0]
 
-    def weight_table(self, spark: SparkSession) -> DataFrame:
-        rows = [(int(i), float(w)) for i, w in enumerate(self.weights)]
-        return spark.createDataFrame(rows, "idx bigint, w double")
+    @property
+    def weights(self) -> np.ndarray:
+        """All weights in memory, for models small enough."""
+        found = np.zeros(self.dimensions)
+        for idx, w in self.weight_table().collect():
+            found[idx] = w
+        return found
 
+    def weight_table(self, spark: SparkSession | None = None) -> DataFrame:
+        return self.table.filter(F.col("idx") != INTERCEPT)
 
-BLOCK = "n int, labels binary, lengths binary, idx binary, val binary"
+
+BLOCK = "block bigint, n int, labels binary, row binary, place binary, val binary, members array<bigint>"
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows ``label, idx, val`` packed per Arrow batch, so that iterations read plain buffers."""
+    """Rows ``label, idx, val`` packed per Arrow batch, with the distinct features of each block.
+
+    The intercept is a feature of every row. ``place`` says where an entry's feature stands
+    among the members of its block, so that a step needs the weights of those only.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 33
         for batch in batches:
-            lists = batch.column(1)
+            n = batch.num_rows
+            if not n:
+                continue
+            lengths = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            idx = np.append(batch.column(1).flatten().to_numpy(zero_copy_only=False), np.full(n, INTERCEPT))
+            val = np.append(batch.column(2).flatten().to_numpy(zero_copy_only=False), np.ones(n))
+            members, place = np.unique(idx, return_inverse=True)
             buffers = (
                 batch.column(0).to_numpy(zero_copy_only=False).astype("float64"),
-                lists.value_lengths().to_numpy(zero_copy_only=False).astype("int32"),
-                lists.flatten().to_numpy(zero_copy_only=False).astype("int64"),
-                batch.column(2).flatten().to_numpy(zero_copy_only=False).astype("float64"),
+                np.append(np.repeat(np.arange(n), lengths), np.arange(n)).astype("int32"),
+                place.astype("int32"),
+                val.astype("float64"),
             )
             cells = [pa.array([b.tobytes()], pa.binary()) for b in buffers]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([batch.num_rows], pa.int32()), *cells], ["n", "labels", "lengths", "idx", "val"]
+                [pa.array([block]), pa.array([n], pa.int32()), *cells, pa.array([members], pa.list_(pa.int64()))],
+                ["block", "n", "labels", "row", "place", "val", "members"],
             )
+            block += 1
 
     return rows.mapInArrow(pack, BLOCK)
 
 
-def _gradient(blocks: DataFrame, weights: np.ndarray, intercept: float) -> DataFrame:
-    """Gradient cells ``idx, g`` of all rows; index d is the intercept, d + 1 the row count."""
-    d = len(weights)
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(d + 2)
-        for batch in batches:
-            for block in batch.to_pylist():
-                label = np.frombuffer(block["labels"])
-                row = np.repeat(np.arange(block["n"]), np.frombuffer(block["lengths"], "int32"))
-                idx, val = np.frombuffer(block["idx"], "int64"), np.frombuffer(block["val"])
-                raw = np.bincount(row, weights=weights[idx] * val, minlength=block["n"]) + intercept
-                e = np.exp(-np.abs(raw))  # cannot overflow
-                residual = np.where(raw >= 0, 1.0, e) / (1.0 + e) - label
-                total[:d] += np.bincount(idx, weights=residual[row] * val, minlength=d)
-                total[d:] += residual.sum(), len(label)
-        cells = np.flatnonzero(total)
-        yield pa.record_batch({"idx": pa.array(cells), "g": pa.array(total[cells])})
-
-    return blocks.mapInArrow(fold, "idx bigint, g double").groupBy("idx").agg(F.sum("g").alias("g"))
+def _gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gradient cells ``idx, g`` of blocks that come with the weights of their members."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            n, members = batch.column(0)[i].as_py(), batch.column(5)[i].values.to_numpy()
+            label, row, place, val = (
+                np.frombuffer(batch.column(c)[i].as_buffer(), kind) for c, kind in ((1, "float64"), (2, "int32"), (3, "int32"), (4, "float64"))
+            )
+            w = np.zeros(len(members))
+            w[np.searchsorted(members, batch.column(6)[i].values.to_numpy())] = batch.column(7)[i].values.to_numpy()
+            raw = np.bincount(row, weights=w[place] * val, minlength=n)
+            e = np.exp(-np.abs(raw))  # cannot overflow
+            residual = np.where(raw >= 0, 1.0, e) / (1.0 + e) - label
+            cells = np.bincount(place, weights=residual[row] * val, minlength=len(members))
+            yield pa.record_batch({"idx": pa.array(members), "g": pa.array(cells)})
 
 
 def logreg_sgd(
@@ -74,28 +98,32 @@ def logreg_sgd(
     """Full-batch gradient descent with L2 shrinkage and an intercept.
 
     Follows the update rule of Spark's ``LogisticRegressionWithSGD``. ``train`` has
-    ``label`` and indices ``idx``, with ``val`` if entries are not all 1. Rows are kept
-    for the iterations; each one is a single aggregation whose d + 2 sums, as many as the
-    model has parameters, come back to the driver.
+    ``label`` and indices ``idx``, with ``val`` if entries are not all 1. Weights are a table:
+    in a step each block of rows gets the weights of its own features by a join, and sums of
+    gradient cells by feature give the next table, which is written. The driver and the tasks
+    never hold all of a model.
     """
     val = F.col("val") if "val" in train.columns else F.transform("idx", lambda _: F.lit(1.0))
     rows = train.select(
         F.col("label").cast("double"), F.col("idx").cast("array<bigint>"), val.cast("array<double>").alias("val")
     )
-    blocks = _blocks(rows).persist(StorageLevel.MEMORY_AND_DISK)
-    w = np.append(np.zeros(dimensions), 1.0)
-    try:
-        for i in range(1, iterations + 1):
-            total = np.zeros(dimensions + 2)
-            for batch in _gradient(blocks, w[:-1], w[-1]).toArrow().to_batches():
-                total[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-            if not total[-1]:
-                raise ValueError("no training rows")
-            rate = step / np.sqrt(i)
-            w = w * (1 - rate * reg) - rate * total[:-1] / total[-1]
-    finally:
-        blocks.unpersist()
-    return LogisticModel(w[:-1], float(w[-1]))
+    blocks = stable(_blocks(rows))
+    n = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if not n:
+        raise ValueError("no training rows")
+    member = stable(blocks.select("block", F.explode("members").alias("idx")))
+    first = F.when(F.col("idx") == INTERCEPT, 1.0).otherwise(0.0)
+    table = stable(member.select("idx").distinct().withColumn("w", first))
+    packed = ["n", "labels", "row", "place", "val", "members"]
+    for i in range(1, iterations + 1):
+        rate = step / float(np.sqrt(i))
+        sent = member.join(table, "idx").groupBy("block").agg(F.collect_list(F.struct("idx", "w")).alias("m"))
+        met = blocks.join(sent, "block").select(*packed, F.col("m.idx").alias("idx"), F.col("m.w").alias("w"))
+        total = met.mapInArrow(_gradient, "idx bigint, g double").groupBy("idx").agg(F.sum("g").alias("g"))
+        table = stable(
+            table.join(total, "idx").select("idx", (F.col("w") * (1 - rate * reg) - F.col("g") * (rate / n)).alias("w"))
+        )
+    return LogisticModel(table, dimensions)
 
 
 def evaluate_log_loss(df: DataFrame, p: str = "p", label: str = "label") -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quern.operators.joins import CELL_ROWS, grid_join, grid_join_sized, lookup_join
-from quern.operators.text import record_tokens, term_frequency, unit_weights
+from quern.operators.text import term_frequency, unit_weights
 from quern.session import stable
 
 
@@ -16,12 +21,11 @@ def pair_weights(
 
     Rows also carry the record count of their token (``_n``) and its join grid
     (``_across``, ``_down``), which fall out of the same aggregation as its IDF; a grid of
-    0 marks a token only one source has. The token table is written first, as in
-    ``operators.text.tfidf``.
+    0 marks a token only one source has. Texts are split once; the frequencies and the token
+    table are written, as in ``operators.text.tfidf``.
     """
-    has = record_tokens(a, tokens_a).select("token", F.lit(1).alias("_a")).unionAll(
-        record_tokens(b, tokens_b).select("token", F.lit(0).alias("_a"))
-    )
+    tf_a, tf_b = (stable(term_frequency(df, i, t)) for df, i, t in ((a, id_a, tokens_a), (b, id_b, tokens_b)))
+    has = tf_a.select("token", F.lit(1).alias("_a")).unionAll(tf_b.select("token", F.lit(0).alias("_a")))
     n = a.agg(F.count_distinct(id_a)).scalar() + b.agg(F.count_distinct(id_b)).scalar()
     counts = has.groupBy("token").agg(F.count("*").alias("_n"), F.sum("_a").alias("_n_a"))
     n_a, n_b = F.col("_n_a"), F.col("_n") - F.col("_n_a")
@@ -35,11 +39,11 @@ def pair_weights(
         )
     )
 
-    def weighted(df: DataFrame, id_col: str, listed: Column) -> DataFrame:
-        joined = lookup_join(term_frequency(df, id_col, listed), tokens, "token")
+    def weighted(tf: DataFrame) -> DataFrame:
+        joined = lookup_join(tf, tokens, "token")
         return unit_weights(joined.withColumn("weight", F.col("tf") * F.col("idf")).drop("tf", "idf"))
 
-    return weighted(a, id_a, tokens_a), weighted(b, id_b, tokens_b)
+    return weighted(tf_a), weighted(tf_b)
 
 
 def _shared(df: DataFrame, id_name: str, weight: str) -> DataFrame:
@@ -119,60 +123,167 @@ def gold_evaluation(sims: DataFrame, gold: DataFrame, all_pairs: Column | None =
     two sources: pairs missing from ``sims`` then count with score 0, as if every pair
     had been scored.
     """
-    marked = sims.join(gold.select("id_a", "id_b").distinct().withColumn("_gold", F.lit(1)), ["id_a", "id_b"], "left")
-    true, other = F.col("_gold") == 1, F.col("_gold").isNull()
-    sums = marked.agg(
-        F.count_if(true).alias("_found"),
-        F.coalesce(F.sum(F.when(true, F.col("score"))), F.lit(0.0)).alias("_true"),
-        F.count_if(other).alias("_others"),
-        F.sum(F.when(other, F.col("score"))).alias("_other"),
-    )
-    n_gold = gold.select("id_a", "id_b").distinct().agg(F.count("*")).scalar()
-    true_n = F.col("_found") if all_pairs is None else n_gold
-    other_n = F.col("_others") if all_pairs is None else all_pairs - n_gold
-    return sums.select(
-        true_n.alias("true_pairs"),
-        F.try_divide(F.col("_true"), true_n).alias("mean_true"),
-        F.try_divide(F.col("_other"), other_n).alias("mean_other"),
-    )
+    return evaluated(scored_bins(sims, gold, 1), _size_of(gold), all_pairs)
+
+
+def _wanted(gold: DataFrame) -> DataFrame:
+    return gold.select("id_a", "id_b").distinct()
+
 
+def _size_of(gold: DataFrame) -> Column:
+    return _wanted(gold).agg(F.count("*")).scalar()
 
-def _binned(sims: DataFrame, gold: DataFrame, n: int) -> DataFrame:
-    """Per bin 0..n: ``pairs`` and ``true_cut`` by truncated score, ``true`` by exact score.
 
-    One pass over the scored pairs. True pairs that were never scored count in bin 0. The
-    exact bin is the last threshold k/n that the score reaches; truncating ``score * n``
-    can miss it by one.
+def scored_bins(sims: DataFrame, gold: DataFrame, n: int) -> DataFrame:
+    """Score counts of a table of pairs: ``bin, pairs, true_cut, true, total, true_total``, without empty bins.
+
+    Bin k is k/n up to (k+1)/n. ``pairs`` and ``true_cut`` (those of ``gold``) go by the
+    truncated score, ``true`` by the exact one: the last threshold k/n that the score
+    reaches, which truncating ``score * n`` can miss by one. The totals are sums of scores.
     """
     x = F.col("score")
     cut = F.least(F.floor(x * n), F.lit(n))
     exact = F.when(x < cut / F.lit(n), cut - 1).when(x >= (cut + 1) / F.lit(n), cut + 1).otherwise(cut)
-    wanted = gold.select("id_a", "id_b").distinct()
-    marked = sims.join(wanted.withColumn("_gold", F.lit(1)), ["id_a", "id_b"], "left")
+    marked = sims.join(_wanted(gold).withColumn("_gold", F.lit(1)), ["id_a", "id_b"], "left")
+    true = F.col("_gold").isNotNull()
     counted = marked.groupBy(cut.alias("_cut"), exact.alias("_exact")).agg(
-        F.count("*").alias("_n"), F.count("_gold").alias("_g")
+        F.count("*").alias("_n"), F.count("_gold").alias("_g"), F.sum(x).alias("_s"), F.sum(F.when(true, x).otherwise(0.0)).alias("_t")
+    )
+    zero, nothing = F.lit(0).cast("bigint"), F.lit(0.0)
+    entries = [
+        F.struct(F.col("_cut").alias("bin"), F.col("_n").alias("pairs"), F.col("_g").alias("true_cut"), zero.alias("true"),
+                 F.col("_s").alias("total"), F.col("_t").alias("true_total")),
+        F.struct(F.col("_exact").alias("bin"), zero.alias("pairs"), zero.alias("true_cut"), F.col("_g").alias("true"),
+                 nothing.alias("total"), nothing.alias("true_total")),
+    ]
+    return _added(counted.select(F.explode(F.array(*entries)).alias("e")).select("e.*"))
+
+
+_BIN_COLUMNS = ("pairs", "true_cut", "true", "total", "true_total")
+BINS = "bin bigint, pairs bigint, true_cut bigint, true bigint, total double, true_total double"
+
+
+def _added(bins: DataFrame) -> DataFrame:
+    return bins.groupBy("bin").agg(*[F.sum(c).alias(c) for c in _BIN_COLUMNS])
+
+
+BLOCK_RECORDS = 1024
+_PRODUCTS_AT_ONCE = 1 << 22
+
+
+def weight_bins(weights_a: DataFrame, weights_b: DataFrame, gold: DataFrame, n: int, digits: int | None = None) -> DataFrame:
+    """``scored_bins`` of every pair that shares a token, straight from the vectors ``id, token, weight``.
+
+    Records are packed into blocks, with their tokens as numbers; a task takes two blocks,
+    adds the products of the postings of one with the other to a table of scores, and hands
+    on counts per bin, so that no pair is ever a row. True pairs travel with the two blocks
+    they lie in. ``digits`` rounds scores. Pass stored tables, which are read several times.
+    """
+    tokens = stable(
+        weights_a.select("token").distinct().join(weights_b.select("token").distinct(), "token", "left_semi")
+        .withColumn("code", F.monotonically_increasing_id())
     )
-    zero = F.lit(0).cast("bigint")
-
-    def entry(b: Column, pairs: Column, true_cut: Column, true: Column) -> Column:
-        return F.struct(b.alias("bin"), pairs.alias("pairs"), true_cut.alias("true_cut"), true.alias("true"))
-
-    per_bin = (
-        counted.select(
-            F.explode(
-                F.array(
-                    entry(F.col("_cut"), F.col("_n"), F.col("_g"), zero),
-                    entry(F.col("_exact"), zero, zero, F.col("_g")),
-                )
-            ).alias("e")
+
+    def blocks(weights: DataFrame, side: str) -> tuple[DataFrame, int]:
+        count = max(1, -(-weights.agg(F.count_distinct("id")).first()[0] // BLOCK_RECORDS))
+        coded = lookup_join(weights.select("id", "token", "weight"), tokens, "token")
+        block = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int").alias(f"block_{side}")
+        rows = coded.select(block, F.struct("id", "code", "weight").alias("r")).groupBy(f"block_{side}").agg(F.collect_list("r").alias("r"))
+        return rows.select(f"block_{side}", *[F.col(f"r.{c}").alias(f"{side}_{c}") for c in ("id", "code", "weight")]), count
+
+    (a, n_a), (b, n_b) = blocks(weights_a, "a"), blocks(weights_b, "b")
+    placed = [F.pmod(F.xxhash64(f"id_{s}"), F.lit(k)).cast("int").alias(f"block_{s}") for s, k in (("a", n_a), ("b", n_b))]
+    true = _wanted(gold).groupBy(*placed).agg(F.collect_list(F.struct("id_a", "id_b")).alias("g"))
+    true = true.select("block_a", "block_b", F.col("g.id_a").alias("gold_a"), F.col("g.id_b").alias("gold_b"))
+    # every block of a meets every block of b, each with its true pairs
+    met = stable(a).withColumn("block_b", F.explode(F.sequence(F.lit(0), F.lit(n_b - 1)))).join(stable(b), "block_b")
+    columns = [f"{s}_{c}" for s in "ab" for c in ("id", "code", "weight")]
+    pairs = met.join(stable(true), ["block_a", "block_b"], "left").select(*columns, "gold_a", "gold_b")
+    return _added(pairs.mapInArrow(_histograms(n, digits), BINS))
+
+
+def _histograms(n: int, digits: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sums = np.zeros((3, n + 2), np.int64), np.zeros((2, n + 2))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a, b = (_Block(*[batch.column(c)[i].values for c in cs]) for cs in ((0, 1, 2), (3, 4, 5)))
+                scores = _scores(a, b)
+                hit = np.flatnonzero(scores)
+                score = scores[hit] if digits is None else np.round(scores[hit], digits)
+                cut = np.minimum(np.floor(score * n), n).astype(np.int64)
+                exact = cut - (score < cut / n) + (score >= (cut + 1) / n)
+                true = np.isin(hit, _places(a, b, batch.column(6)[i].values, batch.column(7)[i].values))
+                for at, bins in enumerate((cut, cut[true], exact[true])):
+                    counts[at] += np.bincount(bins, minlength=n + 2)
+                for at, (bins, x) in enumerate(((cut, score), (cut[true], score[true]))):
+                    sums[at] += np.bincount(bins, weights=x, minlength=n + 2)
+        some = np.flatnonzero(counts.any(0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x[some]) for x in (np.arange(n + 2), *counts, *sums)], ["bin", *_BIN_COLUMNS]
         )
-        .groupBy("e.bin")
-        .agg(*[F.sum(f"e.{c}").alias(c) for c in ("pairs", "true_cut", "true")])
+
+    return run
+
+
+class _Block:
+    """Records of a block by place; their tokens sorted, so that those of one token stand together."""
+
+    def __init__(self, ids: pa.Array, codes: pa.Array, weights: pa.Array):
+        named = ids.dictionary_encode()
+        self.ids = named.dictionary
+        code = codes.to_numpy(zero_copy_only=False)
+        order = np.argsort(code, kind="stable")
+        self.code = code[order]
+        self.record = named.indices.to_numpy(zero_copy_only=False).astype(np.int64)[order]
+        self.weight = weights.to_numpy(zero_copy_only=False)[order]
+
+
+def _scores(a: _Block, b: _Block) -> np.ndarray:
+    """Sums of weight products of all pairs of two blocks, the pairs of a record of ``a`` in a row."""
+    width = len(b.ids)
+    total = np.zeros(len(a.ids) * width)
+    first, last = np.searchsorted(b.code, a.code, "left"), np.searchsorted(b.code, a.code, "right")
+    upto = np.cumsum(last - first)
+    begin = 0
+    while begin < len(upto):
+        done = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, done + _PRODUCTS_AT_ONCE, "right")))
+        size = (last - first)[begin:end]
+        of = np.repeat(np.arange(begin, end), size)
+        at = np.arange(len(of)) + np.repeat(first[begin:end] - (np.cumsum(size) - size), size)
+        total += np.bincount(a.record[of] * width + b.record[at], weights=a.weight[of] * b.weight[at], minlength=len(total))
+        begin = end
+    return total
+
+
+def _places(a: _Block, b: _Block, gold_a: pa.Array | None, gold_b: pa.Array | None) -> np.ndarray:
+    """Where the true pairs stand among the scores of two blocks."""
+    if gold_a is None:
+        return np.empty(0, np.int64)
+    i, j = (pc.index_in(g, value_set=side.ids) for g, side in ((gold_a, a), (gold_b, b)))
+    both = pc.and_(i.is_valid(), j.is_valid())
+    i, j = (x.filter(both).to_numpy(zero_copy_only=False).astype(np.int64) for x in (i, j))
+    return i * len(b.ids) + j
+
+
+def evaluated(bins: DataFrame, n_gold: Column | int, all_pairs: Column | int | None = None) -> DataFrame:
+    """One row ``true_pairs, mean_true, mean_other`` from score counts, as ``gold_evaluation`` gives."""
+    sums = bins.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _BIN_COLUMNS])
+    true_n = F.col("true_cut") if all_pairs is None else F.lit(n_gold)
+    other_n = F.col("pairs") - F.col("true_cut") if all_pairs is None else F.lit(all_pairs) - n_gold
+    return sums.select(
+        true_n.alias("true_pairs"),
+        F.try_divide(F.col("true_total"), true_n).alias("mean_true"),
+        F.try_divide(F.col("total") - F.col("true_total"), other_n).alias("mean_other"),
     )
-    all_true = wanted.agg(F.count("*")).scalar()
-    bins = sims.sparkSession.range(n + 1).select(F.col("id").alias("bin"))
-    filled = bins.join(per_bin, "bin", "left").na.fill(0)
-    missing = F.when(F.col("bin") == 0, all_true - F.sum("true").over(W.partitionBy())).otherwise(0)  # n + 1 rows
+
+
+def _filled(bins: DataFrame, n_gold: Column | int, n: int) -> DataFrame:
+    """All bins 0..n; true pairs that were never scored count in bin 0."""
+    every = bins.sparkSession.range(n + 1).select(F.col("id").alias("bin"))
+    filled = every.join(bins, "bin", "left").na.fill(0)
+    missing = F.when(F.col("bin") == 0, n_gold - F.sum("true").over(W.partitionBy())).otherwise(0)  # n + 1 rows
     return filled.withColumn("_missing", missing).select(
         "bin",
         "pairs",
@@ -181,27 +292,37 @@ def _binned(sims: DataFrame, gold: DataFrame, n: int) -> DataFrame:
     )
 
 
-def bin_counts(sims: DataFrame, gold: DataFrame, n: int = 100) -> DataFrame:
+def other_counts(bins: DataFrame, n_gold: Column | int, n: int = 100) -> DataFrame:
     """Pairs per truncated score bin 0..n with the bins of true pairs taken off."""
-    return _binned(sims, gold, n).select("bin", (F.col("pairs") - F.col("true_cut")).alias("n"))
+    return _filled(bins, n_gold, n).select("bin", (F.col("pairs") - F.col("true_cut")).alias("n"))
+
+
+def bin_counts(sims: DataFrame, gold: DataFrame, n: int = 100) -> DataFrame:
+    """``other_counts`` of a table of scored pairs."""
+    return other_counts(scored_bins(sims, gold, n), _size_of(gold), n)
 
 
 def threshold_sweep(sims: DataFrame, gold: DataFrame, n: int = 100) -> DataFrame:
-    """Precision, recall and F for thresholds 0, 1/n, .. (n-1)/n.
+    """``swept`` of a table of scored pairs."""
+    return swept(scored_bins(sims, gold, n), _size_of(gold), n)
+
+
+def swept(bins: DataFrame, n_gold: Column | int, n: int = 100) -> DataFrame:
+    """Precision, recall and F for thresholds 0, 1/n, .. (n-1)/n from score counts.
 
-    Scores are counted per bin once; the sweep is a running sum over n + 1 bins. False
-    positives come from truncated bins; false negatives compare scores to the threshold
-    itself, with true pairs that were never scored at 0.
+    The sweep is a running sum over n + 1 bins. False positives come from truncated bins;
+    false negatives compare scores to the threshold itself, with true pairs that were never
+    scored at 0.
     """
     upward = W.orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0)  # n + 1 rows
-    swept = _binned(sims, gold, n).select(
+    counted = _filled(bins, n_gold, n).select(
         "bin",
         F.sum(F.col("pairs") - F.col("true_cut")).over(upward).alias("fp"),
         F.sum("true").over(upward).alias("tp"),
         F.sum("true").over(W.partitionBy()).alias("_all"),
     ).filter(F.col("bin") < n)
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    rates = swept.withColumn("fn", F.col("_all") - tp).withColumns(
+    rates = counted.withColumn("fn", F.col("_all") - tp).withColumns(
         {"precision": F.try_divide(tp, tp + fp), "recall": F.try_divide(tp, tp + fn)}
     )
     f = F.try_divide(2 * F.col("recall") * F.col("precision"), F.col("recall") + F.col("precision"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F, types as T
 
 from quern.session import stable
 
@@ -94,48 +95,95 @@ def collect_by_key(df: DataFrame, key: str, value: str, chunk_rows: int = 100_00
     return lists.unionByName(empty.select(key, F.lit(0).cast("bigint").alias("chunk"), none.alias("values")))
 
 
-def value_at_rank(df: DataFrame, value: str, rank: int, bins: int = 1024) -> float | None:
-    """The value at a 0-based rank, found by counting bins and going on inside one bin.
+SKETCH_CELLS = 1000
 
-    Each round is one scan that returns at most ``bins`` counts; rows are never sorted or
-    shuffled. It ends when the bin has one value; a round always leaves out the other end of
-    its range. Nulls are left out, NaN is the largest value, as in Spark's order, and a rank
-    beyond the last value gives None. Integers beyond 2**53 are rounded to doubles.
+
+def quantile_sketch(df: DataFrame, value: str, cells: int = SKETCH_CELLS, **also: Column) -> Row:
+    """One scan: ``below, n, above, nan`` count values (minus infinity, finite, infinity, NaN), ``marks`` are quantiles.
+
+    The mergeable summary behind Spark's approximate percentiles gives ``cells + 1`` finite
+    values, each within a tenth of a cell of its rank. ``also`` adds aggregates to the scan.
     """
-    v = F.col("v")
-    rows = df.select(F.col(value).cast("double").alias("v")).filter("v is not null")
+    v = F.col(value).cast(_number(df, value))
     inf = F.lit(float("inf"))
-    finite = ~F.isnan(v) & (F.abs(v) < inf)
-    seen = rows.agg(
-        F.count_if(v == -inf).alias("below"), F.count_if(finite).alias("n"), F.count_if(v == inf).alias("above"),
-        F.count_if(F.isnan(v)).alias("nan"), F.min(F.when(finite, v)).alias("low"), F.max(F.when(finite, v)).alias("high"),
+    finite = ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < inf)
+    shares = F.array(*[F.lit(i / cells) for i in range(cells + 1)])
+    real = F.when(finite, v)
+    return df.agg(
+        F.count_if(v.cast("double") == -inf).alias("below"), F.count_if(finite).alias("n"),
+        F.count_if(v.cast("double") == inf).alias("above"), F.count_if(F.isnan(v.cast("double"))).alias("nan"),
+        F.percentile_approx(real, shares, F.lit(10 * cells)).alias("marks"), F.min(real).alias("low"), F.max(real).alias("high"),
+        *[c.alias(k) for k, c in also.items()],
     ).first()
-    left = rank - seen.below
-    if left < 0:
-        return float("-inf")
-    if left >= seen.n:
-        beyond = left - seen.n
-        return float("inf") if beyond < seen.above else float("nan") if beyond < seen.above + seen.nan else None
-    low, high = seen.low, seen.high
-    while low < high:
-        part = 1 if math.isfinite(high - low) else 0.5  # a range may be wider than a double
-        share = (v * part - low * part) / (high * part - low * part)
-        counts = (
-            rows.filter(v.between(low, high))
-            .groupBy(F.least(F.floor(share * bins), F.lit(bins - 1)).alias("bin"))
-            .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-            .orderBy("bin")
-            .collect()
+
+
+def _number(df: DataFrame, value: str) -> str:
+    whole = isinstance(df.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    return "bigint" if whole else "double"
+
+
+def values_at_ranks(
+    df: DataFrame, value: str, ranks: Sequence[int], cells: int = SKETCH_CELLS, sketch: Row | None = None
+) -> list[float | int | None]:
+    """The values at 0-based ranks, in two scans whatever the distribution.
+
+    A sketch brackets each rank; the second scan counts the rows between brackets, and the
+    rows of each value inside them, about three cells a rank. Running totals of those counts
+    give the values, which are exact. Rows are never sorted or shuffled, so a frequent value
+    is one count. Nulls are left out, NaN is the largest value, as in Spark's order, and a
+    rank beyond the last value gives None.
+    """
+    seen = sketch or quantile_sketch(df, value, cells)
+    found: dict[int, float | int | None] = {}
+    for rank in set(ranks):
+        beyond = rank - seen.below - seen.n
+        if rank < seen.below:
+            found[rank] = float("-inf")
+        elif beyond >= 0:
+            found[rank] = float("inf") if beyond < seen.above else float("nan") if beyond < seen.above + seen.nan else None
+    slack = 1
+    while left := sorted(set(ranks) - set(found)):
+        marks = [seen.low, *seen.marks[1:-1], seen.high]
+        brackets: list[list] = []
+        for rank in left:
+            cell = (rank - seen.below) * cells // seen.n
+            low, high = marks[max(0, cell - slack)], marks[min(cells, cell + 1 + slack)]
+            if brackets and low <= brackets[-1][1]:
+                brackets[-1][1] = max(brackets[-1][1], high)
+            else:
+                brackets.append([low, high])
+        found |= _inside(df, value, left, brackets, seen.below)
+        slack *= 8  # only if the sketch broke its promise
+    return [found[rank] for rank in ranks]
+
+
+def _inside(df: DataFrame, value: str, ranks: Sequence[int], brackets: list[list], below: int) -> dict[int, float | int]:
+    """The values of those ranks that lie in the brackets, by one scan of the finite values."""
+    kind = _number(df, value)
+    lows, highs = (np.array(x, "int64" if kind == "bigint" else "float64") for x in zip(*brackets))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        between = np.zeros(len(lows) + 1, np.int64)
+        for batch in batches:
+            v = batch.column(0).to_numpy(zero_copy_only=False)
+            v = v[np.isfinite(v)]
+            after = np.searchsorted(lows, v, "right")
+            inside = (after > 0) & (v <= highs[after - 1])
+            between += np.bincount(after[~inside], minlength=len(between))
+            values, first, n = np.unique(v[inside], return_index=True, return_counts=True)
+            yield pa.record_batch({"slot": pa.array(2 * after[inside][first] - 1, pa.int32()), "v": pa.array(values), "n": pa.array(n, pa.int64())})
+        yield pa.record_batch(
+            {"slot": pa.array(2 * np.arange(len(between)), pa.int32()), "v": pa.nulls(len(between), pa.from_numpy_dtype(lows.dtype)), "n": pa.array(between)}
         )
-        found, left = _reach(counts, left)
-        low, high = found.low, found.high
-    return low
-
-
-def _reach(counts: Sequence[Row], rank: int) -> tuple[Row, int]:
-    """The group that holds a rank, and the rank within it."""
-    for row in counts:
-        if rank < row.n:
-            return row, rank
-        rank -= row.n
-    raise ValueError("rank beyond the last row")
+
+    rows = df.select(F.col(value).cast(kind).alias("v")).filter("v is not null")
+    counts = rows.mapInArrow(count, f"slot int, v {kind}, n bigint").groupBy("slot", "v").agg(F.sum("n").alias("n"))
+    totals = running_totals(counts.filter("n > 0"), ["slot", "v"], {"upto": "n"}).filter("v is not null")
+    wanted = F.array(*[F.lit(r - below) for r in ranks])
+    hits = F.filter(wanted, lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
+    return {r.rank + below: r.v for r in totals.select(F.explode(hits).alias("rank"), "v").collect()}
+
+
+def value_at_rank(df: DataFrame, value: str, rank: int, bins: int = SKETCH_CELLS) -> float | int | None:
+    """The value at one rank, see :func:`values_at_ranks`; ``bins`` is the number of cells of the sketch."""
+    return values_at_ranks(df, value, [rank], bins)[0]

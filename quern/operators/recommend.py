@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from quern.functions.maths import squared_error
 from quern.functions.vectors import literal_vector, vec_dot
 from quern.operators.aggregates import count_mean_by_key
+from quern.operators.joins import lookup_join
+from quern.operators.stats import dense_rows
+from quern.session import stable
 
 
 def rmse_join(predicted: DataFrame, actual: DataFrame) -> DataFrame:
@@ -84,6 +89,53 @@ def predict_for_user(model: ALSModel, user: int) -> DataFrame:
     return items.select("item", vec_dot(F.col("_f"), literal_vector(known["features"])).alias("prediction"))
 
 
+def fold_in(item_factors: DataFrame, ratings: DataFrame, reg: float = 0.1) -> DataFrame:
+    """Factors ``user, features`` of users whose ratings ``user, item, rating`` a fit has not seen.
+
+    ``item_factors`` has ``item, features`` of a finished fit. A user's factors solve the
+    normal equations that a half-step of alternating least squares solves, with ``reg`` times
+    the number of ratings on the diagonal. Spark sums the products per user, so a user may
+    have any number of ratings; what is solved is one matrix of the rank's size a user. Users
+    none of whose items has factors are left out.
+    """
+    some = item_factors.select(F.size("features").alias("n")).first()
+    schema = T.StructType([ratings.schema["user"], T.StructField("features", T.ArrayType(T.DoubleType()))])
+    if some is None:
+        return ratings.sparkSession.createDataFrame([], schema)
+    rank = some.n
+    rated = lookup_join(ratings.select("user", "item", "rating"), item_factors, "item")
+    f = [F.col("features")[i].cast("double") for i in range(rank)]
+    pairs = [(i, j) for i in range(rank) for j in range(i + 1)]
+    products = F.array(*[F.sum(f[i] * f[j]) for i, j in pairs])
+    sides = F.array(*[F.sum(x * F.col("rating")) for x in f])
+    sums = rated.groupBy("user").agg(F.count("*").alias("n"), products.alias("p"), sides.alias("s"))
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, onto = np.array(pairs).T
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            matrix = np.zeros((batch.num_rows, rank, rank))
+            matrix[:, at, onto] = matrix[:, onto, at] = dense_rows(batch.column(2))
+            matrix += reg * batch.column(1).to_numpy()[:, None, None] * np.eye(rank)
+            solved = np.linalg.solve(matrix, dense_rows(batch.column(3))[:, :, None])[:, :, 0]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(solved), pa.list_(pa.float64()))], ["user", "features"])
+
+    return sums.mapInArrow(solve, schema)
+
+
+def factors_of(model: ALSModel) -> DataFrame:
+    """``item, features`` of a fit."""
+    return model.itemFactors.select(F.col("id").alias("item"), F.col("features").cast("array<double>").alias("features"))
+
+
+def predict_folded(item_factors: DataFrame, user_factors: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``user, item, prediction`` of pairs both of whose sides have factors."""
+    users = user_factors.withColumnRenamed("features", "_u")
+    met = lookup_join(lookup_join(pairs.select("user", "item"), stable(users), "user"), item_factors, "item")
+    return met.select("user", "item", vec_dot(F.col("_u"), F.col("features")).alias("prediction"))
+
+
 def recommend_unrated(
     ratings: DataFrame,
     items: DataFrame,
@@ -92,16 +144,27 @@ def recommend_unrated(
     min_ratings: int = 75,
     model: ALSModel | None = None,
     rank: int = 12,
+    own: DataFrame | None = None,
+    reg: float = 0.1,
     **settings,
 ) -> DataFrame:
     """The ``k`` items with the best predicted rating that ``user`` has not rated.
 
     ``ratings`` includes the user's own. Only items with more than ``min_ratings`` ratings
-    count.
+    count. With ``own``, the ratings ``item, rating`` of a user whom the ``model`` has not
+    seen, nothing is fitted again: the user is folded in.
     """
-    model = model or als_fit(ratings, rank, **settings)
-    seen = ratings.filter(F.col("user") == user).select("item").distinct()
-    predicted = predict_for_user(model, user).join(seen, "item", "left_anti")
+    model = model or als_fit(ratings, rank, reg=reg, **settings)
+    if own is None:
+        seen, scored = ratings.filter(F.col("user") == user).select("item").distinct(), predict_for_user(model, user)
+    else:
+        seen, factors = own.select("item").distinct(), factors_of(model)
+        folded = fold_in(factors, own.select(F.lit(user).alias("user"), "item", "rating"), reg).first()
+        if folded is None:
+            scored = factors.limit(0).select("item", F.lit(0.0).alias("prediction"))
+        else:
+            scored = factors.select("item", vec_dot(F.col("features"), literal_vector(folded.features)).alias("prediction"))
+    predicted = scored.join(seen, "item", "left_anti")
     counts = ratings.groupBy("item").agg(F.count("*").alias("n")).filter(F.col("n") > min_ratings)
     return (
         predicted.join(counts, "item")

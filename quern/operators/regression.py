@@ -7,16 +7,17 @@ it; every iteration, and every model of a grid, then works on (d + 2)^2 numbers.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import math
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quern.functions.hashing import unit_hash
 from quern.functions.maths import squared_error
 from quern.functions.vectors import literal_vector, two_way_interactions, vec_dot, vec_scale
-from quern.operators.stats import cross_products, vector_sum
+from quern.operators.stats import cross_products, dense_rows, vector_sum
 
 
 def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -105,6 +106,52 @@ def moments(df: DataFrame, features: str = "features", label: str = "label") ->
     return Moments(total)
 
 
+def batch_moments(
+    df: DataFrame, iterations: int, fraction: float, key: str, seed: int, features: str = "features", label: str = "label"
+) -> dict[int, Moments]:
+    """Moments of the rows that each iteration 1.. draws by a hash of ``key``, all in one pass.
+
+    A row lists the iterations that draw it; a task adds its products to one matrix for each
+    iteration and hands those on. An iteration that draws no row is left out.
+    """
+    limit = f"{math.ceil(fraction * 2**32):08x}"
+    text = F.col(key).cast("string")
+    draws = F.filter(
+        F.sequence(F.lit(1), F.lit(iterations)),
+        lambda i: F.substring(F.md5(F.concat_ws(":", text, (i + seed).cast("string"))), 1, 8) < limit,
+    )
+    row = F.concat(F.col(features).cast("array<double>"), F.array(F.lit(1.0), F.col(label).cast("double")))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z, lists = dense_rows(batch.column(0)), batch.column(1)
+            iteration = lists.flatten().to_numpy(zero_copy_only=False)
+            order = np.argsort(iteration, kind="stable")
+            drawn = np.repeat(np.arange(len(z)), lists.value_lengths().to_numpy(zero_copy_only=False))[order]
+            stops = np.searchsorted(iteration[order], np.arange(1, iterations + 2))
+            if total is None:
+                total = np.zeros((iterations, z.shape[1], z.shape[1]))
+            for t in range(iterations):
+                x = z[drawn[stops[t] : stops[t + 1]]]
+                total[t] += x.T @ x
+        if total is not None:
+            t, i, j = np.nonzero(total)
+            yield pa.record_batch(
+                {**{n: pa.array(x, pa.int32()) for n, x in (("t", t), ("i", i), ("j", j))}, "v": pa.array(total[t, i, j])}
+            )
+
+    parts = df.select(row.alias("z"), draws.alias("draws")).mapInArrow(fold, "t int, i int, j int, v double")
+    cells = parts.groupBy("t", "i", "j").agg(F.sum("v").alias("v")).toPandas()
+    d = int(cells["i"].max()) + 1 if len(cells) else 0
+    found = {int(t): np.zeros((d, d)) for t in cells["t"].unique()}
+    for t, part in cells.groupby("t"):
+        found[int(t)][part["i"], part["j"]] = part["v"]
+    return {t + 1: Moments(m) for t, m in found.items()}
+
+
 def linreg_gd(train: DataFrame | Moments, iterations: int, alpha: float = 1.0) -> LinearModel:
     """Batch gradient descent without intercept, step ``alpha / (n sqrt(i + 1))``."""
     m = train if isinstance(train, Moments) else moments(train)
@@ -128,19 +175,21 @@ def linreg_sgd(
 
     Follows the update rule of Spark's ``LinearRegressionWithSGD``: mean gradient, step
     ``step / sqrt(i)``, intercept started at 1 and shrunk with the weights; no early stop.
-    A ``fraction`` below 1 draws rows anew for each iteration by a hash of ``key`` and
-    makes one pass per iteration; the full batch makes one pass in all.
+    A ``fraction`` below 1 draws rows anew for each iteration by a hash of ``key``; an
+    iteration that draws none changes nothing. All iterations together take one pass.
     """
     sampled = fraction < 1.0
     if sampled and (key is None or isinstance(train, Moments)):
         raise ValueError("mini-batches need rows with a key")
-    m = None if sampled else (train if isinstance(train, Moments) else moments(train))
-    w = None if sampled else np.append(np.zeros(m.d), 1.0)
+    if sampled:
+        drawn = batch_moments(train, iterations, fraction, key, seed)
+        if not drawn:
+            raise ValueError("no iteration draws a row")
+    else:
+        drawn = dict.fromkeys(range(1, iterations + 1), train if isinstance(train, Moments) else moments(train))
+    w = np.append(np.zeros(next(iter(drawn.values())).d), 1.0)
     errors = []
-    for i in range(1, iterations + 1):
-        if sampled:
-            m = moments(train.filter(unit_hash(F.col(key), seed + i) < fraction))
-            w = np.append(np.zeros(m.d), 1.0) if w is None else w
+    for i, m in sorted(drawn.items()):
         errors.append(m.rmse(w[:-1], w[-1]))
         rate = step / np.sqrt(i)
         w = w * (1 - rate * reg) - rate * m.gradient(w) / m.n

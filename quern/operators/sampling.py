@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from quern.functions.hashing import hash_text, unit_hash
-from quern.operators.ordering import value_at_rank, zip_with_index
+from quern.operators.joins import lookup_join
+from quern.operators.ordering import value_at_rank, values_at_ranks, zip_with_index
 
 
 def with_split(df: DataFrame, key: str, weights: Sequence[float], seed: int) -> DataFrame:
@@ -43,12 +44,26 @@ def take_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 
 def take_sample_replace(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """``n`` draws with replacement: ``draw`` numbers them, other columns are the row drawn."""
-    indexed = zip_with_index(df, [key], "_at")
-    total = df.agg(F.count("*")).scalar()
-    draws = df.sparkSession.range(n).select(
-        F.col("id").alias("draw"),
-        F.least(F.floor(unit_hash(F.col("id"), seed) * total), total - 1).alias("_at"),
+    """``n`` draws with replacement: ``draw`` numbers them, other columns are the row drawn.
+
+    Rows are drawn by their place in the order of ``key``, which is unique. The keys at all
+    drawn places are located together in two scans (``values_at_ranks``), so whole integers
+    and doubles are neither sorted nor shuffled; keys of other types are numbered first.
+    """
+    total = df.agg(F.count(key)).first()[0]
+    spark = df.sparkSession
+    places = spark.range(n).select(
+        F.col("id").alias("draw"), F.least(F.floor(unit_hash(F.col("id"), seed) * total), F.lit(total - 1)).alias("_at")
     )
-    # draws are spread evenly over the rows, so the join has no frequent key
-    return indexed.join(draws, "_at").drop("_at")
+    if not isinstance(df.schema[key].dataType, (T.IntegralType, T.FloatType, T.DoubleType)):
+        # draws are spread evenly over the rows, so the join has no frequent key
+        return zip_with_index(df.filter(F.col(key).isNotNull()), [key], "_at").join(places, "_at").drop("_at")
+    drawn = [(r.draw, r._at) for r in places.collect()] if total else []  # n rows, as many as the caller asked for
+    keys = values_at_ranks(df, key, [at for _, at in drawn])
+    rows = [(draw, k) for (draw, _), k in zip(drawn, keys)]
+    found = spark.createDataFrame(rows, T.StructType([T.StructField("draw", T.LongType()), T.StructField(key, _kind(df, key))]))
+    return lookup_join(df, found, key).select("draw", *df.columns)
+
+
+def _kind(df: DataFrame, key: str) -> T.DataType:
+    return T.LongType() if isinstance(df.schema[key].dataType, T.IntegralType) else T.DoubleType()

@@ -11,27 +11,24 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from quern.operators.ordering import running_totals, value_at_rank
+from quern.operators.ordering import quantile_sketch, running_totals, values_at_ranks
+from quern.session import stable
 
 
 def mean_median(df: DataFrame, value: str) -> DataFrame:
     """Mean and exact median; nulls are left out, NaN is the largest value and makes the mean NaN.
 
-    The median is found by counting bins (``value_at_rank``) instead of gathering all
-    values in one aggregation buffer.
+    Two scans: a sketch that also takes the mean brackets the median, and counts inside the
+    bracket find it (``values_at_ranks``); no aggregation buffer gathers all values.
     """
     spark = df.sparkSession
     schema = "mean double, median double"
-    n, mean = df.agg(F.count(value), F.avg(value)).first()
-    if not n:
+    sketch = quantile_sketch(df, value, total=F.count(value), mean=F.avg(value))
+    if not sketch.total:
         return spark.createDataFrame([(None, None)], schema)
-    v = F.col(value).cast("double")
-    median = value_at_rank(df, value, (n - 1) // 2)
-    if n % 2 == 0:
-        # in Spark's order NaN equals itself and is above all others
-        reached, above = df.agg(F.count_if(v <= F.lit(median)), F.min(F.when(v > F.lit(median), v))).first()
-        median = median if reached > n // 2 else (median + above) / 2
-    return spark.createDataFrame([(float(mean), float(median))], schema)
+    middle = values_at_ranks(df, value, [(sketch.total - 1) // 2, sketch.total // 2], sketch=sketch)
+    median = middle[0] if middle[0] == middle[1] else (middle[0] + middle[1]) / 2
+    return spark.createDataFrame([(float(sketch.mean), float(median))], schema)
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -86,15 +83,20 @@ def welch_t_test(df: DataFrame, group: str, value: str) -> DataFrame:
     return df.sparkSession.createDataFrame([row], "t double, df double, p double")
 
 
-def roc_curve(df: DataFrame, score: str, truth: str) -> DataFrame:
+def roc_curve(df: DataFrame, score: str, truth: str, bins: int | None = None) -> DataFrame:
     """One point per distinct score, best first: running counts and both rates.
 
     Rows are counted per score first, and the running sums go over range partitions. A rate
-    is null if no row is of its class.
+    is null if no row is of its class. For scores that hardly repeat, ``bins`` keeps about as
+    many points of the same curve, at scores with equal numbers of rows between them; null
+    scores are then left out. ``roc_area`` tells how far its area may be off.
     """
-    per_score = df.groupBy(F.col(score).alias("score")).agg(
-        F.sum(F.col(truth).cast("bigint")).alias("_pos"), F.count("*").alias("_n")
-    )
+    if bins is None:
+        per_score = df.groupBy(F.col(score).alias("score")).agg(
+            F.sum(F.col(truth).cast("bigint")).alias("_pos"), F.count("*").alias("_n")
+        )
+    else:
+        per_score = _counts_at(df.filter(F.col(score).isNotNull()), score, truth, bins)
     per_score = per_score.withColumn("_neg", F.col("_n") - F.col("_pos")).drop("_n").withColumnRenamed("_pos", "_hit")
     curve = running_totals(per_score, [F.desc("score")], {"tp": "_hit", "fp": "_neg"})
     positives, negatives = curve.agg(F.max("tp")).scalar(), curve.agg(F.max("fp")).scalar()
@@ -104,6 +106,47 @@ def roc_curve(df: DataFrame, score: str, truth: str) -> DataFrame:
     )
 
 
+def _counts_at(df: DataFrame, score: str, truth: str, bins: int) -> DataFrame:
+    """``score, _pos, _n``: rows counted at the largest of about ``bins`` cut points they reach.
+
+    Cut points are the scores at equal steps of rank, found in two scans; a third counts.
+    """
+    sketch = quantile_sketch(df, score)
+    n = sketch.below + sketch.n + sketch.above + sketch.nan
+    found = values_at_ranks(df, score, [i * n // bins for i in range(bins)], sketch=sketch) if n else []
+    cuts = np.unique(np.array(found))  # NaN last, as in Spark's order
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits, rows = np.zeros(len(cuts)), np.zeros(len(cuts), np.int64)
+        for batch in batches:
+            at = np.searchsorted(cuts, batch.column(0).to_numpy(zero_copy_only=False), "right") - 1
+            rows += np.bincount(at, minlength=len(cuts))
+            hits += np.bincount(at, weights=batch.column(1).to_numpy(zero_copy_only=False), minlength=len(cuts))
+        some = np.flatnonzero(rows)
+        yield pa.record_batch({"score": pa.array(cuts[some]), "_pos": pa.array(hits[some].astype(np.int64)), "_n": pa.array(rows[some])})
+
+    kind = "bigint" if cuts.dtype.kind == "i" else "double"
+    rows = df.select(F.col(score).cast(kind), F.coalesce(F.col(truth).cast("bigint"), F.lit(0)))
+    parts = rows.mapInArrow(count, f"score {kind}, _pos bigint, _n bigint")
+    return parts.groupBy("score").agg(F.sum("_pos").alias("_pos"), F.sum("_n").alias("_n"))
+
+
+def roc_area(curve: DataFrame) -> DataFrame:
+    """One row ``area, error``: the area under a curve of ``roc_curve``, and the most it can differ from that of all scores.
+
+    Between two points of a binned curve the rows may come in any order, so their part of the
+    area is known up to half the rectangle between the points.
+    """
+    steps = running_totals(curve.withColumn("_one", F.lit(1)), [F.desc("score")], {"_at": "_one"})
+    after = stable(steps.select("_at", "tpr", "fpr"))
+    before = after.select((F.col("_at") + 1).alias("_at"), F.col("tpr").alias("_t"), F.col("fpr").alias("_f"))
+    both = after.join(before, "_at", "left").na.fill(0.0, ["_t", "_f"])
+    up, along = F.col("tpr") - F.col("_t"), F.col("fpr") - F.col("_f")
+    return both.agg(
+        F.sum(along * (F.col("tpr") + F.col("_t")) / 2).alias("area"), F.sum(up * along / 2).alias("error")
+    )
+
+
 def vector_mean(df: DataFrame, col: str) -> DataFrame:
     """Element-wise mean as rows ``pos, mean``."""
     mean = df.select(array_to_vector(F.col(col)).alias("v")).agg(Summarizer.mean(F.col("v")).alias("m"))

@@ -60,14 +60,23 @@ def idf(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
     return record_tokens(df, tokens).groupBy("token").agg((n / F.count("*")).alias("idf"))
 
 
+def inverse_frequency(tf: DataFrame, n: Column | int) -> DataFrame:
+    """``token, idf`` from a table with one row per record and token, as ``term_frequency`` gives for unique ids."""
+    return tf.groupBy("token").agg((n / F.count("*")).alias("idf"))
+
+
 def tfidf(df: DataFrame, id_col: str, tokens: Column, idfs: DataFrame | None = None) -> DataFrame:
     """Weights ``id, token, weight``; tokens missing from ``idfs`` have no weight.
 
-    The IDF table is written first, so that Spark knows its size and can cut the rows of a
-    frequent token into several tasks. Pass a stored table as ``idfs``.
+    Texts are split once: the frequencies are written, and the IDF is counted from them. The
+    IDF table is written too, so that Spark knows its size and can cut the rows of a frequent
+    token into several tasks. Pass a stored table as ``idfs``.
     """
-    idfs = idfs if idfs is not None else stable(idf(df, id_col, tokens))
-    joined = lookup_join(term_frequency(df, id_col, tokens), idfs, "token")
+    tf = term_frequency(df, id_col, tokens)
+    if idfs is None:
+        tf = stable(tf)
+        idfs = stable(inverse_frequency(tf, df.agg(F.count_distinct(id_col)).scalar()))
+    joined = lookup_join(tf, idfs, "token")
     return joined.select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"))
 
 

@@ -284,6 +284,27 @@ def roc_curve(t):
     return curve.withColumns({"tpr": r("tpr", 6), "fpr": r("fpr", 6)})
 
 
+# Prices hardly repeat: 50 points at equal steps of rank, and how much area they leave open.
+@query("""
+WITH p AS (SELECT l_extendedprice AS score, (l_returnflag = 'R')::INT AS truth FROM lineitem),
+     o AS (SELECT score, row_number() OVER (ORDER BY score) - 1 AS r, count(*) OVER () AS n FROM p),
+     c AS (SELECT DISTINCT score FROM o, range(50) g(i) WHERE r = i * n // 50),
+     g AS (SELECT score, sum(truth) AS pos, count(*) - sum(truth) AS neg
+           FROM (SELECT c.score, truth FROM p ASOF JOIN c ON p.score >= c.score) GROUP BY score),
+     t AS (SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, pos, neg FROM g WINDOW w AS (ORDER BY score DESC)),
+     a AS (SELECT sum(neg * (2 * tp - pos) / 2.0) AS area, sum(pos * neg / 2.0) AS error, sum(pos) AS p, sum(neg) AS n FROM t)
+SELECT score, tp::BIGINT AS tp, fp::BIGINT AS fp, round(tp / a.p, 6) AS tpr, round(fp / a.n, 6) AS fpr,
+       round(a.area / (a.p * a.n), 6) AS area, round(a.error / (a.p * a.n), 6) AS error
+FROM t, a
+""")
+def roc_curve_binned(t):
+    scored = t.lineitem.select("l_extendedprice", (F.col("l_returnflag") == "R").cast("int").alias("returned"))
+    curve = stable(S.roc_curve(scored, "l_extendedprice", "returned", bins=50))
+    area = S.roc_area(curve).first()
+    rates = curve.withColumns({"tpr": r("tpr", 6), "fpr": r("fpr", 6)})
+    return rates.withColumns({"area": r(F.lit(area.area), 6), "error": r(F.lit(area.error), 6)})
+
+
 @query("""
 WITH g AS (SELECT CASE WHEN isodow(l_shipdate) < 6 THEN 'weekday' ELSE 'weekend' END AS daytype, p_name,
                   round(sum(l_extendedprice), 2) AS total

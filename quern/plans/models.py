@@ -191,6 +191,27 @@ def pca_eigenvalue_moments(t):
     return t.spark.createDataFrame(rows, "power int, total double")
 
 
+# A power of the covariance by repeated squaring: its columns point along the first component.
+@query(f"""
+WITH RECURSIVE m AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM ({COVARIANCE_SQL}) GROUP BY i)),
+p AS (SELECT 0 AS step, m FROM m UNION ALL
+      SELECT step + 1, list_transform(m, lambda r: list_transform(m, lambda q: list_dot_product(r, q) / size))
+      FROM (SELECT step, m, list_sum(list_transform(m, lambda z: list_dot_product(z, z))) AS size FROM p WHERE step < 24)),
+c AS (SELECT list_transform(range(1, 65), lambda k: m[k][k]) AS diagonal, m FROM p WHERE step = 24),
+b AS (SELECT m[list_position(diagonal, list_max(diagonal))] AS v FROM c),
+u AS (SELECT list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM b),
+w AS (SELECT list_transform(u, lambda x: x * CASE WHEN list_max(u) >= -list_min(u) THEN 1 ELSE -1 END) AS w FROM u)
+SELECT (generate_subscripts(w, 1) - 1)::INT AS pos, round(unnest(w), 5) + 0.0 AS loading,
+       (SELECT round(list_sum(list_transform(range(1, 65), lambda k: w[k] * list_dot_product(m.m[k], w))), 8) FROM m) AS eigenvalue
+FROM w
+""")
+def pca_first_component(t):
+    model = P.pca_top(vectors(t), "v", 1)
+    rows = [(i, float(x), float(model.eigenvalues[0])) for i, x in enumerate(model.components[:, 0])]
+    found = t.spark.createDataFrame(rows, "pos int, loading double, eigenvalue double")
+    return found.select("pos", r("loading", 5).alias("loading"), r("eigenvalue", 8).alias("eigenvalue"))
+
+
 @query()
 def pca_scores(t):
     return P.pca_scores(vectors(t), "v", 3).select("vec_id", F.posexplode("scores").alias("pos", "score"))
@@ -198,7 +219,7 @@ def pca_scores(t):
 
 @query()
 def variance_explained(t):
-    model = P.pca_fit(vectors(t), "v", 2)
+    model = P.pca_top(vectors(t), "v", 2)
     rows = [(k, model.variance_explained(k)) for k in (1, 2)]
     return t.spark.createDataFrame(rows, "k int, share double")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from quern.operators import aggregates as A, joins as J, ordering as O, udfs as U
 from quern.operators.recommend import sort_deterministic as _sort_deterministic
@@ -13,6 +13,7 @@ from quern.operators.text import drop_empty as _drop_empty
 from quern.functions.vectors import series_std
 from quern.plans.catalog import query
 from quern.plans.data import day_text, r, vectors
+from quern.session import stable
 
 
 # --- projections and filters
@@ -134,20 +135,22 @@ def map_partitions(t):
     return parts.groupBy("o_orderstatus").agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"))
 
 
-def _rows_of_partition(index, batches):
-    n = keys = 0
+def _counted(index, batches):
+    n = 0
     for batch in batches:
-        n, keys = n + len(batch), keys + int(batch["o_orderkey"].sum())
-    yield pd.DataFrame({"part": [index], "n": [n], "keys": [keys]})
+        yield pd.DataFrame({"o_orderkey": batch["o_orderkey"], "part": index, "pos": range(n, n + len(batch))})
+        n += len(batch)
 
 
-@query("SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys, 8::BIGINT AS parts FROM orders")
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row FROM orders")
 def map_partitions_with_index(t):
-    spread = t.orders.select("o_orderkey").repartition(8)
-    per_part = U.map_partitions_with_index(spread, _rows_of_partition, "part int, n bigint, keys bigint")
-    return per_part.agg(
-        F.sum("n").alias("n"), F.sum("keys").alias("keys"), F.count_distinct("part").alias("parts")
-    )
+    """Numbers sorted rows: places within each partition, then what the partitions before it hold."""
+    spread = t.orders.select("o_orderkey").repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
+    placed = stable(U.map_partitions_with_index(spread, _counted, "o_orderkey bigint, part int, pos bigint"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # a row per partition
+    counts = placed.groupBy("part").agg(F.count("*").alias("n"))
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return placed.join(F.broadcast(offsets), "part").select("o_orderkey", (F.col("before") + F.col("pos")).alias("row"))
 
 
 # --- joins

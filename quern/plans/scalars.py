@@ -222,16 +222,17 @@ def apply_matrix(t):
     return positions(t, V.apply_matrix(F.col("v"), matrix), 8)
 
 
-# Features that interact: their products grow with the square of this.
-INTERACTION_WIDTH = 16
-
-
-@query(positions_sql(
-    "v || flatten(list_transform(v, lambda a: list_transform(v, lambda b: a * b)))", 9,
-    f"(SELECT vec_id, ({E})[1:{INTERACTION_WIDTH}] AS v FROM embeddings)",
-))
+# Mean of each of the 64 + 64 * 64 features per label.
+@query(f"""
+SELECT label, pos, round(avg(x), 9) + 0.0 AS mean
+FROM (SELECT label, generate_subscripts(w, 1)::INT - 1 AS pos, unnest(w) AS x
+      FROM (SELECT label, v || flatten(list_transform(v, lambda a: list_transform(v, lambda b: a * b))) AS w
+            FROM (SELECT label, {E} AS v FROM embeddings)))
+GROUP BY label, pos
+""")
 def two_way_interactions(t):
-    return positions(t, V.two_way_interactions(F.slice("v", 1, INTERACTION_WIDTH)))
+    features = vectors(t).select("label", F.posexplode_outer(V.two_way_interactions(F.col("v"))).alias("pos", "x"))
+    return features.groupBy("label", "pos").agg(r(F.avg("x"), 9).alias("mean"))
 
 
 @query("""

@@ -123,6 +123,13 @@ def _gold(t):
     return stable(found.select(F.col("item_id").alias("id_a"), F.col("doc_id").alias("id_b")))
 
 
+def _bins(t, n):
+    """Score counts of all pairs, and the number of true pairs."""
+    gold = _gold(t)
+    bins = E.weight_bins(*map(stable, _pair_weights(t)), gold, n, digits=9)
+    return stable(bins), gold.agg(F.count("*")).scalar()
+
+
 @query(PAIRS_SQL + "SELECT id_a, id_b, score FROM sims")
 def cosine_pairs_blocked(t):
     return _sims(t)
@@ -184,7 +191,7 @@ SELECT (SELECT count(*) FROM gold) AS true_pairs,
 """)
 def gold_evaluation(t):
     n_pairs = t.benchmark.agg(F.count("*")).scalar() * t.documents.agg(F.count("*")).scalar()
-    result = E.gold_evaluation(_sims(t), _gold(t), n_pairs)
+    result = E.evaluated(*_bins(t, 1), n_pairs)
     return result.select("true_pairs", r("mean_true", 7).alias("mean_true"), r("mean_other", 7).alias("mean_other"))
 
 
@@ -195,7 +202,7 @@ SELECT bin, sum(w)::BIGINT AS n FROM (
  SELECT i, 0 FROM range(101) r(i)) GROUP BY bin
 """)
 def bin_counts(t):
-    return E.bin_counts(_sims(t), _gold(t))
+    return E.other_counts(*_bins(t, 100))
 
 
 @query(PAIRS_SQL + """, g AS (SELECT coalesce(score, 0) AS score FROM gold LEFT JOIN sims USING (id_a, id_b)),
@@ -208,6 +215,6 @@ SELECT threshold, tp, fp, fn, coalesce(round(precision, 9), 0) AS precision, rou
        coalesce(round(2 * recall * precision / nullif(recall + precision, 0), 9), 0) AS f FROM p
 """)
 def threshold_sweep(t):
-    swept = E.threshold_sweep(_sims(t), _gold(t))
+    swept = E.swept(*_bins(t, 100))
     # thresholds above every score have no precision
     return swept.withColumns({c: F.coalesce(r(c, 9), F.lit(0.0)) for c in ("precision", "recall", "f")})

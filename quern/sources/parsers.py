@@ -22,13 +22,13 @@ USER_AGENT_PATTERN = r"^(\S+) \(([^(]*)\) (\S+) \(([^(]*)\) (\S+) (\S+)"
 PRODUCT_PATTERN = r'(?d)^(.+),"(.+)",(.*),(.*),(.*)'
 PAIR_PATTERN = r"(?d)^(.+),(.+)"
 
+# Names of the fields.
 CLF_FIELDS = (
-    "host client_identd user_id date_time method endpoint protocol response_code content_size"
-).split()
+    "host", "client_identd", "user_id", "date_time", "method", "endpoint", "protocol", "response_code", "content_size",
+)
 USER_AGENT_FIELDS = (
-    "browser_compatibility os_ver platform browser_platform_details enhancement_1 enhancement_2"
-).split()
-
+    "browser_compatibility", "os_ver", "platform", "browser_platform_details", "enhancement_1", "enhancement_2",
+)
 
 _MARK = "\ue000"
 
@@ -89,12 +89,14 @@ def split_valid_invalid(parsed: DataFrame) -> tuple[DataFrame, DataFrame, DataFr
 def _groups(line: Column, pattern: str, n: int) -> Column:
     """The groups of a pattern that matches once in a line, by one rewrite; null where it does not match.
 
-    The marks around the groups are private characters, taken out of the line first.
+    Marks around the groups are private characters; a line that has such a character itself
+    gives its groups one by one.
     """
-    clean = F.translate(line, _MARK, "")
     found = "".join(f"{_MARK}${i}" for i in range(1, n + 1)) + _MARK
-    parts = F.split(F.regexp_replace(clean, pattern, found), _MARK, -1)
-    return bind(parts, lambda p: F.when(F.size(p) == n + 2, F.slice(p, 2, n)))
+    parts = F.split(F.regexp_replace(line, pattern, found), _MARK, -1)
+    marked = bind(parts, lambda p: F.when(F.size(p) == n + 2, F.slice(p, 2, n)))
+    single = F.when(line.rlike(pattern), F.array(*[F.regexp_extract(line, pattern, i) for i in range(1, n + 1)]))
+    return F.when(F.contains(line, F.lit(_MARK)), single).otherwise(marked)
 
 
 def parse_user_agent(df: DataFrame, col: str) -> DataFrame:

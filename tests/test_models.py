@@ -82,6 +82,88 @@ def test_mini_batches_come_close_to_the_full_batch(linear):
         G.linreg_sgd(df, iterations=1, fraction=0.5)
 
 
+def test_mini_batches_are_those_of_one_pass_each(linear):
+    from quern.functions.hashing import unit_hash
+
+    df = linear[2].withColumn("key", F.col("label") * 1000)
+    got = G.batch_moments(df, 6, 0.3, "key", 42)
+    for i in range(1, 7):
+        assert got[i].total == pytest.approx(G.moments(df.filter(unit_hash(F.col("key"), 42 + i) < 0.3)).total)
+    few = G.batch_moments(df, 200, 0.002, "key", 1)
+    assert 0 < len(few) < 200 and G.linreg_sgd(df, iterations=200, fraction=0.002, key="key", seed=1).weights.shape == (len(linear[0][0]),)
+
+
+def test_top_components_of_long_vectors(spark):
+    rng = np.random.default_rng(2)
+    for n, d, k in ((300, 40, 3), (25, 120, 5), (400, 6, 4)):
+        x = rng.normal(size=(n, d)) * np.linspace(3, 0.2, d) + rng.normal(size=d)
+        df = spark.createDataFrame([(row.tolist(),) for row in x], "v array<double>").repartition(3)
+        model = P.pca_top(df, "v", k)
+        values, vectors = np.linalg.eigh(np.cov(x.T, bias=True))
+        assert model.eigenvalues[:k] == pytest.approx(values[::-1][:k], rel=1e-9)
+        assert np.abs(np.abs(np.diag(model.components.T @ vectors[:, ::-1][:, :k])) - 1).max() < 1e-6
+        assert model.variance_explained(1) == pytest.approx(values[-1] / values.sum())
+        assert all(c[np.abs(c).argmax()] > 0 for c in model.components.T)
+
+
+def test_top_components_of_vectors_on_a_line(spark):
+    df = spark.createDataFrame([([float(x), 2.0 * x, 0.0],) for x in range(9)], "v array<double>")
+    model = P.pca_top(df, "v", 2)
+    assert model.components[:, 0] == pytest.approx(np.array([1, 2, 0]) / 5**0.5) and model.eigenvalues[1:] == pytest.approx(0, abs=1e-9)
+    same = P.pca_top(spark.createDataFrame([([1.0, 2.0],)] * 4, "v array<double>"), "v", 1)
+    assert same.eigenvalues[0] == 0
+    with pytest.raises(ValueError):
+        P.pca_top(df.limit(0), "v", 1)
+
+
+def test_user_folded_in_as_a_fit_would(spark):
+    rng = np.random.default_rng(4)
+    users, items = rng.normal(size=(40, 3)) + 1, rng.normal(size=(30, 3)) + 1
+    rows = [(u, i, float(users[u] @ items[i])) for u in range(40) for i in range(30) if rng.random() < 0.6]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating double")
+    new = ratings.filter("user >= 35")
+    model = R.als_fit(ratings.filter("user < 35"), 3, iterations=10, reg=0.01)
+    factors = R.factors_of(model)
+    folded = R.fold_in(factors, new, 0.01)
+    f = {r.item: np.array(r.features) for r in factors.collect()}
+    for row in folded.collect():
+        mine = [(i, x) for u, i, x in rows if u == row.user and i in f]
+        a = np.array([f[i] for i, _ in mine])
+        expected = np.linalg.solve(a.T @ a + 0.01 * len(mine) * np.eye(3), a.T @ np.array([x for _, x in mine]))
+        assert row.features == pytest.approx(expected, rel=1e-9)
+    assert folded.count() == 5
+    mine = R.rmse_join(R.predict_folded(factors, folded, new), new).first().rmse
+    refit = R.als_fit(ratings, 3, iterations=10, reg=0.01).transform(new).select("user", "item", "prediction")
+    assert mine < R.rmse_join(refit, new).first().rmse + 0.1
+    assert R.fold_in(factors, new.withColumn("item", F.lit(999)), 0.01).count() == 0
+
+
+def test_recommendation_without_another_fit(spark):
+    rng = np.random.default_rng(5)
+    rows = [(u, i, float(1 + (u + i) % 5)) for u in range(30) for i in range(20) if rng.random() < 0.7]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating double")
+    items = spark.createDataFrame([(i, f"item {i:02d}") for i in range(20)], "item int, title string")
+    model = R.als_fit(ratings, 4, iterations=8)
+    own = spark.createDataFrame([(i, 5.0 if i % 2 else 1.0) for i in range(8)], "item int, rating double")
+    got = R.recommend_unrated(ratings, items, -1, k=50, min_ratings=0, model=model, own=own).collect()
+    assert {r.title for r in got} == {f"item {i:02d}" for i in range(8, 20)}
+    assert [r.prediction for r in got] == sorted((r.prediction for r in got), reverse=True)
+
+
+def test_blocks_multiply_as_matrices(spark):
+    from quern.operators.matrices import matrix_multiply
+
+    rng = np.random.default_rng(6)
+    for fill in (0.02, 0.9):
+        a, b = (rng.integers(1, 9, size=s) * (rng.random(s) < fill) for s in ((37, 50), (50, 23)))
+        cells = [spark.createDataFrame([(int(i) - 5, int(j) - 5, float(m[i, j])) for i, j in zip(*np.nonzero(m))], "i bigint, j bigint, v double") for m in (a, b)]
+        for size in (7, 512):
+            got = {(r.i + 5, r.j + 5): r.v for r in matrix_multiply(*cells, size).collect()}
+            reached = (a > 0).astype(int) @ (b > 0).astype(int)
+            assert got == {(i, j): (a @ b)[i, j] for i, j in zip(*np.nonzero(reached))}
+        assert matrix_multiply(cells[0].limit(0), cells[1]).count() == 0
+
+
 def test_grid_keeps_the_best_model(linear):
     df = linear[2]
     grid = [{"iterations": 200, "step": 1.0, "reg": r} for r in (1e-10, 1.0)] + [{"iterations": 200, "step": 10.0, "reg": 0.0}]

@@ -4,7 +4,7 @@ import statistics
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from quern.operators import aggregates as A, ordering as O, stats as S
 
@@ -57,6 +57,23 @@ def test_value_at_rank_narrows_in_rounds(spark):
         assert O.value_at_rank(heavy, "v", rank, bins=4) == values[rank]
 
 
+def test_values_at_many_ranks(spark):
+    rows = spark.range(0, 4000, numPartitions=5).select((F.col("id") * 7919 % 4001 - 1000).alias("v"))
+    hot = rows.unionAll(spark.range(2000).select(F.lit(2**60 + 1).alias("v"))).unionAll(spark.createDataFrame([(None,)], "v bigint"))
+    values = sorted(r.v for r in hot.collect() if r.v is not None)
+    ranks = [0, 5999, 6000, 3999, 4000, 17, 17, *range(0, 6000, 101)]
+    for cells in (3, 50, 1000):
+        assert O.values_at_ranks(hot, "v", ranks, cells) == [values[r] if r < 6000 else None for r in ranks]
+    assert O.values_at_ranks(hot, "v", []) == [] and O.values_at_ranks(hot.limit(0), "v", [0]) == [None]
+
+
+def test_brackets_that_miss_are_widened(spark):
+    rows = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    sketch = O.quantile_sketch(rows, "v", 10)
+    wrong = Row(**{**sketch.asDict(), "marks": [0.0, *[1.0] * 9, 999.0]})
+    assert O.values_at_ranks(rows, "v", [500, 20], 10, wrong) == [500.0, 20.0]
+
+
 @pytest.mark.parametrize(
     "values, median",
     [
@@ -163,3 +180,16 @@ def test_sort_by_key_is_in_order(spark, data):
     df = QUERIES["sort_by_key"](spark, data)
     rows = [tuple(r) for r in df.collect()]
     assert [r[0] for r in rows] == sorted(r[0] for r in rows)
+
+
+def test_binned_roc_is_part_of_the_whole(spark):
+    rows = spark.range(3000).select((F.col("id") * 7919 % 3001 / 7.0).alias("s"), (F.col("id") * 31 % 100 < F.col("id") / 60).cast("int").alias("t"))
+    odd = rows.unionAll(spark.createDataFrame([(float("nan"), 1), (float("inf"), 0), (None, 1)], "s double, t int"))
+    whole = {str(r.score): (r.tp, r.fp) for r in S.roc_curve(odd.filter("s is not null"), "s", "t").collect()}
+    binned = S.roc_curve(odd, "s", "t", bins=40)
+    points = binned.collect()
+    assert 40 <= len(points) <= 41 and all(whole[str(r.score)] == (r.tp, r.fp) for r in points)
+    exact = S.roc_area(S.roc_curve(odd.filter("s is not null"), "s", "t")).first()
+    rough = S.roc_area(binned).first()
+    assert exact.error == pytest.approx(0, abs=1e-9) and abs(exact.area - rough.area) <= rough.error < 0.02
+    assert S.roc_curve(odd.limit(0), "s", "t", bins=4).count() == 0

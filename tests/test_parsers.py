@@ -114,3 +114,13 @@ def test_stop_words_are_distinct(spark):
     path = scratch_path(spark, "stop")
     lines(spark, "a", "the", "a").write.text(path)
     assert sorted(r.token for r in R.read_stopwords(spark, path).collect()) == ["a", "the"]
+
+
+def test_private_characters_stay_in_fields(spark):
+    mark = "\ue000"
+    name = f'"a{mark}b","some {mark}{mark} name","d{mark}","m",1'
+    plain = '"ab","some  name","d","m",1'
+    with_mark, without = (P.parse_quoted_product(lines(spark, x)).first() for x in (name, plain))
+    assert without.status == with_mark.status == 1
+    assert with_mark.id == f"a{mark}b" and with_mark.product.replace(mark, "") == without.product and with_mark.product.count(mark) == 3
+    assert P.parse_quoted_product(lines(spark, f"junk {mark}")).first().status == -1

@@ -148,6 +148,32 @@ def test_gold_evaluation(judged, sources, spark):
     assert got.mean_other == pytest.approx(others / (pairs - len(gold)))
 
 
+@pytest.mark.parametrize("block, n, digits", [(3, 100, None), (1024, 7, 3)])
+def test_bins_of_weights_are_those_of_pairs(spark, weights, sources, monkeypatch, block, n, digits):
+    monkeypatch.setattr(E, "BLOCK_RECORDS", block)
+    every = naive(*sources)
+    ranked = sorted(every, key=lambda p: (-every[p], p))
+    gold = ranked[:6] + ranked[30:33] + [p for p in ranked if every[p] == 0][:2] + [("no such", "record")]
+    gold_frame = spark.createDataFrame(gold + gold[:1], "id_a string, id_b string")
+    sims = E.cosine_pairs_blocked(*weights)
+    if digits is not None:
+        sims = sims.withColumn("score", F.round("score", digits))
+    expected = {r.bin: r for r in E.scored_bins(sims, gold_frame, n).collect()}
+    got = {r.bin: r for r in E.weight_bins(*weights, gold_frame, n, digits).collect()}
+    assert set(got) == set(expected)
+    for k, r in got.items():
+        assert (r.pairs, r.true_cut, r.true) == (expected[k].pairs, expected[k].true_cut, expected[k].true)
+        assert (r.total, r.true_total) == pytest.approx((expected[k].total, expected[k].true_total))
+
+
+def test_bins_of_no_weights(spark, weights):
+    a, b = weights
+    gold = spark.createDataFrame([("x", "y")], "id_a string, id_b string")
+    bins = E.weight_bins(a.limit(0), b, gold, 10)
+    assert bins.count() == 0
+    assert [r.tp for r in E.swept(bins, 1, 2).orderBy("threshold").collect()] == [1, 0]
+
+
 def test_threshold_sweep(judged):
     sims, gold, frame, gold_frame = judged
     n = 100
