@@ -124,3 +124,34 @@ def test_private_characters_stay_in_fields(spark):
     assert without.status == with_mark.status == 1
     assert with_mark.id == f"a{mark}b" and with_mark.product.replace(mark, "") == without.product and with_mark.product.count(mark) == 3
     assert P.parse_quoted_product(lines(spark, f"junk {mark}")).first().status == -1
+
+
+JSON_LINES = [
+    '{"b":"x","a":1,"c":1.25,"d":[1,2],"e":{"k":null}}', '{"a":3000000000,"c":2,"b":null,"e":{"k":"v"}}', "",
+    '{"z":true,"c":1e300,"OBJECT":1,"with space":"VOID","m":1}', '{"m":"text","d":[]}',
+]
+
+
+@pytest.mark.parametrize("bad", [[], ["junk", "[1, 2]", "17"]])
+def test_json_schema_in_one_read(spark, bad):
+    path = scratch_path(spark, "json")
+    lines(spark, *JSON_LINES, *bad).repartition(3).write.text(path)
+    ours, theirs = R.read_json_inferred(spark, path), spark.read.json(path)
+    assert sorted(ours.dtypes) == sorted(theirs.dtypes)
+    columns = [f"`{c}`" for c in theirs.columns]
+    assert sorted(map(str, ours.select(*columns).collect())) == sorted(map(str, theirs.select(*columns).collect()))
+    assert "FileScan text" not in ours._jdf.queryExecution().executedPlan().toString()
+
+
+def test_json_without_fields(spark):
+    path = scratch_path(spark, "json")
+    lines(spark, "junk", "").write.text(path)
+    assert [r._corrupt_record for r in R.read_json_inferred(spark, path).collect()] == ["junk"]
+
+
+def test_declared_schemas(spark):
+    path = scratch_path(spark, "declared")
+    lines(spark, '{"a":1,"b":"x"}').write.text(path)
+    assert R.read_json_inferred(spark, path, "a int").collect() == [(1,)]
+    spark.createDataFrame([(1, "2024-01-02")], "a int, d string").write.csv(path + "-csv", header=True)
+    assert R.read_csv_union(spark, path + "-csv", "a bigint, d date").dtypes == [("a", "bigint"), ("d", "date")]
