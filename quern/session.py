@@ -64,13 +64,13 @@ def remove_scratch(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared folder and goes on from the written table.
+def stable(df: DataFrame, **options: str) -> DataFrame:
+    """Writes ``df`` to the shared folder, as Parquet with ``options``, and goes on from the written table.
 
     For rows that are read several times, where computing them again would be slow or
     could give other partitions. Unlike cached blocks the table survives lost executors,
     and Spark knows its size. ``remove_scratch`` removes it.
     """
     path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
