@@ -1,8 +1,9 @@
 """Token counts that follow edits.
 
 Every document has a segment tree over blocks of pre-tokens, with the characters and tokens
-below each node. An edit encodes only the pre-tokens it touches and their context, up to the
-next boundary that old and new text share, and updates the sums above the blocks it changed.
+below each node. Trees are tables: built once, written, and read again to be edited. An edit
+encodes only the pre-tokens it touches and their context, up to the next boundary that old
+and new text share, and updates the sums above the blocks it changed.
 
 Defined results: a null or empty text has no tokens; null edits are no edits, a null
 replacement is empty, places beyond the text are moved to its end; repeated rows are counted
@@ -13,12 +14,14 @@ replaces one of its name.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quern.llm.bytebpe import encoding, public_ranks
-from quern.llm.common import documents, fresh, sliced
+from quern.llm.common import documents, fresh, sliced, stable
 
 BLOCK = 64
 _CACHED = 200_000
@@ -45,142 +48,278 @@ class Counter:
         return n
 
 
+Block = list[tuple[int, int]] | tuple[np.ndarray, np.ndarray]  # characters and tokens of its pre-tokens
+
+
 class TokenTree:
-    """Pre-tokens of one text in blocks, below a binary tree of their sums."""
+    """Pre-tokens of one text in blocks, below a binary tree of their sums.
 
-    def __init__(self, text: str, count: Counter):
-        self.text, self.count = text, count
-        self.encoded = 0
-        self._build([(len(p), count(p)) for p in count.pattern.findall(text)])
+    A block holds its own part of the text. Blocks that come from a stored tree stay arrays
+    until an edit touches them.
+    """
 
-    def _build(self, pieces: list[tuple[int, int]]) -> None:
+    def __init__(self, text: str, count: Counter):
+        self.count, self.encoded = count, 0
+        self._build(text, [(len(p), count(p)) for p in count.pattern.findall(text)])
+
+    @classmethod
+    def stored(cls, texts: list[str], blocks: list[Block], count: Counter) -> TokenTree:
+        """A tree as ``texts`` and ``blocks`` left it; nothing is encoded."""
+        tree = cls.__new__(cls)
+        tree.count, tree.encoded, tree.texts, tree.blocks = count, 0, texts or [""], blocks or [[]]
+        tree._sum_up()
+        return tree
+
+    def _build(self, text: str, pieces: list[tuple[int, int]]) -> None:
         self.blocks = [pieces[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)] or [[]]
+        ends = list(accumulate(sum(c for c, _ in b) for b in self.blocks))
+        self.texts = [text[i:j] for i, j in zip([0, *ends], ends)]
+        self._sum_up()
+
+    def _sum_up(self) -> None:
         self.size = 1 << (len(self.blocks) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
-        for i, block in enumerate(self.blocks):
-            self.chars[self.size + i] = sum(c for c, _ in block)
-            self.tokens[self.size + i] = sum(t for _, t in block)
+        for i in range(len(self.blocks)):
+            self._leaf(i)
         for node in range(self.size - 1, 0, -1):
             self._sum(node)
 
+    def _leaf(self, i: int) -> None:
+        block = self.blocks[i]
+        counts = (int(x.sum()) for x in block) if isinstance(block, tuple) else (sum(p[k] for p in block) for k in (0, 1))
+        self.chars[self.size + i], self.tokens[self.size + i] = counts
+
     def _sum(self, node: int) -> None:
         self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
         self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
 
     def _update(self, i: int) -> None:
+        self._leaf(i)
         node = self.size + i
-        self.chars[node] = sum(c for c, _ in self.blocks[i])
-        self.tokens[node] = sum(t for _, t in self.blocks[i])
         while node > 1:
             node //= 2
             self._sum(node)
 
+    def _open(self, i: int) -> list[tuple[int, int]]:
+        block = self.blocks[i]
+        if isinstance(block, tuple):
+            block = self.blocks[i] = list(zip(block[0].tolist(), block[1].tolist()))
+        return block
+
     @property
     def total(self) -> int:
         return self.tokens[1]
 
-    def _first_ending_from(self, place: int) -> tuple[int, int, int]:
-        """Block, place in the block and start of the first pre-token that ends at ``place`` or later."""
-        node, start = 1, 0
-        if self.chars[1] < place:
-            place = self.chars[1]
+    @property
+    def pieces(self) -> int:
+        return sum(len(b[0]) if isinstance(b, tuple) else len(b) for b in self.blocks)
+
+    @property
+    def text(self) -> str:
+        return "".join(self.texts)
+
+    def _first_ending_from(self, place: int) -> tuple[int, int, int, int]:
+        """Block, its start, place in the block and start of the first pre-token that ends at ``place`` or later."""
+        node, begin = 1, 0
+        place = min(place, self.chars[1])
         while node < self.size:
             node *= 2
-            if start + self.chars[node] < place:
-                start += self.chars[node]
+            if begin + self.chars[node] < place:
+                begin += self.chars[node]
                 node += 1
-        block = node - self.size
-        for i, (chars, _) in enumerate(self.blocks[block]):
+        block, start = node - self.size, begin
+        for i, (chars, _) in enumerate(self._open(block)):
             if start + chars >= place:
-                return block, i, start
+                return block, begin, i, start
             start += chars
-        return block, len(self.blocks[block]), start
+        return block, begin, len(self._open(block)), start
 
     def edit(self, start: int, length: int, text: str) -> None:
         """Replaces ``length`` characters from ``start`` by a text.
 
         A pre-token is fixed by its characters and the two after it, so those that end more
-        than one character before the edit stay.
+        than one character before the edit stay. From there pre-tokens are cut anew, in the
+        text of as many blocks as it takes, until one ends where an old one ends.
         """
-        start = min(max(start, 0), len(self.text))
-        length = min(max(length, 0), len(self.text) - start)
-        new = self.text[:start] + text + self.text[start + length :]
-        block, i, at = self._first_ending_from(max(start - 1, 0))
-        first_block, first = block, i
-        shift = len(text) - length
-        old, done = at, False  # a boundary of the old text, as far as old pre-tokens were passed
+        start = min(max(start, 0), self.chars[1])
+        length = min(max(length, 0), self.chars[1] - start)
+        first_block, begin, first, at = self._first_ending_from(max(start - 1, 0))
+        last, window = first_block, self.texts[first_block]
+        while begin + len(window) < start + length:
+            last += 1
+            window += self.texts[last]
+        cut, shift = start - begin, len(text) - length
+        window = window[:cut] + text + window[cut + length :]
+        head, place = at - begin, at - begin  # in the window
+        old, block, i = at, first_block, first  # a boundary of the old text, as far as old pre-tokens were passed
         pieces: list[tuple[int, int]] = []
-        for m in self.count.pattern.finditer(new, at):
-            pieces.append((m.end() - m.start(), self.count(m.group())))
-            end = m.end()
+        while True:
+            found = self.count.pattern.match(window, place)
+            final = last + 1 >= len(self.blocks)
+            if not final and (found is None or found.end() > len(window) - 2):
+                last += 1
+                window += self.texts[last]
+                continue
+            if found is None:
+                block, i = last, len(self._open(last))
+                break
+            pieces.append((found.end() - place, self.count(found.group())))
+            place = found.end()
+            end = begin + place
             if end < start + len(text):
                 continue
             while old + shift < end or old < start + length:
-                while block < len(self.blocks) and i >= len(self.blocks[block]):
+                while block < last and i >= len(self._open(block)):
                     block, i = block + 1, 0
-                if block >= len(self.blocks):
+                if i >= len(self._open(block)):
                     break
                 old += self.blocks[block][i][0]
                 i += 1
             if old + shift == end and old >= start + length:
-                done = True
                 break
-        if not done:
-            block, i = len(self.blocks) - 1, len(self.blocks[-1])
         self.encoded += len(pieces)
-        self.text = new
-        tail = self.blocks[block][i:]
-        self.blocks[first_block] = self.blocks[first_block][:first] + pieces + (tail if block > first_block else [])
-        if block == first_block:
-            self.blocks[block] += tail
+        tail = self._open(block)[i:]
+        rest = sum(c for c, _ in tail)
+        kept_from = len("".join(self.texts[first_block : block + 1])) - rest + shift
+        before, after = window[:head], window[kept_from : kept_from + rest]
+        changed = window[head:kept_from]
+        own = self._open(first_block)[:first] + pieces
         for b in range(first_block + 1, block + 1):
-            self.blocks[b] = []
-        if len(self.blocks[first_block]) > 4 * BLOCK:
-            self._build([p for b in self.blocks for p in b])
+            self.blocks[b], self.texts[b] = [], ""
+        if block > first_block:
+            self.blocks[block], self.texts[block] = tail, after
+            self.blocks[first_block], self.texts[first_block] = own, before + changed
+        else:
+            self.blocks[block], self.texts[block] = own + tail, before + changed + after
+        if len(own) > 4 * BLOCK:
+            self._build(self.text, [p for b in range(len(self.blocks)) for p in self._open(b)])
             return
         for b in range(first_block, block + 1):
             self._update(b)
 
 
-_OUT = T.StructType(
-    [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_after", "n_pieces", "n_encoded")]
+TREE = T.StructType(
+    [
+        T.StructField("texts", T.ArrayType(T.StringType())),
+        T.StructField("sizes", T.ArrayType(T.IntegerType())),  # pre-tokens of each block
+        T.StructField("chars", T.ArrayType(T.IntegerType())),
+        T.StructField("tokens", T.ArrayType(T.IntegerType())),
+    ]
 )
+_TREE_ARROW = pa.struct([("texts", pa.list_(pa.string())), *[(n, pa.list_(pa.int32())) for n in ("sizes", "chars", "tokens")]])
 
 
-def counted(
-    docs: DataFrame, edits: Column, text: str = "text", out: str = "tokens",
-    ranks: str | None = None, pattern: str | None = None,
+def _dumped(trees: list[TokenTree]) -> pa.Array:
+    def cells(tree: TokenTree) -> dict:
+        blocks = [tuple(map(list, zip(*b))) if isinstance(b, list) and b else b if b else ([], []) for b in tree.blocks]
+        return {
+            "texts": tree.texts, "sizes": [len(b[0]) for b in blocks],
+            "chars": np.concatenate([np.asarray(b[0], np.int32) for b in blocks]),
+            "tokens": np.concatenate([np.asarray(b[1], np.int32) for b in blocks]),
+        }
+
+    return pa.array([cells(t) for t in trees], _TREE_ARROW)
+
+
+def _loaded(column: pa.StructArray, count: Counter) -> Iterator[TokenTree]:
+    texts, sizes, chars, tokens = (column.field(i) for i in range(4))
+    for i in range(len(column)):
+        if not column[i].is_valid:
+            yield TokenTree("", count)
+            continue
+        stops = np.cumsum(sizes[i].values.to_numpy())[:-1]
+        parts = [np.split(x[i].values.to_numpy(), stops) for x in (chars, tokens)]
+        yield TokenTree.stored(texts[i].as_py(), list(zip(*parts)), count)
+
+
+def build(
+    docs: DataFrame, text: str = "text", out: str = "tree", ranks: str | None = None, pattern: str | None = None
 ) -> DataFrame:
-    """Adds the struct ``out``: tokens before and after the edits, pre-tokens in all, and those encoded again.
+    """Replaces the text by ``out``, its tree: the texts of its blocks, and characters and tokens of its pre-tokens.
+
+    Write the result; :func:`edited` goes on from there.
+    """
+    ranks, pattern = _given(ranks, pattern)
+    kept = [c for c in docs.columns if c.lower() not in (out.lower(), text.lower())]
+    given = fresh(docs, "_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = Counter(ranks, pattern)
+        for batch in sliced(batches, 256):
+            trees = [TokenTree(t or "", count) for t in batch.column(len(kept)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], _dumped(trees)], [*kept, out])
+
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(out, TREE)])
+    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(given)).mapInArrow(run, schema)
+
+
+_COUNTS = ("n_tokens", "n_after", "n_pieces", "n_encoded")
+
+
+def edited(
+    trees: DataFrame, edits: Column, tree: str = "tree", out: str = "tokens", ranks: str | None = None,
+    pattern: str | None = None, with_trees: bool = True,
+) -> DataFrame:
+    """Applies ``edits`` to stored trees and adds the struct ``out``: tokens before and after, pre-tokens, and those encoded.
 
     ``edits`` is a list of ``start, length, text``, applied in turn; places count code points
-    of the text as the edits before have left it.
+    of the text as the edits before have left it. Only pre-tokens around an edit are cut and
+    encoded. The changed trees take the place of the old ones, or are left out.
     """
-    public = public_ranks() if ranks is None or pattern is None else None
-    ranks, pattern = ranks or public[0], pattern or public[1]
-    kept = [c for c in docs.columns if c.lower() != out.lower()]
-    given, changes = fresh(docs, "_text"), fresh(docs, "_edits")
+    ranks, pattern = _given(ranks, pattern)
+    kept = [c for c in trees.columns if c.lower() not in (out.lower(), tree.lower())]
+    changes = fresh(trees, "_edits")
+    named = [*kept, tree] if with_trees else kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = Counter(ranks, pattern)
-        for batch in sliced(batches):
-            rows = []
-            for t, es in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()):
-                tree = TokenTree(t or "", count)
-                before, pieces = tree.total, sum(map(len, tree.blocks))
+        for batch in sliced(batches, 256):
+            rows, held = [], []
+            stored = _loaded(batch.column(len(kept)), count)
+            for t, es in zip(stored, batch.column(len(kept) + 1).to_pylist()):
+                before, pieces = t.total, t.pieces
                 for e in es or ():
                     if e is not None:
-                        tree.edit(e["start"] or 0, e["length"] or 0, e["text"] or "")
-                rows.append({"n_tokens": before, "n_after": tree.total, "n_pieces": pieces, "n_encoded": tree.encoded})
-            values = pa.array(rows, pa.struct([(n, pa.int64()) for n in _OUT.names]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], values], [*kept, out])
-
-    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(out, _OUT)])
-    return docs.select(
-        *[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(given), edits.cast(EDITS).alias(changes)
+                        t.edit(e["start"] or 0, e["length"] or 0, e["text"] or "")
+                rows.append(dict(zip(_COUNTS, (before, t.total, pieces, t.encoded))))
+                if with_trees:
+                    held.append(t)
+            values = pa.array(rows, pa.struct([(n, pa.int64()) for n in _COUNTS]))
+            columns = [*batch.columns[: len(kept)], *([_dumped(held)] if with_trees else []), values]
+            yield pa.RecordBatch.from_arrays(columns, [*named, out])
+
+    counts = T.StructType([T.StructField(n, T.LongType()) for n in _COUNTS])
+    schema = T.StructType([*[trees.schema[c] for c in kept], *([T.StructField(tree, TREE)] if with_trees else []), T.StructField(out, counts)])
+    return trees.select(
+        *[F.col(f"`{c}`") for c in kept], F.col(f"`{tree}`"), edits.cast(EDITS).alias(changes)
     ).mapInArrow(run, schema)
 
 
+def _given(ranks: str | None, pattern: str | None) -> tuple[str, str]:
+    public = public_ranks() if ranks is None or pattern is None else None
+    return ranks or public[0], pattern or public[1]
+
+
+def text_of(tree: Column) -> Column:
+    """The text that a stored tree holds."""
+    return F.array_join(tree["texts"], "")
+
+
+def counted(
+    docs: DataFrame, edits: Column, text: str = "text", out: str = "tokens",
+    ranks: str | None = None, pattern: str | None = None,
+) -> DataFrame:
+    """Builds the trees of all texts and edits them in one pass, for those who do not keep them.
+
+    Adds ``out`` as :func:`edited` gives it; other columns stay.
+    """
+    kept = [c for c in docs.columns if c.lower() != out.lower()]
+    body, tree, changes = fresh(docs, "_body"), fresh(docs, "_tree"), fresh(docs, "_changes")
+    given = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(body), edits.cast(EDITS).alias(changes))
+    done = edited(build(given, body, tree, ranks, pattern), F.col(changes), tree, out, ranks, pattern, with_trees=False)
+    return done.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{out}`"))
+
+
 def sample_edits(text: Column) -> Column:
     """Three edits of a text that follow from it: a deletion, an insertion of its own start, a replacement."""
     n = F.coalesce(F.length(text), F.lit(0))
@@ -196,5 +335,7 @@ def sample_edits(text: Column) -> Column:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents before and after three edits each, by trees that are written in between."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return counted(docs, sample_edits(F.col("text"))).select("doc_id", "tokens.*")
+    trees = stable(build(docs.withColumn("edits", sample_edits(F.col("text")))), compression="zstd")
+    return edited(trees, F.col("edits"), with_trees=False).select("doc_id", "tokens.*")

@@ -84,6 +84,33 @@ def test_edit_query_encodes_little(spark, data, docs, bpe):
         assert rows[d.doc_id].n_encoded < 60
 
 
+def test_stored_trees_go_on_from_where_they_were(spark, docs, bpe):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    texts = [r.text for r in docs.limit(15).collect()] + mixed(30) + ["", None, "a" * 5000, " \n" * 900]
+    df = spark.createDataFrame([(i, t, "t") for i, t in enumerate(texts)], "doc_id int, text string, tokens string")
+    trees = tokencount.build(df)
+    assert trees.columns == ["doc_id", "tokens", "tree"]
+    assert {r.doc_id: r.t for r in trees.select("doc_id", tokencount.text_of(F.col("tree")).alias("t")).collect()} == {i: t or "" for i, t in enumerate(texts)}
+    for _ in range(3):  # written and read again each time
+        trees = tokencount.stable(trees)
+        edits = {i: [(rng.randint(-2, len(t or "") + 3), rng.choice((0, 1, 9, 700)), "".join(rng.choice(PARTS) for _ in range(rng.choice((0, 1, 40))))) for _ in range(rng.randrange(4))] for i, t in enumerate(texts)}
+        asked = trees.drop("tokens").join(spark.createDataFrame(list(edits.items()), f"doc_id int, e {tokencount.EDITS}"), "doc_id")
+        done = tokencount.stable(tokencount.edited(asked, F.col("e")))
+        before = [len(bpe.encode_ordinary(t or "")) for t in texts]
+        for i, es in edits.items():
+            for start, length, new in es:
+                t = texts[i] or ""
+                at = min(max(start, 0), len(t))
+                texts[i] = t[:at] + new + t[at + length :]
+        for r in done.select("doc_id", "tokens.*", tokencount.text_of(F.col("tree")).alias("t")).collect():
+            assert r.t == (texts[r.doc_id] or "") and (r.n_tokens, r.n_after) == (before[r.doc_id], len(bpe.encode_ordinary(r.t)))
+            assert edits[r.doc_id] or r.n_encoded == 0
+        trees = done.drop("e")
+    assert tokencount.build(df.limit(0)).count() == 0
+
+
 def test_edits_of_odd_rows(spark):
     from pyspark.sql import functions as F
 
