@@ -1,11 +1,13 @@
 """Personal data by weak supervision: regex, gazetteer and context labelers vote on spans.
 
-Expectation-maximisation estimates how reliable each labeler is and how likely each pattern
-of votes is personal data; a logistic span classifier is then fitted to those
-probabilities. The spans of the fixed patterns always stay, the classifier adds others:
-account numbers without a valid check digit, telephone numbers without a plus sign, and
-names after a form of address. Column expressions only; the driver sees counts of vote
-patterns and of feature patterns, whose number does not depend on the data.
+Candidates of one sort (long numbers, telephone numbers, addresses, names) are judged alike,
+whether a fixed pattern has them or not. Expectation-maximisation estimates how reliable
+each labeler is and how likely each pattern of votes is personal data; a logistic span
+classifier is then fitted to those probabilities. The spans of the fixed patterns always
+stay, the classifier adds others: account numbers without a valid check digit, telephone
+numbers without a plus sign, and names after a form of address. Column expressions only; the
+driver sees counts of vote patterns and of feature patterns, whose number does not depend on
+the data.
 
 Defined results: a null or empty text has no spans; repeated rows are judged each on their
 own; an empty table gives no rows, and a model without candidates adds no spans; other
@@ -33,9 +35,12 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 DIGITS = r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 LOCAL = r"(?<![0-9+.-])(?:\([0-9]{2,4}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])"
-# Forms of address, a gazetteer of fixed values.
+# Forms of address.
 NAME = r"(?<!\p{L})(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Monsieur|Madame|Señor|Señora)\.?\x20\p{Lu}\p{Ll}+(?:\x20\p{Lu}\p{Ll}+)?"
 
+#: What the candidates of a kind are told apart by: kinds of one sort are judged alike.
+SORTS = {"email": "email", "ip": "ip", "card": "number", "account": "number", "phone": "telephone", "local": "telephone", "name": "name"}
+
 _MARK, _OTHER = "", ""  # private use: the second stands in for the first, same length
 LEFT, RIGHT = 40, 20  # characters of context
 _BLOCK = 256
@@ -43,14 +48,38 @@ _BLOCK = 256
 CUES = {
     "email": "mail|contact|write to|kontakt|correo|courriel",
     "ip": r"\bip\b|address|host|server|client|adresse",
-    "card": r"card|visa|credit|debit|karte|carte|tarjeta|\bcvv\b",
-    "phone": r"phone|\btel|call|\bfax|mobile|telefon|téléphone|teléfono",
-    "account": r"card|account|iban|konto|compte|cuenta|\bacct",
-    "local": r"phone|\btel|call|\bfax|mobile|telefon|téléphone|teléfono",
-    "name": r"name|patient|customer|signed|dear|liebe|cher|estimad",
+    "number": r"card|visa|mastercard|amex|credit|debit|account|iban|karte|konto|carte|compte|tarjeta|cuenta|\bcvv\b|\bacct",
+    "telephone": r"phone|\btel|\bcall|\bfax|mobile|\bcell|reach (?:me|us)|telefon|téléphone|teléfono|anrufen",
+    "name": r"name|patient|customer|signed|sincerely|regards|dear|spoke (?:to|with)|contact|liebe|cher|estimad",
 }
-#: Words that point to numbers of another kind.
-OTHERS = r"version|isbn|issn|order no|invoice|page|chapter|figure|total|\bv$|\bno\.? $|# ?$"
+#: Words that point to numbers and names of another kind.
+OTHERS = r"version|isbn|issn|order|invoice|tracking|serial|part no|ticket|page|chapter|figure|total|\bv$|\bno\.? $|# ?$|starring|played by|film|novel"
+
+
+@dataclass(frozen=True)
+class Gazetteers:
+    """Tables the labelers look things up in; give others for other languages or markets."""
+
+    #: First four digits, from and to, and lengths of the card numbers of an issuer.
+    issuers: tuple[tuple[int, int, tuple[int, ...]], ...] = (
+        (3400, 3499, (15,)), (3700, 3799, (15,)), (3528, 3589, (16,)), (3600, 3699, (14,)), (4000, 4999, (13, 16, 19)),
+        (5100, 5599, (16,)), (6011, 6011, (16,)), (6221, 6229, (16, 17, 18, 19)), (6500, 6599, (16,)), (2221, 2720, (16,)),
+    )
+    domains: tuple[str, ...] = tuple("com org net edu gov io info de fr es it uk eu ch at us".split())
+    given: tuple[str, ...] = tuple(
+        "Anna Maria Thomas Michael Peter Julia Laura Sarah Daniel David Paul Martin Andreas Stefan Christian Sabine Claudia "
+        "Monika Ursula Hans Klaus Jürgen James John Robert William Mary Patricia Jennifer Linda Elizabeth Susan Jessica Karen "
+        "Jane Emily Emma Olivia Jack Harry George Charles Richard Joseph Mark Steven Kevin Brian Jean Pierre Michel Marie "
+        "Sophie Camille Claire Nicolas Julien Antoine Luc Louis José Juan Carlos Luis Miguel Javier Carmen Isabel Ana Lucía "
+        "Elena Pablo Sofía Manuel Rosa".split()
+    )
+    offices: tuple[str, ...] = tuple(
+        "President Speaker Chairman Chairwoman Secretary Minister Ambassador Justice Judge General Who Doctor Holle Right "
+        "Perfect Robot Universe Pepper Watson Strange Freeze Bean Potato Clean Monopoly".split()
+    )
+
+
+GAZETTEERS = Gazetteers()
 
 
 def _positions(lengths: Column) -> Column:
@@ -167,64 +196,97 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
     return vote.otherwise(0) if no is None else vote.when(no, F.lit(-1)).otherwise(0)
 
 
-def labelers(c: Column) -> dict[str, Column]:
-    """One vote each on a candidate."""
-    kind, value, left = c["kind"], c["value"], F.lower(c["left"])
+def _sort(c: Column) -> Column:
+    found = F.lit("number")
+    for kind, sort in SORTS.items():
+        if sort != "number":
+            found = F.when(c["kind"] == kind, sort).otherwise(found)
+    return found
+
+
+def labelers(c: Column, tables: Gazetteers = GAZETTEERS) -> dict[str, Column]:
+    """One vote each on a candidate, by its characters and what is around it; none asks for its kind."""
+    value, sort = c["value"], _sort(c)
+    left, right = F.lower(c["left"]), F.lower(c["right"])
     number = digits(value)
+    # context of the same line and the one before: a cue counts up to the line before the last
     cued = F.lit(False)
-    for k, cue in CUES.items():
-        cued = cued | ((kind == k) & left.rlike(cue))
-    one_digit = number.rlike(r"^([0-9])\1*$")
+    for s, cue in CUES.items():
+        cued = cued | ((sort == s) & (left.rlike(cue) | right.rlike(cue)))
+    head = F.substring(number, 1, 4).try_cast("int")
+    issued = F.lit(False)
+    for low, high, lengths in tables.issuers:
+        issued = issued | (head.between(low, high) & F.length(number).isin(*lengths))
+    one_digit = number.rlike(r"^([0-9])\1*$") | F.lit("01234567890123456789").contains(number)
+    area = F.regexp_extract(value, r"([0-9]{3})[^0-9]*[0-9]{3}[^0-9]*[0-9]{4}$", 1)
+    words = F.split(value, r"\.?\x20")
     return {
         # regex labelers
-        "strict": _vote(kind.isin(*BASE), kind == "account"),
-        "grouped": _vote(value.rlike(r"^[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]+$|^\+?[0-9]{0,3} ?\([0-9]+\)|[0-9]-[0-9]{4}$")),
+        "check": _vote(F.when(number == "", F.lit(False)).otherwise(luhn(number)), number != ""),
+        "grouped": _vote(
+            value.rlike(r"^[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}$|^[0-9]{4}([ -])[0-9]{6}\2[0-9]{5}$|^(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{3}([.-]))[0-9]{3}(?:\3|-)[0-9]{4}$"),
+            value.rlike("[ -][0-9]{1,2}[ -]|^[0-9]{1,2}[ -]"),
+        ),
         "shape": _vote(F.lit(False), (number != "") & (one_digit | number.startswith("0000"))),
-        # gazetteer labelers: issuers of cards, top-level domains, networks that name no one
-        "issuer": _vote(kind.isin("card", "account") & number.rlike(r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)"), kind == "account"),
-        "domain": _vote((kind == "email") & value.rlike(r"\.(?:com|org|net|edu|gov|io|de|fr|es|uk|eu)$")),
-        "network": _vote(F.lit(False), (kind == "ip") & value.rlike(r"^(?:0|127|255|10|192\.168)\.")),
+        # gazetteer labelers: issuers of cards, area codes, top-level domains, networks that name no one, given names
+        "issuer": _vote(issued, F.lit(True)),
+        "area": _vote(area.rlike("^[2-9]") & ~area.rlike("^.11"), (area != "") | value.startswith("0")),
+        "domain": _vote(F.element_at(F.split(F.lower(value), r"\."), -1).isin(*tables.domains)),
+        "network": _vote(F.lit(False), value.rlike(r"^(?:0|127|255|10|192\.168)\.")),
+        "given": _vote(F.get(words, F.lit(1)).isin(*tables.given), F.exists(words, lambda w: w.isin(*tables.offices))),
+        "two_names": _vote(F.size(words) == 3),
         # context labelers
         "cue": _vote(cued, left.rlike(OTHERS)),
-        "colon": _vote(left.rlike(r"[:(<] ?$")),
-        "joined": _vote(F.lit(False), left.rlike(r"[\p{L}0-9_/=-]$") | c["right"].rlike(r"^[\p{L}0-9_/=-]")),
+        "colon": _vote(left.rlike(r"[:(<] ?$"), left.rlike(r"[=/#] ?$")),
+        "company": _vote(left.rlike(r"@[a-z0-9-]+\.|\+[0-9][ ().0-9-]{8}") | right.rlike(r"@|\+[0-9]")),
+        "joined": _vote(F.lit(False), left.rlike(r"[\p{L}0-9_/=-]$") | right.rlike(r"^[\p{L}0-9_/=-]")),
     }
 
 
-#: Kinds that a labeler judges; for others it has neither a vote nor an abstention.
+#: Sorts that a labeler judges; for others it has neither a vote nor an abstention.
 JUDGES = {
-    "strict": (*BASE, "account"),
-    "grouped": ("card", "phone", "account", "local"),
-    "shape": ("card", "phone", "account", "local"),
-    "issuer": ("card", "account"),
+    "check": ("number",),
+    "grouped": ("number", "telephone"),
+    "shape": ("number", "telephone"),
+    "issuer": ("number",),
+    "area": ("telephone",),
     "domain": ("email",),
     "network": ("ip",),
+    "given": ("name",),
+    "two_names": ("name",),
 }
 
 
-def features(c: Column) -> dict[str, Column]:
+def judged_votes(c: Column, tables: Gazetteers = GAZETTEERS) -> dict[str, Column]:
+    """The votes, 0 where a labeler does not judge the candidate's sort."""
+    sort = _sort(c)
+    return {
+        n: F.when(sort.isin(*JUDGES[n]), v).otherwise(0) if n in JUDGES else v for n, v in labelers(c, tables).items()
+    }
+
+
+def features(c: Column, tables: Gazetteers = GAZETTEERS) -> dict[str, Column]:
     """What the span classifier sees, each 0 or 1; their patterns are few, whatever the data."""
-    number, left = digits(c["value"]), F.lower(c["left"])
-    votes = labelers(c)
-    seen = {f"is_{k}": c["kind"] == k for k in KINDS}
-    seen |= {f"{n}_for": votes[n] == 1 for n in ("grouped", "issuer", "domain", "cue", "colon")}
-    seen |= {f"{n}_against": votes[n] == -1 for n in ("shape", "network", "cue", "joined")}
-    seen["sixteen"] = F.length(number) == 16
-    seen["starts_line"] = left.rlike(r"(?:^|\n)$")
+    sort = _sort(c)
+    seen = {f"is_{s}": sort == s for s in dict.fromkeys(SORTS.values())}
+    for name, vote in judged_votes(c, tables).items():
+        seen[f"{name}_for"], seen[f"{name}_against"] = vote == 1, vote == -1
+    seen["starts_line"] = c["left"].rlike(r"(?:^|\n)$")
     return {n: v.cast("int") for n, v in seen.items()}
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the span classifier and the estimated labelers: P(vote | class) by name."""
+    """Weights of the span classifier and the estimated labelers: P(vote | class) by name and sort."""
 
     weights: dict[str, float]
     bias: float = 0.0
-    reliability: dict[str, list[list[float]]] = field(default_factory=dict)
+    reliability: dict[str, dict[str, list[list[float]]]] = field(default_factory=dict)
+    tables: Gazetteers = GAZETTEERS
 
     def probability(self, c: Column) -> Column:
         score = F.lit(self.bias)
-        for name, value in features(c).items():
+        for name, value in features(c, self.tables).items():
             if name in self.weights:
                 score = score + self.weights[name] * value
         return 1 / (1 + F.exp(-score))
@@ -235,29 +297,29 @@ def _counted(found: DataFrame, columns: dict[str, Column]) -> list[Row]:
     return named.groupBy(*columns).agg(F.count("*").alias("n")).collect()
 
 
-def estimate(votes: np.ndarray, judged: np.ndarray, kinds: Sequence[str], counts: np.ndarray, rounds: int = 100):
-    """Probability of each vote pattern, and P(vote | class) of each labeler, by EM.
+def estimate(votes: np.ndarray, judged: np.ndarray, sorts: Sequence[str], counts: np.ndarray, rounds: int = 200):
+    """Probability of each vote pattern, and P(vote | class) of each labeler for each sort, by EM.
 
-    Votes are taken as independent given the class; the class has a prior for each kind.
-    ``judged`` says which labelers judge a pattern's kind.
+    Votes are taken as independent given the class and the sort; a sort has its own prior. It
+    starts from the majority of votes, and a labeler from the belief, worth a few candidates,
+    that its votes are right rather than wrong.
     """
     n, m = votes.shape
-    known = np.array([k in BASE for k in kinds])
-    p = np.where(known, 0.9, 0.3) + 0.05 * np.clip(votes.sum(1), -2, 2) * np.where(known, 0.5, 2)
+    p = 1 / (1 + np.exp(-1.2 * np.where(judged, votes, 0).sum(1)))
+    rate = np.ones((2, len(sorts), m, 3)) / 3
+    belief = np.array([[3.0, 2.0, 1.0], [1.0, 2.0, 3.0]])  # votes -1, 0, 1 on other spans, on personal data
     for _ in range(rounds):
-        rate = np.ones((2, m, 3))  # add one: a vote not seen is not impossible
-        for side, weight in ((0, (1 - p) * counts), (1, p * counts)):
-            for v in (-1, 0, 1):
-                rate[side, :, v + 1] += ((votes == v) * judged * weight[:, None]).sum(0)
-        rate /= rate.sum(2, keepdims=True)
         odds = np.zeros(n)
-        for kind in set(kinds):
-            own = np.array([k == kind for k in kinds])
-            share = ((p * counts)[own].sum() + (9 if kind in BASE else 1)) / (counts[own].sum() + 10)
+        for sort in set(sorts):
+            own = np.array([s == sort for s in sorts])
+            weight = counts[own] * np.stack([1 - p[own], p[own]])
+            share = (weight[1].sum() + 2) / (weight.sum() + 4)
             odds[own] = math.log(share) - math.log(1 - share)
-        for j in range(m):
-            told = np.log(rate[1, j, votes[:, j] + 1]) - np.log(rate[0, j, votes[:, j] + 1])
-            odds += np.where(judged[:, j], told, 0)
+            for j in np.flatnonzero(judged[own].any(0)):
+                seen = belief + np.stack([[w[votes[own, j] == v].sum() for v in (-1, 0, 1)] for w in weight])
+                seen /= seen.sum(1, keepdims=True)
+                rate[:, own, j] = seen[:, None]
+                odds[own] += np.log(seen[1] / seen[0])[votes[own, j] + 1]
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - p).max() < 1e-6:
             break
@@ -280,27 +342,26 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, ridge: float
     return w[:-1], w[-1]
 
 
-def train(docs: DataFrame, text: str = "text") -> Model:
+def train(docs: DataFrame, text: str = "text", tables: Gazetteers = GAZETTEERS) -> Model:
     """Counts vote and feature patterns over all texts, estimates labelers, fits the classifier."""
     listed = docs.select(candidates(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("c"))
     found = listed.select(F.explode_outer("c").alias("c")).filter("c is not null")
-    vote_columns = {f"v_{n}": v for n, v in labelers(F.col("c")).items()}
-    feature_columns = features(F.col("c"))
-    rows = _counted(found, {"kind": F.col("c.kind"), **vote_columns, **feature_columns})
+    seen = features(F.col("c"), tables)
+    rows = _counted(found, {"sort": _sort(F.col("c")), **seen})
     if not rows:
-        return Model({}, -30.0)
-    votes = np.array([[r[v] for v in vote_columns] for r in rows])
+        return Model({}, -30.0, tables=tables)
+    names = [f.removesuffix("_for") for f in seen if f.endswith("_for")]
+    votes = np.array([[r[f"{n}_for"] - r[f"{n}_against"] for n in names] for r in rows])
     counts = np.array([r.n for r in rows], float)
-    names = [v.removeprefix("v_") for v in vote_columns]
-    judged = np.array([[r.kind in JUDGES.get(n, KINDS) for n in names] for r in rows])
-    p, rate = estimate(votes, judged, [r.kind for r in rows], counts)
-    x = np.array([[r[f] for f in feature_columns] for r in rows])
+    sorts = [r.sort for r in rows]
+    judged = np.array([[s in JUDGES.get(n, (s,)) for n in names] for s in sorts])
+    p, rate = estimate(votes, judged, sorts, counts)
+    x = np.array([[r[f] for f in seen] for r in rows])
     weights, bias = fit_logistic(x, p, counts)
-    return Model(
-        dict(zip(feature_columns, map(float, weights))),
-        float(bias),
-        {n: rate[:, j].tolist() for j, n in enumerate(names)},
-    )
+    reliability = {
+        n: {s: rate[:, sorts.index(s), j].tolist() for s in sorted(set(sorts)) if s in JUDGES.get(n, (s,))} for j, n in enumerate(names)
+    }
+    return Model(dict(zip(seen, map(float, weights))), float(bias), reliability, tables)
 
 
 def with_spans(docs: DataFrame, model: Model, text: str = "text", out: str = "pii", least: float = 0.5) -> DataFrame:
