@@ -47,6 +47,12 @@ class Counter:
             n = self._known[piece] = len(self._encode(piece))
         return n
 
+    def all(self, pieces: list[str]) -> list[int]:
+        found = list(map(self._known.get, pieces))
+        if None in found:
+            found = [self(p) if n is None else n for p, n in zip(pieces, found)]
+        return found
+
 
 Block = list[tuple[int, int]] | tuple[np.ndarray, np.ndarray]  # characters and tokens of its pre-tokens
 
@@ -60,7 +66,8 @@ class TokenTree:
 
     def __init__(self, text: str, count: Counter):
         self.count, self.encoded = count, 0
-        self._build(text, [(len(p), count(p)) for p in count.pattern.findall(text)])
+        pieces = count.pattern.findall(text)
+        self._build(text, list(zip(map(len, pieces), count.all(pieces))))
 
     @classmethod
     def stored(cls, texts: list[str], blocks: list[Block], count: Counter) -> TokenTree:
@@ -209,6 +216,20 @@ TREE = T.StructType(
 _TREE_ARROW = pa.struct([("texts", pa.list_(pa.string())), *[(n, pa.list_(pa.int32())) for n in ("sizes", "chars", "tokens")]])
 
 
+def _cells(text: str, count: Counter) -> dict:
+    """The stored form of the tree of a text, without the tree."""
+    pieces = count.pattern.findall(text)
+    n = len(pieces)
+    chars = np.fromiter(map(len, pieces), np.int32, n)
+    ends = [*np.cumsum(chars)[BLOCK - 1 : n - 1 : BLOCK].tolist(), len(text)]
+    sizes = np.full(len(ends), BLOCK, np.int32)
+    sizes[-1] = n - BLOCK * (len(ends) - 1)
+    return {
+        "texts": [text[i:j] for i, j in zip([0, *ends], ends)], "sizes": sizes, "chars": chars,
+        "tokens": np.array(count.all(pieces), np.int32),
+    }
+
+
 def _dumped(trees: list[TokenTree]) -> pa.Array:
     def cells(tree: TokenTree) -> dict:
         blocks = [tuple(map(list, zip(*b))) if isinstance(b, list) and b else b if b else ([], []) for b in tree.blocks]
@@ -246,8 +267,8 @@ def build(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = Counter(ranks, pattern)
         for batch in sliced(batches, 256):
-            trees = [TokenTree(t or "", count) for t in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], _dumped(trees)], [*kept, out])
+            cells = pa.array([_cells(t or "", count) for t in batch.column(len(kept)).to_pylist()], _TREE_ARROW)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], cells], [*kept, out])
 
     schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(out, TREE)])
     return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(given)).mapInArrow(run, schema)
