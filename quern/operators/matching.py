@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from quern.operators.joins import CELL_ROWS, grid_join, grid_join_sized, lookup_join
+from quern.operators.joins import CELL_ROWS, grid_join_sized, lookup_join
 from quern.operators.text import term_frequency, unit_weights
 from quern.session import stable
 
@@ -54,17 +54,19 @@ def _shared(df: DataFrame, id_name: str, weight: str) -> DataFrame:
 def cosine_pairs_blocked(weights_a: DataFrame, weights_b: DataFrame, min_score: float | None = None) -> DataFrame:
     """Cosine of every pair that shares a token: ``id_a, id_b, score``.
 
-    Takes the two tables of ``pair_weights``. The result has as many rows as pairs share a
-    token. With ``min_score`` only pairs that reach it are returned, exactly, and pairs
+    Takes the two tables of ``pair_weights``, stored. The result has as many rows as pairs
+    share a token; they come straight from blocks of records (``weight_bins``), and none is
+    shuffled. With ``min_score`` only pairs that reach it are returned, exactly, and pairs
     are formed from rare tokens alone: with tokens ranked from rare to frequent, a token
     from which on the rest of a vector is shorter than ``min_score`` cannot be the first
     shared token of such a pair.
     """
-    a, b = _shared(weights_a, "id_a", "w_a"), _shared(weights_b, "id_b", "w_b")
     if min_score is None:
-        joined = grid_join_sized(a.drop("_n"), b.drop("_n"), ["token"], "id_a", "id_b")
-        return joined.groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("score"))
+        met = _block_pairs(weights_a, weights_b)[0]
+        kinds = [f"id_{s} {w.schema['id'].dataType.simpleString()}" for s, w in (("a", weights_a), ("b", weights_b))]
+        return met.select(*_SIDES).mapInArrow(_listed, ", ".join([*kinds, "score double"]))
 
+    a, b = _shared(weights_a, "id_a", "w_a"), _shared(weights_b, "id_b", "w_b")
     slack = min_score * (1 - 1e-9)
 
     def prefix(df: DataFrame, id_name: str, weight: str) -> DataFrame:
@@ -108,12 +110,49 @@ def score_pairs(weights_a: DataFrame, weights_b: DataFrame, pairs: DataFrame) ->
 def token_block_join(index_a: DataFrame, index_b: DataFrame) -> DataFrame:
     """Shared tokens of every pair with one: ``id_a, id_b, tokens`` (sorted).
 
-    Takes two inverted indexes ``token, id``. A pair's list is bounded by its records.
+    Takes two inverted indexes ``token, id`` without repeats. Pairs come from blocks of
+    records, whole, so that none is shuffled; a pair's list is bounded by its records.
+    """
+    sides = [stable(index.select("id", "token", F.lit(1.0).alias("weight"))) for index in (index_a, index_b)]
+    met = _block_pairs(*sides)[0]
+    kinds = [f"id_{s} {w.schema['id'].dataType.simpleString()}" for s, w in zip("ab", sides)]
+    found = met.select(*_SIDES, "a_token").mapInArrow(_sharing, ", ".join([*kinds, "tokens array<string>"]))
+    return found.select("id_a", "id_b", F.sort_array("tokens").alias("tokens"))
+
+
+INDEX_BUCKETS = 64
+
+
+def write_index(weights: DataFrame, path: str, buckets: int = INDEX_BUCKETS) -> None:
+    """Writes vectors clustered by record: a folder for each bucket of ids, sorted by id inside."""
+    placed = weights.withColumn("bucket", _bucket(F.col("id"), buckets)).repartition(buckets, "bucket")
+    placed.sortWithinPartitions("bucket", "id").write.partitionBy("bucket").parquet(path)
+
+
+def _bucket(record: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(record), F.lit(buckets)).cast("int")
+
+
+def read_index(spark: SparkSession, path: str, ids: Sequence | None = None, buckets: int = INDEX_BUCKETS) -> DataFrame:
+    """Vectors of a written index: all, or those of the listed records.
+
+    For those only the folders of their buckets are read, and of them the parts that may
+    hold the ids.
     """
-    a = index_a.select("token", F.col("id").alias("id_a"))
-    b = index_b.select("token", F.col("id").alias("id_b"))
-    joined = grid_join(a, b, "token", "id_a", "id_b")
-    return joined.groupBy("id_a", "id_b").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
+    rows = spark.read.parquet(path)
+    if ids is None:
+        return rows.drop("bucket")
+    own = [F.lit(i).cast(rows.schema["id"].dataType) for i in ids]
+    return rows.filter(F.col("bucket").isin(*[_bucket(i, buckets) for i in own]) & F.col("id").isin(*own)).drop("bucket")
+
+
+def lookup_scores(vectors_a: DataFrame, vectors_b: DataFrame, pairs: Sequence[tuple]) -> DataFrame:
+    """Scores ``id_a, id_b, score`` of a few pairs from vectors read for them; pairs without a shared token are left out."""
+    kinds = [f"id_{s} {v.schema['id'].dataType.simpleString()}" for s, v in (("a", vectors_a), ("b", vectors_b))]
+    asked = vectors_a.sparkSession.createDataFrame(list(dict.fromkeys(map(tuple, pairs))), ", ".join(kinds))
+    a, b = (v.select(F.col("id").alias(f"id_{s}"), "token", F.col("weight").alias(f"w_{s}")) for s, v in (("a", vectors_a), ("b", vectors_b)))
+    met = asked.join(a, "id_a").join(b, ["id_b", "token"])
+    return met.groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("score"))
 
 
 def gold_evaluation(sims: DataFrame, gold: DataFrame, all_pairs: Column | None = None) -> DataFrame:
@@ -168,19 +207,18 @@ def _added(bins: DataFrame) -> DataFrame:
 
 
 BLOCK_RECORDS = 1024
-_PRODUCTS_AT_ONCE = 1 << 22
+_PRODUCTS_AT_ONCE, _PAIRS_AT_ONCE = 1 << 22, 1 << 18
 
 
-def weight_bins(weights_a: DataFrame, weights_b: DataFrame, gold: DataFrame, n: int, digits: int | None = None) -> DataFrame:
-    """``scored_bins`` of every pair that shares a token, straight from the vectors ``id, token, weight``.
+def _block_pairs(a: DataFrame, b: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """Every block of the records of ``a`` next to every block of ``b``: lists ``a_id, a_code, a_weight, a_token`` and so on.
 
-    Records are packed into blocks, with their tokens as numbers; a task takes two blocks,
-    adds the products of the postings of one with the other to a table of scores, and hands
-    on counts per bin, so that no pair is ever a row. True pairs travel with the two blocks
-    they lie in. ``digits`` rounds scores. Pass stored tables, which are read several times.
+    Takes stored tables ``id, token, weight``. Records are dealt to blocks by a hash of their
+    id, and only tokens that both sides have stay, with numbers. The two columns returned
+    are the block of a pair ``id_a, id_b``.
     """
     tokens = stable(
-        weights_a.select("token").distinct().join(weights_b.select("token").distinct(), "token", "left_semi")
+        a.select("token").distinct().join(b.select("token").distinct(), "token", "left_semi")
         .withColumn("code", F.monotonically_increasing_id())
     )
 
@@ -188,36 +226,54 @@ def weight_bins(weights_a: DataFrame, weights_b: DataFrame, gold: DataFrame, n:
         count = max(1, -(-weights.agg(F.count_distinct("id")).first()[0] // BLOCK_RECORDS))
         coded = lookup_join(weights.select("id", "token", "weight"), tokens, "token")
         block = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int").alias(f"block_{side}")
-        rows = coded.select(block, F.struct("id", "code", "weight").alias("r")).groupBy(f"block_{side}").agg(F.collect_list("r").alias("r"))
-        return rows.select(f"block_{side}", *[F.col(f"r.{c}").alias(f"{side}_{c}") for c in ("id", "code", "weight")]), count
+        rows = coded.select(block, F.struct("id", "code", "weight", "token").alias("r")).groupBy(f"block_{side}").agg(F.collect_list("r").alias("r"))
+        return rows.select(f"block_{side}", *[F.col(f"r.{c}").alias(f"{side}_{c}") for c in ("id", "code", "weight", "token")]), count
+
+    (left, n_a), (right, n_b) = blocks(a, "a"), blocks(b, "b")
+    met = stable(left).withColumn("block_b", F.explode(F.sequence(F.lit(0), F.lit(n_b - 1)))).join(stable(right), "block_b")
+    places = [F.pmod(F.xxhash64(f"id_{s}"), F.lit(n)).cast("int").alias(f"block_{s}") for s, n in (("a", n_a), ("b", n_b))]
+    return met, *places
+
+
+_SIDES = [f"{s}_{c}" for s in "ab" for c in ("id", "code", "weight")]
 
-    (a, n_a), (b, n_b) = blocks(weights_a, "a"), blocks(weights_b, "b")
-    placed = [F.pmod(F.xxhash64(f"id_{s}"), F.lit(k)).cast("int").alias(f"block_{s}") for s, k in (("a", n_a), ("b", n_b))]
-    true = _wanted(gold).groupBy(*placed).agg(F.collect_list(F.struct("id_a", "id_b")).alias("g"))
+
+def weight_bins(weights_a: DataFrame, weights_b: DataFrame, gold: DataFrame, n: int, digits: int | None = None) -> DataFrame:
+    """``scored_bins`` of every pair that shares a token, straight from the vectors ``id, token, weight``.
+
+    Records are packed into blocks, with their tokens as numbers; a task takes two blocks,
+    adds the products of the postings of one with the other to a table of scores, and hands
+    on counts per bin, so that no pair is ever a row. True pairs travel with the two blocks
+    they lie in. ``digits`` rounds scores. Weights are positive; pass stored tables.
+    """
+    met, *places = _block_pairs(weights_a, weights_b)
+    true = _wanted(gold).groupBy(*places).agg(F.collect_list(F.struct("id_a", "id_b")).alias("g"))
     true = true.select("block_a", "block_b", F.col("g.id_a").alias("gold_a"), F.col("g.id_b").alias("gold_b"))
-    # every block of a meets every block of b, each with its true pairs
-    met = stable(a).withColumn("block_b", F.explode(F.sequence(F.lit(0), F.lit(n_b - 1)))).join(stable(b), "block_b")
-    columns = [f"{s}_{c}" for s in "ab" for c in ("id", "code", "weight")]
-    pairs = met.join(stable(true), ["block_a", "block_b"], "left").select(*columns, "gold_a", "gold_b")
+    pairs = met.join(stable(true), ["block_a", "block_b"], "left").select(*_SIDES, "gold_a", "gold_b")
     return _added(pairs.mapInArrow(_histograms(n, digits), BINS))
 
 
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, _Block, _Block]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            a, b = (_Block(*[batch.column(c)[i].values for c in cs]) for cs in ((0, 1, 2), (3, 4, 5)))
+            yield batch, i, a, b
+
+
 def _histograms(n: int, digits: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, sums = np.zeros((3, n + 2), np.int64), np.zeros((2, n + 2))
-        for batch in batches:
-            for i in range(batch.num_rows):
-                a, b = (_Block(*[batch.column(c)[i].values for c in cs]) for cs in ((0, 1, 2), (3, 4, 5)))
-                scores = _scores(a, b)
-                hit = np.flatnonzero(scores)
-                score = scores[hit] if digits is None else np.round(scores[hit], digits)
-                cut = np.minimum(np.floor(score * n), n).astype(np.int64)
-                exact = cut - (score < cut / n) + (score >= (cut + 1) / n)
-                true = np.isin(hit, _places(a, b, batch.column(6)[i].values, batch.column(7)[i].values))
-                for at, bins in enumerate((cut, cut[true], exact[true])):
-                    counts[at] += np.bincount(bins, minlength=n + 2)
-                for at, (bins, x) in enumerate(((cut, score), (cut[true], score[true]))):
-                    sums[at] += np.bincount(bins, weights=x, minlength=n + 2)
+        for batch, i, a, b in _blocks_of(batches):
+            scores = _scores(a, b)
+            hit = np.flatnonzero(scores)
+            score = scores[hit] if digits is None else np.round(scores[hit], digits)
+            cut = np.minimum(np.floor(score * n), n).astype(np.int64)
+            exact = cut - (score < cut / n) + (score >= (cut + 1) / n)
+            true = np.isin(hit, _places(a, b, batch.column(6)[i].values, batch.column(7)[i].values))
+            for at, bins in enumerate((cut, cut[true], exact[true])):
+                counts[at] += np.bincount(bins, minlength=n + 2)
+            for at, (bins, x) in enumerate(((cut, score), (cut[true], score[true]))):
+                sums[at] += np.bincount(bins, weights=x, minlength=n + 2)
         some = np.flatnonzero(counts.any(0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(x[some]) for x in (np.arange(n + 2), *counts, *sums)], ["bin", *_BIN_COLUMNS]
@@ -226,11 +282,38 @@ def _histograms(n: int, digits: int | None):
     return run
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every pair of two blocks with a score, a slice of pairs at a time."""
+    for _, _, a, b in _blocks_of(batches):
+        scores = _scores(a, b)
+        hit = np.flatnonzero(scores)
+        for at in range(0, len(hit), _PAIRS_AT_ONCE):
+            part = hit[at : at + _PAIRS_AT_ONCE]
+            i, j = part // len(b.ids), part % len(b.ids)
+            yield pa.RecordBatch.from_arrays(
+                [a.ids.take(pa.array(i)), b.ids.take(pa.array(j)), pa.array(scores[part])], ["id_a", "id_b", "score"]
+            )
+
+
+def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens that each pair of two blocks shares; records of ``a`` a few at a time."""
+    for batch, i, a, b in _blocks_of(batches):
+        names = dict(zip(batch.column(1)[i].values.to_pylist(), batch.column(6)[i].values.to_pylist()))
+        for of, at in _met(a, b):
+            pair = a.record[of] * len(b.ids) + b.record[at]
+            order = np.argsort(pair, kind="stable")
+            pair, code = pair[order], a.code[of][order]
+            first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(pair)), pa.int32()), pa.array([names[c] for c in code.tolist()], pa.string()))
+            ids = [side.ids.take(pa.array(x)) for side, x in ((a, pair[first] // len(b.ids)), (b, pair[first] % len(b.ids)))]
+            yield pa.RecordBatch.from_arrays([*ids, lists], ["id_a", "id_b", "tokens"])
+
+
 class _Block:
     """Records of a block by place; their tokens sorted, so that those of one token stand together."""
 
     def __init__(self, ids: pa.Array, codes: pa.Array, weights: pa.Array):
-        named = ids.dictionary_encode()
+        named = ids.dictionary_encode(null_encoding="encode")
         self.ids = named.dictionary
         code = codes.to_numpy(zero_copy_only=False)
         order = np.argsort(code, kind="stable")
@@ -239,21 +322,31 @@ class _Block:
         self.weight = weights.to_numpy(zero_copy_only=False)[order]
 
 
+def _met(a: _Block, b: _Block, whole_records: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where entries of ``a`` and of ``b`` have one token, some millions at a time; a record of ``a`` comes as a whole or by token."""
+    rows = np.argsort(a.record, kind="stable") if whole_records else np.arange(len(a.code))
+    first = np.searchsorted(b.code, a.code[rows], "left")
+    count = np.searchsorted(b.code, a.code[rows], "right") - first
+    upto = np.cumsum(count)
+    stops = np.flatnonzero(np.append(np.diff(a.record[rows]) != 0, True)) + 1 if whole_records else np.arange(1, len(rows) + 1)
+    begin = 0
+    while begin < len(rows):
+        done = upto[begin - 1] if begin else 0
+        fits = int(np.searchsorted(upto, done + _PRODUCTS_AT_ONCE, "right"))
+        at = int(np.searchsorted(stops, max(fits, begin + 1), "right"))
+        end = int(stops[max(at - 1, 0)]) if at and stops[at - 1] > begin else int(stops[np.searchsorted(stops, begin, "right")])
+        size = count[begin:end]
+        of = np.repeat(np.arange(begin, end), size)
+        yield rows[of], np.arange(len(of)) + np.repeat(first[begin:end] - (np.cumsum(size) - size), size)
+        begin = end
+
+
 def _scores(a: _Block, b: _Block) -> np.ndarray:
     """Sums of weight products of all pairs of two blocks, the pairs of a record of ``a`` in a row."""
     width = len(b.ids)
     total = np.zeros(len(a.ids) * width)
-    first, last = np.searchsorted(b.code, a.code, "left"), np.searchsorted(b.code, a.code, "right")
-    upto = np.cumsum(last - first)
-    begin = 0
-    while begin < len(upto):
-        done = upto[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(upto, done + _PRODUCTS_AT_ONCE, "right")))
-        size = (last - first)[begin:end]
-        of = np.repeat(np.arange(begin, end), size)
-        at = np.arange(len(of)) + np.repeat(first[begin:end] - (np.cumsum(size) - size), size)
+    for of, at in _met(a, b, whole_records=False):
         total += np.bincount(a.record[of] * width + b.record[at], weights=a.weight[of] * b.weight[at], minlength=len(total))
-        begin = end
     return total
 
 

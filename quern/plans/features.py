@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from quern.operators import features as C, logistic as L, recommend as R, regression as G, sampling as S, udfs as U
@@ -216,15 +218,14 @@ def scalar_udf(t):
 
 @query("SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) GROUP BY word")
 def table_udf(t):
-    @F.udtf(returnType="word string")
+    @F.arrow_udtf(returnType="word string")
     class Words:
-        def eval(self, name: str):
-            for word in name.split(" "):
-                yield (word,)
+        """Batches of rows in, batches of words out."""
 
-    t.spark.udtf.register("quern_words", Words)
-    each = t.spark.sql("SELECT w.word FROM {part}, LATERAL quern_words(p_name) w", part=t.part)
-    return each.groupBy("word").agg(F.count("*").alias("n"))
+        def eval(self, batch: pa.RecordBatch):
+            yield pa.table({"word": pc.list_flatten(pc.split_pattern(batch.column("p_name"), " "))})
+
+    return Words(t.part.select("p_name").asTable()).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def _zero():

@@ -9,6 +9,7 @@ from quern.operators import features as C, logistic as L, pca as P, recommend as
 from quern.plans.catalog import query
 from quern.plans.data import POINTS_SQL, event_points, points, r, ratings, titles, vectors
 from quern.plans.features import BUCKETS, WEIGHTS, split_sql
+from quern.session import stable
 
 
 def _split_points(t):
@@ -130,6 +131,72 @@ def logreg_sgd(t):
     return _model_rows(t, model)
 
 
+RETURNED_SQL = """SELECT (l_returnflag = 'R')::INT AS y, l_quantity / 50 AS a, l_discount * 10 AS b, l_tax * 10 AS c FROM lineitem"""
+
+
+# Every step sums the gradient over all rows again.
+@query(f"""
+WITH RECURSIVE p AS ({RETURNED_SQL}),
+it AS (SELECT 0 AS i, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS wc, 1.0::DOUBLE AS w UNION ALL
+       SELECT i + 1, wa - r * (ga / n + 0.01::DOUBLE * wa), wb - r * (gb / n + 0.01::DOUBLE * wb),
+              wc - r * (gc / n + 0.01::DOUBLE * wc), w - r * (g / n + 0.01::DOUBLE * w)
+       FROM (SELECT i, wa, wb, wc, w, 2.0::DOUBLE / sqrt(i + 1) AS r, count(*) AS n, sum(e) AS g, sum(e * a) AS ga, sum(e * b) AS gb, sum(e * c) AS gc
+             FROM (SELECT it.*, a, b, c, 1 / (1 + exp(-(wa * a + wb * b + wc * c + w))) - y AS e FROM it, p WHERE i < 12)
+             GROUP BY i, wa, wb, wc, w)),
+f AS (SELECT * FROM it WHERE i = 12)
+SELECT 0 AS pos, round(wa, 7) AS weight FROM f UNION ALL SELECT 1, round(wb, 7) FROM f UNION ALL
+SELECT 2, round(wc, 7) FROM f UNION ALL SELECT -1, round(w, 7) FROM f
+""")
+def logreg_numeric(t):
+    values = F.array(F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10)
+    rows = t.lineitem.select(
+        (F.col("l_returnflag") == "R").cast("double").alias("label"), F.array(*map(F.lit, range(3))).alias("idx"), values.alias("val")
+    )
+    model = L.logreg_sgd(rows, 3, iterations=12, step=2.0, reg=0.01)
+    return model.table.select(F.col("idx").cast("int").alias("pos"), r("w", 7).alias("weight"))
+
+
+# A tenth of the rows, drawn anew by each of 30 steps.
+@query(f"""
+WITH RECURSIVE d AS (SELECT i, f0, f1, f2, f3, label FROM ({POINTS_SQL}), range(1, 31) g(i)
+                     WHERE substr(md5(l_orderkey || ':' || (42 + i)), 1, 8) < '1999999a'),
+z AS (SELECT i, count(*) AS n, [sum(x[1]), sum(x[2]), sum(x[3]), sum(x[4]), sum(x[5])] AS y, {
+    "[" + ", ".join("[" + ", ".join(f"sum(z[{a}] * z[{b}])" for b in range(1, 6)) + "]" for a in range(1, 6)) + "]"
+} AS s
+      FROM (SELECT i, z, list_transform(z, lambda v: v * label) AS x FROM (SELECT i, label, [f0, f1, f2, f3, {ONE}] AS z FROM d)) GROUP BY i),
+it AS (SELECT 0 AS i, [0, 0, 0, 0, 1]::DOUBLE[] AS w UNION ALL
+       SELECT it.i + 1, list_transform(range(1, 6), lambda k: w[k] - (list_dot_product(s[k], w) - y[k]) / (n * sqrt(z.i)))
+       FROM it JOIN z ON z.i = it.i + 1)
+SELECT (generate_subscripts(w, 1) - 1)::INT AS pos, round(unnest(w), 6) + 0.0 AS weight FROM it WHERE i = 30
+""")
+def linreg_mini_batches(t):
+    model = G.linreg_sgd(points(t), iterations=30, step=1.0, fraction=0.1, key="l_orderkey", seed=42)
+    return _model_rows(t, model).withColumn("weight", r("weight", 6))
+
+
+# Factors of parts that a fit could have left: the size, the price and a constant.
+@query("""
+WITH f AS (SELECT p_partkey AS item, p_size / 50.0::DOUBLE AS a, p_retailprice / 2000.0::DOUBLE AS b FROM part),
+x AS (SELECT l_suppkey AS "user", a, b, 1 + l_quantity % 5 AS y FROM lineitem JOIN f ON l_partkey = item),
+m AS (SELECT "user", count(*) * 1.1::DOUBLE AS n, count(*) * 0.1::DOUBLE AS q, sum(a) AS sa, sum(b) AS sb, sum(a * a) AS aa,
+             sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ya, sum(b * y) AS yb, sum(y) AS yy FROM x GROUP BY 1),
+k AS (SELECT "user", aa + q AS p, ab AS c, bb + q AS d, sa AS e, sb AS g, n AS h, ya, yb, yy FROM m),
+z AS (SELECT *, p * (d * h - g * g) - c * (c * h - g * e) + e * (c * g - d * e) AS det FROM k)
+SELECT "user", round((ya * (d * h - g * g) - c * (yb * h - g * yy) + e * (yb * g - d * yy)) / det, 6) AS u0,
+       round((p * (yb * h - g * yy) - ya * (c * h - g * e) + e * (c * yy - yb * e)) / det, 6) AS u1,
+       round((p * (d * yy - yb * g) - c * (c * yy - yb * e) + ya * (c * g - d * e)) / det, 6) AS u2
+FROM z
+""")
+def fold_in(t):
+    """Factors of every supplier against given factors of parts, a row for each rating."""
+    factors = t.part.select(
+        F.col("p_partkey").alias("item"), F.array(F.col("p_size") / 50, F.col("p_retailprice") / 2000, F.lit(1.0)).alias("features")
+    )
+    rated = t.lineitem.select(F.col("l_suppkey").alias("user"), F.col("l_partkey").alias("item"), (1 + F.col("l_quantity") % 5).alias("rating"))
+    found = R.fold_in(stable(factors), rated, 0.1)
+    return found.select("user", *[r(F.col("features")[i], 6).alias(f"u{i}") for i in range(3)])
+
+
 @query()
 def logreg_log_loss(t):
     """One-hot model against the constant rate, on training and validation points."""

@@ -11,7 +11,7 @@ from quern.operators.rows import exploded
 from quern.plans.catalog import query
 from quern.plans.data import contained_items, r
 from quern.plans.sources import KEPT_TOKENS_SQL, TOKENS_SQL, sql_list
-from quern.session import stable
+from quern.session import kept, source_version, stable
 
 WORDS_SQL = """
 SELECT word FROM (
@@ -108,9 +108,29 @@ WITH a_tok AS (SELECT * FROM (SELECT item_id AS id, unnest(regexp_split_to_array
 """
 
 
-def _pair_weights(t):
+def _index(t):
+    """Paths of the written vectors of both sides and of the true pairs; made once per session and version of the tables."""
     tokens = tokenize(F.col("text"))
-    return E.pair_weights(t.benchmark, t.documents, "item_id", "doc_id", tokens, tokens)
+    version = source_version(t.benchmark, t.documents)
+    made = {}
+
+    def weights(side):
+        def write(path):
+            if not made:
+                made["ab"] = E.pair_weights(t.benchmark, t.documents, "item_id", "doc_id", tokens, tokens)
+            E.write_index(made["ab"][side], path)
+
+        return write
+
+    def gold(path):
+        found = contained_items(t.documents, t.benchmark)
+        found.select(F.col("item_id").alias("id_a"), F.col("doc_id").alias("id_b")).write.parquet(path)
+
+    return tuple(kept(t.spark, (name, t.dir, version), make) for name, make in (("a", weights(0)), ("b", weights(1)), ("gold", gold)))
+
+
+def _pair_weights(t):
+    return tuple(E.read_index(t.spark, path) for path in _index(t)[:2])
 
 
 def _sims(t):
@@ -119,14 +139,13 @@ def _sims(t):
 
 
 def _gold(t):
-    found = contained_items(t.documents, t.benchmark)
-    return stable(found.select(F.col("item_id").alias("id_a"), F.col("doc_id").alias("id_b")))
+    return t.spark.read.parquet(_index(t)[2])
 
 
 def _bins(t, n):
     """Score counts of all pairs, and the number of true pairs."""
     gold = _gold(t)
-    bins = E.weight_bins(*map(stable, _pair_weights(t)), gold, n, digits=9)
+    bins = E.weight_bins(*_pair_weights(t), gold, n, digits=9)
     return stable(bins), gold.agg(F.count("*")).scalar()
 
 
@@ -137,7 +156,7 @@ def cosine_pairs_blocked(t):
 
 @query(PAIRS_SQL + "SELECT id_a, id_b, score FROM sims WHERE score >= 0.2")
 def cosine_pairs_min_score(t):
-    a, b = map(stable, _pair_weights(t))
+    a, b = _pair_weights(t)
     return E.cosine_pairs_blocked(a, b, min_score=0.2).withColumn("score", r("score", 9))
 
 
@@ -145,9 +164,10 @@ def cosine_pairs_min_score(t):
 SELECT id_a, id_b, score FROM sims JOIN (SELECT * FROM gold ORDER BY id_a, id_b LIMIT 1) USING (id_a, id_b)
 """)
 def lookup_by_key(t):
-    key = stable(_gold(t).orderBy("id_a", "id_b").limit(1))
-    a, b = _pair_weights(t)
-    return E.score_pairs(a, b, key).withColumn("score", r("score", 9))
+    path_a, path_b, _ = _index(t)
+    pairs = [tuple(row) for row in _gold(t).orderBy("id_a", "id_b").limit(1).collect()]
+    sides = [E.read_index(t.spark, path, [p[i] for p in pairs]) for i, path in enumerate((path_a, path_b))]
+    return E.lookup_scores(*sides, pairs).withColumn("score", r("score", 9))
 
 
 # dotprod, norm and cossim of TF vectors for the true pairs

@@ -8,8 +8,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cores: int = 8, app: str = "quern") -> SparkSession:
@@ -56,12 +57,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Removes the scratch tables of this process; call it when their results were consumed."""
-    jvm = spark.sparkContext._jvm
+_kept: dict[tuple, str] = {}
+
+
+def kept(spark: SparkSession, key: tuple, make: Callable[[str], None]) -> str:
+    """The path of a table that ``make(path)`` writes the first time this session asks for ``key``.
+
+    For indexes that several callers use. Put what the table is made of into the key, such as
+    ``source_version`` of its files.
+    """
+    full = (spark.sparkContext.applicationId, *key)
+    if full not in _kept or not _exists(spark, _kept[full]):
+        path = f"{shared_dir(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+        make(path)
+        _kept[full] = path
+    return _kept[full]
+
+
+def source_version(*tables: DataFrame) -> int:
+    """A number that changes with the files of tables that were read: their paths, sizes and times of change."""
+    files = [t.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct() for t in tables]
+    number = F.sum(F.xxhash64("file_path", "file_size", "file_modification_time").cast("decimal(38,0)")) % 2**61
+    return hash(tuple(int(f.agg(number).first()[0] or 0) for f in files))
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def remove_scratch(spark: SparkSession, kept_too: bool = False) -> None:
+    """Removes the scratch tables of this process; call it when their results were consumed.
+
+    Indexes that were written to be used again stay, unless ``kept_too``.
+    """
+    if kept_too:
+        _written.extend(_kept.values())
+        _kept.clear()
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        system, target = _file_system(spark, _written.pop())
+        system.delete(target, True)
 
 
 def stable(df: DataFrame, **options: str) -> DataFrame:

@@ -76,3 +76,24 @@ def test_task_functions_need_no_package_on_the_executors(data):
         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
     )
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_kept_tables_are_written_once(spark, tmp_path):
+    from quern.session import kept, remove_scratch, source_version
+
+    source = str(tmp_path / "source")
+    spark.range(3).write.parquet(source)
+    calls = []
+
+    def ask():
+        table = spark.read.parquet(source)
+        return kept(spark, ("n", source_version(table)), lambda path: (calls.append(path), table.write.parquet(path)))
+
+    first = ask()
+    assert ask() == first and len(calls) == 1 and spark.read.parquet(first).count() == 3
+    spark.range(5).write.mode("overwrite").parquet(source)
+    assert spark.read.parquet(ask()).count() == 5 and len(calls) == 2
+    remove_scratch(spark)
+    assert ask() == calls[1] and len(calls) == 2
+    remove_scratch(spark, kept_too=True)
+    assert spark.read.parquet(ask()).count() == 5 and len(calls) == 3

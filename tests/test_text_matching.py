@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import simple_tokenize
 from quern.operators import matching as E, text as X
-from quern.session import stable
+from quern.session import scratch_path, stable
 
 def tokens():
     return simple_tokenize(F.col("text"))
@@ -193,3 +193,35 @@ def test_threshold_sweep(judged):
         assert (row.threshold, row.tp, row.fp, row.fn) == (i / n, tp, fp, fn)
         assert row.recall == pytest.approx(tp / len(gold))
         assert row.precision == (pytest.approx(tp / (tp + fp)) if tp + fp else None)
+
+
+def test_pairs_and_tokens_by_small_blocks(spark, weights, sources, monkeypatch):
+    expected = {k: v for k, v in naive(*sources).items() if v > 0}
+    for block, products in ((2, 5), (7, 1 << 22)):
+        monkeypatch.setattr(E, "BLOCK_RECORDS", block)
+        monkeypatch.setattr(E, "_PRODUCTS_AT_ONCE", products)
+        monkeypatch.setattr(E, "_PAIRS_AT_ONCE", products)
+        assert scores(E.cosine_pairs_blocked(*weights)) == pytest.approx(expected, rel=1e-9)
+        index = [docs(spark, side).select(F.explode(F.array_distinct(tokens())).alias("token"), "id") for side in sources]
+        shared = {(r.id_a, r.id_b): r.tokens for r in E.token_block_join(*index).collect()}
+        assert shared == {
+            (i, j): sorted(set(sources[0][i].split()) & set(sources[1][j].split())) for i, j in expected
+        }
+
+
+def test_pairs_are_not_shuffled(weights):
+    plan = E.cosine_pairs_blocked(*weights)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan.split("Exchange")[0]
+
+
+def test_index_reads_the_wanted_buckets_only(spark, weights, sources):
+    paths = [scratch_path(spark, "index") for _ in weights]
+    for side, path in zip(weights, paths):
+        E.write_index(side, path, 8)
+    assert E.read_index(spark, paths[0]).count() == weights[0].count()
+    every = naive(*sources)
+    pairs = sorted(every, key=lambda p: -every[p])[:2] + [("no such", "record")]
+    sides = [E.read_index(spark, path, [p[i] for p in pairs], 8) for i, path in enumerate(paths)]
+    plan = sides[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket#" in plan and "xxhash64" not in plan
+    assert scores(E.lookup_scores(*sides, pairs)) == pytest.approx({p: every[p] for p in pairs[:2]})
