@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from quern.llm.common import documents, fresh, stable, with_arrow_column
 
 TILE_ROWS = 1024
+_SHINGLES = 1 << 15
 _BASE = 32  # of a tile's key: quarter counts are digits 0..16, so a step of 3 never meets another valid key
 
 
@@ -31,14 +32,14 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     tokens = (text or "").encode().lower().split()  # bytes: only A-Z are lowered, only ASCII blanks split
     if not tokens:
         return 0
-    if len(tokens) < words:
-        shingles = [b" ".join(tokens)]
-    else:
-        shingles = map(b" ".join, zip(*[tokens[i:] for i in range(words)]))
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(s, 42) for s in shingles], "<u8")
-    ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = np.packbits((2 * ones > len(h)).astype(np.uint8), bitorder="little")
+    count = max(1, len(tokens) - words + 1)
+    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    for begin in range(0, count, _SHINGLES):  # bits take 64 bytes a shingle: a slice at a time
+        part = tokens[begin : begin + _SHINGLES + words - 1]
+        shingles = map(b" ".join, zip(*[part[i:] for i in range(words)])) if len(tokens) >= words else [b" ".join(tokens)]
+        h = np.array([digest(s, 42) for s in shingles], "<u8")
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    bits = np.packbits((2 * ones > count).astype(np.uint8), bitorder="little")
     return int(bits.view("<i8")[0])
 
 
@@ -194,9 +195,9 @@ def near_duplicates(
     rows = stable(with_fingerprint(slim, "text", "fingerprint", words).drop("text"))
     root = groups(rows, "fingerprint", radius)
     smallest = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("low"))
-    by_fp = smallest.join(root.withColumnRenamed("fp", "fingerprint"), "fingerprint")
-    by_root = by_fp.groupBy("root").agg(F.min("low").alias("component_id"))
-    # rows of a frequent fingerprint: written, so that both sides are scans and Spark can split the skewed one
+    by_fp = stable(smallest.join(root.withColumnRenamed("fp", "fingerprint"), "fingerprint"))
+    by_root = stable(by_fp.groupBy("root").agg(F.min("low").alias("component_id")))
+    # a giant component or a frequent fingerprint: both sides are scans, so that Spark can split the skewed one
     named = stable(by_fp.select("fingerprint", "root").join(by_root, "root").select("fingerprint", "component_id"))
     return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
