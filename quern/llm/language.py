@@ -100,12 +100,15 @@ class Model:
     log_p: np.ndarray
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: float = 0.5) -> Model:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", smoothing: float = 0.5, most: int = 1000) -> Model:
     """Learns from all rows with a text and a language.
 
-    The driver gets languages x 65,536 counts at most; texts are never collected.
+    The driver gets 65,536 counts for each of the ``most`` languages with the most rows, more
+    than there are with texts to learn from; texts are never collected.
     """
     rows = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).dropna()
+    common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    rows = rows.join(F.broadcast(common.select("lang")), "lang")  # at most that many rows
     counted = rows.mapInArrow(_counts, "lang string, bucket int, n bigint")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names, index = np.unique(table["lang"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)

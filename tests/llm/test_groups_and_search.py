@@ -75,6 +75,21 @@ def test_links_of_near_fingerprints(spark, tile_rows):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+@pytest.mark.parametrize("words", [1, 3])
+def test_fingerprints_by_slices(words, monkeypatch):
+    rng = random.Random(6)
+    texts = ["", "a", "a b", *(" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (3, 4, 5, 9, 10, 11, 50))]
+    whole = [simhash.fingerprint(t, words) for t in texts]
+    monkeypatch.setattr(simhash, "_SHINGLES", 3)
+    assert [simhash.fingerprint(t, words) for t in texts] == whole
+
+
+def test_fingerprint_of_a_very_long_text(spark):
+    text = " ".join(f"word{i % 9973}" for i in range(400_000))
+    got = simhash.with_fingerprint(spark.createDataFrame([(text, 1)], "text string, fp int")).first()
+    assert got.fingerprint & (2**64 - 1) == slow_fingerprint(text)
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(1001, 1000)], "u bigint, v bigint")
     roots = {r.node: r.root for r in simhash.components(edges).collect()}
@@ -112,6 +127,18 @@ def test_top_k(spark, shard_rows, k):
     assert sorted(map(tuple, got.collect())) == slow_top(rows, {i for i, _ in rows if i % 10 == 0}, k)
 
 
+@pytest.mark.parametrize("pilot", [1, 8, 4096])
+def test_pilot_and_bounds_lose_nothing(spark, pilot):
+    rng = random.Random(pilot)
+    rows = [(i, [rng.randint(-3, 3) + (9 if i % 6 == 0 else -9 if i % 6 == 1 else 0)] * 3 + [rng.randint(-9, 9) for _ in range(rng.choice((4, 9)))]) for i in range(240)]
+    padded = [(i, v + [0] * (12 - len(v))) for i, v in rows]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id bigint, vector array<bigint>, known string, shard int")
+    got = topk.top_k(df, F.col("vec_id") % 7 == 0, 6, shard_rows=11, query_rows=5, pilot_rows=pilot)
+    assert sorted(map(tuple, got.collect())) == slow_top(padded, {i for i, _ in rows if i % 7 == 0}, 6)
+    few = topk.top_k(df.filter("vec_id < 9"), F.col("vec_id") == 7, 20)
+    assert sorted(map(tuple, few.collect())) == slow_top(padded[:9], {7}, 20)
+
+
 def test_top_k_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (1, [nan, 1.0]), (2, None), (3, [inf, 0.0]), (4, [None, 1.0]), (5, [0.25]), (6, []), (None, [1.0, 1.0]), (7, [-1.0, 2.0]), (0, [1.0, 0.5])]

@@ -1,6 +1,9 @@
 """Secrets, personal data, quality rules and language against plain Python, and odd inputs."""
 
 import hashlib
+import math
+import os
+import random
 import re
 
 import pytest
@@ -234,6 +237,77 @@ def test_mixtures_do_not_depend_on_the_batch(spark, docs):
     assert all((language.mixtures([t], model, letters)[0] == s).all() for t, s in zip(mixed, together))
 
 
+def slow_grams(text):
+    """Trigram buckets of each word, a character at a time."""
+    padded = [ord(c) if c.isalpha() else 32 for c in f" {text.lower()} "]
+    words = []
+    for i in range(1, len(padded) - 1):
+        if padded[i] != 32:
+            h = (padded[i - 1] * 0x9E3779B1) % 2**32 ^ (padded[i] * 0x85EBCA6B) % 2**32
+            h = (h * 0xC2B2AE35 + padded[i + 1] * 0x27D4EB2F) % 2**32
+            h = (h ^ h >> 15) * 0x2C1B3C6D % 2**32
+            if padded[i - 1] == 32:
+                words.append([])
+            words[-1].append(h >> 16)
+    return words
+
+
+def slow_mixture(text, model, penalty=5.0):
+    """Shares by EM over every nested set of languages, in plain Python."""
+    words = [[sum(float(p[b]) for b in w) for p in model.log_p] for w in slow_grams(text)]
+    likely = [[max(math.exp(x - max(w)), 1e-30) for x in w] for w in words]
+    size = len(model.languages)
+
+    def em(allowed):
+        share = [1 / len(allowed) if i in allowed else 0.0 for i in range(size)]
+        for _ in range(2000):
+            parts = [[s * x for s, x in zip(share, w)] for w in likely]
+            new = [sum(p[i] / sum(p) for p in parts) / len(likely) for i in range(size)]
+            done = max(abs(a - b) for a, b in zip(new, share)) < 1e-7
+            share = new
+            if done:
+                break
+        return share, sum(math.log(sum(s * x for s, x in zip(share, w))) for w in likely)
+
+    order = sorted(range(size), key=lambda i: -em(range(size))[0][i])
+    tried = []
+    for k in range(1, size + 1):
+        share, value = em(order[:k])
+        tried.append((value - (k - 1) * penalty * math.log(len(likely) + 1), share))
+    return max(tried, key=lambda t: t[0])[1]
+
+
+def test_mixtures_against_plain_python(spark):
+    rng = random.Random(2)
+    letters = {"a": "abcde", "b": "cdefg", "c": "efghi"}
+    word = lambda x: "".join(rng.choice(letters[x]) for _ in range(rng.randrange(2, 7)))
+    rows = [(" ".join(word(x) for _ in range(400)), x) for x in letters]
+    model = language.train(spark.createDataFrame(rows, "text string, lang string"))
+    texts = [" ".join(word(rng.choice(mix)) for _ in range(n)) for mix in ("a", "ab", "aab", "abc", "bc") for n in (1, 8, 60)] + ["É1 x-y Ab"]
+    got = language.mixtures(texts, model, language.letter_table(), rounds=5000, moved=1e-7)
+    for text, shares in zip(texts, got):
+        assert shares.tolist() == pytest.approx(slow_mixture(text, model), abs=2e-3), text
+
+
+def test_languages_are_bounded(spark):
+    rows = [("abc abd", f"dirty {i}") for i in range(30)] + [("fogi gofi", "b")] * 3 + [("lumo molu", "a")] * 2
+    df = spark.createDataFrame(rows, "text string, lang string")
+    assert language.train(df, most=2).languages == ("a", "b") and len(language.train(df).languages) == 32
+
+
+def test_share_of_random_runs_found(spark, data):
+    """The README's figure: random base64 runs of 12 characters, scored by chains trained at sf0.1."""
+    large = os.path.join(os.path.dirname(data), "sf0.1", "documents.parquet")
+    if not os.path.exists(large):
+        pytest.skip("needs the larger tables")
+    docs = spark.read.parquet(large)
+    rng = random.Random(12)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    runs = ["".join(rng.choice(alphabet) for _ in range(12)) for _ in range(2000)]
+    found = secrets.find(spark.createDataFrame([(t,) for t in runs], "text string"), secrets.train(docs)).filter("size(secrets) > 0").count()
+    assert found >= 0.97 * len(runs)
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_odd_inputs(spark, empty):
     df = table(spark, [] if empty else ODD)
