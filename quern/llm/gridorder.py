@@ -358,3 +358,17 @@ def near_duplicates(
 
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: All pairs of a label, and what they reach.
+OP13_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS i, b.vec_id AS j FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS i, vec_id AS c FROM embeddings UNION SELECT l.j, r.c FROM r JOIN l ON r.i = l.i)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.i = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT i AS vec_id, min(c) AS component_id FROM r GROUP BY i)
+"""

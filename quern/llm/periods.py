@@ -270,3 +270,31 @@ def damaged(docs: DataFrame) -> DataFrame:
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(damaged(documents(spark, sf_dir)))
+
+
+#: Any run repeats five words in a row a period later, so runs are stretches of such places.
+OP12_SQL = r"""
+WITH t AS (SELECT list_transform(range(256), lambda c: list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+             xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                             lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM documents, t),
+g AS (SELECT *, len(ws) AS n, (h // 10) % greatest(len(ws), 1) AS a, 1 + (len(ws) - (h // 10) % greatest(len(ws), 1)) // (3 + (h // 10) % 8) AS p FROM d),
+m AS (SELECT k, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+             THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE ws END AS ws FROM g),
+w AS (SELECT k, n, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM m),
+x AS (SELECT k, n, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS five
+      FROM w WINDOW o AS (PARTITION BY k ORDER BY i) QUALIFY lead(word, 4) OVER o IS NOT NULL),
+e AS (SELECT a.k, b.i - a.i AS q, a.i FROM x a JOIN x b ON a.k = b.k AND a.five = b.five AND b.i > a.i AND b.i - a.i <= a.n // 4),
+s AS (SELECT k, q, min(i) AS start, count(*) + 4 + q AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS stretch FROM e)
+      GROUP BY k, q, stretch HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+r AS (SELECT k, start, length, min(q) AS period FROM s GROUP BY ALL),
+b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k ORDER BY length / period DESC, start, period) = 1),
+l AS (SELECT k, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY k),
+z AS (SELECT DISTINCT k, unnest(range(start + period, start + length)) AS i FROM r),
+c AS (SELECT k, string_agg(word, ' ' ORDER BY i) AS collapsed FROM w ANTI JOIN z USING (k, i) GROUP BY k)
+SELECT m.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, (1000 * b.length) // b.period AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM m LEFT JOIN l ON l.k = m.k LEFT JOIN b ON b.k = m.k LEFT JOIN c ON c.k = m.k
+"""

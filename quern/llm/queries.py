@@ -24,4 +24,7 @@ ORACLES: dict[str, str] = {
     "op5_top_k": topk.OP5_SQL,
     "op7_warc_revisits": warc.OP7_SQL,
     "op9_quality_rules": quality.OP9_SQL,
+    "op11_conversation_repair": repair.OP11_SQL,
+    "op12_periodic_runs": periods.OP12_SQL,
+    "op13_embedding_near_dedup": gridorder.OP13_SQL,
 }

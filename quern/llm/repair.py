@@ -453,3 +453,66 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", *[F.coalesce(F.col(c).cast("bigint"), zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
         *[F.coalesce(F.col(c), v).alias(c) for c, v in empty.items()],
     )
+
+
+def _way(state: str, letter: str, price: str | int, when: str = "TRUE") -> str:
+    return f"CASE WHEN {when} THEN {{'c': {state}.c + {price}, 'a': {state}.a || '{letter}'}} ELSE {{'c': {_FAR}, 'a': ''}} END"
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+_FAR = "1000000000::BIGINT"
+_STAYS = "fault NOT IN ('blank', 'duplicate')"
+_KEEP, _REROLE = f"CASE fault WHEN 'truncated' THEN {CUT_SHORT} ELSE 0 END", f"({RUBRIC['R']} + CASE fault WHEN 'truncated' THEN {CUT_SHORT} ELSE 0 END)"
+
+
+def _row_sql() -> str:
+    """The states after a row, before insertions."""
+    drop = {s: _way(f"s{s}", "D", RUBRIC["D"]) for s in STATES}
+    free = (START, SYSTEM, ASSISTANT)
+    said = [_way(f"s{s}", "K", _KEEP, f"{_STAYS} AND initial = 'u'") for s in free] + [_way(f"s{s}", "R", _REROLE, _STAYS) for s in free]
+    answers = [_way("s2", "K", _KEEP, f"{_STAYS} AND initial = 'a'"), _way("s2", "R", _REROLE, _STAYS)]
+    return f"""{drop[START]} AS b0, {_least(drop[SYSTEM], _way("s0", "K", _KEEP, f"{_STAYS} AND initial = 's'"))} AS b1,
+      {_least(drop[USER], *said)} AS b2, {_least(drop[ASSISTANT], *answers)} AS b3"""
+
+
+#: One row of a conversation at a time, all four states at once; checksums byte by byte.
+OP11_SQL = rf"""
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda c: list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             xor(list_reduce([4294967295] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                                                            lambda x: ascii(x)::BIGINT),
+                             lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind FROM conversations, t),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE kind WHEN 0 THEN []::INT[] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM c),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(role || chr(0) || text), copy) AS i,
+             rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM d),
+f AS (SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+             CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                  WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM n),
+u AS (SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+it AS (SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': ''}} AS s0, {{'c': {_FAR}, 'a': ''}} AS s1,
+              {{'c': {RUBRIC["I"]}::BIGINT, 'a': 'I'}} AS s2, {{'c': {2 * RUBRIC["I"]}::BIGINT, 'a': 'II'}} AS s3 FROM u UNION ALL
+       SELECT conv_id, i, b0, b1, u2, {_least("b3", _way("u2", "I", RUBRIC["I"]))}
+       FROM (SELECT *, {_least("b2", *[_way(f"b{s}", "I", RUBRIC["I"]) for s in (START, SYSTEM, ASSISTANT)])} AS u2
+             FROM (SELECT f.conv_id, f.i, {_row_sql()} FROM it JOIN f ON f.conv_id IS NOT DISTINCT FROM it.conv_id AND f.i = it.i + 1))),
+w AS (SELECT u.conv_id, list_min([s0, s3]) AS way FROM it JOIN u ON u.conv_id IS NOT DISTINCT FROM it.conv_id AND it.i = u.rows),
+e AS (SELECT conv_id, k, way.a[k] AS e FROM (SELECT conv_id, way, unnest(range(1, length(way.a) + 1)) AS k FROM w)),
+g AS (SELECT *, sum((e <> 'I')::INT) OVER o AS row, sum((e <> 'D')::INT) OVER o - 1 AS no, sum((e <> 'D')::INT) OVER (PARTITION BY conv_id) AS lines
+      FROM e WINDOW o AS (PARTITION BY conv_id ORDER BY k)),
+p AS (SELECT g.conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN f.role WHEN (no - lines % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END
+             || ':' || CASE WHEN e = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY k)) AS sha
+      FROM g LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM g.conv_id AND f.i = g.row WHERE e <> 'D' GROUP BY g.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(way.c, 0) AS cost, coalesce(way.a, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN u ON u.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
