@@ -107,7 +107,7 @@ def quantile_sketch(df: DataFrame, value: str, cells: int = SKETCH_CELLS, **also
     v = F.col(value).cast(_number(df, value))
     inf = F.lit(float("inf"))
     finite = ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < inf)
-    shares = F.array(*[F.lit(i / cells) for i in range(cells + 1)])
+    shares = F.expr(f"array({', '.join(f'{i / cells!r}D' for i in range(cells + 1))})")
     real = F.when(finite, v)
     return df.agg(
         F.count_if(v.cast("double") == -inf).alias("below"), F.count_if(finite).alias("n"),
@@ -179,9 +179,18 @@ def _inside(df: DataFrame, value: str, ranks: Sequence[int], brackets: list[list
     rows = df.select(F.col(value).cast(kind).alias("v")).filter("v is not null")
     counts = rows.mapInArrow(count, f"slot int, v {kind}, n bigint").groupBy("slot", "v").agg(F.sum("n").alias("n"))
     totals = running_totals(counts.filter("n > 0"), ["slot", "v"], {"upto": "n"}).filter("v is not null")
-    wanted = F.array(*[F.lit(r - below) for r in ranks])
-    hits = F.filter(wanted, lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
-    return {r.rank + below: r.v for r in totals.select(F.explode(hits).alias("rank"), "v").collect()}
+    wanted = np.array(sorted(ranks)) - below
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, upto = (batch.column(c).to_numpy() for c in (1, 2))
+            first, last = np.searchsorted(wanted, upto - n), np.searchsorted(wanted, upto)
+            row = np.repeat(np.arange(len(n)), last - first)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(last - first) - last, last - first)
+            yield pa.RecordBatch.from_arrays([pa.array(wanted[at]), batch.column(0).take(pa.array(row))], ["rank", "v"])
+
+    hits = totals.select("v", "n", "upto").mapInArrow(pick, f"rank bigint, v {kind}")
+    return {r.rank + below: r.v for r in hits.collect()}
 
 
 def value_at_rank(df: DataFrame, value: str, rank: int, bins: int = SKETCH_CELLS) -> float | int | None:

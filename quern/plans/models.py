@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from quern.functions.vectors import fold_by_block, fold_by_period, rescale_series
 from quern.operators import features as C, logistic as L, pca as P, recommend as R, regression as G, sampling as S
 from quern.plans.catalog import query
-from quern.plans.data import POINTS_SQL, event_points, points, r, ratings, titles, vectors
-from quern.plans.features import BUCKETS, WEIGHTS, split_sql
+from quern.plans.data import EVENT_POINTS_SQL, POINTS_SQL, event_points, points, r, ratings, titles, vectors
+from quern.plans.features import BUCKETS, HASHED_SQL, WEIGHTS, split_sql
 from quern.session import stable
 
 
@@ -124,11 +124,40 @@ def _hashed_points(t):
     return hashed.select("event_id", "label", F.col("e.key").alias("idx"), F.col("e.value").alias("val"))
 
 
-@query()
+def logistic_sql(pairs: str, iterations: int, step: float, reg: float) -> str:
+    """Common tables of a fit on the training part of the events: ``f`` numbers the features ``name``, ``fit`` has ``w``.
+
+    ``pairs`` has ``event_id, name, x``. A step sums over all pairs again; the intercept is the last feature.
+    """
+    return f"""l AS (SELECT event_id, (event_type = 'error')::INT AS y, split FROM ({split_sql("event_id", "events")})),
+    a AS MATERIALIZED ({pairs}),
+    h AS (SELECT a.*, y FROM a JOIN l USING (event_id) WHERE split = 0),
+    f AS (SELECT name, row_number() OVER (ORDER BY name) AS k FROM (SELECT DISTINCT name FROM h)),
+    size AS (SELECT count(*) AS d FROM f),
+    e AS MATERIALIZED (SELECT event_id, y, k, x FROM h JOIN f USING (name) UNION ALL SELECT event_id, y, d + 1, 1.0 FROM l, size WHERE split = 0),
+    it AS (SELECT 0 AS i, list_transform(range(1, d + 2), lambda k: CASE WHEN k = d + 1 THEN 1.0 ELSE 0.0 END)::DOUBLE[] AS w FROM size UNION ALL
+      SELECT i + 1, list(wk * (1 - r * {reg!r}::DOUBLE) - r * g / n ORDER BY k)
+      FROM (SELECT i, k, any_value(wk) AS wk, sum(res * x) AS g, {step!r}::DOUBLE / sqrt(i + 1) AS r
+            FROM (SELECT i, k, x, wk, 1 / (1 + exp(-(sum(wk * x) OVER (PARTITION BY event_id)))) - y AS res
+                  FROM (SELECT it.i, e.event_id, e.y, e.k, e.x, it.w[e.k] AS wk FROM it, e WHERE it.i < {iterations}))
+            GROUP BY i, k), (SELECT count(*) AS n FROM l WHERE split = 0)
+      GROUP BY i),
+    fit AS (SELECT w, d FROM it, size WHERE i = {iterations})"""
+
+
+@query(f"""
+WITH RECURSIVE {logistic_sql(f"SELECT event_id, bucket AS name, n AS x FROM ({HASHED_SQL})", 50, 10.0, 1e-6)}
+SELECT g.pos::INT AS pos, round(coalesce(w[k], 0), 6) + 0.0 AS weight FROM range({BUCKETS}) g(pos) LEFT JOIN f ON f.name = g.pos, fit UNION ALL
+SELECT {BUCKETS}, round(w[d + 1], 6) FROM fit
+""")
 def logreg_sgd(t):
     train = S.random_split(_hashed_points(t), "event_id", WEIGHTS, 42)[0]
     model = L.logreg_sgd(train, BUCKETS, iterations=50, step=10.0, reg=1e-6)
-    return _model_rows(t, model)
+    seen = model.table.select(
+        F.when(F.col("idx") == L.INTERCEPT, BUCKETS).otherwise(F.col("idx")).alias("pos"), r("w", 6).alias("weight")
+    )
+    every = t.spark.range(BUCKETS + 1).select(F.col("id").alias("pos"))
+    return every.join(seen, "pos", "left").select(F.col("pos").cast("int").alias("pos"), F.coalesce("weight", F.lit(0.0)).alias("weight"))
 
 
 RETURNED_SQL = """SELECT (l_returnflag = 'R')::INT AS y, l_quantity / 50 AS a, l_discount * 10 AS b, l_tax * 10 AS c FROM lineitem"""
@@ -197,7 +226,15 @@ def fold_in(t):
     return found.select("user", *[r(F.col("features")[i], 6).alias(f"u{i}") for i in range(3)])
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {logistic_sql(f"SELECT event_id, feature || ' ' || value AS name, 1.0 AS x FROM ({EVENT_POINTS_SQL})", 50, 10.0, 1e-6)},
+o AS (SELECT l.event_id, any_value(l.split) AS split, any_value(l.y) AS y, 1 / (1 + exp(-(sum(coalesce(w[k] * x, 0)) + any_value(w[d + 1])))) AS p
+      FROM fit, l LEFT JOIN a ON a.event_id = l.event_id LEFT JOIN f ON f.name = a.name GROUP BY l.event_id),
+b AS (SELECT event_id, split, y, (SELECT avg(y) FROM l WHERE split = 0) AS p FROM l),
+s AS (SELECT 'one-hot' AS model, * FROM o UNION ALL SELECT 'constant', event_id, split, y, p FROM b)
+SELECT model, CASE split WHEN 0 THEN 'train' ELSE 'validation' END AS part, round(avg(CASE WHEN y = 1 THEN -ln(p) ELSE -ln(1 - p) END), 7) AS log_loss
+FROM s WHERE split < 2 GROUP BY model, split
+""")
 def logreg_log_loss(t):
     """One-hot model against the constant rate, on training and validation points."""
     p = event_points(t)
@@ -212,7 +249,7 @@ def logreg_log_loss(t):
     ]
     base = L.log_loss_baseline(train, {"train": train, "validation": validation}, "label")
     fitted = scored[0].unionByName(scored[1]).withColumn("model", F.lit("one-hot"))
-    return fitted.unionByName(base.withColumn("model", F.lit("constant")))
+    return fitted.unionByName(base.withColumn("model", F.lit("constant"))).withColumn("log_loss", r("log_loss", 7))
 
 
 @query()
@@ -258,19 +295,38 @@ def pca_eigenvalue_moments(t):
     return t.spark.createDataFrame(rows, "power int, total double")
 
 
-# A power of the covariance by repeated squaring: its columns point along the first component.
-@query(f"""
-WITH RECURSIVE m AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM ({COVARIANCE_SQL}) GROUP BY i)),
-p AS (SELECT 0 AS step, m FROM m UNION ALL
+def components_sql(rows: str, k: int, d: int = 64, name: str = "") -> str:
+    """Common tables of the first ``k`` components of a table ``v`` of vectors: ``w1`` and so on with ``w, l``.
+
+    A power of the covariance by repeated squaring: its columns point along the first
+    component. What that explains is taken off for the next one.
+    """
+    n = name
+    size = "list_sum(list_transform(m, lambda z: list_dot_product(z, z)))"
+    parts = [f"""{n}mean AS (SELECT list(x ORDER BY i) AS mean FROM (SELECT i, avg(v[i]) AS x FROM ({rows}), range(1, {d + 1}) a(i) GROUP BY i)),
+    {n}m1 AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM (
+      SELECT i, j, covar_pop(v[i], v[j]) AS c FROM ({rows}), range(1, {d + 1}) a(i), range(1, {d + 1}) b(j) GROUP BY i, j) GROUP BY i)),
+    {n}trace AS (SELECT list_sum(list_transform(range(1, {d + 1}), lambda i: m[i][i])) AS trace FROM {n}m1)"""]
+    for i in range(1, k + 1):
+        parts.append(f"""{n}p{i} AS (SELECT 0 AS step, m FROM {n}m{i} UNION ALL
       SELECT step + 1, list_transform(m, lambda r: list_transform(m, lambda q: list_dot_product(r, q) / size))
-      FROM (SELECT step, m, list_sum(list_transform(m, lambda z: list_dot_product(z, z))) AS size FROM p WHERE step < 24)),
-c AS (SELECT list_transform(range(1, 65), lambda k: m[k][k]) AS diagonal, m FROM p WHERE step = 24),
-b AS (SELECT m[list_position(diagonal, list_max(diagonal))] AS v FROM c),
-u AS (SELECT list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM b),
-w AS (SELECT list_transform(u, lambda x: x * CASE WHEN list_max(u) >= -list_min(u) THEN 1 ELSE -1 END) AS w FROM u)
-SELECT (generate_subscripts(w, 1) - 1)::INT AS pos, round(unnest(w), 5) + 0.0 AS loading,
-       (SELECT round(list_sum(list_transform(range(1, 65), lambda k: w[k] * list_dot_product(m.m[k], w))), 8) FROM m) AS eigenvalue
-FROM w
+      FROM (SELECT step, m, {size} AS size FROM {n}p{i} WHERE step < 24)),
+    {n}b{i} AS (SELECT m[list_position(diagonal, list_max(diagonal))] AS v
+      FROM (SELECT m, list_transform(range(1, {d + 1}), lambda a: m[a][a]) AS diagonal FROM {n}p{i} WHERE step = 24)),
+    {n}u{i} AS (SELECT list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM {n}b{i}),
+    {n}s{i} AS (SELECT list_transform(u, lambda x: x * CASE WHEN list_max(u) >= -list_min(u) THEN 1 ELSE -1 END) AS w FROM {n}u{i}),
+    {n}w{i} AS (SELECT w, list_dot_product(w, list_transform(m, lambda r: list_dot_product(r, w))) AS l FROM {n}s{i}, {n}m{i}),
+    {n}m{i + 1} AS (SELECT list_transform(range(1, {d + 1}), lambda a: list_transform(range(1, {d + 1}), lambda b: m[a][b] - l * w[a] * w[b])) AS m
+      FROM {n}m{i}, {n}w{i})""")
+    return ",\n    ".join(parts)
+
+
+VECTORS_SQL = "SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings"
+
+
+@query(f"""
+WITH RECURSIVE {components_sql(VECTORS_SQL, 1)}
+SELECT (generate_subscripts(w, 1) - 1)::INT AS pos, round(unnest(w), 5) + 0.0 AS loading, round(l, 8) AS eigenvalue FROM w1
 """)
 def pca_first_component(t):
     model = P.pca_top(vectors(t), "v", 1)
@@ -279,22 +335,36 @@ def pca_first_component(t):
     return found.select("pos", r("loading", 5).alias("loading"), r("eigenvalue", 8).alias("eigenvalue"))
 
 
-@query()
+def scores_sql(rows: str, k: int, name: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT vec_id, {i}::INT AS pos, round(list_dot_product(v, w), 6) + 0.0 AS score FROM ({rows}), {name}w{i + 1}" for i in range(k)
+    )
+
+
+@query(f"WITH RECURSIVE {components_sql(VECTORS_SQL, 3)} {scores_sql(VECTORS_SQL, 3)}")
 def pca_scores(t):
-    return P.pca_scores(vectors(t), "v", 3).select("vec_id", F.posexplode("scores").alias("pos", "score"))
+    scored = P.pca_scores(vectors(t), "v", 3).select("vec_id", F.posexplode("scores").alias("pos", "score"))
+    return scored.withColumn("score", r("score", 6))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {components_sql(VECTORS_SQL, 2)}
+SELECT 1 AS k, round(w1.l / trace, 7) AS share FROM w1, trace UNION ALL SELECT 2, round((w1.l + w2.l) / trace, 7) FROM w1, w2, trace
+""")
 def variance_explained(t):
     model = P.pca_top(vectors(t), "v", 2)
-    rows = [(k, model.variance_explained(k)) for k in (1, 2)]
+    rows = [(k, round(model.variance_explained(k), 7)) for k in (1, 2)]
     return t.spark.createDataFrame(rows, "k int, share double")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {components_sql(VECTORS_SQL, 1)},
+p AS (SELECT vec_id, w, mean, list_dot_product(list_transform(v, lambda x, i: x - mean[i]), w) AS along FROM ({VECTORS_SQL}), w1, mean)
+SELECT vec_id, (generate_subscripts(w, 1) - 1)::INT AS pos, round(unnest(list_transform(w, lambda x, i: x * along + mean[i])), 7) + 0.0 AS x FROM p
+""")
 def pca_reconstruct(t):
     projected = P.pca_reconstruct(vectors(t), "v")
-    return projected.select("vec_id", F.posexplode("projected").alias("pos", "x"))
+    return projected.select("vec_id", F.posexplode("projected").alias("pos", "x")).withColumn("x", r("x", 7))
 
 
 def _series(t):
@@ -302,9 +372,21 @@ def _series(t):
     return vectors(t).select("vec_id", "label", F.transform("v", lambda x: x + 1).alias("ts"))
 
 
-@query()
+SERIES_SQL = """SELECT vec_id, list_transform(s, lambda x: (x - m) / m) AS s
+FROM (SELECT vec_id, s, list_avg(s) AS m FROM (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x + 1) AS s FROM embeddings))"""
+FOLDS_SQL = {
+    "period": f"SELECT vec_id, list_transform(range(8), lambda p: list_sum(list_transform(range(8), lambda i: s[8 * i + p + 1]))) AS v FROM ({SERIES_SQL})",
+    "block": f"SELECT vec_id, list_transform(range(8), lambda p: list_sum(s[8 * p + 1:8 * p + 8])) AS v FROM ({SERIES_SQL})",
+}
+
+
+@query(f"""
+WITH RECURSIVE {", ".join(components_sql(rows, 3, 8, name) for name, rows in FOLDS_SQL.items())}
+{" UNION ALL ".join(f"SELECT *, '{name}' AS fold FROM ({scores_sql(rows, 3, name)})" for name, rows in FOLDS_SQL.items())}
+""")
 def series_pca(t):
     by_period = P.series_pca(_series(t), fold_by_period(rescale_series(F.col("ts")), 8), 3)[1]
     by_block = P.series_pca(_series(t), fold_by_block(rescale_series(F.col("ts")), 8), 3)[1]
     both = by_period.withColumn("fold", F.lit("period")).unionByName(by_block.withColumn("fold", F.lit("block")))
-    return both.select("vec_id", "fold", F.posexplode("scores").alias("pos", "score"))
+    scored = both.select("vec_id", "fold", F.posexplode("scores").alias("pos", "score"))
+    return scored.withColumn("score", r("score", 6))
