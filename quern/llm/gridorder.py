@@ -33,7 +33,7 @@ from quern.operators.ordering import zip_with_index
 from quern.operators.stats import cross_products
 
 DIMENSIONS = 6  # leading principal dimensions of the grid
-INTERVAL_ROWS = 2048
+INTERVAL_ROWS = 4096
 LEAF_ROWS = 256
 FAN = 4  # bits of an interval's number that one level of the refinement resolves
 RUN = 64  # partners of an interval that one copy of it serves
@@ -304,11 +304,9 @@ def links(
     )
     counts = cut.groupBy("part").agg(F.count("*").alias("n"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # a row per partition
-    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    intervals = stable(
-        cut.join(F.broadcast(offsets), "part").withColumn("seq", F.col("offset") + F.col("no")).drop("part", "no", "offset")
-    )
-    units = stable(_candidates(stable(_boxes(intervals, k)), intervals.count(), k, eps))
+    offsets = stable(counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
+    intervals = cut.join(F.broadcast(offsets), "part").withColumn("seq", F.col("offset") + F.col("no")).drop("part", "no", "offset")
+    units = stable(_candidates(stable(_boxes(intervals, k)), cut.count(), k, eps))
     # an interval with many partners travels in as many copies as serve RUN of them each
     copies = stable(units.groupBy("a").agg(F.ceil(F.count("*") / RUN).cast("int").alias("copies")))
     dealt = units.join(copies, "a").withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int")).drop("copies")
