@@ -19,6 +19,7 @@ if _HERE not in sys.path:
 
 from quern.llm import language, packing, quality, secrets, simhash  # noqa: E402
 from quern.llm.common import documents, fresh, stable  # noqa: E402
+from quern.session import remove_scratch  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -82,3 +83,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _, stage in STAGES[:-1]:
         docs = stable(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def write(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Writes the rows of ``run`` to a folder and removes the tables between the stages."""
+    run(spark, sf_dir).write.parquet(path)
+    remove_scratch(spark)
