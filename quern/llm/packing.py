@@ -29,7 +29,7 @@ LENGTH = 2048
 UNIT = 8
 END = 1
 BUNDLE_BITS = 12  # groups of ranks in a bundle: 2**12
-_CHARS_AT_ONCE = 1 << 21
+_CHARS_AT_ONCE = 1 << 22
 _WORDS, _PARTS = 400_000, 500_000  # that a worker remembers
 _BREAK = b"\xff" * 4
 
@@ -96,7 +96,7 @@ class WordEncoder:
             other = [w for w in words if not self._is_plain(w)]
             words = [w for w in words if self._is_plain(w)]
         parts = self.cut.findall("\n".join(words).lower())
-        self._learn_parts(list({p for p in parts if p not in self.parts}))
+        self._learn_parts(list(set(parts).difference(self.parts)))
         # no id has four bytes of 255 in it or across its end, so a break is found where it was put
         self.words.update(zip(words, b"".join(map(self.parts.__getitem__, parts)).split(_BREAK)))
         self.words.update((w, ids.tobytes()) for w, ids in zip(other, self._encode(other)))
@@ -106,20 +106,23 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         coded = split.values.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        ids = [self.words.get(w) for w in words]
+        ids = list(map(self.words.get, words))
         new = [i for i, x in enumerate(ids) if x is None]
         if new:
             self._learn([words[i] for i in new])
             for i in new:
                 ids[i] = self.words[words[i]]
         ids.append(np.uint32(END).tobytes())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, begins = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes) - sizes
+        # a batch has less than 2**31 ids: it is bounded in characters, or one text
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) >> 2
+        flat, begins = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes, dtype=np.int32) - sizes
         stops = split.offsets.to_numpy()[1:]
-        code = np.insert(coded.indices.to_numpy().astype(np.int64), stops, len(words))
+        code = np.insert(coded.indices.to_numpy(), stops, len(words))
         size = sizes[code]
-        upto = np.cumsum(size)
-        result = flat[np.repeat(begins[code] - (upto - size), size) + np.arange(upto[-1])]
+        upto = np.cumsum(size, dtype=np.int32)
+        place = np.repeat(begins[code] - (upto - size), size)
+        place += np.arange(len(place), dtype=np.int32)
+        result, upto = flat[place], upto.astype(np.int64)
         return result, upto[stops + np.arange(len(stops))]
 
 
