@@ -243,6 +243,34 @@ def test_pipeline_keeps_mixtures_of_languages(spark, data, docs):
     assert {r.doc_id for r in kept.filter("doc_id >= 1000000000").collect()} == {10**9, 10**9 + 1}
 
 
+def test_pipeline_of_a_very_long_text(spark, data, docs, word_bpe):
+    rng = random.Random(4)
+    words = [w for r in docs.filter("lang = 'en' and n_chars > 300").limit(20).collect() for w in r.text.split()]
+    text = "\n".join(" ".join(f"{rng.choice(words)}{rng.randrange(99)}" for _ in range(12)) + "." for _ in range(9_000))
+    long = spark.createDataFrame([(10**9, text, "en", "long", len(text)), (10**9 + 1, None, None, None, None)], docs.schema)
+    kept = docs.limit(30).union(long)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = simhash.stable(stage(spark, kept, data))
+    last = {r.doc_id: r.text for r in kept.collect()}
+    assert 10**9 in last and 10**9 + 1 not in last and len(last[10**9]) > 0.9 * len(text)
+    check_packing(corpus_pipeline.STAGES[-1][1](spark, kept, data).collect(), {i: word_bpe(t) for i, t in last.items()})
+
+
+def test_tree_of_a_very_long_text(bpe):
+    count = tokencount.Counter(*bytebpe.public_ranks())
+    text = "".join(random.Random(1).choice(PARTS) + " " for _ in range(120_000))
+    tree = tokencount.TokenTree(text, count)
+    tree.edit(len(text) // 2, 9, "inserted")
+    assert tree.total == len(bpe.encode_ordinary(text[: len(text) // 2] + "inserted" + text[len(text) // 2 + 9 :])) and tree.encoded < 60
+
+
+def test_written_pipeline_leaves_no_tables_behind(spark, data, tmp_path):
+    from quern import session
+
+    corpus_pipeline.write(spark, data, str(tmp_path / "packed"))
+    assert spark.read.parquet(str(tmp_path / "packed")).count() > 0 and not session._written
+
+
 def test_pipeline_of_odd_tables(spark, docs):
     extra = docs.limit(0).selectExpr("*", "1 AS _fp", "'x' AS _quality")
     for _, stage in corpus_pipeline.STAGES[:-1]:
