@@ -76,7 +76,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 
 def _gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Gradient cells ``idx, g`` of blocks that come with the weights of their members."""
+    """Gradient cells ``idx, g`` of blocks that come with the weights of their members, next to those weights."""
     for batch in batches:
         for i in range(batch.num_rows):
             n, members = batch.column(0)[i].as_py(), batch.column(5)[i].values.to_numpy()
@@ -89,7 +89,7 @@ def _gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             e = np.exp(-np.abs(raw))  # cannot overflow
             residual = np.where(raw >= 0, 1.0, e) / (1.0 + e) - label
             cells = np.bincount(place, weights=residual[row] * val, minlength=len(members))
-            yield pa.record_batch({"idx": pa.array(members), "g": pa.array(cells)})
+            yield pa.record_batch({"idx": pa.array(members), "g": pa.array(cells), "w": pa.array(w)})
 
 
 def logreg_sgd(
@@ -119,10 +119,9 @@ def logreg_sgd(
         rate = step / float(np.sqrt(i))
         sent = member.join(table, "idx").groupBy("block").agg(F.collect_list(F.struct("idx", "w")).alias("m"))
         met = blocks.join(sent, "block").select(*packed, F.col("m.idx").alias("idx"), F.col("m.w").alias("w"))
-        total = met.mapInArrow(_gradient, "idx bigint, g double").groupBy("idx").agg(F.sum("g").alias("g"))
-        table = stable(
-            table.join(total, "idx").select("idx", (F.col("w") * (1 - rate * reg) - F.col("g") * (rate / n)).alias("w"))
-        )
+        cells = met.mapInArrow(_gradient, "idx bigint, g double, w double").groupBy("idx")
+        new = F.any_value("w") * (1 - rate * reg) - F.sum("g") * (rate / n)
+        table = stable(cells.agg(new.alias("w")))
     return LogisticModel(table, dimensions)
 
 
