@@ -109,7 +109,7 @@ WITH a_tok AS (SELECT * FROM (SELECT item_id AS id, unnest(regexp_split_to_array
 
 
 def _index(t):
-    """Paths of the written vectors of both sides and of the true pairs; made once per session and version of the tables."""
+    """Paths of the written vectors of both sides; made once per session and version of the tables."""
     tokens = tokenize(F.col("text"))
     version = source_version(t.benchmark, t.documents)
     made = {}
@@ -122,15 +122,11 @@ def _index(t):
 
         return write
 
-    def gold(path):
-        found = contained_items(t.documents, t.benchmark)
-        found.select(F.col("item_id").alias("id_a"), F.col("doc_id").alias("id_b")).write.parquet(path)
-
-    return tuple(kept(t.spark, (name, t.dir, version), make) for name, make in (("a", weights(0)), ("b", weights(1)), ("gold", gold)))
+    return tuple(kept(t.spark, (name, t.dir, version), weights(i)) for i, name in enumerate("ab"))
 
 
 def _pair_weights(t):
-    return tuple(E.read_index(t.spark, path) for path in _index(t)[:2])
+    return tuple(E.read_index(t.spark, path) for path in _index(t))
 
 
 def _sims(t):
@@ -139,7 +135,13 @@ def _sims(t):
 
 
 def _gold(t):
-    return t.spark.read.parquet(_index(t)[2])
+    """True pairs, written once like the vectors."""
+
+    def write(path):
+        found = contained_items(t.documents, t.benchmark)
+        found.select(F.col("item_id").alias("id_a"), F.col("doc_id").alias("id_b")).write.parquet(path)
+
+    return t.spark.read.parquet(kept(t.spark, ("gold", t.dir, source_version(t.benchmark, t.documents)), write))
 
 
 def _bins(t, n):
@@ -164,7 +166,7 @@ def cosine_pairs_min_score(t):
 SELECT id_a, id_b, score FROM sims JOIN (SELECT * FROM gold ORDER BY id_a, id_b LIMIT 1) USING (id_a, id_b)
 """)
 def lookup_by_key(t):
-    path_a, path_b, _ = _index(t)
+    path_a, path_b = _index(t)
     pairs = [tuple(row) for row in _gold(t).orderBy("id_a", "id_b").limit(1).collect()]
     sides = [E.read_index(t.spark, path, [p[i] for p in pairs]) for i, path in enumerate((path_a, path_b))]
     return E.lookup_scores(*sides, pairs).withColumn("score", r("score", 9))
