@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quern.functions.maths import log_loss
-from quern.session import stable
+from quern.session import scratch_path, stable
 
 INTERCEPT = -1  # its index among the weights
 
@@ -40,41 +42,66 @@ class LogisticModel:
 
 
 BLOCK = "block bigint, n int, labels binary, row binary, place binary, val binary, members array<bigint>"
+BLOCK_ROWS, BLOCK_ENTRIES = 1 << 17, 1 << 20
+BUCKET_ROWS = 1 << 19
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows ``label, idx, val`` packed per Arrow batch, with the distinct features of each block.
+    """Rows ``label, idx, val`` packed some Arrow batches at a time, with the distinct features of each block.
 
     The intercept is a feature of every row. ``place`` says where an entry's feature stands
-    among the members of its block, so that a step needs the weights of those only.
+    among the members of its block, so that a step needs the weights of those only. The more
+    rows a block has, the fewer members all blocks have together.
     """
 
+    def packed(block: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        label, idxs, vals = (pa.chunked_array([b.column(c) for b in batches]).combine_chunks() for c in range(3))
+        n, lengths = len(label), idxs.value_lengths().to_numpy(zero_copy_only=False)
+        idx = np.append(idxs.flatten().to_numpy(zero_copy_only=False), np.full(n, INTERCEPT))
+        val = np.append(vals.flatten().to_numpy(zero_copy_only=False), np.ones(n))
+        members, place = np.unique(idx, return_inverse=True)
+        buffers = (
+            label.to_numpy(zero_copy_only=False).astype("float64"),
+            np.append(np.repeat(np.arange(n), lengths), np.arange(n)).astype("int32"),
+            place.astype("int32"),
+            val.astype("float64"),
+        )
+        cells = [pa.array([b.tobytes()], pa.binary()) for b in buffers]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block]), pa.array([n], pa.int32()), *cells, pa.array([members], pa.list_(pa.int64()))],
+            ["block", "n", "labels", "row", "place", "val", "members"],
+        )
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 33
+        held, n, entries = [], 0, 0
         for batch in batches:
-            n = batch.num_rows
-            if not n:
+            if not batch.num_rows:
                 continue
-            lengths = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
-            idx = np.append(batch.column(1).flatten().to_numpy(zero_copy_only=False), np.full(n, INTERCEPT))
-            val = np.append(batch.column(2).flatten().to_numpy(zero_copy_only=False), np.ones(n))
-            members, place = np.unique(idx, return_inverse=True)
-            buffers = (
-                batch.column(0).to_numpy(zero_copy_only=False).astype("float64"),
-                np.append(np.repeat(np.arange(n), lengths), np.arange(n)).astype("int32"),
-                place.astype("int32"),
-                val.astype("float64"),
-            )
-            cells = [pa.array([b.tobytes()], pa.binary()) for b in buffers]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([n], pa.int32()), *cells, pa.array([members], pa.list_(pa.int64()))],
-                ["block", "n", "labels", "row", "place", "val", "members"],
-            )
-            block += 1
+            held.append(batch)
+            n, entries = n + batch.num_rows, entries + len(batch.column(1).flatten())
+            if n >= BLOCK_ROWS or entries >= BLOCK_ENTRIES:
+                yield packed(block, held)
+                block, held, n, entries = block + 1, [], 0, 0
+        if held:
+            yield packed(block, held)
 
     return rows.mapInArrow(pack, BLOCK)
 
 
+@contextmanager
+def _bucketed(blocks: DataFrame, buckets: int) -> Iterator[DataFrame]:
+    """``blocks`` written once in buckets of ``block``, so that no join by it shuffles them."""
+    spark, path = blocks.sparkSession, scratch_path(blocks.sparkSession, "blocks")
+    name = f"blocks_{uuid.uuid4().hex}"
+    dealt = blocks.repartition(buckets, "block")
+    dealt.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # its files go with the other scratch tables
+
+
 def _gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Gradient cells ``idx, g`` of blocks that come with the weights of their members, next to those weights."""
     for batch in batches:
@@ -100,28 +127,31 @@ def logreg_sgd(
     Follows the update rule of Spark's ``LogisticRegressionWithSGD``. ``train`` has
     ``label`` and indices ``idx``, with ``val`` if entries are not all 1. Weights are a table:
     in a step each block of rows gets the weights of its own features by a join, and sums of
-    gradient cells by feature give the next table, which is written. The driver and the tasks
-    never hold all of a model.
+    gradient cells by feature give the next table, which is written. Blocks lie in buckets and
+    stay where they are: a step moves weights and cells only. The driver and the tasks never
+    hold all of a model.
     """
     val = F.col("val") if "val" in train.columns else F.transform("idx", lambda _: F.lit(1.0))
     rows = train.select(
         F.col("label").cast("double"), F.col("idx").cast("array<bigint>"), val.cast("array<double>").alias("val")
     )
-    blocks = stable(_blocks(rows))
-    n = blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n = train.count()
     if not n:
         raise ValueError("no training rows")
-    member = stable(blocks.select("block", F.explode("members").alias("idx")))
-    first = F.when(F.col("idx") == INTERCEPT, 1.0).otherwise(0.0)
-    table = stable(member.select("idx").distinct().withColumn("w", first))
+    spread = min(train.sparkSession.sparkContext.defaultParallelism, -(-n // BLOCK_ROWS))
+    buckets = max(spread, -(-n // BUCKET_ROWS))
     packed = ["n", "labels", "row", "place", "val", "members"]
-    for i in range(1, iterations + 1):
-        rate = step / float(np.sqrt(i))
-        sent = member.join(table, "idx").groupBy("block").agg(F.collect_list(F.struct("idx", "w")).alias("m"))
-        met = blocks.join(sent, "block").select(*packed, F.col("m.idx").alias("idx"), F.col("m.w").alias("w"))
-        cells = met.mapInArrow(_gradient, "idx bigint, g double, w double").groupBy("idx")
-        new = F.any_value("w") * (1 - rate * reg) - F.sum("g") * (rate / n)
-        table = stable(cells.agg(new.alias("w")))
+    with _bucketed(_blocks(rows), buckets) as blocks:
+        member = stable(blocks.select("block", F.explode("members").alias("idx")))
+        first = F.when(F.col("idx") == INTERCEPT, 1.0).otherwise(0.0)
+        table = stable(member.select("idx").distinct().withColumn("w", first))
+        for i in range(1, iterations + 1):
+            rate = step / float(np.sqrt(i))
+            sent = member.join(table, "idx").repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("idx", "w")).alias("m"))
+            met = blocks.join(sent, "block").select(*packed, F.col("m.idx").alias("idx"), F.col("m.w").alias("w"))
+            cells = met.mapInArrow(_gradient, "idx bigint, g double, w double").groupBy("idx")
+            new = F.any_value("w") * (1 - rate * reg) - F.sum("g") * (rate / n)
+            table = stable(cells.agg(new.alias("w")))
     return LogisticModel(table, dimensions)
 
 

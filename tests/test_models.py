@@ -223,6 +223,34 @@ def test_logistic_model_beats_the_constant_rate(clicks, spark):
     assert fitted < L.log_loss_baseline(df, {"all": df}, "label").first().log_loss
 
 
+@pytest.mark.parametrize("rows, buckets", [(7, 50), (1 << 17, 1 << 19)])
+def test_steps_leave_the_blocks_in_their_buckets(clicks, monkeypatch, rows, buckets):
+    df = clicks[1]
+    expected = L.logreg_sgd(df, 10, iterations=3)
+    steps, stable = [], L.stable
+
+    def seen(table, **options):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        if "labels#" in plan:
+            steps.append(plan)
+        return stable(table, **options)
+
+    monkeypatch.setattr(L, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(L, "BUCKET_ROWS", buckets)
+    monkeypatch.setattr(L, "stable", seen)
+    df.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = L.logreg_sgd(df, 10, iterations=3)
+    finally:
+        df.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found.weights == pytest.approx(expected.weights)
+    assert found.intercept == pytest.approx(expected.intercept)
+    assert len(steps) == 3
+    for plan in steps:
+        blocks = plan.split("SortMergeJoin [block#")[1].split("Sort [block#")[1]  # the side with the blocks
+        assert "labels#" in blocks and "Bucketed: true" in blocks and "Exchange" not in blocks
+
+
 def test_values_other_than_one(spark):
     df = spark.createDataFrame([(1.0, [0], [2.0]), (0.0, [1], [0.5])], "label double, idx array<bigint>, val array<double>")
     model = L.logreg_sgd(df, 2, iterations=1, step=1.0, reg=0.0)
