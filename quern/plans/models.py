@@ -238,8 +238,8 @@ FROM s WHERE split < 2 GROUP BY model, split
 def logreg_log_loss(t):
     """One-hot model against the constant rate, on training and validation points."""
     p = event_points(t)
-    dictionary = C.one_hot_dict(p)
-    encoded = C.one_hot_encode(p, dictionary, "event_id")
+    dictionary = stable(C.one_hot_dict(p))
+    encoded = stable(C.one_hot_encode(p, dictionary, "event_id"))
     train, validation, _ = S.random_split(encoded, "event_id", WEIGHTS, 42)
     model = L.logreg_sgd(train, dictionary.count(), iterations=50, step=10.0, reg=1e-6)
     weights = model.weight_table(t.spark)
