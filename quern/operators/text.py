@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from quern.functions.text import remove_punctuation, split_words
 from quern.operators.joins import lookup_join
@@ -37,13 +37,26 @@ def token_total(df: DataFrame, tokens: Column) -> DataFrame:
     return df.agg(F.coalesce(F.sum(F.size(tokens)), F.lit(0)).cast("bigint").alias("tokens"))
 
 
+TASK_BYTES = 16 << 20
+
+
+def _dealt(df: DataFrame, id_col: str) -> DataFrame:
+    """Rows dealt out by id to so many tasks that each gets about ``TASK_BYTES`` of text, however much there is."""
+    sizes = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType == T.StringType()]
+    if not sizes:
+        return df.repartition(F.col(id_col))
+    total = df.agg(F.sum(sum(sizes, F.lit(0)).cast("bigint"))).first()[0] or 0
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES)), F.col(id_col))
+
+
 def term_frequency(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
     """Share of each token among the tokens of its record: ``id, token, tf``.
 
     The texts are dealt out by id before they are split: they are smaller than their
-    tokens, and neither the count nor a later step per id has to shuffle again.
+    tokens, and neither the count nor a later step per id has to shuffle again. A task's
+    table of counts is many times its texts, so their size decides on the number of tasks.
     """
-    listed = df.repartition(F.col(id_col)).select(F.col(id_col).alias("id"), tokens.alias("_t"))
+    listed = _dealt(df, id_col).select(F.col(id_col).alias("id"), tokens.alias("_t"))
     each = exploded(listed, "id", F.size("_t").alias("_size"), token=F.col("_t"))
     counted = each.groupBy("id", "token", "_size").agg(F.count("*").alias("_n"))
     return counted.select("id", "token", (F.col("_n") / F.col("_size")).alias("tf"))
