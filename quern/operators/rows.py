@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def once(value: Column) -> Column:
+    """``value`` as a generated column, computed once however often later columns name it."""
+    return F.explode(F.array(value))
+
+
 def exploded(df: DataFrame, *keep: str | Column, **array: Column) -> DataFrame:
     """One row per element of an array expression, ``name=array``; other columns are listed.
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quern.operators.joins import lookup_join
-from quern.operators.rows import exploded
+from quern.operators.rows import exploded, once
 from quern.plans.catalog import Tables
+from quern.session import stable
 
 
 def r(c: Column | str, digits: int = 4) -> Column:
@@ -88,18 +89,23 @@ def contained_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     inner = F.size(words) - 2
     length = F.when(inner > 0, F.least(inner, F.lit(GRAM))).otherwise(F.size(words))
     key = F.slice(words, F.when(inner > 0, 2).otherwise(1), length)
+
+    def run_at(hashed: Column, i: Column | int, n: int) -> Column:
+        """Hash of ``n`` words from place i by the hashes of each; places beyond the end do not count."""
+        return F.xxhash64(*[F.get(hashed, i + k) for k in range(n)])
+
     keys = items.filter(F.col("text").isNotNull()).select(
-        "item_id", F.col("text").alias("item"), F.xxhash64(F.concat_ws(" ", key)).alias("run")
+        "item_id", F.col("text").alias("item"), run_at(F.transform(key, lambda w: F.xxhash64(w)), F.lit(0), GRAM).alias("run")
     )
-    listed = documents.select("doc_id", words.alias("_w"))
+    listed = documents.select("doc_id", once(F.transform(words, lambda w: F.xxhash64(w))).alias("_w"))
     used = [r[0] for r in items.select(length).distinct().collect() if r[0]]  # at most GRAM numbers
 
     def runs_of(n: int) -> Column:
-        places = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_w", i, n))))
+        places = F.when(F.size("_w") >= n, F.sequence(F.lit(0), F.size("_w") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: run_at(F.col("_w"), i, n))
 
     none = F.array().cast("array<bigint>")
     runs = exploded(listed, "doc_id", run=F.array_distinct(F.concat(none, *[runs_of(n) for n in used])))
-    candidates = lookup_join(runs, keys, "run").select("item_id", "item", "doc_id")
+    candidates = stable(lookup_join(runs, keys, "run").select("item_id", "item", "doc_id"))  # so that their number is known
     found = candidates.join(documents.select("doc_id", "text"), "doc_id").filter(F.contains("text", "item"))
     return found.select("item_id", "doc_id")
