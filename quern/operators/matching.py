@@ -15,14 +15,15 @@ from quern.session import stable
 
 
 def pair_weights(
-    a: DataFrame, b: DataFrame, id_a: str, id_b: str, tokens_a: Column, tokens_b: Column
+    a: DataFrame, b: DataFrame, id_a: str, id_b: str, tokens_a: Column, tokens_b: Column, shared: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Unit TF-IDF vectors of two sources with IDF over both: ``id, token, weight`` each.
 
     Rows also carry the record count of their token (``_n``) and its join grid
     (``_across``, ``_down``), which fall out of the same aggregation as its IDF; a grid of
     0 marks a token only one source has. Texts are split once; the frequencies and the token
-    table are written, as in ``operators.text.tfidf``.
+    table are written, as in ``operators.text.tfidf``. With ``shared`` only tokens of both
+    sources are left, all that scores need; the others count in the norms.
     """
     tf_a, tf_b = (stable(term_frequency(df, i, t)) for df, i, t in ((a, id_a, tokens_a), (b, id_b, tokens_b)))
     has = tf_a.select("token", F.lit(1).alias("_a")).unionAll(tf_b.select("token", F.lit(0).alias("_a")))
@@ -40,10 +41,23 @@ def pair_weights(
     )
 
     def weighted(tf: DataFrame) -> DataFrame:
-        joined = lookup_join(tf, tokens, "token")
-        return unit_weights(joined.withColumn("weight", F.col("tf") * F.col("idf")).drop("tf", "idf"))
+        joined = lookup_join(tf, tokens, "token").withColumn("weight", F.col("tf") * F.col("idf")).drop("tf", "idf")
+        return unit_weights(joined)
 
-    return weighted(tf_a), weighted(tf_b)
+    if not shared:
+        return weighted(tf_a), weighted(tf_b)
+    both = F.when((F.col("_across") > 0) & (F.col("_down") > 0), F.monotonically_increasing_id())
+    tokens = stable(tokens.withColumn("_code", both))
+    names = stable(tokens.filter("_code IS NOT NULL").drop("idf"))
+
+    def named(tf: DataFrame) -> DataFrame:
+        """The norms take numbers of tokens, null for those of one source; names are looked up for the rest."""
+        joined = lookup_join(tf, tokens.select("token", "idf", "_code"), "token")
+        unit = unit_weights(joined.select("id", "_code", (F.col("tf") * F.col("idf")).alias("weight")))
+        found = lookup_join(unit.filter("_code IS NOT NULL"), names, "_code")
+        return found.select("id", "token", "weight", "_n", "_across", "_down")
+
+    return named(tf_a), named(tf_b)
 
 
 def _shared(df: DataFrame, id_name: str, weight: str) -> DataFrame:
@@ -114,7 +128,7 @@ def token_block_join(index_a: DataFrame, index_b: DataFrame) -> DataFrame:
     records, whole, so that none is shuffled; a pair's list is bounded by its records.
     """
     sides = [stable(index.select("id", "token", F.lit(1.0).alias("weight"))) for index in (index_a, index_b)]
-    met = _block_pairs(*sides)[0]
+    met = _block_pairs(*sides, named=True)[0]
     kinds = [f"id_{s} {w.schema['id'].dataType.simpleString()}" for s, w in zip("ab", sides)]
     found = met.select(*_SIDES, "a_token").mapInArrow(_sharing, ", ".join([*kinds, "tokens array<string>"]))
     return found.select("id_a", "id_b", F.sort_array("tokens").alias("tokens"))
@@ -210,12 +224,12 @@ BLOCK_RECORDS = 1024
 _PRODUCTS_AT_ONCE, _PAIRS_AT_ONCE = 1 << 22, 1 << 18
 
 
-def _block_pairs(a: DataFrame, b: DataFrame) -> tuple[DataFrame, Column, Column]:
-    """Every block of the records of ``a`` next to every block of ``b``: lists ``a_id, a_code, a_weight, a_token`` and so on.
+def _block_pairs(a: DataFrame, b: DataFrame, named: bool = False) -> tuple[DataFrame, Column, Column]:
+    """Every block of the records of ``a`` next to every block of ``b``: lists ``a_id, a_code, a_weight`` and so on.
 
     Takes stored tables ``id, token, weight``. Records are dealt to blocks by a hash of their
-    id, and only tokens that both sides have stay, with numbers. The two columns returned
-    are the block of a pair ``id_a, id_b``.
+    id, and only tokens that both sides have stay, with numbers; ``named`` lists the tokens
+    too, as ``a_token``. The two columns returned are the block of a pair ``id_a, id_b``.
     """
     tokens = stable(
         a.select("token").distinct().join(b.select("token").distinct(), "token", "left_semi")
@@ -223,11 +237,12 @@ def _block_pairs(a: DataFrame, b: DataFrame) -> tuple[DataFrame, Column, Column]
     )
 
     def blocks(weights: DataFrame, side: str) -> tuple[DataFrame, int]:
+        kept = ["id", "code", "weight", *["token"] * (named and side == "a")]
         count = max(1, -(-weights.agg(F.count_distinct("id")).first()[0] // BLOCK_RECORDS))
         coded = lookup_join(weights.select("id", "token", "weight"), tokens, "token")
         block = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int").alias(f"block_{side}")
-        rows = coded.select(block, F.struct("id", "code", "weight", "token").alias("r")).groupBy(f"block_{side}").agg(F.collect_list("r").alias("r"))
-        return rows.select(f"block_{side}", *[F.col(f"r.{c}").alias(f"{side}_{c}") for c in ("id", "code", "weight", "token")]), count
+        rows = coded.select(block, F.struct(*kept).alias("r")).groupBy(f"block_{side}").agg(F.collect_list("r").alias("r"))
+        return rows.select(f"block_{side}", *[F.col(f"r.{c}").alias(f"{side}_{c}") for c in kept]), count
 
     (left, n_a), (right, n_b) = blocks(a, "a"), blocks(b, "b")
     met = stable(left).withColumn("block_b", F.explode(F.sequence(F.lit(0), F.lit(n_b - 1)))).join(stable(right), "block_b")

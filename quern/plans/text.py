@@ -117,7 +117,7 @@ def _index(t):
     def weights(side):
         def write(path):
             if not made:
-                made["ab"] = E.pair_weights(t.benchmark, t.documents, "item_id", "doc_id", tokens, tokens)
+                made["ab"] = E.pair_weights(t.benchmark, t.documents, "item_id", "doc_id", tokens, tokens, shared=True)
             E.write_index(made["ab"][side], path)
 
         return write

@@ -37,6 +37,15 @@ def test_norm_and_dot(spark):
     assert E.score_pairs(weights, other, pair).first().score == 102.0
 
 
+def test_tasks_get_a_bounded_piece_of_the_texts(spark, monkeypatch):
+    texts = docs(spark, {f"d{i}": "some words " * 20 for i in range(50)})
+    expected = {tuple(r) for r in X.term_frequency(texts, "id", tokens()).collect()}
+    monkeypatch.setattr(X, "TASK_BYTES", 500)
+    found = X.term_frequency(texts, "id", tokens())
+    assert found.rdd.getNumPartitions() >= 50 * 220 // 500
+    assert {tuple(r) for r in found.collect()} == expected
+
+
 def test_inverted_index(spark):
     weights = spark.createDataFrame([(1, "foo", 2.0)], "id int, token string, weight double")
     assert [tuple(r) for r in X.inverted_index(weights).collect()] == [("foo", 1)]
@@ -97,6 +106,41 @@ def test_blocked_pairs_equal_all_pairs(weights, sources):
     assert scores(E.cosine_pairs_blocked(*weights)) == pytest.approx(expected, rel=1e-9)
 
 
+def test_vectors_of_shared_tokens_score_alike(spark, sources):
+    a, b = sources
+    b = {**b, "b_own": "w1 nowhere else"}
+    frames = docs(spark, a), docs(spark, b)
+    sides = tuple(map(stable, E.pair_weights(*frames, "id", "id", tokens(), tokens(), shared=True)))
+    assert sides[1].filter("token in ('nowhere', 'else')").count() == 0
+    every = E.pair_weights(*frames, "id", "id", tokens(), tokens())
+    for side, whole in zip(sides, every):
+        assert sorted(map(tuple, side.select("id", "token", "_n", "_across", "_down").collect())) == sorted(
+            map(tuple, whole.filter("_across > 0 and _down > 0").select("id", "token", "_n", "_across", "_down").collect())
+        )
+    expected = {k: v for k, v in naive(a, b).items() if v > 0}
+    assert scores(E.cosine_pairs_blocked(*sides)) == pytest.approx(expected, rel=1e-9)
+    least = {k: v for k, v in expected.items() if v >= 0.3}
+    assert scores(E.cosine_pairs_blocked(*sides, min_score=0.3)) == pytest.approx(least, rel=1e-9)
+
+
+def test_blocks_for_scores_have_no_token_texts(weights):
+    assert "a_token" not in E._block_pairs(*weights)[0].columns
+
+
+def test_contained_items_by_hashes_of_words(spark):
+    from quern.plans.data import contained_items
+
+    items = {1: "a b c d e f g", 2: "b c", 3: "x", 4: "c d e", 5: "never here at all", 6: None}
+    texts = {10: "z a b c d e f gg", 11: "b c d e", 12: "x", 13: None, 14: "", 15: "a b c d"}
+    found = contained_items(
+        spark.createDataFrame(list(texts.items()), "doc_id int, text string"),
+        spark.createDataFrame(list(items.items()), "item_id int, text string"),
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == {(1, 10), (2, 10), (2, 11), (3, 12), (4, 10), (4, 11), (2, 15)}
+    assert "slice(" not in plan  # the candidates were written
+
+
 @pytest.mark.parametrize("least", [0.05, 0.3, 0.7, 0.99])
 def test_least_score_loses_no_pair(weights, sources, least):
     expected = {k: v for k, v in naive(*sources).items() if v >= least}
