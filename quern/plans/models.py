@@ -17,7 +17,7 @@ def _split_points(t):
 
 
 def _split_ratings(t):
-    keyed = ratings(t).withColumn("pair", F.concat_ws("-", "user", "item"))
+    keyed = stable(ratings(t).withColumn("pair", F.concat_ws("-", "user", "item")))  # the parts do not sum again
     return [p.drop("pair") for p in S.random_split(keyed, "pair", [6.0, 2.0, 2.0], 42)]
 
 
