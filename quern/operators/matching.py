@@ -230,6 +230,9 @@ def _block_pairs(a: DataFrame, b: DataFrame, named: bool = False) -> tuple[DataF
     Takes stored tables ``id, token, weight``. Records are dealt to blocks by a hash of their
     id, and only tokens that both sides have stay, with numbers; ``named`` lists the tokens
     too, as ``a_token``. The two columns returned are the block of a pair ``id_a, id_b``.
+
+    The side of fewer blocks is copied to every block of the other. The copies are shuffled:
+    Spark takes their size for that of one, so without the hint it would broadcast them all.
     """
     tokens = stable(
         a.select("token").distinct().join(b.select("token").distinct(), "token", "left_semi")
@@ -245,7 +248,9 @@ def _block_pairs(a: DataFrame, b: DataFrame, named: bool = False) -> tuple[DataF
         return rows.select(f"block_{side}", *[F.col(f"r.{c}").alias(f"{side}_{c}") for c in kept]), count
 
     (left, n_a), (right, n_b) = blocks(a, "a"), blocks(b, "b")
-    met = stable(left).withColumn("block_b", F.explode(F.sequence(F.lit(0), F.lit(n_b - 1)))).join(stable(right), "block_b")
+    few, many, place, n = (left, right, "block_b", n_b) if n_a <= n_b else (right, left, "block_a", n_a)
+    copies = stable(few).withColumn(place, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    met = copies.hint("merge").join(many, place)
     places = [F.pmod(F.xxhash64(f"id_{s}"), F.lit(n)).cast("int").alias(f"block_{s}") for s, n in (("a", n_a), ("b", n_b))]
     return met, *places
 

@@ -258,6 +258,21 @@ def test_pairs_are_not_shuffled(weights):
     assert "MapInArrow" in plan.split("Exchange")[0]
 
 
+@pytest.mark.parametrize("swapped", [False, True])
+def test_copies_of_blocks_are_not_broadcast(weights, sources, monkeypatch, swapped):
+    monkeypatch.setattr(E, "BLOCK_RECORDS", 2)
+    sides = weights[::-1] if swapped else weights
+    found = E.cosine_pairs_blocked(*sides)
+    got = scores(found.select("*"))
+    assert {pair[::-1] if swapped else pair: s for pair, s in got.items()} == pytest.approx(
+        {k: v for k, v in naive(*sources).items() if v > 0}, rel=1e-9
+    )
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Generate explode" in plan
+    assert "Broadcast" not in plan.split("Initial Plan")[0].split("Generate explode")[0]
+
+
 def test_index_reads_the_wanted_buckets_only(spark, weights, sources):
     paths = [scratch_path(spark, "index") for _ in weights]
     for side, path in zip(weights, paths):
